@@ -167,7 +167,7 @@ def sliding_windows_season(tables):
     "W6 F5",
     f"""
     WITH {_windows_sql(0.85, True)}
-    SELECT split, count(*) AS n, count(DISTINCT user_id) AS players, 3::INT AS steps, 1::INT AS single, round(sum(w0), 2) AS first_sum, round(sum(y), 2) AS y_sum
+    SELECT split, count(*) AS n, count(DISTINCT user_id) AS players, 3::INT AS steps, 1::INT AS single, round(sum(w0), 2) AS first_sum, round(sum(value), 2) AS y_sum
     FROM win GROUP BY split
     """,
 )

@@ -184,7 +184,10 @@ def _box_pages(tables):
         F.lit("<tbody>"), home, F.lit("</tbody></table></body></html>"),
     )
     page = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("<h1>"), title, F.lit("</h1><p>postponed</p>"))).otherwise(html)
-    return tables.orders.select(F.concat(F.lit("/boxscores/"), order).alias("url"), page.alias("html"))
+    # A page is much larger than the row it is made of, so the rows are spread out first.
+    parts = int(tables.spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = tables.orders.repartition(parts, "o_orderkey")
+    return spread.select(F.concat(F.lit("/boxscores/"), order).alias("url"), page.alias("html"))
 
 
 @query(

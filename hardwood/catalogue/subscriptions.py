@@ -139,7 +139,7 @@ SQL_CHANGES = """
     f"""
     WITH {SQL_CHANGES},
     l AS (SELECT "user", title || chr(9) || CASE WHEN is_new = 'N' THEN repeat(chr(9), 5) ELSE '' END
-                 || upper(substr(word, 1, 1)) || lower(substr(word, 2)) || chr(9) || '+' || cnt AS line,
+                 || CASE WHEN word[1] = 'ß' THEN 'Ss' ELSE upper(substr(word, 1, 1)) END || lower(substr(word, 2)) || chr(9) || '+' || cnt AS line,
                  row_number() OVER (PARTITION BY "user" ORDER BY title, word, is_new) AS k FROM ch)
     SELECT "user", ((k - 1) // 500 + 1)::INT AS part, count(*)::INT AS n_lines, string_agg(line, chr(10) ORDER BY k) AS body FROM l GROUP BY 1, 2
     """,

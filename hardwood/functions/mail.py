@@ -33,8 +33,9 @@ def command_url(subject: Column) -> Column:
 
 
 def capitalized(word: Column) -> Column:
-    """Only the first character upper case."""
-    return F.concat(F.upper(F.substring(word, 1, 1)), F.lower(F.substr(word, F.lit(2))))
+    """Only the first character upper case; one that becomes two letters gives ``Ss``."""
+    first = F.upper(F.substring(word, 1, 1))
+    return F.concat(F.substring(first, 1, 1), F.lower(F.concat(F.substr(first, F.lit(2)), F.substr(word, F.lit(2)))))
 
 
 def report_line(word: Column, is_new: Column, count: Column) -> Column:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -14,6 +16,9 @@ from pyspark.sql import functions as F
 
 from hardwood.operators.balance import attach
 
+# Python functions travel to the executors with their code; nothing is installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def linear_pipeline(features: Sequence[str], label: str, prediction: str = "y_pred") -> Pipeline:
     """Least squares without regularisation."""

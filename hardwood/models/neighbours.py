@@ -11,13 +11,20 @@ query. No pair is ever emitted that is not among the k best of its block.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hardwood.session import materialize
+
+# Python functions travel to the executors with their code; nothing is installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK = 20_000
 SLICE = 256
 
@@ -90,9 +97,10 @@ def nearest(
                 batch["ring"] = away.min(1)
                 yield batch
 
-    cells = references.select("rid", "vec", "y").mapInPandas(
+    assigned = references.select("rid", "vec", "y").mapInPandas(
         assign, "rid long, vec array<double>, y double, cell int, ring double"
     )
+    cells = materialize(assigned, "cells")
     # Per cell: size, ring limits and the k + 1 smallest rings; a few rows per pivot.
     stats = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("ring").alias("lo"), F.max("ring").alias("hi")).collect()
     ranked = cells.select("cell", "ring", F.row_number().over(Window.partitionBy("cell").orderBy("ring")).alias("i"))

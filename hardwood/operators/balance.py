@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hardwood.session import materialize
+
 # A small side is broadcast only up to this many rows.
 BROADCAST_ROWS = 1_000_000
 # A key is hot when it holds more than this share of all rows, so at most
@@ -50,7 +52,8 @@ def attach(
     Up to ``limit`` rows, ``small`` is broadcast and ``big`` does not move. Beyond, both
     sides are shuffled; the rows of hot keys are spread over ``SALTS`` slots by the
     hash of ``spread_by`` (columns that tell the rows of one key apart) and only the
-    hot keys' rows of ``small`` are repeated for each slot.
+    hot keys' rows of ``small`` are repeated for each slot. Materialize a ``small`` that
+    is costly to compute: it is read for the check and again for the join.
     """
     on = list(on)
     if within_limit(small, limit):
@@ -67,10 +70,10 @@ def attach(
 
 def keep_known(big: DataFrame, keys: DataFrame, on: Sequence[str], spread_by: Sequence[str], limit: int = BROADCAST_ROWS) -> DataFrame:
     """Semi-join with the same care as :func:`attach`."""
-    return attach(big, keys.select(*on).distinct(), on, spread_by, "inner", limit)
+    return attach(big, materialize(keys.select(*on).distinct(), "keys"), on, spread_by, "inner", limit)
 
 
 def drop_known(big: DataFrame, keys: DataFrame, on: Sequence[str], spread_by: Sequence[str], limit: int = BROADCAST_ROWS) -> DataFrame:
     """Anti-join with the same care as :func:`attach`."""
-    marked = keys.select(*on).distinct().withColumn("_known", F.lit(True))
+    marked = materialize(keys.select(*on).distinct().withColumn("_known", F.lit(True)), "keys")
     return attach(big, marked, on, spread_by, "left", limit).where(F.col("_known").isNull()).drop("_known")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hardwood.operators.balance import BROADCAST_ROWS, attach, within_limit
 from hardwood.operators.series import numbered
+from hardwood.session import materialize
 
 
 def first_seen_index(
@@ -25,7 +26,7 @@ def first_seen_index(
     seen = df.select(*entity, *order, F.explode(sources).alias("s")).select(*entity, *order, "s.*")
     first = seen.groupBy(*entity, "category").agg(F.min(F.struct("source", *order)).alias("first"))
     rank = F.row_number().over(Window.partitionBy(*entity).orderBy("first", "category"))
-    return first.select(*entity, "category", rank.cast("int").alias("idx"))
+    return materialize(first.select(*entity, "category", rank.cast("int").alias("idx")), "categories")
 
 
 def global_index(df: DataFrame, column: str, limit: int = BROADCAST_ROWS) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hardwood.functions.clean import any_null, injured_flag
 from hardwood.operators.balance import attach
 from hardwood.operators.series import GameSeries
+from hardwood.session import materialize
 
 
 def _filled(column: str, mean: Column, digits: int | None) -> Column:
@@ -30,7 +31,7 @@ def fill_group_mean(
     the rows themselves stay where they are while the groups fit a broadcast.
     """
     means = group_means(df, group, columns).withColumnsRenamed({c: f"_mean_{c}" for c in columns})
-    joined = attach(df, means, group, spread_by)
+    joined = attach(df, materialize(means, "means"), group, spread_by)
     filled = joined.withColumns({c: _filled(c, F.col(f"_mean_{c}"), digits) for c in columns})
     return filled.select(*df.columns)
 

@@ -6,10 +6,12 @@ here shuffles. Python runs only for table bodies, whose markup may be unclosed.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,9 @@ from hardwood.fixed_values import BOX_STATS, MONTH_LINK_TEXTS
 from hardwood.functions.clean import blank_to_zero, game_id, home_flag, minutes_dotted, repair_team
 from hardwood.functions.markup import first_body, first_heading, header_date, header_teams, links
 
+# Python functions travel to the executors with their code; nothing is installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BOX_SCORE_TEXT = "Box Score"
 
 
@@ -134,35 +139,47 @@ class _TableBodies(HTMLParser):
             self.cell.append(data)
 
 
-_TABLE_FIELDS = "table_idx int, row_idx int, header string, cells array<string>, error string"
+_TABLE_FIELDS = "table_idx int, row_idx int, header string, nth int, cells array<string>, error string"
 
 
 def table_rows(pages: DataFrame, key: str = "url", html: str = "html") -> DataFrame:
-    """``(key, table_idx, row_idx, header, cells, error)`` for every table-body row.
+    """Every table-body row of every page; the page's other columns are repeated.
 
-    A page without a body, or one that cannot be read, yields one row with ``error``.
+    Adds ``table_idx``, ``row_idx``, ``header``, ``nth`` (how often the header came before
+    in its table) and ``cells``. A page without a body, or one that cannot be read, yields
+    one row with ``error``.
     """
+    kept = [c for c in pages.columns if c != html]
+    fields = ["table_idx", "row_idx", "header", "nth", "cells", "error"]
+
+    def rows_of(source: str) -> list[tuple]:
+        reader = _TableBodies()
+        try:
+            reader.feed(source)
+            reader.close_row()
+        except Exception as problem:  # one broken page must not end the job
+            return [(None, None, None, None, None, f"{type(problem).__name__}: {problem}")]
+        if not reader.rows:
+            return [(None, None, None, None, None, "no table body" if reader.body < 0 else "no rows")]
+        seen: dict[tuple, int] = {}
+        out = []
+        for body, number, header, cells in reader.rows:
+            nth = seen.get((body, header), 0)
+            seen[body, header] = nth + 1
+            out.append((body, number, header, nth, cells, None))
+        return out
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for page, source in zip(batch[key], batch[html]):
-                reader = _TableBodies()
-                try:
-                    reader.feed(source)
-                    reader.close_row()
-                    error = None if reader.body >= 0 else "no table body"
-                except Exception as problem:  # one broken page must not end the job
-                    reader.rows, error = [], f"{type(problem).__name__}: {problem}"
-                out += [(page, *row, None) for row in reader.rows] if error is None else []
-                if error is not None or not reader.rows:
-                    out.append((page, None, None, None, None, error or "no rows"))
-            yield pd.DataFrame(out, columns=[key, "table_idx", "row_idx", "header", "cells", "error"]).astype(
-                {"table_idx": "Int32", "row_idx": "Int32"}
-            )
-
-    kind = dict(pages.dtypes)[key]
-    return pages.select(key, html).mapInPandas(parse, f"{key} {kind}, {_TABLE_FIELDS}")
+            found = [rows_of(source) for source in batch[html]]
+            flat = pd.DataFrame([r for rows in found for r in rows], columns=fields)
+            flat = flat.astype({"table_idx": "Int32", "row_idx": "Int32", "nth": "Int32"})
+            pages_again = batch[kept].loc[batch.index.repeat([len(rows) for rows in found])].reset_index(drop=True)
+            yield pd.concat([pages_again, flat], axis=1)
+
+    kinds = dict(pages.dtypes)
+    schema = ", ".join([f"`{c}` {kinds[c]}" for c in kept] + [_TABLE_FIELDS])
+    return pages.select(*kept, html).mapInPandas(parse, schema)
 
 
 def extraction_errors(rows: DataFrame, key: str = "url") -> DataFrame:
@@ -187,13 +204,10 @@ def box_scores(pages: DataFrame, url: str = "url", html: str = "html", tables: t
         url, html, away.alias("_away"), home.alias("_home"),
         F.date_format(header_date(title), "MMMM d yyyy").alias("Date"),
     )
-    heads = titled.select(url, "_away", "_home", "Date")
-    rows = table_rows(titled, url, html).where(
-        F.col("table_idx").isin(*tables) & F.col("header").isNotNull() & (F.col("header") != "Reserves")
+    # Titles travel with the rows, and repeats of a name are numbered page by page: no shuffle.
+    joined = table_rows(titled, url, html).where(
+        F.col("table_idx").isin(*tables) & (F.col("header") != "Reserves") & (F.col("nth") == 0)
     )
-    # One row per (page, team, name); reduced before the join with the page titles.
-    firsts = rows.groupBy(url, "table_idx", "header").agg(F.min_by("cells", "row_idx").alias("cells"))
-    joined = firsts.join(heads, url)
     flag = home_flag(F.when(F.col("table_idx") == tables[0], 0).otherwise(1))
     return joined.select(
         F.col("header").alias("Player"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hardwood.operators.balance import attach
 from hardwood.operators.series import GameSeries
+from hardwood.session import materialize
 
 
 def _fit(column: str, fit_on: Column | None) -> Column:
@@ -48,7 +49,8 @@ def standardize(
     """(x - mean) / deviation with the group's parameters; a constant column becomes 0."""
     if not enabled:
         return df
-    joined = attach(df, standard_parameters(df, group, columns, fit_on), group, spread_by)
+    parameters = materialize(standard_parameters(df, group, columns, fit_on), "scaling")
+    joined = attach(df, parameters, group, spread_by)
     scaled = joined.withColumns({c: (F.col(c) - F.col(f"mean_{c}")) / F.col(f"scale_{c}") for c in columns})
     return scaled.select(*df.columns)
 

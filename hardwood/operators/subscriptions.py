@@ -12,6 +12,7 @@ from hardwood.functions.mail import (
 )
 from hardwood.operators.balance import attach, keep_known
 from hardwood.operators.series import BLOCK_ROWS, GameSeries, lagged
+from hardwood.session import materialize
 
 CHANGES = ("add", "delete")
 
@@ -58,7 +59,7 @@ def shown_lists(commands: DataFrame) -> DataFrame:
         .groupBy("user")
         .agg(F.count(F.lit(1)).alias("n_shows"), F.max("ts").alias("last_show"))
     )
-    return attach(subscription_state(commands), asked, ["user"], ["site"], "inner")
+    return attach(subscription_state(commands), materialize(asked, "shows"), ["user"], ["site"], "inner")
 
 
 def notices(commands: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -86,7 +87,7 @@ def notices(commands: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
 def report_lines(changes: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Word report of ``changes(user, title, word, is_new, cnt)``: numbered lines per user."""
     lines = changes.withColumn("line", report_line(F.col("word"), F.col("is_new"), F.col("cnt")))
-    series = GameSeries.of(lines, ["user"], ["title", "word", "is_new"], block_rows)
+    series = GameSeries.of(materialize(lines, "lines"), ["user"], ["title", "word", "is_new"], block_rows)
     return series.position("line_no").result()
 
 
@@ -105,6 +106,6 @@ def report_parts(changes: DataFrame, lines_per_part: int = 500, block_rows: int
 
 def changed_sites(changes: DataFrame, user: Sequence[str] = ("user",), title: str = "title", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Numbered list of the sites with changes, per user: ``1.title``."""
-    sites = changes.select(*user, title).distinct()
+    sites = materialize(changes.select(*user, title).distinct(), "sites")
     listed = GameSeries.of(sites, list(user), [title], block_rows).position("number").result()
     return listed.withColumn("entry", F.concat(F.col("number").cast("string"), F.lit("."), F.col(title)))

@@ -16,6 +16,7 @@ from hardwood.operators.reconcile import merge_sources
 from hardwood.operators.scaling import minmax
 from hardwood.operators.series import BLOCK_ROWS, GameSeries, previous_means
 from hardwood.operators.splits import random_split
+from hardwood.session import materialize
 
 MERGE_KEYS = ("GameID", "Name", "Team", "Date")
 
@@ -36,7 +37,7 @@ def box_side(box: DataFrame) -> DataFrame:
 
 def merged_averages(feed: DataFrame, box: DataFrame, columns: Sequence[str], games: int = 2, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Inner merge, then the mean of the previous games for every column, derived last."""
-    merged = merge_sources(feed_side(feed), box_side(box), MERGE_KEYS)
+    merged = materialize(merge_sources(feed_side(feed), box_side(box), MERGE_KEYS), "merged")
     series = GameSeries.of(merged, ["Name"], ["Date", "GameID"], block_rows)
     averaged = previous_means(series, columns, games).result()
     return originals_first(averaged, [f"{games}_{c}" for c in columns])

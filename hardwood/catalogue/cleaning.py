@@ -16,7 +16,6 @@ from hardwood.operators.reconcile import matched_or_quarantine
 from hardwood.sources.delimited import clean_feed, in_date_range, pending_rows, played_rows
 
 TEAMS = list(TEAM_CODES)
-TEAM_ARRAY = F.array(*[F.lit(t) for t in TEAMS])
 SQL_TEAMS = "[" + ", ".join(f"'{t}'" for t in TEAMS) + "]"
 SQL_CODES = ", ".join(f"('{t}', '{c}')" for t, c in TEAM_CODES.items())
 SQL_ALIASES = ", ".join(f"('{a}', '{t}')" for a, t in TEAM_ALIASES.items())
@@ -24,7 +23,7 @@ SQL_ALIASES = ", ".join(f"('{a}', '{t}')" for a, t in TEAM_ALIASES.items())
 
 def _team(key, shift: int = 0):
     """A team name for a numeric key."""
-    return F.element_at(TEAM_ARRAY, (F.pmod(key + shift, F.lit(len(TEAMS))) + 1).cast("int"))
+    return F.element_at(F.array(*[F.lit(t) for t in TEAMS]), (F.pmod(key + shift, F.lit(len(TEAMS))) + 1).cast("int"))
 
 
 def _sql_team(key: str, shift: int = 0) -> str:

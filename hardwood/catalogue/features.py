@@ -13,7 +13,12 @@ from hardwood.operators.series import (
 )
 
 ORDER = ["ts", "event_id"]
-WEEK = F.date_format(F.date_trunc("week", F.col("ts")), "yyyy-MM-dd")
+
+
+def week():
+    return F.date_format(F.date_trunc("week", F.col("ts")), "yyyy-MM-dd")
+
+
 SQL_WEEK = "strftime(date_trunc('week', ts), '%Y-%m-%d')"
 
 
@@ -48,7 +53,7 @@ def impute_group_mean(tables):
     """,
 )
 def impute_season_mean(tables):
-    log = games(tables, WEEK.alias("season"))
+    log = games(tables, week().alias("season"))
     filled = impute.fill_group_mean(log, ["season", "user_id"], ["y"], ["event_id"], digits=None)
     return filled.select("event_id", F.round("y", 6).alias("y"))
 
@@ -67,7 +72,7 @@ def impute_season_mean(tables):
 )
 def lag_features(tables):
     """Three lag sets out of one pass."""
-    series = GameSeries.of(games(tables, WEEK.alias("season")), ["season", "user_id"], ORDER)
+    series = GameSeries.of(games(tables, week().alias("season")), ["season", "user_id"], ORDER)
     sets = lag_sets(series, ["y"], [1, 2, 3])
     return sets.select("event_id", "y", "y_1", "y_2", "y_3", "timestep")
 
@@ -132,7 +137,7 @@ def _windows_sql(share: float, season: bool) -> str:
 def _windows(tables, share: float, season: bool):
     keys = ["user_id", "season"] if season else ["user_id"]
     columns = ["user_id", "ts", "event_id", "value"]
-    log = tables.events.select(*columns, WEEK.alias("season")) if season else tables.events.select(*columns)
+    log = tables.events.select(*columns, week().alias("season")) if season else tables.events.select(*columns)
     series = splits.chronological_split(GameSeries.of(log, keys, ORDER), share)
     return sliding_windows(series, ["value"], "value", "ts", 3, ["split"])
 
@@ -185,7 +190,6 @@ def pooled_windows(tables):
 
 # -- categories and salary --------------------------------------------------------------
 
-AGAINST = F.when(F.col("value") < 20, "view").when(F.col("value") < 50, "trade").otherwise("click")
 SQL_AGAINST = "CASE WHEN value < 20 THEN 'view' WHEN value < 50 THEN 'trade' ELSE 'click' END"
 
 
@@ -202,7 +206,8 @@ SQL_AGAINST = "CASE WHEN value < 20 THEN 'view' WHEN value < 50 THEN 'trade' ELS
     """,
 )
 def category_index_first_seen(tables):
-    log = tables.events.select("user_id", "ts", "event_id", F.col("event_type").alias("team"), AGAINST.alias("against"))
+    against = F.when(F.col("value") < 20, "view").when(F.col("value") < 50, "trade").otherwise("click")
+    log = tables.events.select("user_id", "ts", "event_id", F.col("event_type").alias("team"), against.alias("against"))
     index = first_seen_index(log, ["user_id"], ORDER, ["team", "against"])
     coded = apply_index(log, index, ["user_id"], "team", "team_idx", ["event_id"])
     coded = apply_index(coded, index, ["user_id"], "against", "against_idx", ["event_id"])
@@ -257,7 +262,7 @@ def chronological_split(tables):
 
 @query("chronological_split_season", "P1 W10", _split_sql(0.85, f"user_id, {SQL_WEEK}"))
 def chronological_split_season(tables):
-    log = tables.events.select("user_id", WEEK.alias("season"), "ts", "event_id")
+    log = tables.events.select("user_id", week().alias("season"), "ts", "event_id")
     series = GameSeries.of(log, ["user_id", "season"], ORDER)
     return splits.chronological_split(series, 0.85).result().select("event_id", "split")
 

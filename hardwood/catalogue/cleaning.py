@@ -13,7 +13,7 @@ from hardwood.operators.impute import (
 )
 from hardwood.operators.evaluate import head
 from hardwood.operators.reconcile import matched_or_quarantine
-from hardwood.sources.delimited import clean_feed, in_date_range, pending_rows, played_rows
+from hardwood.sources.delimited import clean_feed, game_state, in_date_range
 
 TEAMS = list(TEAM_CODES)
 SQL_TEAMS = "[" + ", ".join(f"'{t}'" for t in TEAMS) + "]"
@@ -117,11 +117,8 @@ def feed_date_range(tables):
     """,
 )
 def feed_pending_rows(tables):
-    feed = _parsed_feed(tables).select("Stats", "FDSal")
-    state = played_rows(feed).withColumn("state", F.lit("played")).unionByName(
-        pending_rows(feed).withColumn("state", F.lit("pending"))
-    )
-    return state.groupBy("state").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("FDSal"), 2).alias("salary"))
+    feed = _parsed_feed(tables).select(game_state().alias("state"), "FDSal")
+    return feed.groupBy("state").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("FDSal"), 2).alias("salary"))
 
 
 @query(

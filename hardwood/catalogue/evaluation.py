@@ -78,9 +78,9 @@ def mse_mae(tables):
     return E.metrics(predictions(tables), "y", "y_pred").select("n", F.round("mse", 3).alias("mse"), F.round("mae", 3).alias("mae"))
 
 
-@query("per_player_mse", "A6", f"WITH {SQL_SIMPLE} SELECT user_id, count(*) AS n, round(avg((y_pred - y) * (y_pred - y)), 4) AS mse FROM p GROUP BY 1")
+@query("per_player_mse", "A6", f"WITH {SQL_SIMPLE} SELECT user_id, count(*) AS n, round(avg((y_pred - y) * (y_pred - y)), 3) AS mse FROM p GROUP BY 1")
 def per_player_mse(tables):
-    return E.metrics(predictions(tables), "y", "y_pred", ["user_id"]).select("user_id", "n", F.round("mse", 4).alias("mse"))
+    return E.metrics(predictions(tables), "y", "y_pred", ["user_id"]).select("user_id", "n", F.round("mse", 3).alias("mse"))
 
 
 @query(
@@ -97,11 +97,11 @@ def over_under(tables):
 @query(
     "metric_bundle",
     "E3",
-    f"WITH {SQL_SIMPLE}, m AS ({SQL_PLAYER} FROM p GROUP BY user_id) SELECT user_id, n, round(mse, 4) AS mse, round(mae, 4) AS mae, over, under FROM m",
+    f"WITH {SQL_SIMPLE}, m AS ({SQL_PLAYER} FROM p GROUP BY user_id) SELECT user_id, n, round(mse, 3) AS mse, round(mae, 9) AS mae, over, under FROM m",
 )
 def metric_bundle(tables):
     bundle = E.metrics(predictions(tables), "y", "y_pred", ["user_id"])
-    return bundle.withColumns({c: F.round(c, 4) for c in ("mse", "mae")})
+    return bundle.withColumns({"mse": F.round("mse", 3), "mae": F.round("mae", 9)})
 
 
 @query(

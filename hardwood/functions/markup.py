@@ -9,11 +9,58 @@ _COMMENT_OR_SCRIPT = "(?is)<!--.*?-->|<script\\b.*?</script>|<style\\b.*?</style
 _ANCHOR = "(?is)<a\\s[^>]*?href\\s*=\\s*\"[^\"]*\"[^>]*>.*?(?=</a>|<a\\s|$)"
 
 
+# --- fixed values: named character references that occur in names and numbers
+_NAMED = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
+
+
 def visible_source(html: Column) -> Column:
     """Source without comments, scripts and styles, whose text must not count as markup."""
     return F.regexp_replace(html, _COMMENT_OR_SCRIPT, "")
 
 
+def unescaped(text: Column) -> Column:
+    """Character references resolved: decimal ones and the common names."""
+    pieces = F.split(text, "&#")
+
+    def resolved(piece: Column) -> Column:
+        number = F.regexp_extract(piece, "^(\\d{1,7});", 1)
+        char = F.decode(F.unhex(F.lpad(F.hex(number.try_cast("int")), 8, "0")), "UTF-32")
+        return F.when(number != "", F.concat(char, F.regexp_replace(piece, "^\\d{1,7};", ""))).otherwise(F.concat(F.lit("&#"), piece))
+
+    plain = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), resolved), ""))
+    for name, char in _NAMED.items():
+        plain = F.replace(plain, F.lit(name), F.lit(char))
+    return F.when(text.contains("&"), plain).otherwise(text)
+
+
+def inner_text(source: Column) -> Column:
+    """Text between tags, without surrounding space."""
+    return F.regexp_replace(unescaped(F.regexp_replace(source, "(?s)<[^>]*>", "")), "^\\s+|\\s+$", "")
+
+
+def table_bodies(html: Column) -> Column:
+    """Source of each table body. Opening tags delimit, so a missing end tag does no harm."""
+    parts = F.split(visible_source(html), "(?i)<tbody\\b[^>]*>")
+    return F.transform(F.slice(parts, 2, F.size(parts)), lambda b: F.get(F.split(b, "(?i)</(?:tbody|table)\\b", 2), F.lit(0)))
+
+
+def body_rows(body: Column) -> Column:
+    """Source of each row of a body."""
+    parts = F.split(body, "(?i)<tr\\b[^>]*>")
+    return F.slice(parts, 2, F.size(parts))
+
+
+def row_parts(row: Column) -> Column:
+    """struct<header, cells>: text of the first header cell (null without one) and of the data cells."""
+    end = "(?is)(?:<t[dh]\\b|</t[dhr]\\b).*$"
+    pieces = F.split(row, "(?i)<td\\b[^>]*>")
+    heading = F.regexp_replace(F.regexp_extract(row, "(?is)<th\\b[^>]*>(.*)$", 1), end, "")
+    return F.struct(
+        F.when(row.rlike("(?i)<th\\b"), inner_text(heading)).alias("header"),
+        F.transform(F.slice(pieces, 2, F.size(pieces)), lambda c: inner_text(F.regexp_replace(c, end, ""))).alias("cells"),
+    )
+
+
 def first_body(html: Column) -> Column:
     """Inside of the first table body; empty where the page has none."""
     return F.regexp_extract(html, "(?is)<tbody[^>]*>(.*?)</tbody>", 1)

@@ -23,8 +23,8 @@ def book_score(book: str = "FDP") -> Column:
 
 def stat_token(stats: Column, suffix: str) -> Column:
     """Text before ``suffix`` in the last token that ends with it, else null."""
-    tokens = F.filter(F.split(F.trim(stats), "\\s+"), lambda t: t.rlike(f"^[0-9-]+{suffix}$"))
-    return F.regexp_extract(F.try_element_at(tokens, F.lit(-1)), f"^([0-9-]+){suffix}$", 1)
+    found = F.regexp_extract(stats, f"(?:^.*\\s|^)([0-9-]+){suffix}(?:\\s|$)", 1)
+    return F.when(found != "", found)
 
 
 def stat_columns(stats: Column) -> dict[str, Column]:

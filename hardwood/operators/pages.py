@@ -1,26 +1,21 @@
 """Landed pages: links, completeness checks, header and box-score extraction.
 
-A page is one row and everything about its links stays inside that row, so nothing
-here shuffles. Python runs only for table bodies, whose markup may be unclosed.
+A page is one row and everything about its links and tables stays inside that row, so
+nothing here shuffles, and all of it runs in the JVM.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator, Sequence
-from html.parser import HTMLParser
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hardwood.fixed_values import BOX_STATS, MONTH_LINK_TEXTS
 from hardwood.functions.clean import blank_to_zero, game_id, home_flag, minutes_dotted, repair_team
-from hardwood.functions.markup import first_body, first_heading, header_date, header_teams, links
-
-# Python functions travel to the executors with their code; nothing is installed there.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from hardwood.functions.markup import (
+    body_rows, first_body, first_heading, header_date, header_teams, links, row_parts, table_bodies,
+)
 
 BOX_SCORE_TEXT = "Box Score"
 
@@ -86,100 +81,30 @@ def zip_links(pages: DataFrame, is_first=_is_box, is_second=None, html: str = "h
     )
 
 
-class _TableBodies(HTMLParser):
-    """Collects (body index, row index, header text, cell texts) of all table bodies."""
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.rows: list[list] = []
-        self.body = -1
-        self.row: list | None = None
-        self.cell: list[str] | None = None
-        self.kind = ""
-
-    def close_cell(self) -> None:
-        if self.cell is not None and self.row is not None:
-            text = "".join(self.cell)
-            if self.kind == "th":
-                self.row[0].append(text.strip())
-            else:
-                self.row[1].append(text.strip())
-        self.cell = None
-
-    def close_row(self) -> None:
-        self.close_cell()
-        if self.row is not None:
-            last = self.rows[-1] if self.rows else None
-            number = last[1] + 1 if last and last[0] == self.body else 0
-            header = self.row[0][0] if self.row[0] else None
-            self.rows.append([self.body, number, header, self.row[1]])
-        self.row = None
-
-    def handle_starttag(self, tag, attrs) -> None:
-        if tag == "tbody":
-            self.close_row()
-            self.body += 1
-        elif tag == "tr" and self.body >= 0:
-            self.close_row()
-            self.row = [[], []]
-        elif tag in ("th", "td") and self.row is not None:
-            self.close_cell()
-            self.cell, self.kind = [], tag
-
-    def handle_endtag(self, tag) -> None:
-        if tag in ("tbody", "table"):
-            self.close_row()
-        elif tag == "tr":
-            self.close_row()
-        elif tag in ("th", "td"):
-            self.close_cell()
-
-    def handle_data(self, data) -> None:
-        if self.cell is not None:
-            self.cell.append(data)
-
-
-_TABLE_FIELDS = "table_idx int, row_idx int, header string, nth int, cells array<string>, error string"
-
-
-def table_rows(pages: DataFrame, key: str = "url", html: str = "html") -> DataFrame:
+def table_rows(pages: DataFrame, key: str = "url", html: str = "html", tables: Sequence[int] | None = None) -> DataFrame:
     """Every table-body row of every page; the page's other columns are repeated.
 
-    Adds ``table_idx``, ``row_idx``, ``header``, ``nth`` (how often the header came before
-    in its table) and ``cells``. A page without a body, or one that cannot be read, yields
-    one row with ``error``.
+    Adds ``table_idx``, ``row_idx``, ``header``, ``is_first`` (no earlier row of the table
+    has the header), ``cells`` and ``error``. A page without a body or without rows yields
+    one row with ``error``. With ``tables`` only those bodies are taken apart.
     """
     kept = [c for c in pages.columns if c != html]
-    fields = ["table_idx", "row_idx", "header", "nth", "cells", "error"]
-
-    def rows_of(source: str) -> list[tuple]:
-        reader = _TableBodies()
-        try:
-            reader.feed(source)
-            reader.close_row()
-        except Exception as problem:  # one broken page must not end the job
-            return [(None, None, None, None, None, f"{type(problem).__name__}: {problem}")]
-        if not reader.rows:
-            return [(None, None, None, None, None, "no table body" if reader.body < 0 else "no rows")]
-        seen: dict[tuple, int] = {}
-        out = []
-        for body, number, header, cells in reader.rows:
-            nth = seen.get((body, header), 0)
-            seen[body, header] = nth + 1
-            out.append((body, number, header, nth, cells, None))
-        return out
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [rows_of(source) for source in batch[html]]
-            flat = pd.DataFrame([r for rows in found for r in rows], columns=fields)
-            flat = flat.astype({"table_idx": "Int32", "row_idx": "Int32", "nth": "Int32"})
-            pages_again = batch[kept].loc[batch.index.repeat([len(rows) for rows in found])].reset_index(drop=True)
-            yield pd.concat([pages_again, flat], axis=1)
-
-    kinds = dict(pages.dtypes)
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in kept] + [_TABLE_FIELDS])
-    return pages.select(*kept, html).mapInPandas(parse, schema)
+    bodies = pages.select(*kept, table_bodies(F.col(html)).alias("_bodies"))
+    wanted = F.transform("_bodies", lambda body, i: F.struct(i.alias("idx"), body.alias("body")))
+    if tables is not None:
+        wanted = F.filter(wanted, lambda t: t["idx"].isin(*tables))
+    error = F.when(F.size("_bodies") == 0, "no table body")
+    opened = bodies.select(*kept, error.alias("error"), F.explode_outer(wanted).alias("t"))
+    lines = opened.select(*kept, "error", "t.idx", F.transform(body_rows(F.col("t.body")), row_parts).alias("_rows"))
+    headers = lines.withColumn("_headers", F.transform("_rows", lambda r: r["header"]))
+    rows = headers.select(
+        *kept, "error", F.col("idx").alias("table_idx"), "_headers", F.posexplode_outer("_rows").alias("row_idx", "_row")
+    )
+    first = F.array_position("_headers", F.col("_row.header")) == F.col("row_idx") + 1
+    return rows.select(
+        *kept, "table_idx", "row_idx", "_row.header", first.alias("is_first"), "_row.cells",
+        F.when(F.col("row_idx").isNull(), F.coalesce("error", F.lit("no rows"))).alias("error"),
+    )
 
 
 def extraction_errors(rows: DataFrame, key: str = "url") -> DataFrame:
@@ -204,10 +129,8 @@ def box_scores(pages: DataFrame, url: str = "url", html: str = "html", tables: t
         url, html, away.alias("_away"), home.alias("_home"),
         F.date_format(header_date(title), "MMMM d yyyy").alias("Date"),
     )
-    # Titles travel with the rows, and repeats of a name are numbered page by page: no shuffle.
-    joined = table_rows(titled, url, html).where(
-        F.col("table_idx").isin(*tables) & (F.col("header") != "Reserves") & (F.col("nth") == 0)
-    )
+    # Titles travel with the rows, and repeats of a name are found page by page: no shuffle.
+    joined = table_rows(titled, url, html, tables).where((F.col("header") != "Reserves") & F.col("is_first"))
     flag = home_flag(F.when(F.col("table_idx") == tables[0], 0).otherwise(1))
     return joined.select(
         F.col("header").alias("Player"),

@@ -137,13 +137,17 @@ def clean_feed(raw: DataFrame) -> DataFrame:
     return raw.select(*columns, *extra)
 
 
+def game_state(stats: str = "Stats") -> Column:
+    """``played``, or ``pending`` for today's games, which have salary and position only."""
+    return F.when(F.col(stats).isNull(), "pending").otherwise("played")
+
+
 def played_rows(feed: DataFrame) -> DataFrame:
-    """Games with stats; today's pending games have salary and position only."""
-    return feed.where(F.col("Stats").isNotNull())
+    return feed.where(game_state() == "played")
 
 
 def pending_rows(feed: DataFrame) -> DataFrame:
-    return feed.where(F.col("Stats").isNull())
+    return feed.where(game_state() == "pending")
 
 
 def in_date_range(df: DataFrame, start: str | None = None, end: str | None = None, date: str = "Date") -> DataFrame:

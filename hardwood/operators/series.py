@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -94,10 +95,12 @@ class GameSeries:
         """Add per-entity aggregates, and the 1-based place in the order, to every row."""
         keys = [*self.entity, *within]
         if not self.blocked:
-            group = Window.partitionBy(*keys)
+            # The order is not needed for the values; naming it lets all features share one sort.
+            ordered = Window.partitionBy(*keys).orderBy(*self.order)
+            group = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
             columns = {n: a.over(group) for n, a in aggregates.items()}
             if position:
-                columns[position] = F.row_number().over(group.orderBy(*self.order)).cast("long")
+                columns[position] = F.row_number().over(ordered).cast("long")
             return replace(self, rows=self.rows.withColumns(columns))
         totals = self.rows.groupBy(*keys).agg(F.min("_g").alias("_start"), *[a.alias(n) for n, a in aggregates.items()])
         rows = self._spread(totals, keys)
@@ -218,29 +221,38 @@ def lag_features(series: GameSeries, columns: Sequence[str], steps: int) -> Game
     return series.neighbours(steps, 0, **features)
 
 
+def lag_depth(series: GameSeries, columns: Sequence[str], steps: int) -> DataFrame:
+    """All lags 1..steps of the rows with a value, and ``depth``: how many of them are there.
+
+    The set for n lags is every row with ``depth >= n``, so one wide table holds all sets
+    and no row is repeated for each.
+    """
+    wide = lag_features(series, columns, steps).result().dropna("any", subset=list(columns))
+    missing = [F.when(any_missing(columns, k), k - 1) for k in range(1, steps + 1)]
+    return wide.withColumn("depth", F.coalesce(*missing, F.lit(steps)))
+
+
+def any_missing(columns: Sequence[str], k: int) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(f"{c}_{k}").isNull() for c in columns])
+
+
+def lag_set(wide: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
+    """The rows with ``n`` complete lags, without the deeper ones."""
+    deeper = [c for c in wide.columns for base in columns if c.startswith(f"{base}_") and c[len(base) + 1 :].isdigit() and int(c[len(base) + 1 :]) > n]
+    return wide.where(F.col("depth") >= n).drop("depth", *deeper).withColumn("timestep", F.lit(n))
+
+
 def lag_sets(series: GameSeries, columns: Sequence[str], depths: Sequence[int]) -> DataFrame:
-    """One set of complete rows per depth, marked by ``timestep``.
+    """One set of complete rows per depth, marked by ``timestep``; deeper lags are null.
 
-    All lags come from one pass; set n keeps the rows whose lags 1..n are all there.
-    Lags deeper than n are null in set n.
+    This repeats a row once per set it belongs to. To store sets, keep :func:`lag_depth`.
     """
-    deepest = max(depths)
-    lagged_rows = lag_features(series, columns, deepest).result()
-    complete = F.lit(0)
-    run = F.lit(True)
-    for k in range(1, deepest + 1):
-        for c in columns:
-            run = run & F.col(f"{c}_{k}").isNotNull()
-        complete = F.when(run, k).otherwise(complete)
-    sets = lagged_rows.dropna("any", subset=list(columns)).withColumn("_complete", complete)
-    wanted = F.filter(F.array(*[F.lit(d) for d in depths]), lambda d: d <= F.col("_complete"))
-    sets = sets.withColumn("timestep", F.explode(wanted)).drop("_complete")
-    cut = {
-        f"{c}_{k}": F.when(F.col("timestep") >= k, F.col(f"{c}_{k}"))
-        for c in columns
-        for k in range(1, deepest + 1)
-    }
-    return sets.withColumns(cut)
+    wide = lag_depth(series, columns, max(depths))
+    wanted = F.filter(F.array(*[F.lit(d) for d in depths]), lambda d: d <= F.col("depth"))
+    sets = wide.withColumn("timestep", F.explode(wanted)).drop("depth")
+    return sets.withColumns(
+        {f"{c}_{k}": F.when(F.col("timestep") >= k, F.col(f"{c}_{k}")) for c in columns for k in range(1, max(depths) + 1)}
+    )
 
 
 def lead_features(series: GameSeries, columns: Sequence[str], steps: int) -> GameSeries:

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hardwood.operators.impute import fill_series_mean
-from hardwood.operators.series import BLOCK_ROWS, GameSeries, lag_sets
+from hardwood.operators.series import BLOCK_ROWS, GameSeries, lag_depth, lag_set
 from hardwood.operators.splits import nested_split
 from hardwood.sources.delimited import clean_feed, read_checked_feed
 from hardwood.sources.sinks import write_combined, write_errors, write_prepared, write_seasons
@@ -24,16 +22,24 @@ def clean_feed_folder(spark: SparkSession, folder: str, target: str) -> DataFram
     return spark.read.schema(cleaned.schema).parquet(f"{target}/combined")
 
 
-def shifted_sets(
-    feed: DataFrame, depths: Sequence[int] = tuple(range(1, 21)), column: str = "FDP", block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """Impute per (season, player), lag, and split every set 72 / 8 / 20."""
+def shifted_sets(feed: DataFrame, steps: int = 20, column: str = "FDP", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Impute per (season, player), lag up to ``steps`` games, and split 72 / 8 / 20.
+
+    One row per game; ``depth`` tells which sets it belongs to. A game is in the same
+    split in all sets, so a longer history never leaks a test game of a shorter one.
+    """
     series = GameSeries.of(feed, ["season", "Player"], ["Date", "GameID"], block_rows)
     series = fill_series_mean(series, [column, "FDSal"])
-    sets = lag_sets(series, [column], depths)
-    key = F.concat_ws("|", "season", "Player", F.col("Date").cast("string"), "GameID", "timestep")
-    return nested_split(sets.withColumn("row_key", key), "row_key")
+    key = F.concat_ws("|", "season", "Player", F.col("Date").cast("string"), "GameID")
+    return nested_split(lag_depth(series, [column], steps).withColumn("row_key", key), "row_key")
+
+
+def prepare_shifted(feed: DataFrame, target: str, steps: int = 20) -> None:
+    """Write the sets once, partitioned by depth and split."""
+    write_prepared(shifted_sets(feed, steps), target, ("depth", "split"))
 
 
-def prepare_shifted(feed: DataFrame, target: str, depths: Sequence[int] = tuple(range(1, 21))) -> None:
-    write_prepared(shifted_sets(feed, depths), target)
+def read_shifted(spark: SparkSession, path: str, timestep: int, split: str | None = None, column: str = "FDP") -> DataFrame:
+    """The set with ``timestep`` lags; shallower partitions and other splits are not read."""
+    rows = spark.read.parquet(path)
+    return lag_set(rows if split is None else rows.where(F.col("split") == split), [column], timestep)

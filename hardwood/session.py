@@ -56,6 +56,13 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/hardwood/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_work(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once nothing reads them any more."""
+    folder = f"{shared_folder(spark)}/hardwood/{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from hardwood.fixed_values import BOX_COLUMNS, FEED_COLUMNS, FEED_HEADER
-from hardwood.plans.feed import clean_feed_folder, prepare_shifted, shifted_sets
+from hardwood.plans.feed import clean_feed_folder, prepare_shifted, read_shifted, shifted_sets
 from hardwood.sources import delimited as D
 from hardwood.sources import sinks as K
 
@@ -122,18 +122,29 @@ def test_prepared_sets(spark, tmp_path):
     games = [("2019-20", "Ann", f"2020-01-{d:02d}", f"g{d}", float(d) if d % 5 else None, 100.0) for d in range(1, 29)]
     games += [("2018-19", "Ann", "2019-01-01", "h1", 50.0, None)]
     feed = spark.createDataFrame(games, "season string, Player string, Date string, GameID string, FDP double, FDSal double")
-    sets = shifted_sets(feed, (1, 3, 20))
-    counts = {r["timestep"]: r["count"] for r in sets.groupBy("timestep").count().collect()}
-    assert counts == {1: 27, 3: 25, 20: 8}
-    assert shifted_sets(feed, (1, 3, 20), block_rows=21).count() == sets.count()
     path = str(tmp_path / "sets")
-    prepare_shifted(feed, path, (1, 3, 20))
-    three = K.read_prepared(spark, path, 3)
-    assert three.count() == 25
-    train = K.read_prepared(spark, path, 3, "train")
-    assert train.count() < 25
-    assert "PartitionFilters: [isnotnull(timestep" in train._jdf.queryExecution().executedPlan().toString()
+    prepare_shifted(feed, path)
+    assert {n: read_shifted(spark, path, n).count() for n in (1, 3, 20)} == {1: 27, 3: 25, 20: 8}
+    assert shifted_sets(feed, block_rows=21).where("depth >= 3").count() == 25
+    three = read_shifted(spark, path, 3)
+    assert {"FDP_3"} <= set(three.columns) and not {"FDP_4", "depth"} & set(three.columns)
+    assert three.where("FDP_3 IS NULL").count() == 0
+    train = read_shifted(spark, path, 3, "train")
+    assert 0 < train.count() < 25
+    scan = train._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(depth" in scan or "PartitionFilters: [isnotnull(split" in scan
     # A missing score is the mean of the player's own season.
     filled = next(r for r in three.collect() if r["Date"] == "2020-01-05")
     known = [d for d in range(1, 29) if d % 5]
     assert filled["FDP"] == round(sum(known) / len(known), 2)
+
+
+def test_window_sets_by_timestep(spark, tmp_path):
+    df = spark.range(40).select(F.col("id").alias("y"), (F.col("id") % 2 + 3).cast("int").alias("timestep"), F.when(F.col("id") < 30, "train").otherwise("test").alias("split"))
+    path = str(tmp_path / "w")
+    K.write_prepared(df, path)
+    K.write_prepared(df.where("timestep = 3 AND split = 'test'").withColumn("y", -F.col("y")), path)
+    assert K.read_prepared(spark, path, 4, "train").count() == 15
+    assert K.read_prepared(spark, path, 3).where("y < 0").count() == K.read_prepared(spark, path, 3, "test").count() == 5
+    plan = K.read_prepared(spark, path, 4, "train")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(timestep" in plan

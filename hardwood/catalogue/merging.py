@@ -8,6 +8,7 @@ from hardwood.catalogue.registry import query
 from hardwood.operators import reconcile as R
 from hardwood.operators.evaluate import value_counts
 from hardwood.operators.splits import shuffled
+from hardwood.session import materialize
 
 
 def _feed(tables):
@@ -48,7 +49,8 @@ KEYS = ["game_id", "season", "team", "quarter"]
     """,
 )
 def merge_sources(tables):
-    return R.merge_sources(_feed(tables), _box(tables), KEYS, ["game_id", "team", "season", "quarter"])
+    box = materialize(_box(tables), "box")
+    return R.merge_sources(_feed(tables), box, KEYS, ["o_totalprice"], ["game_id", "team", "season", "quarter"])
 
 
 @query(

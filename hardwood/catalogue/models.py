@@ -11,6 +11,7 @@ from hardwood.operators.evaluate import metrics
 from hardwood.operators.impute import complete_rows
 from hardwood.operators.series import GameSeries, lag_features
 from hardwood.operators.splits import chronological_split
+from hardwood.session import materialize
 
 
 def _lagged(tables, steps: int):
@@ -21,6 +22,11 @@ def _lagged(tables, steps: int):
     return complete_rows(done, [f"y_{k}" for k in range(1, steps + 1)])
 
 
+def _stored(tables, steps: int):
+    """The same, written once, for models that read it several times."""
+    return materialize(_lagged(tables, steps), "lagged")
+
+
 SQL_LAGS = """
     b AS (SELECT *, row_number() OVER w AS pos, count(*) OVER (PARTITION BY user_id) AS n,
                  value AS y, lag(value, 1) OVER w AS y_1, lag(value, 2) OVER w AS y_2 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
@@ -36,9 +42,9 @@ SQL_POOLED = SQL_FIT.format(key="", where="WHERE split = 'train'", group="")
 
 
 def _pooled(tables):
-    rows = _lagged(tables, 2)
+    rows = _stored(tables, 2)
     features = ["y_1", "y_2"]
-    model = trees.fit_kept(linear.linear_pipeline(features, "y"), rows.where("split = 'train'"))
+    model = linear.linear_pipeline(features, "y").fit(rows.where("split = 'train'"))
     return model, rows, features
 
 
@@ -135,27 +141,26 @@ LAGS = ["y_1", "y_2", "y_3"]
 
 @query("tree_regressor", "M3")
 def tree_regressor(tables):
-    rows = _lagged(tables, 3)
-    model = trees.fit_kept(trees.tree_pipeline(LAGS, "y", depth=12), rows.where("split = 'train'"))
+    rows = _stored(tables, 3)
+    model = trees.tree_pipeline(LAGS, "y", depth=12).fit(rows.where("split = 'train'"))
     scored = model.transform(rows.where("split = 'test'"))
     return scored.select("event_id", "y", F.round("y_pred", 4).alias("y_pred"))
 
 
-def _boosted(tables):
-    rows = _lagged(tables, 3).withColumn("is_val", F.col("split") == "test")
-    return trees.fit_kept(trees.boosted_pipeline(LAGS, "y", "is_val", rounds=10, depth=3), rows), rows
-
-
 @query("boosted_early_stop", "M5")
 def boosted_early_stop(tables):
-    model, rows = _boosted(tables)
+    rows = _stored(tables, 3).withColumn("is_val", F.col("split") == "test")
+    model = trees.boosted_pipeline(LAGS, "y", "is_val", rounds=10, depth=3).fit(rows)
     return model.transform(rows.where("is_val")).select("event_id", "y", F.round("y_pred", 4).alias("y_pred"))
 
 
 @query("loss_curve", "E4")
 def loss_curve(tables):
-    model, rows = _boosted(tables)
-    return trees.loss_curve(model, rows.where("NOT is_val"), rows.where("is_val"))
+    rows = _stored(tables, 3)
+    train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
+    model = trees.boosted_pipeline(LAGS, "y", rounds=10, depth=3).fit(train)
+    curve = trees.loss_curve(model, train, test)
+    return curve.withColumns({c: F.round(c, 4) for c in ("loss", "val_loss")})
 
 
 @query(

@@ -212,7 +212,7 @@ def box_score_extract(tables):
     """SELECT '/boxscores/' || o_orderkey AS "URL", 'no table body' AS "Error" FROM orders WHERE o_orderstatus = 'P'""",
 )
 def box_score_quarantine(tables):
-    return P.extraction_errors(P.table_rows(_box_pages(tables)))
+    return P.page_errors(_box_pages(tables))
 
 
 @query("stream_page_ingest", "T1", "SELECT page_id, url, length(html) AS n_chars FROM pages")

@@ -1,4 +1,7 @@
-"""Links and headers out of page source, row by row in the JVM."""
+"""Links, headers and tables out of page source, row by row in the JVM.
+
+Functions that take a ``source`` expect :func:`visible_source` of the page.
+"""
 
 from __future__ import annotations
 
@@ -18,69 +21,74 @@ def visible_source(html: Column) -> Column:
     return F.regexp_replace(html, _COMMENT_OR_SCRIPT, "")
 
 
+_REST = 1_000_000_000
+
+
 def unescaped(text: Column) -> Column:
     """Character references resolved: decimal ones and the common names."""
-    pieces = F.split(text, "&#")
 
     def resolved(piece: Column) -> Column:
         number = F.regexp_extract(piece, "^(\\d{1,7});", 1)
         char = F.decode(F.unhex(F.lpad(F.hex(number.try_cast("int")), 8, "0")), "UTF-32")
         return F.when(number != "", F.concat(char, F.regexp_replace(piece, "^\\d{1,7};", ""))).otherwise(F.concat(F.lit("&#"), piece))
 
-    plain = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), resolved), ""))
+    pieces = F.split(text, "&#")
+    plain = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, _REST), resolved), ""))
     for name, char in _NAMED.items():
         plain = F.replace(plain, F.lit(name), F.lit(char))
     return F.when(text.contains("&"), plain).otherwise(text)
 
 
-def inner_text(source: Column) -> Column:
-    """Text between tags, without surrounding space."""
-    return F.regexp_replace(unescaped(F.regexp_replace(source, "(?s)<[^>]*>", "")), "^\\s+|\\s+$", "")
+def without_tags(text: Column) -> Column:
+    return F.when(text.contains("<"), F.regexp_replace(text, "(?s)<[^>]*>", "")).otherwise(text)
 
 
-def table_bodies(html: Column) -> Column:
-    """Source of each table body. Opening tags delimit, so a missing end tag does no harm."""
-    parts = F.split(visible_source(html), "(?i)<tbody\\b[^>]*>")
-    return F.transform(F.slice(parts, 2, F.size(parts)), lambda b: F.get(F.split(b, "(?i)</(?:tbody|table)\\b", 2), F.lit(0)))
+def inner_texts(sources: Column) -> Column:
+    """Text between tags of every source in an array, without surrounding space."""
+    bare = F.transform(sources, without_tags)
+    return F.transform(bare, lambda t: F.btrim(unescaped(t), F.lit(" \t\r\n")))
+
+
+def table_bodies(source: Column) -> Column:
+    """Each table body. Opening tags delimit, so a missing end tag does no harm."""
+    parts = F.slice(F.split(source, "(?i)<tbody\\b[^>]*>"), 2, _REST)
+    return F.transform(parts, lambda b: F.get(F.split(b, "(?i)</(?:tbody|table)\\b", 2), F.lit(0)))
 
 
 def body_rows(body: Column) -> Column:
     """Source of each row of a body."""
-    parts = F.split(body, "(?i)<tr\\b[^>]*>")
-    return F.slice(parts, 2, F.size(parts))
+    return F.slice(F.split(body, "(?i)<tr\\b[^>]*>"), 2, _REST)
+
+
+def _cell_sources(row: Column, tag: str) -> Column:
+    pieces = F.slice(F.split(row, f"(?i)<{tag}\\b[^>]*>"), 2, _REST)
+    return F.transform(pieces, lambda c: F.get(F.split(c, "(?i)<t[dh]\\b|</t[dhr]\\b", 2), F.lit(0)))
 
 
 def row_parts(row: Column) -> Column:
     """struct<header, cells>: text of the first header cell (null without one) and of the data cells."""
-    end = "(?is)(?:<t[dh]\\b|</t[dhr]\\b).*$"
-    pieces = F.split(row, "(?i)<td\\b[^>]*>")
-    heading = F.regexp_replace(F.regexp_extract(row, "(?is)<th\\b[^>]*>(.*)$", 1), end, "")
-    return F.struct(
-        F.when(row.rlike("(?i)<th\\b"), inner_text(heading)).alias("header"),
-        F.transform(F.slice(pieces, 2, F.size(pieces)), lambda c: inner_text(F.regexp_replace(c, end, ""))).alias("cells"),
-    )
+    header = F.get(inner_texts(F.slice(_cell_sources(row, "th"), 1, 1)), F.lit(0))
+    return F.struct(header.alias("header"), inner_texts(_cell_sources(row, "td")).alias("cells"))
 
 
-def first_body(html: Column) -> Column:
+def first_body(source: Column) -> Column:
     """Inside of the first table body; empty where the page has none."""
-    return F.regexp_extract(html, "(?is)<tbody[^>]*>(.*?)</tbody>", 1)
+    return F.coalesce(F.get(table_bodies(source), F.lit(0)), F.lit(""))
 
 
-def links(html: Column) -> Column:
+def links(source: Column) -> Column:
     """array<struct<href,text>> of the anchors with an address, in page order."""
-    anchors = F.regexp_extract_all(visible_source(html), F.lit(_ANCHOR), F.lit(0))
     return F.transform(
-        anchors,
+        F.regexp_extract_all(source, F.lit(_ANCHOR), F.lit(0)),
         lambda a: F.struct(
             F.regexp_extract(a, "(?is)href\\s*=\\s*\"([^\"]*)\"", 1).alias("href"),
-            F.trim(F.regexp_replace(F.regexp_replace(a, "(?is)^<a\\s[^>]*>", ""), "(?is)<[^>]*>", "")).alias("text"),
+            F.trim(without_tags(F.regexp_replace(a, "(?is)^<a\\s[^>]*>", ""))).alias("text"),
         ),
     )
 
 
-def first_heading(html: Column) -> Column:
-    text = F.regexp_extract(visible_source(html), "(?is)<h1[^>]*>(.*?)</h1>", 1)
-    return F.trim(F.regexp_replace(text, "(?is)<[^>]*>", ""))
+def first_heading(source: Column) -> Column:
+    return F.trim(without_tags(F.regexp_extract(source, "(?is)<h1[^>]*>(.*?)</h1>", 1)))
 
 
 def header_teams(title: Column) -> tuple[Column, Column]:

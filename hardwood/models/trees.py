@@ -23,7 +23,7 @@ def tree_pipeline(features: Sequence[str], label: str, prediction: str = "y_pred
 def boosted_pipeline(
     features: Sequence[str],
     label: str,
-    validation: str,
+    validation: str | None = None,
     prediction: str = "y_pred",
     rounds: int = 20,
     tolerance: float = 0.01,
@@ -31,29 +31,20 @@ def boosted_pipeline(
     seed: int = 10,
 ) -> Pipeline:
     """Boosted trees. Rows where ``validation`` is true are not fitted; training ends when
-    their loss stops improving by ``tolerance`` and the best round so far is kept."""
+    their loss stops improving by ``tolerance`` and the best round so far is kept. Without
+    ``validation`` all ``rounds`` are fitted."""
+    stop = {"validationIndicatorCol": validation, "validationTol": tolerance} if validation else {}
     return Pipeline(
         stages=[
             VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"),
             GBTRegressor(
                 featuresCol="features", labelCol=label, predictionCol=prediction, maxIter=rounds, maxDepth=depth,
-                validationIndicatorCol=validation, validationTol=tolerance, seed=seed,
+                seed=seed, **stop,
             ),
         ]
     )
 
 
-def fit_kept(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
-    """Fit with the input kept in executor memory or disk, since every round reads it again."""
-    from pyspark import StorageLevel
-
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return pipeline.fit(kept)
-    finally:
-        kept.unpersist()
-
-
 def loss_curve(model: PipelineModel, train: DataFrame, validation: DataFrame) -> DataFrame:
     """``(round, loss, val_loss)``: squared loss after each round."""
     assembler, boosted = model.stages[0], model.stages[-1]

@@ -35,8 +35,8 @@ def profile(df: DataFrame, keys: Sequence[str]) -> Profile:
 
 
 def within_limit(df: DataFrame, limit: int) -> bool:
-    """True if ``df`` has at most ``limit`` rows; stops counting beyond."""
-    return df.limit(limit + 1).count() <= limit
+    """True if ``df`` has at most ``limit`` rows. A count reads no columns of a stored table."""
+    return df.count() <= limit
 
 
 def attach(
@@ -58,7 +58,7 @@ def attach(
     on = list(on)
     if within_limit(small, limit):
         return big.join(F.broadcast(small), on, how)
-    sizes = big.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = materialize(big.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")), "sizes")
     total = sizes.agg(F.sum("_n")).first()[0] or 0
     hot = sizes.where(F.col("_n") > max(1, total * HOT_SHARE)).select(*on, F.lit(True).alias("_hot"))
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")

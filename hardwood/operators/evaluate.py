@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hardwood.session import materialize
+
 
 def residual(actual: str, predicted: str, sign: str = "actual-predicted") -> Column:
     a, p = F.col(actual), F.col(predicted)
@@ -62,7 +64,8 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
 
 def best_and_worst(per_entity: DataFrame, entity: str, loss: str = "mse", games: str = "n", k: int = 3, at_least: int = 10) -> DataFrame:
     """The ``k`` entities with the lowest and the highest loss among those with enough games."""
-    enough = per_entity.where(F.col(games) >= at_least)
+    # Both ends read the losses, one row per entity, which are computed once.
+    enough = materialize(per_entity.where(F.col(games) >= at_least), "losses")
     best = enough.orderBy(F.col(loss).asc(), entity).limit(k).withColumn("side", F.lit("best"))
     worst = enough.orderBy(F.col(loss).desc(), entity).limit(k).withColumn("side", F.lit("worst"))
     return best.unionByName(worst)

@@ -14,17 +14,26 @@ from pyspark.sql import functions as F
 from hardwood.fixed_values import BOX_STATS, MONTH_LINK_TEXTS
 from hardwood.functions.clean import blank_to_zero, game_id, home_flag, minutes_dotted, repair_team
 from hardwood.functions.markup import (
-    body_rows, first_body, first_heading, header_date, header_teams, links, row_parts, table_bodies,
+    body_rows, first_body, first_heading, header_date, header_teams, links, row_parts, table_bodies, visible_source,
 )
 
 BOX_SCORE_TEXT = "Box Score"
 
 
+def _visible(pages: DataFrame, html: str) -> DataFrame:
+    """The source without comments and scripts, computed once for all that reads it."""
+    return pages.withColumn(html, visible_source(F.col(html)))
+
+
+def _link_lists(pages: DataFrame, html: str, in_first_body: bool) -> DataFrame:
+    source = first_body(F.col(html)) if in_first_body else F.col(html)
+    return _visible(pages, html).withColumn("_links", links(source)).drop(html)
+
+
 def link_rows(pages: DataFrame, html: str = "html", in_first_body: bool = False) -> DataFrame:
     """One row per anchor with an address: ``pos`` (from 0), ``href``, ``text``."""
-    source = first_body(F.col(html)) if in_first_body else F.col(html)
     kept = [c for c in pages.columns if c != html]
-    return pages.select(*kept, F.posexplode(links(source)).alias("pos", "link")).select(
+    return _link_lists(pages, html, in_first_body).select(*kept, F.posexplode("_links").alias("pos", "link")).select(
         *kept, "pos", "link.href", "link.text"
     )
 
@@ -51,8 +60,7 @@ def completeness(
 
     Complete means exactly ``links_per_box`` links for each box link, and at least one.
     """
-    source = first_body(F.col(html)) if in_first_body else F.col(html)
-    counted = pages.withColumn("_links", links(source)).select(
+    counted = _link_lists(pages, html, in_first_body).select(
         *[c for c in pages.columns if c != html],
         F.size("_links").alias("n_links"),
         F.size(F.filter("_links", is_box)).alias("n_box"),
@@ -64,9 +72,8 @@ def completeness(
 def zip_links(pages: DataFrame, is_first=_is_box, is_second=None, html: str = "html", in_first_body: bool = False) -> DataFrame:
     """Pair two kinds of links of a page by ordinal; the longer list's rest is dropped."""
     is_second = is_second or (lambda link: link["text"].contains(","))
-    source = first_body(F.col(html)) if in_first_body else F.col(html)
     kept = [c for c in pages.columns if c != html]
-    lists = pages.withColumn("_links", links(source)).select(
+    lists = _link_lists(pages, html, in_first_body).select(
         *kept, F.filter("_links", is_first).alias("_a"), F.filter("_links", is_second).alias("_b")
     )
     paired = lists.select(*kept, F.posexplode(F.arrays_zip("_a", "_b")).alias("ordinal", "pair"))
@@ -81,35 +88,38 @@ def zip_links(pages: DataFrame, is_first=_is_box, is_second=None, html: str = "h
     )
 
 
-def table_rows(pages: DataFrame, key: str = "url", html: str = "html", tables: Sequence[int] | None = None) -> DataFrame:
+def table_rows(pages: DataFrame, html: str = "html", tables: Sequence[int] | None = None) -> DataFrame:
     """Every table-body row of every page; the page's other columns are repeated.
 
     Adds ``table_idx``, ``row_idx``, ``header``, ``is_first`` (no earlier row of the table
-    has the header), ``cells`` and ``error``. A page without a body or without rows yields
-    one row with ``error``. With ``tables`` only those bodies are taken apart.
+    has the header) and ``cells``. With ``tables`` only those bodies are taken apart.
     """
     kept = [c for c in pages.columns if c != html]
-    bodies = pages.select(*kept, table_bodies(F.col(html)).alias("_bodies"))
+    bodies = _visible(pages, html).select(*kept, table_bodies(F.col(html)).alias("_bodies"))
+    return _opened(bodies, kept, tables)
+
+
+def _opened(bodies: DataFrame, kept: Sequence[str], tables: Sequence[int] | None) -> DataFrame:
+    """Bodies (``_bodies``) to rows."""
     wanted = F.transform("_bodies", lambda body, i: F.struct(i.alias("idx"), body.alias("body")))
     if tables is not None:
         wanted = F.filter(wanted, lambda t: t["idx"].isin(*tables))
-    error = F.when(F.size("_bodies") == 0, "no table body")
-    opened = bodies.select(*kept, error.alias("error"), F.explode_outer(wanted).alias("t"))
-    lines = opened.select(*kept, "error", "t.idx", F.transform(body_rows(F.col("t.body")), row_parts).alias("_rows"))
+    opened = bodies.select(*kept, F.explode(wanted).alias("t"))
+    lines = opened.select(*kept, F.col("t.idx").alias("table_idx"), F.transform(body_rows(F.col("t.body")), row_parts).alias("_rows"))
     headers = lines.withColumn("_headers", F.transform("_rows", lambda r: r["header"]))
-    rows = headers.select(
-        *kept, "error", F.col("idx").alias("table_idx"), "_headers", F.posexplode_outer("_rows").alias("row_idx", "_row")
-    )
-    first = F.array_position("_headers", F.col("_row.header")) == F.col("row_idx") + 1
-    return rows.select(
-        *kept, "table_idx", "row_idx", "_row.header", first.alias("is_first"), "_row.cells",
-        F.when(F.col("row_idx").isNull(), F.coalesce("error", F.lit("no rows"))).alias("error"),
-    )
+    rows = headers.select(*kept, "table_idx", "_headers", F.posexplode("_rows").alias("row_idx", "_row"))
+    # Without the coalesce a filter on it would be inferred below, and parse every page twice.
+    first = F.coalesce(F.array_position("_headers", F.col("_row.header")) == F.col("row_idx") + 1, F.lit(False))
+    return rows.select(*kept, "table_idx", "row_idx", "_row.header", first.alias("is_first"), "_row.cells")
 
 
-def extraction_errors(rows: DataFrame, key: str = "url") -> DataFrame:
-    """Quarantine table ``(URL, Error)``."""
-    return rows.where(F.col("error").isNotNull()).select(F.col(key).alias("URL"), F.col("error").alias("Error"))
+def page_errors(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """Quarantine table ``(URL, Error)``: pages without a table body, or without a row in any."""
+    bodies = _visible(pages, html).select(F.col(url).alias("URL"), table_bodies(F.col(html)).alias("_bodies"))
+    error = F.when(F.size("_bodies") == 0, "no table body").when(
+        ~F.exists("_bodies", lambda b: b.rlike("(?i)<tr\\b")), "no rows"
+    )
+    return bodies.select("URL", error.alias("Error")).where(F.col("Error").isNotNull())
 
 
 def _cell(i: int) -> Column:
@@ -123,14 +133,16 @@ def box_scores(pages: DataFrame, url: str = "url", html: str = "html", tables: t
     player did not play) is filled up with nulls. Of several rows with one name in one
     team the first counts.
     """
-    title = first_heading(F.col(html))
-    away, home = header_teams(title)
-    titled = pages.select(
-        url, html, away.alias("_away"), home.alias("_home"),
-        F.date_format(header_date(title), "MMMM d yyyy").alias("Date"),
+    read = _visible(pages, html).select(
+        url, first_heading(F.col(html)).alias("_title"), table_bodies(F.col(html)).alias("_bodies")
+    )
+    away, home = header_teams(F.col("_title"))
+    titled = read.select(
+        url, "_bodies", away.alias("_away"), home.alias("_home"),
+        F.date_format(header_date(F.col("_title")), "MMMM d yyyy").alias("Date"),
     )
     # Titles travel with the rows, and repeats of a name are found page by page: no shuffle.
-    joined = table_rows(titled, url, html, tables).where((F.col("header") != "Reserves") & F.col("is_first"))
+    joined = _opened(titled, [url, "_away", "_home", "Date"], tables).where((F.col("header") != "Reserves") & F.col("is_first"))
     flag = home_flag(F.when(F.col("table_idx") == tables[0], 0).otherwise(1))
     return joined.select(
         F.col("header").alias("Player"),

@@ -9,15 +9,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hardwood.fixed_values import SEASON_MONTHS
-from hardwood.operators.balance import drop_known, keep_known
+from hardwood.operators.balance import attach, drop_known, keep_known
 
 
-def merge_sources(left: DataFrame, right: DataFrame, on: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """Inner equi-join; the shuffle join splits skewed partitions at run time.
+def merge_sources(
+    left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str], order: Sequence[str] = ()
+) -> DataFrame:
+    """Inner equi-join of two sources, balanced for a key that is frequent on the left.
 
     ``order`` should end with unique columns, so that a range sort can cut any group.
     """
-    merged = left.join(right, list(on), "inner")
+    merged = attach(left, right, on, spread_by, "inner")
     return merged.orderBy(*order) if order else merged
 
 

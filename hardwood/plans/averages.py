@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hardwood.models.linear import linear_pipeline
-from hardwood.models.trees import fit_kept
 from hardwood.operators.evaluate import metrics
 from hardwood.operators.impute import complete_rows, nonzero_target, originals_first
 from hardwood.operators.reconcile import merge_sources
@@ -37,7 +36,7 @@ def box_side(box: DataFrame) -> DataFrame:
 
 def merged_averages(feed: DataFrame, box: DataFrame, columns: Sequence[str], games: int = 2, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Inner merge, then the mean of the previous games for every column, derived last."""
-    merged = materialize(merge_sources(feed_side(feed), box_side(box), MERGE_KEYS), "merged")
+    merged = materialize(merge_sources(feed_side(feed), box_side(box), MERGE_KEYS, ["GameID", "Name"]), "merged")
     series = GameSeries.of(merged, ["Name"], ["Date", "GameID"], block_rows)
     averaged = previous_means(series, columns, games).result()
     return originals_first(averaged, [f"{games}_{c}" for c in columns])
@@ -52,6 +51,7 @@ def linear_on_averages(
     split = random_split(ready, key)
     if scale:
         split = minmax(split, features, [key])
-    model = fit_kept(linear_pipeline(features, target), split.where(F.col("split") == "train"))
+    split = materialize(split, "fit")
+    model = linear_pipeline(features, target).fit(split.where(F.col("split") == "train"))
     predicted = model.transform(split.where(F.col("split") == "test")).drop("features")
     return model, predicted, metrics(predicted, target, "y_pred")

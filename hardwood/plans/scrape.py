@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hardwood.fixed_values import BOX_STATS, TEAM_ALIASES
 from hardwood.functions.clean import any_date, count_or_null, minutes_dotted
-from hardwood.operators.pages import box_scores, extraction_errors, repaired_teams, table_rows
+from hardwood.operators.pages import box_scores, page_errors, repaired_teams
 
 
 def clean_box(raw: DataFrame) -> DataFrame:
@@ -26,4 +26,4 @@ def clean_box(raw: DataFrame) -> DataFrame:
 
 def pages_to_box(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(cleaned box scores, quarantine table)."""
-    return clean_box(box_scores(pages)), extraction_errors(table_rows(pages))
+    return clean_box(box_scores(pages)), page_errors(pages)

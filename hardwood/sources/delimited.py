@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from hardwood.fixed_values import BOX_COLUMNS, FEED_COLUMNS, FEED_HEADER, IGNORED_ENTRIES
 from hardwood.functions.clean import compact_date, flip_name
+from hardwood.session import materialize
 
 CORRUPT = "_corrupt"
 
@@ -99,7 +100,7 @@ def read_checked_feed(
     Files are read once per distinct header and put together by column name, so their
     column order may differ. Only file names and headers reach the driver.
     """
-    checked = checked_files(spark, folder, required, sep).cache()
+    checked = materialize(checked_files(spark, folder, required, sep), "headers")
     quarantine = checked.where(F.size("missing") > 0).select(
         F.col("path").alias("URL"), F.concat(F.lit("missing columns: "), F.array_join("missing", ", ")).alias("Error")
     )

@@ -114,9 +114,9 @@ def test_report_line(spark):
 def test_markup(spark):
     page = """<!-- <a href="/no">no</a> --><script>var a='<a href="/no2">x</a>'</script>
       <tbody><a class=k href="/one">Tue, Oct 22, 2019</a><a href="/two"><b>Box</b> Score</a><a name=x>none</a></tbody><a href="/after">A</a>"""
-    got = apply(spark, [page], markup.links)[0]
+    got = apply(spark, [page], lambda x: markup.links(markup.visible_source(x)))[0]
     assert [(g["href"], g["text"]) for g in got] == [("/one", "Tue, Oct 22, 2019"), ("/two", "Box Score"), ("/after", "A")]
-    inside = apply(spark, [page], lambda x: markup.links(markup.first_body(x)))[0]
+    inside = apply(spark, [page], lambda x: markup.links(markup.first_body(markup.visible_source(x))))[0]
     assert [g["href"] for g in inside] == ["/one", "/two"]
 
 
@@ -132,3 +132,8 @@ def test_headers(spark, title, away, home):
     got = spark.range(1).select(*markup.header_teams(F.lit(title)), markup.header_date(F.lit(title))).first()
     assert tuple(got)[:2] == (away, home)
     assert isinstance(got[2], dt.date)
+
+
+def test_character_references(spark):
+    texts = ["O&#39;Neil", "A &amp; B &lt;i&gt;", "Don&#269;i&#263; &#x;", "&#128512;", "plain", None]
+    assert apply(spark, texts, markup.unescaped) == ["O'Neil", "A & B <i>", "Dončić &#x;", "\U0001f600", "plain", None]

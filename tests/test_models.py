@@ -27,7 +27,7 @@ def lstsq(data):
 
 def test_linear_and_coefficients(spark, points):
     data, df = points
-    model = trees.fit_kept(linear.linear_pipeline(["x1", "x2"], "y"), df)
+    model = linear.linear_pipeline(["x1", "x2"], "y").fit(df)
     want = lstsq(data)
     got = {r["feature"]: r["weight"] for r in linear.coefficients(model, ["x1", "x2"]).collect()}
     assert got == pytest.approx({"(intercept)": want[0], "x1": want[1], "x2": want[2]}, abs=1e-8)
@@ -52,7 +52,7 @@ def test_constant_feature_has_a_solution(spark):
 
 def test_saved_model_scores_alike(spark, points, tmp_path):
     _, df = points
-    model = trees.fit_kept(trees.tree_pipeline(["x1", "x2"], "y", depth=5), df)
+    model = trees.tree_pipeline(["x1", "x2"], "y", depth=5).fit(df)
     save_model(model, str(tmp_path / "m"))
     direct = rows(model.transform(df).select("id", "y_pred"), "id")
     assert rows(trees.score_saved(str(tmp_path / "m"), df).select("id", "y_pred"), "id") == direct
@@ -62,7 +62,7 @@ def test_saved_model_scores_alike(spark, points, tmp_path):
 def test_boosting_stops_early_and_reports_losses(spark, points):
     _, df = points
     marked = df.withColumn("is_val", F.col("id") % 4 == 0)
-    model = trees.fit_kept(trees.boosted_pipeline(["x1", "x2"], "y", "is_val", rounds=30), marked)
+    model = trees.boosted_pipeline(["x1", "x2"], "y", "is_val", rounds=30).fit(marked)
     curve = rows(trees.loss_curve(model, marked.where("NOT is_val"), marked.where("is_val")), "round")
     assert 1 <= len(curve) <= 30
     ordered = sorted(curve, key=lambda r: r["round"])

@@ -100,7 +100,7 @@ def test_reconcile(spark):
     assert sorted(r["value"] for r in R.distinct_of_columns(a, ["season", "game"]).collect()) == ["1", "19", "2", "20", "3"]
     good, bad = R.matched_or_quarantine(a, F.when(F.col("game") > 1, F.col("game") > 2))
     assert (good.count(), bad.count()) == (1, 2)
-    merged = R.merge_sources(a, b, ["season", "game"], ["season", "game"])
+    merged = R.merge_sources(a, b, ["season", "game"], ["game"], ["season", "game"])
     assert merged.count() == 1
 
 

@@ -16,9 +16,20 @@ def compact_date(text: Column) -> Column:
     return F.try_to_timestamp(text.cast("string"), F.lit("yyyyMMdd")).cast("date")
 
 
-def any_date(text: Column, formats: Iterable[str] = ("yyyy-MM-dd", "MMMM d yyyy", "MMMM d, yyyy", "yyyyMMdd")) -> Column:
-    """First format that parses wins."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats]).cast("date")
+# --- fixed values: free date formats, by the shape of the text
+DATE_SHAPES = {
+    "^\\d{4}-\\d{1,2}-\\d{1,2}$": "yyyy-M-d",
+    "^[A-Za-z]+ \\d{1,2} \\d{4}$": "MMMM d yyyy",
+    "^[A-Za-z]+ \\d{1,2}, \\d{4}$": "MMMM d, yyyy",
+    "^\\d{8}$": "yyyyMMdd",
+}
+
+
+def any_date(text: Column, shapes: dict[str, str] = DATE_SHAPES) -> Column:
+    """Date in one of several formats. The shape picks the format, because each failed
+    parse of a row costs more than all the patterns."""
+    dates = [F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(form))) for shape, form in shapes.items()]
+    return F.coalesce(*dates).cast("date")
 
 
 def anchor_date_key(text: Column) -> Column:

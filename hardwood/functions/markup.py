@@ -82,13 +82,13 @@ def links(source: Column) -> Column:
         F.regexp_extract_all(source, F.lit(_ANCHOR), F.lit(0)),
         lambda a: F.struct(
             F.regexp_extract(a, "(?is)href\\s*=\\s*\"([^\"]*)\"", 1).alias("href"),
-            F.trim(without_tags(F.regexp_replace(a, "(?is)^<a\\s[^>]*>", ""))).alias("text"),
+            F.trim(F.regexp_replace(a, "(?s)<[^>]*>", "")).alias("text"),
         ),
     )
 
 
 def first_heading(source: Column) -> Column:
-    return F.trim(without_tags(F.regexp_extract(source, "(?is)<h1[^>]*>(.*?)</h1>", 1)))
+    return F.trim(F.regexp_replace(F.regexp_extract(source, "(?is)<h1[^>]*>(.*?)</h1>", 1), "(?s)<[^>]*>", ""))
 
 
 def header_teams(title: Column) -> tuple[Column, Column]:

@@ -24,7 +24,7 @@ def book_score(book: str = "FDP") -> Column:
 def stat_token(stats: Column, suffix: str) -> Column:
     """Text before ``suffix`` in the last token that ends with it, else null."""
     found = F.regexp_extract(stats, f"(?:^.*\\s|^)([0-9-]+){suffix}(?:\\s|$)", 1)
-    return F.when(found != "", found)
+    return F.nullif(found, F.lit(""))
 
 
 def stat_columns(stats: Column) -> dict[str, Column]:

@@ -30,12 +30,20 @@ def _link_lists(pages: DataFrame, html: str, in_first_body: bool) -> DataFrame:
     return _visible(pages, html).withColumn("_links", links(source)).drop(html)
 
 
+def _each(df: DataFrame, kept: Sequence[str], column, position: str, item: str) -> DataFrame:
+    """One row per array element.
+
+    A plain explode would add a filter on the array below, where the optimizer puts the
+    parsing in a second time; the outer one and a filter on its result parse once.
+    """
+    return df.select(*kept, F.posexplode_outer(column).alias(position, item)).where(F.col(position).isNotNull())
+
+
 def link_rows(pages: DataFrame, html: str = "html", in_first_body: bool = False) -> DataFrame:
     """One row per anchor with an address: ``pos`` (from 0), ``href``, ``text``."""
     kept = [c for c in pages.columns if c != html]
-    return _link_lists(pages, html, in_first_body).select(*kept, F.posexplode("_links").alias("pos", "link")).select(
-        *kept, "pos", "link.href", "link.text"
-    )
+    lists = _link_lists(pages, html, in_first_body)
+    return _each(lists, kept, "_links", "pos", "link").select(*kept, "pos", "link.href", "link.text")
 
 
 def month_links(link_table: DataFrame, base_url: str, texts: Sequence[str] = MONTH_LINK_TEXTS) -> DataFrame:
@@ -76,7 +84,7 @@ def zip_links(pages: DataFrame, is_first=_is_box, is_second=None, html: str = "h
     lists = _link_lists(pages, html, in_first_body).select(
         *kept, F.filter("_links", is_first).alias("_a"), F.filter("_links", is_second).alias("_b")
     )
-    paired = lists.select(*kept, F.posexplode(F.arrays_zip("_a", "_b")).alias("ordinal", "pair"))
+    paired = _each(lists, kept, F.arrays_zip("_a", "_b"), "ordinal", "pair")
     both = paired.where(F.col("pair._a").isNotNull() & F.col("pair._b").isNotNull())
     return both.select(
         *kept,
@@ -101,14 +109,13 @@ def table_rows(pages: DataFrame, html: str = "html", tables: Sequence[int] | Non
 
 def _opened(bodies: DataFrame, kept: Sequence[str], tables: Sequence[int] | None) -> DataFrame:
     """Bodies (``_bodies``) to rows."""
-    wanted = F.transform("_bodies", lambda body, i: F.struct(i.alias("idx"), body.alias("body")))
+    opened = _each(bodies, kept, "_bodies", "table_idx", "_body")
     if tables is not None:
-        wanted = F.filter(wanted, lambda t: t["idx"].isin(*tables))
-    opened = bodies.select(*kept, F.explode(wanted).alias("t"))
-    lines = opened.select(*kept, F.col("t.idx").alias("table_idx"), F.transform(body_rows(F.col("t.body")), row_parts).alias("_rows"))
+        opened = opened.where(F.col("table_idx").isin(*tables))
+    lines = opened.select(*kept, "table_idx", F.transform(body_rows(F.col("_body")), row_parts).alias("_rows"))
     headers = lines.withColumn("_headers", F.transform("_rows", lambda r: r["header"]))
-    rows = headers.select(*kept, "table_idx", "_headers", F.posexplode("_rows").alias("row_idx", "_row"))
-    # Without the coalesce a filter on it would be inferred below, and parse every page twice.
+    rows = _each(headers, [*kept, "table_idx", "_headers"], "_rows", "row_idx", "_row")
+    # The coalesce keeps a filter on this column from being inferred below, for the same reason.
     first = F.coalesce(F.array_position("_headers", F.col("_row.header")) == F.col("row_idx") + 1, F.lit(False))
     return rows.select(*kept, "table_idx", "row_idx", "_row.header", first.alias("is_first"), "_row.cells")
 
@@ -119,7 +126,7 @@ def page_errors(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
     error = F.when(F.size("_bodies") == 0, "no table body").when(
         ~F.exists("_bodies", lambda b: b.rlike("(?i)<tr\\b")), "no rows"
     )
-    return bodies.select("URL", error.alias("Error")).where(F.col("Error").isNotNull())
+    return _each(bodies, ["URL"], F.array_compact(F.array(error)), "_i", "Error").drop("_i")
 
 
 def _cell(i: int) -> Column:

@@ -22,14 +22,16 @@ def clean_feed_folder(spark: SparkSession, folder: str, target: str) -> DataFram
     return spark.read.schema(cleaned.schema).parquet(f"{target}/combined")
 
 
-def shifted_sets(feed: DataFrame, steps: int = 20, column: str = "FDP", block_rows: int = BLOCK_ROWS) -> DataFrame:
+def shifted_sets(
+    feed: DataFrame, steps: int = 20, column: str = "FDP", digits: int | None = 2, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     """Impute per (season, player), lag up to ``steps`` games, and split 72 / 8 / 20.
 
     One row per game; ``depth`` tells which sets it belongs to. A game is in the same
     split in all sets, so a longer history never leaks a test game of a shorter one.
     """
     series = GameSeries.of(feed, ["season", "Player"], ["Date", "GameID"], block_rows)
-    series = fill_series_mean(series, [column, "FDSal"])
+    series = fill_series_mean(series, [column, "FDSal"], digits)
     key = F.concat_ws("|", "season", "Player", F.col("Date").cast("string"), "GameID")
     return nested_split(lag_depth(series, [column], steps).withColumn("row_key", key), "row_key")
 

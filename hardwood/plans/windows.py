@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hardwood.fixed_values import NOT_FEATURES
 from hardwood.functions.scores import book_score
+from hardwood.operators.balance import profile
 from hardwood.operators.categories import apply_index, first_seen_index, global_index
 from hardwood.operators.impute import feature_columns, flag_and_zero_fill, only_entity
 from hardwood.operators.scaling import standardize_series
@@ -36,7 +37,9 @@ def player_windows(
         filled = coded.drop(column).withColumnRenamed("_idx", column)
     ignore = [*NOT_FEATURES, *[c for c in order if c != "Date"], "season"]
     features = [c for c in feature_columns(filled, ignore, numeric_only=True) if c != "Date"]
-    series = chronological_split(GameSeries.of(filled, ["Player"], order, block_rows), train_share)
+    # The lengths are counted before the joins, which do not change them.
+    largest = profile(scored, ["Player"]).largest
+    series = chronological_split(GameSeries.of(filled, ["Player"], order, block_rows, largest), train_share)
     scaled = standardize_series(series, [c for c in features if c not in UNSCALED], F.col("split") == "train")
     return sliding_windows(scaled, features, "FDP", "Date", timestep, ["split"])
 
@@ -63,7 +66,8 @@ def season_windows(
     stats = [c for c in feature_columns(scored, ("Team", "Against", "Home"), numeric_only=True)]
     flagged = flag_and_zero_fill(scored, stats)
     kept = flagged.select("Player", "season", *[c for c in order], *[c for c in columns if c not in order], "book")
-    series = chronological_split(GameSeries.of(kept, ["Player", "season"], order, block_rows), train_share)
+    largest = profile(box, ["Player", "season"]).largest
+    series = chronological_split(GameSeries.of(kept, ["Player", "season"], order, block_rows, largest), train_share)
     to_scale = [c for c in columns if c not in (*UNSCALED, "injured")]
     series = standardize_series(series, to_scale, F.col("split") == "train", enabled=scale)
     return sliding_windows(series, list(columns), "book", "Date", timestep, ["split"])

@@ -284,7 +284,7 @@ def team_code_lookup(tables):
     """,
 )
 def dim_lookups(tables):
-    nations = tables.nation.join(F.broadcast(tables.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    nations = lookup(tables.nation, tables.region, "n_regionkey", "r_regionkey", "r_name", "r_name", ["n_nationkey"])
     named = lookup(tables.customer, nations, "c_nationkey", "n_nationkey", "n_name", "n_name", ["c_custkey"])
     placed = lookup(named, nations, "c_nationkey", "n_nationkey", "r_name", "r_name", ["c_custkey"])
     return placed.select("c_custkey", "n_name", "r_name")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hardwood.catalogue.registry import query
 from hardwood.operators import impute, splits
-from hardwood.operators.categories import apply_index, first_seen_index, global_index
+from hardwood.operators.categories import apply_index, first_seen_index, global_index, lookup
 from hardwood.operators.scaling import single_step, standardize_series
 from hardwood.operators.series import (
     GameSeries, change_since_last, lag_sets, lead_features, previous_means, sliding_windows,
@@ -223,7 +223,7 @@ def category_index_first_seen(tables):
     """,
 )
 def category_index_global(tables):
-    named = tables.supplier.join(F.broadcast(tables.nation), F.col("s_nationkey") == F.col("n_nationkey"))
+    named = lookup(tables.supplier, tables.nation, "s_nationkey", "n_nationkey", "n_name", "n_name", ["s_suppkey"])
     index = global_index(tables.nation.where("n_regionkey <> 0"), "n_name")
     coded = apply_index(named, index, [], "n_name", "team_idx", ["s_suppkey"], unmatched=0)
     return coded.select("s_suppkey", "n_name", "team_idx")

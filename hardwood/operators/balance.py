@@ -8,10 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hardwood.session import materialize
+from hardwood.session import limit, materialize
 
-# A small side is broadcast only up to this many rows.
-BROADCAST_ROWS = 1_000_000
 # A key is hot when it holds more than this share of all rows, so at most
 # 1 / HOT_SHARE keys can be hot.
 HOT_SHARE = 0.001
@@ -34,9 +32,19 @@ def profile(df: DataFrame, keys: Sequence[str]) -> Profile:
     return Profile(row["rows"] or 0, row["groups"], row["largest"] or 0)
 
 
-def within_limit(df: DataFrame, limit: int) -> bool:
-    """True if ``df`` has at most ``limit`` rows. A count reads no columns of a stored table."""
-    return df.count() <= limit
+def within_limit(df: DataFrame, rows: int | None = None) -> bool:
+    """True if ``df`` is small enough to broadcast, by rows and by bytes.
+
+    One aggregate; bytes are eight per value and the length of everything that is text
+    or nested.
+    """
+    spark = df.sparkSession
+    wide = [n for n, kind in df.dtypes if kind in ("string", "binary") or "<" in kind]
+    length = sum((F.coalesce(F.octet_length(F.col(f"`{n}`").cast("string")), F.lit(0)) for n in wide), F.lit(8 * len(df.columns)))
+    found = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(length).alias("bytes")).first()
+    return found["rows"] <= limit(spark, "hardwood.broadcastRows", rows) and (found["bytes"] or 0) <= limit(
+        spark, "hardwood.broadcastBytes"
+    )
 
 
 def attach(
@@ -45,18 +53,19 @@ def attach(
     on: Sequence[str],
     spread_by: Sequence[str],
     how: str = "left",
-    limit: int = BROADCAST_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Equi-join ``big`` to ``small`` (one row per key) without a hot partition.
 
-    Up to ``limit`` rows, ``small`` is broadcast and ``big`` does not move. Beyond, both
+    Within the broadcast limits (``rows`` overrides one), ``small`` is broadcast and ``big``
+    does not move. Beyond, both
     sides are shuffled; the rows of hot keys are spread over ``SALTS`` slots by the
     hash of ``spread_by`` (columns that tell the rows of one key apart) and only the
     hot keys' rows of ``small`` are repeated for each slot. Materialize a ``small`` that
     is costly to compute: it is read for the check and again for the join.
     """
     on = list(on)
-    if within_limit(small, limit):
+    if within_limit(small, rows):
         return big.join(F.broadcast(small), on, how)
     sizes = materialize(big.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")), "sizes")
     total = sizes.agg(F.sum("_n")).first()[0] or 0
@@ -68,12 +77,12 @@ def attach(
     return left.drop("_hot").join(right, [*on, "_salt"], how).drop("_salt")
 
 
-def keep_known(big: DataFrame, keys: DataFrame, on: Sequence[str], spread_by: Sequence[str], limit: int = BROADCAST_ROWS) -> DataFrame:
+def keep_known(big: DataFrame, keys: DataFrame, on: Sequence[str], spread_by: Sequence[str], rows: int | None = None) -> DataFrame:
     """Semi-join with the same care as :func:`attach`."""
-    return attach(big, materialize(keys.select(*on).distinct(), "keys"), on, spread_by, "inner", limit)
+    return attach(big, materialize(keys.select(*on).distinct(), "keys"), on, spread_by, "inner", rows)
 
 
-def drop_known(big: DataFrame, keys: DataFrame, on: Sequence[str], spread_by: Sequence[str], limit: int = BROADCAST_ROWS) -> DataFrame:
+def drop_known(big: DataFrame, keys: DataFrame, on: Sequence[str], spread_by: Sequence[str], rows: int | None = None) -> DataFrame:
     """Anti-join with the same care as :func:`attach`."""
     marked = materialize(keys.select(*on).distinct().withColumn("_known", F.lit(True)), "keys")
-    return attach(big, marked, on, spread_by, "left", limit).where(F.col("_known").isNull()).drop("_known")
+    return attach(big, marked, on, spread_by, "left", rows).where(F.col("_known").isNull()).drop("_known")

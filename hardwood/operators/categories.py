@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hardwood.operators.balance import BROADCAST_ROWS, attach, within_limit
+from hardwood.operators.balance import attach, within_limit
 from hardwood.operators.series import numbered
-from hardwood.session import materialize
+from hardwood.session import limit, materialize
 
 
 def first_seen_index(
@@ -29,16 +29,17 @@ def first_seen_index(
     return materialize(first.select(*entity, "category", rank.cast("int").alias("idx")), "categories")
 
 
-def global_index(df: DataFrame, column: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+def global_index(df: DataFrame, column: str, rows: int | None = None) -> DataFrame:
     """``(category, idx)``: 1-based by name over the distinct categories.
 
-    Up to ``limit`` categories one sorted task numbers them; beyond, the range-sorted
+    Up to ``rows`` categories (the broadcast limit) one sorted task numbers them; beyond, the range-sorted
     numbering of :mod:`hardwood.operators.series` does.
     """
     distinct = df.select(F.col(column).cast("string").alias("category")).where(F.col("category").isNotNull()).distinct()
-    if within_limit(distinct, limit):
+    distinct = materialize(distinct, "distinct")
+    if within_limit(distinct, rows):
         return distinct.withColumn("idx", F.row_number().over(Window.orderBy("category")))
-    return numbered(distinct, ["category"]).select("category", (F.col("_g") + 1).alias("idx"))
+    return numbered(distinct, ["category"], limit(df.sparkSession, "hardwood.blockRows")).select("category", (F.col("_g") + 1).alias("idx"))
 
 
 def apply_index(

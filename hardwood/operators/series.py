@@ -3,11 +3,12 @@
 A ``GameSeries`` is a table with an entity key and a total order inside each entity.
 Two layouts give the same results:
 
-* *whole*: no entity has more than ``block_rows`` rows (checked with one counting job).
+* *whole*: no entity has more than ``spark.hardwood.blockRows`` rows (checked with one
+  counting job over the entity column).
   All features use windows over the entity, so they share one exchange and one sort.
 * *blocked*: some entity is larger. The table is range-partitioned and sorted by
   (entity, order), written once, and numbered. Cutting the numbering every
-  ``block_rows`` rows gives blocks of equal size, independent of how rows spread over
+  ``blockRows`` rows gives blocks of equal size, independent of how rows spread over
   entities or over time. Frames of bounded length look at most a few rows back or
   ahead, so each block also receives copies of its neighbours' edge rows; features
   that depend on the whole entity come from per-(block, entity) summaries.
@@ -23,9 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from hardwood.operators.balance import profile
-from hardwood.session import materialize
-
-BLOCK_ROWS = 1_000_000
+from hardwood.session import limit, materialize
 
 Feature = Callable[[WindowSpec], Column]
 
@@ -43,10 +42,11 @@ class GameSeries:
         df: DataFrame,
         entity: Sequence[str],
         order: Sequence[str],
-        block_rows: int = BLOCK_ROWS,
+        block_rows: int | None = None,
         largest: int | None = None,
     ) -> GameSeries:
         """``order`` must be unique within an entity. ``largest`` skips the size check."""
+        block_rows = limit(df.sparkSession, "hardwood.blockRows", block_rows)
         if largest is None:
             largest = profile(df, entity).largest
         blocked = largest > block_rows
@@ -144,7 +144,7 @@ def _join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     return joined.drop(*[f"_r_{i}" for i in range(len(on))])
 
 
-def numbered(df: DataFrame, keys: Sequence[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+def numbered(df: DataFrame, keys: Sequence[str], block_rows: int) -> DataFrame:
     """Add ``_g``, the row's place in the order of ``keys``, and ``_block``.
 
     The sorted table is written before it is numbered: partition-dependent ids must

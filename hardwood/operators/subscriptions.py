@@ -11,7 +11,7 @@ from hardwood.functions.mail import (
     command_site, command_url, command_verb, report_line, sender_address, sender_mailbox,
 )
 from hardwood.operators.balance import attach, keep_known
-from hardwood.operators.series import BLOCK_ROWS, GameSeries, lagged
+from hardwood.operators.series import GameSeries, lagged
 from hardwood.session import materialize
 
 CHANGES = ("add", "delete")
@@ -62,7 +62,7 @@ def shown_lists(commands: DataFrame) -> DataFrame:
     return attach(subscription_state(commands), materialize(asked, "shows"), ["user"], ["site"], "inner")
 
 
-def notices(commands: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def notices(commands: DataFrame, block_rows: int | None = None) -> DataFrame:
     """Replies to send: the list for a show, an error for a command that changes nothing.
 
     Commands are replayed in time order. ``add`` of a listed site and ``delete`` of an
@@ -84,14 +84,14 @@ def notices(commands: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     return errors.unionByName(shows)
 
 
-def report_lines(changes: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def report_lines(changes: DataFrame, block_rows: int | None = None) -> DataFrame:
     """Word report of ``changes(user, title, word, is_new, cnt)``: numbered lines per user."""
     lines = changes.withColumn("line", report_line(F.col("word"), F.col("is_new"), F.col("cnt")))
     series = GameSeries.of(materialize(lines, "lines"), ["user"], ["title", "word", "is_new"], block_rows)
     return series.position("line_no").result()
 
 
-def report_parts(changes: DataFrame, lines_per_part: int = 500, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def report_parts(changes: DataFrame, lines_per_part: int = 500, block_rows: int | None = None) -> DataFrame:
     """The report as mail texts of at most ``lines_per_part`` lines: (user, part, n_lines, body).
 
     A user's whole report has no bound; its parts do, so no task holds more than one part.
@@ -104,7 +104,7 @@ def report_parts(changes: DataFrame, lines_per_part: int = 500, block_rows: int
     return folded.select("user", "part", F.size("ls").alias("n_lines"), F.array_join(text, "\n").alias("body"))
 
 
-def changed_sites(changes: DataFrame, user: Sequence[str] = ("user",), title: str = "title", block_rows: int = BLOCK_ROWS) -> DataFrame:
+def changed_sites(changes: DataFrame, user: Sequence[str] = ("user",), title: str = "title", block_rows: int | None = None) -> DataFrame:
     """Numbered list of the sites with changes, per user: ``1.title``."""
     sites = materialize(changes.select(*user, title).distinct(), "sites")
     listed = GameSeries.of(sites, list(user), [title], block_rows).position("number").result()

@@ -13,7 +13,7 @@ from hardwood.operators.evaluate import metrics
 from hardwood.operators.impute import complete_rows, nonzero_target, originals_first
 from hardwood.operators.reconcile import merge_sources
 from hardwood.operators.scaling import minmax
-from hardwood.operators.series import BLOCK_ROWS, GameSeries, previous_means
+from hardwood.operators.series import GameSeries, previous_means
 from hardwood.operators.splits import random_split
 from hardwood.session import materialize
 
@@ -34,7 +34,7 @@ def box_side(box: DataFrame) -> DataFrame:
     return box.withColumns({c: F.lower(c) for c in ("Team", "OPP", "GameID")})
 
 
-def merged_averages(feed: DataFrame, box: DataFrame, columns: Sequence[str], games: int = 2, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def merged_averages(feed: DataFrame, box: DataFrame, columns: Sequence[str], games: int = 2, block_rows: int | None = None) -> DataFrame:
     """Inner merge, then the mean of the previous games for every column, derived last."""
     merged = materialize(merge_sources(feed_side(feed), box_side(box), MERGE_KEYS, ["GameID", "Name"]), "merged")
     series = GameSeries.of(merged, ["Name"], ["Date", "GameID"], block_rows)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hardwood.functions.clean import minutes_dotted
 from hardwood.operators.evaluate import metrics
 from hardwood.operators.impute import complete_rows, fill_series_mean
-from hardwood.operators.series import BLOCK_ROWS, GameSeries, lagged, mean_of_previous
+from hardwood.operators.series import GameSeries, lagged, mean_of_previous
 from hardwood.operators.splits import chronological_split
 
 
@@ -23,7 +23,7 @@ def naive_predictions(
     lags: int = 3,
     train_share: float = 0.85,
     digits: int | None = 2,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Impute, add lags and the mean of the previous ``n`` games as prediction, and split.
 

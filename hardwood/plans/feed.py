@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hardwood.operators.impute import fill_series_mean
-from hardwood.operators.series import BLOCK_ROWS, GameSeries, lag_depth, lag_set
+from hardwood.operators.series import GameSeries, lag_depth, lag_set
 from hardwood.operators.splits import nested_split
 from hardwood.sources.delimited import clean_feed, read_checked_feed
 from hardwood.sources.sinks import write_combined, write_errors, write_prepared, write_seasons
@@ -23,7 +23,7 @@ def clean_feed_folder(spark: SparkSession, folder: str, target: str) -> DataFram
 
 
 def shifted_sets(
-    feed: DataFrame, steps: int = 20, column: str = "FDP", digits: int | None = 2, block_rows: int = BLOCK_ROWS
+    feed: DataFrame, steps: int = 20, column: str = "FDP", digits: int | None = 2, block_rows: int | None = None
 ) -> DataFrame:
     """Impute per (season, player), lag up to ``steps`` games, and split 72 / 8 / 20.
 

@@ -13,7 +13,7 @@ from hardwood.operators.balance import profile
 from hardwood.operators.categories import apply_index, first_seen_index, global_index
 from hardwood.operators.impute import feature_columns, flag_and_zero_fill, only_entity
 from hardwood.operators.scaling import standardize_series
-from hardwood.operators.series import BLOCK_ROWS, GameSeries, sliding_windows
+from hardwood.operators.series import GameSeries, sliding_windows
 from hardwood.operators.splits import chronological_split
 
 UNSCALED = ("Team", "Against", "Home", "Date")
@@ -25,7 +25,7 @@ def player_windows(
     train_share: float = 0.92,
     player: str = "all",
     order: Sequence[str] = ("Date", "GameLink"),
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Score, zero-fill, index teams per player, split by time, scale on train, window."""
     scored = only_entity(box, "Player", player).withColumn("FDP", book_score("FDP"))
@@ -52,7 +52,7 @@ def season_windows(
     book: str = "FDP",
     order: Sequence[str] = ("Date", "GameLink"),
     scale: bool = False,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Pooled windows: split and windowed inside each (player, season).
 

@@ -34,6 +34,18 @@ def local_session(cores: int | str = 8, app: str = "hardwood", **extra: str) ->
     return spark
 
 
+# Limits of what one task or one broadcast may hold; ``spark.<name>`` overrides them.
+LIMITS = {
+    "hardwood.blockRows": 1_000_000,
+    "hardwood.broadcastRows": 1_000_000,
+    "hardwood.broadcastBytes": 256 * 1024 * 1024,
+}
+
+
+def limit(spark: SparkSession, name: str, given: int | None = None) -> int:
+    return given if given is not None else int(spark.conf.get(f"spark.{name}", str(LIMITS[name])))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 

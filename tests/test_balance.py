@@ -25,7 +25,7 @@ def test_profile(spark, big):
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_salted_join_equals_broadcast(spark, big, how):
     small = spark.range(900).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    salted = attach(big, small, ["k"], ["row"], how, limit=10)
+    salted = attach(big, small, ["k"], ["row"], how, rows=10)
     assert "_salt" in salted._jdf.queryExecution().analyzed().toString()
     plain = big.join(small, "k", how)
     assert sorted(map(tuple, salted.select("row", "k", "v").collect())) == sorted(map(tuple, plain.select("row", "k", "v").collect()))
@@ -39,6 +39,17 @@ def test_hot_key_is_spread(spark, big):
 
 def test_semi_and_anti(spark, big):
     keys = spark.range(0, 500).select(F.col("id").alias("k")).union(spark.range(5).select(F.col("id").alias("k")))
-    for limit in (1_000_000, 10):
+    for limit in (None, 10):
         assert keep_known(big, keys, ["k"], ["row"], limit).count() == big.where("k < 500").count()
         assert drop_known(big, keys, ["k"], ["row"], limit).count() == big.where("k >= 500").count()
+
+
+def test_wide_rows_are_not_broadcast(spark):
+    df = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("text"))
+    assert balance.within_limit(df)
+    spark.conf.set("spark.hardwood.broadcastBytes", "50000")
+    try:
+        assert not balance.within_limit(df)
+        assert balance.within_limit(df.select("id"))
+    finally:
+        spark.conf.unset("spark.hardwood.broadcastBytes")

@@ -22,6 +22,33 @@ def con():
     return connection
 
 
+@pytest.fixture
+def tight(spark):
+    """Limits so low that every series is cut into blocks and no join is broadcast by size."""
+    limits = {"spark.hardwood.blockRows": "37", "spark.hardwood.broadcastRows": "0"}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    yield
+    for key in limits:
+        spark.conf.unset(key)
+
+
+ORDERED_OR_JOINED = [
+    "flagship_player_difficulty", "repair_team_alias", "team_code_lookup", "dim_lookups", "coverage_missing_months",
+    "new_seasons_only", "merge_sources", "shared_seasons", "impute_group_mean", "lag_features", "lead_features",
+    "rolling_mean_prev_n", "sliding_windows", "sliding_windows_season", "category_index_first_seen",
+    "category_index_global", "salary_change", "chronological_split", "standardize_train_fit", "standardize_group_year",
+    "minmax_per_split", "linear_regression", "known_sender_only", "subscription_shows", "subscription_notices",
+    "word_change_report", "changed_sites", "feed_to_lag_sets", "merge_to_averages", "player_window_pipeline",
+    "season_window_pipeline",
+]
+
+
+@pytest.mark.parametrize("name", ORDERED_OR_JOINED)
+def test_query_beyond_all_limits(spark, con, tight, name):
+    test_query(spark, con, name)
+
+
 @pytest.mark.parametrize("name", list(all_queries()))
 def test_query(spark, con, name):
     q = all_queries()[name]

@@ -201,7 +201,7 @@ SQL_AGAINST = "CASE WHEN value < 20 THEN 'view' WHEN value < 50 THEN 'trade' ELS
     s AS (SELECT user_id, 0 AS source, ts, event_id, event_type AS category FROM e UNION ALL SELECT user_id, 1, ts, event_id, against FROM e),
     f AS (SELECT *, row_number() OVER (PARTITION BY user_id, category ORDER BY source, ts, event_id) AS k FROM s),
     i AS (SELECT user_id, category, row_number() OVER (PARTITION BY user_id ORDER BY source, ts, event_id) AS idx FROM f WHERE k = 1)
-    SELECT e.event_id, a.idx AS team_idx, b.idx AS against_idx FROM e
+    SELECT e.event_id, a.idx::INT AS team_idx, b.idx::INT AS against_idx FROM e
     JOIN i a ON a.user_id = e.user_id AND a.category = e.event_type JOIN i b ON b.user_id = e.user_id AND b.category = e.against
     """,
 )
@@ -219,7 +219,7 @@ def category_index_first_seen(tables):
     "W9 J6",
     """
     WITH i AS (SELECT n_name, row_number() OVER (ORDER BY n_name) AS idx FROM (SELECT DISTINCT n_name FROM nation WHERE n_regionkey <> 0))
-    SELECT s_suppkey, n.n_name, coalesce(idx, 0) AS team_idx FROM supplier JOIN nation n ON s_nationkey = n_nationkey LEFT JOIN i ON i.n_name = n.n_name
+    SELECT s_suppkey, n.n_name, coalesce(idx, 0)::INT AS team_idx FROM supplier JOIN nation n ON s_nationkey = n_nationkey LEFT JOIN i ON i.n_name = n.n_name
     """,
 )
 def category_index_global(tables):

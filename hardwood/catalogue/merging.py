@@ -42,8 +42,8 @@ KEYS = ["game_id", "season", "team", "quarter"]
     "merge_sources",
     "J1 O2 C10",
     """
-    WITH f AS (SELECT lower('G-' || o_orderkey) AS game_id, year(o_orderdate) AS season, lower(o_orderstatus) AS team, quarter(o_orderdate) AS quarter, o_totalprice FROM orders),
-         b AS (SELECT lower('G-' || l_orderkey) AS game_id, year(l_shipdate) AS season, lower(l_linestatus) AS team, quarter(l_shipdate) AS quarter,
+    WITH f AS (SELECT lower('G-' || o_orderkey) AS game_id, year(o_orderdate)::INT AS season, lower(o_orderstatus) AS team, quarter(o_orderdate)::INT AS quarter, o_totalprice FROM orders),
+         b AS (SELECT lower('G-' || l_orderkey) AS game_id, year(l_shipdate)::INT AS season, lower(l_linestatus) AS team, quarter(l_shipdate)::INT AS quarter,
                       sum(l_quantity) AS quantity, count(*) AS n FROM lineitem GROUP BY ALL)
     SELECT game_id, season, team, quarter, o_totalprice, quantity, n FROM f JOIN b USING (game_id, season, team, quarter)
     """,
@@ -57,8 +57,8 @@ def merge_sources(tables):
     "reconcile_sources",
     "J3 A4",
     """
-    WITH a AS (SELECT year(o_orderdate) AS season, count(*) AS n FROM orders GROUP BY 1),
-         b AS (SELECT year(l_shipdate) AS season, count(*) AS n FROM lineitem GROUP BY 1)
+    WITH a AS (SELECT year(o_orderdate)::INT AS season, count(*) AS n FROM orders GROUP BY 1),
+         b AS (SELECT year(l_shipdate)::INT AS season, count(*) AS n FROM lineitem GROUP BY 1)
     SELECT season, coalesce(a.n, 0) AS n_left, coalesce(b.n, 0) AS n_right, coalesce(a.n, 0) - coalesce(b.n, 0) AS diff
     FROM a FULL JOIN b USING (season)
     """,
@@ -88,7 +88,7 @@ def unmatched_keys(tables):
     "shared_seasons",
     "J2 U3",
     """
-    SELECT year(l_shipdate) AS season, count(*) AS n FROM lineitem
+    SELECT year(l_shipdate)::INT AS season, count(*) AS n FROM lineitem
     WHERE year(l_shipdate) IN (SELECT year(o_orderdate) FROM orders) GROUP BY 1
     """,
 )
@@ -104,8 +104,8 @@ def shared_seasons(tables):
     "U1 S5",
     """
     WITH u AS (
-      SELECT 0 AS source, o_orderkey AS game, year(o_orderdate) AS season, o_totalprice AS price, NULL AS quantity FROM orders
-      UNION ALL SELECT 1, l_orderkey, year(l_shipdate), NULL, l_quantity FROM lineitem)
+      SELECT 0 AS source, o_orderkey AS game, year(o_orderdate)::INT AS season, o_totalprice AS price, NULL AS quantity FROM orders
+      UNION ALL SELECT 1, l_orderkey, year(l_shipdate)::INT, NULL, l_quantity FROM lineitem)
     SELECT source, season, count(*) AS n, count(price) AS n_price, round(sum(quantity), 2) AS quantity FROM u GROUP BY 1, 2
     """,
 )

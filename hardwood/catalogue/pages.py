@@ -19,7 +19,7 @@ SQL_LINKS = """
     src AS (SELECT page_id, regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script>|<style\\b.*?</style>', '', 'g') AS s FROM pages),
     raw AS (SELECT page_id, regexp_extract_all(s, '(?is)<a\\s[^>]*?href="([^"]*)"[^>]*>([^<]*)', 1) AS hs,
                    regexp_extract_all(s, '(?is)<a\\s[^>]*?href="([^"]*)"[^>]*>([^<]*)', 2) AS ts FROM src),
-    link AS (SELECT page_id, unnest(range(len(hs))) AS pos, unnest(hs) AS href, trim(unnest(ts)) AS text FROM raw)
+    link AS (SELECT page_id, unnest(range(len(hs)))::INT AS pos, unnest(hs) AS href, trim(unnest(ts)) AS text FROM raw)
 """
 
 
@@ -115,7 +115,7 @@ def coverage_missing_months(tables):
     "new_seasons_only",
     "S9 J4",
     """
-    SELECT year(l_shipdate) AS season, count(*) AS n FROM lineitem
+    SELECT year(l_shipdate)::INT AS season, count(*) AS n FROM lineitem
     WHERE year(l_shipdate) NOT IN (SELECT year(o_orderdate) FROM orders WHERE o_orderdate < DATE '1998-01-01') GROUP BY 1
     """,
 )
@@ -215,7 +215,7 @@ def box_score_quarantine(tables):
     return P.page_errors(_box_pages(tables))
 
 
-@query("stream_page_ingest", "T1", "SELECT page_id, url, length(html) AS n_chars FROM pages")
+@query("stream_page_ingest", "T1", "SELECT page_id, url, length(html)::INT AS n_chars FROM pages")
 def stream_page_ingest(tables):
     folder = work_path(tables.spark, "ingest")
     table = ingest_pages(tables.spark, tables.folder, f"{folder}/pages", f"{folder}/checkpoint", glob="pages.parquet")

@@ -77,6 +77,9 @@ def merge_to_averages(tables):
     )
 
 
+ORDER = ["Date", "l_orderkey", "l_linenumber", "l_partkey"]
+
+
 def _box(tables):
     """Lines as box scores: supplier = player, ship date = date, null turnovers = not all known."""
     line, quantity = F.col("l_linenumber").cast("double"), F.col("l_quantity")
@@ -89,14 +92,14 @@ def _box(tables):
         (quantity / 2).alias("MP"), quantity.alias("FG"), line.alias("3P"), F.floor(quantity / 3).cast("double").alias("FT"),
         (line + 4).alias("TRB"), (quantity + 1).alias("AST"), line.alias("BLK"), F.lit(2.0).alias("STL"),
         F.when(F.col("l_discount") > 0, line).alias("TOV"),
-        F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey")]).alias("GameLink"),
+        *ORDER[1:],
         F.year("l_shipdate").cast("string").alias("season"),
     )
 
 
 SQL_BOX = """
     b AS (SELECT l_suppkey::VARCHAR AS player, l_shipdate AS d, year(l_shipdate)::VARCHAR AS season,
-                 concat_ws('-', l_orderkey, l_linenumber, l_partkey) AS link, l_returnflag AS team,
+                 l_orderkey, l_linenumber, l_partkey, l_returnflag AS team,
                  CASE WHEN l_tax < 0.04::DOUBLE THEN l_linestatus ELSE 'N' END AS against, l_quantity AS fg, coalesce(CASE WHEN l_discount > 0 THEN l_linenumber END, 0) AS tov,
                  CASE WHEN l_discount > 0 THEN 0 ELSE 1 END AS injured,
                  CASE WHEN l_discount > 0 THEN l_linenumber * 3 + l_quantity * 2 + floor(l_quantity / 3) + (l_linenumber + 4) * 1.2::DOUBLE + (l_quantity + 1) * 1.5::DOUBLE
@@ -108,23 +111,23 @@ SQL_BOX = """
     "C13 C18 C22 C24 W8 P1 F1 W4",
     f"""
     WITH {SQL_BOX},
-    s AS (SELECT player, 0 AS source, d, link, team AS category FROM b UNION ALL SELECT player, 1, d, link, against FROM b),
-    f AS (SELECT *, row_number() OVER (PARTITION BY player, category ORDER BY source, d, link) AS k FROM s),
-    i AS (SELECT player, category, row_number() OVER (PARTITION BY player ORDER BY source, d, link) AS idx FROM f WHERE k = 1),
-    p AS (SELECT b.*, t.idx AS team_idx, a.idx AS against_idx, row_number() OVER (PARTITION BY b.player ORDER BY d, link) AS pos, count(*) OVER (PARTITION BY b.player) AS n
+    s AS (SELECT player, 0 AS source, d, l_orderkey, l_linenumber, l_partkey, team AS category FROM b UNION ALL SELECT player, 1, d, l_orderkey, l_linenumber, l_partkey, against FROM b),
+    f AS (SELECT *, row_number() OVER (PARTITION BY player, category ORDER BY source, d, l_orderkey, l_linenumber, l_partkey) AS k FROM s),
+    i AS (SELECT player, category, row_number() OVER (PARTITION BY player ORDER BY source, d, l_orderkey, l_linenumber, l_partkey) AS idx FROM f WHERE k = 1),
+    p AS (SELECT b.*, t.idx AS team_idx, a.idx AS against_idx, row_number() OVER (PARTITION BY b.player ORDER BY d, l_orderkey, l_linenumber, l_partkey) AS pos, count(*) OVER (PARTITION BY b.player) AS n
           FROM b JOIN i t ON t.player = b.player AND t.category = b.team JOIN i a ON a.player = b.player AND a.category = b.against),
     c AS (SELECT *, CASE WHEN pos <= floor(0.92::DOUBLE * n) THEN 'train' ELSE 'test' END AS split FROM p),
     z AS (SELECT *, (fg - avg(CASE WHEN split = 'train' THEN fg END) OVER q) / stddev_pop(CASE WHEN split = 'train' THEN fg END) OVER q AS zfg,
                  (tov - avg(CASE WHEN split = 'train' THEN tov END) OVER q) / stddev_pop(CASE WHEN split = 'train' THEN tov END) OVER q AS ztov
           FROM c WINDOW q AS (PARTITION BY player)),
     w AS (SELECT *, lag(zfg, 3) OVER o AS fg0, lag(ztov, 1) OVER o AS tov2, lag(team_idx, 1) OVER o AS team2, lag(against_idx, 2) OVER o AS against1
-          FROM z WINDOW o AS (PARTITION BY player, split ORDER BY d, link))
-    SELECT player, split, strftime(d, '%Y-%m-%d') AS target, round(y, 4) AS y, round(fg0, 5) AS fg0, round(tov2, 5) AS tov2, team2, against1
+          FROM z WINDOW o AS (PARTITION BY player, split ORDER BY d, l_orderkey, l_linenumber, l_partkey))
+    SELECT player, split, strftime(d, '%Y-%m-%d') AS target, round(y, 4) AS y, round(fg0, 5) AS fg0, round(tov2, 5) AS tov2, team2::INT AS team2, against1::INT AS against1
     FROM w WHERE fg0 IS NOT NULL
     """,
 )
 def player_window_pipeline(tables):
-    windows = player_windows(_box(tables), 3)
+    windows = player_windows(_box(tables), 3, order=ORDER)
     at = lambda name, i: F.get(f"window.{name}", F.lit(i))
     return windows.select(
         F.col("Player").alias("player"), "split", F.col("target_date").cast("string").alias("target"), F.round("y", 4).alias("y"),
@@ -139,15 +142,15 @@ def player_window_pipeline(tables):
     WITH {SQL_BOX},
     i AS (SELECT team, row_number() OVER (ORDER BY team) AS idx FROM (SELECT DISTINCT team FROM b)),
     p AS (SELECT b.*, t.idx AS team_idx, coalesce(a.idx, 0) AS against_idx, row_number() OVER q AS pos, count(*) OVER (PARTITION BY player, season) AS n
-          FROM b JOIN i t ON t.team = b.team LEFT JOIN i a ON a.team = b.against WINDOW q AS (PARTITION BY player, season ORDER BY d, link)),
+          FROM b JOIN i t ON t.team = b.team LEFT JOIN i a ON a.team = b.against WINDOW q AS (PARTITION BY player, season ORDER BY d, l_orderkey, l_linenumber, l_partkey)),
     c AS (SELECT *, CASE WHEN pos <= floor(0.85::DOUBLE * n) THEN 'train' ELSE 'test' END AS split FROM p),
     w AS (SELECT *, lag(fg, 3) OVER o AS fg0, lag(injured, 1) OVER o AS injured2, lag(team_idx, 1) OVER o AS team2, lag(against_idx, 2) OVER o AS against1
-          FROM c WINDOW o AS (PARTITION BY player, season, split ORDER BY d, link))
-    SELECT player, season, split, strftime(d, '%Y-%m-%d') AS target, round(y, 4) AS y, fg0, injured2, team2, against1 FROM w WHERE fg0 IS NOT NULL
+          FROM c WINDOW o AS (PARTITION BY player, season, split ORDER BY d, l_orderkey, l_linenumber, l_partkey))
+    SELECT player, season, split, strftime(d, '%Y-%m-%d') AS target, round(y, 4) AS y, fg0, injured2, team2::INT AS team2, against1::INT AS against1 FROM w WHERE fg0 IS NOT NULL
     """,
 )
 def season_window_pipeline(tables):
-    windows = season_windows(_box(tables), ["Team", "Against", "Home", "injured", "MP", "FG", "TOV"], 3)
+    windows = season_windows(_box(tables), ["Team", "Against", "Home", "injured", "MP", "FG", "TOV"], 3, order=ORDER)
     at = lambda name, i: F.get(f"window.{name}", F.lit(i))
     return windows.select(
         F.col("Player").alias("player"), "season", "split", F.col("target_date").cast("string").alias("target"), F.round("y", 4).alias("y"),

@@ -35,16 +35,19 @@ def profile(df: DataFrame, keys: Sequence[str]) -> Profile:
 def within_limit(df: DataFrame, rows: int | None = None) -> bool:
     """True if ``df`` is small enough to broadcast, by rows and by bytes.
 
-    One aggregate; bytes are eight per value and the length of everything that is text
-    or nested.
+    Bytes are eight per value, and the length of everything that is text or nested; they
+    are only looked at when the number of rows, which a stored table knows, is small.
     """
     spark = df.sparkSession
+    found = df.count()
+    if found > limit(spark, "hardwood.broadcastRows", rows):
+        return False
     wide = [n for n, kind in df.dtypes if kind in ("string", "binary") or "<" in kind]
-    length = sum((F.coalesce(F.octet_length(F.col(f"`{n}`").cast("string")), F.lit(0)) for n in wide), F.lit(8 * len(df.columns)))
-    found = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(length).alias("bytes")).first()
-    return found["rows"] <= limit(spark, "hardwood.broadcastRows", rows) and (found["bytes"] or 0) <= limit(
-        spark, "hardwood.broadcastBytes"
-    )
+    size = 8 * len(df.columns) * found
+    if wide:
+        length = sum((F.coalesce(F.octet_length(F.col(f"`{n}`").cast("string")), F.lit(0)) for n in wide), F.lit(0))
+        size += df.agg(F.sum(length)).first()[0] or 0
+    return size <= limit(spark, "hardwood.broadcastBytes")
 
 
 def attach(

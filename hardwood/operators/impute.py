@@ -40,10 +40,7 @@ def fill_series_mean(series: GameSeries, columns: Sequence[str], digits: int | N
     """The same for a series, sharing the exchange of its other features."""
     with_means = series.aggregate(**{f"_mean_{c}": F.avg(c) for c in columns})
     filled = with_means.with_columns(**{c: _filled(c, F.col(f"_mean_{c}"), digits) for c in columns})
-    return GameSeries(
-        filled.rows.drop(*[f"_mean_{c}" for c in columns]),
-        filled.entity, filled.order, filled.block_rows, filled.blocked,
-    )
+    return filled.drop(*[f"_mean_{c}" for c in columns])
 
 
 def rows_with_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -69,7 +69,7 @@ def standardize_series(
     scaled = fitted.with_columns(
         **{c: (F.col(c) - F.col(f"_mean_{c}")) / _unit(F.col(f"_dev_{c}")) for c in columns}
     )
-    return GameSeries(scaled.rows.drop(*parts), scaled.entity, scaled.order, scaled.block_rows, scaled.blocked)
+    return scaled.drop(*parts)
 
 
 def minmax(

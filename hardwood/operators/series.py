@@ -1,12 +1,12 @@
 """Time-ordered features per entity, balanced for any distribution of entities.
 
 A ``GameSeries`` is a table with an entity key and a total order inside each entity.
-Two layouts give the same results:
+Its rows lie in one or two parts that give the same results:
 
-* *whole*: no entity has more than ``spark.hardwood.blockRows`` rows (checked with one
-  counting job over the entity column).
-  All features use windows over the entity, so they share one exchange and one sort.
-* *blocked*: some entity is larger. The table is range-partitioned and sorted by
+* *whole*: entities of at most ``spark.hardwood.blockRows`` rows. All features use windows
+  over the entity, so they share one exchange and one sort. One counting job over the
+  entity column shows whether there are longer ones; mostly this is the only part.
+* *blocked*: the longer entities. The rows are range-partitioned and sorted by
   (entity, order), written once, and numbered. Cutting the numbering every
   ``blockRows`` rows gives blocks of equal size, independent of how rows spread over
   entities or over time. Frames of bounded length look at most a few rows back or
@@ -23,102 +23,79 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from hardwood.operators.balance import profile
+from hardwood.operators.balance import profile, within_limit
 from hardwood.session import limit, materialize
 
 Feature = Callable[[WindowSpec], Column]
 
 
 @dataclass(frozen=True)
-class GameSeries:
+class _Whole:
+    """Rows of entities that fit a task."""
+
     rows: DataFrame
     entity: tuple[str, ...]
     order: tuple[str, ...]
-    block_rows: int
-    blocked: bool
 
-    @staticmethod
-    def of(
-        df: DataFrame,
-        entity: Sequence[str],
-        order: Sequence[str],
-        block_rows: int | None = None,
-        largest: int | None = None,
-    ) -> GameSeries:
-        """``order`` must be unique within an entity. ``largest`` skips the size check."""
-        block_rows = limit(df.sparkSession, "hardwood.blockRows", block_rows)
-        if largest is None:
-            largest = profile(df, entity).largest
-        blocked = largest > block_rows
-        rows = numbered(df, [*entity, *order], block_rows) if blocked else df
-        return GameSeries(rows, tuple(entity), tuple(order), block_rows, blocked)
+    def _window(self, within: Sequence[str]) -> WindowSpec:
+        return Window.partitionBy(*self.entity, *within).orderBy(*self.order)
 
-    # -- plain column work -------------------------------------------------------
+    def neighbours(self, before: int, after: int, within: Sequence[str], features: dict[str, Feature]) -> DataFrame:
+        window = self._window(within)
+        return self.rows.withColumns({n: f(window) for n, f in features.items()})
 
-    def with_columns(self, **columns: Column) -> GameSeries:
-        return replace(self, rows=self.rows.withColumns(columns))
+    def aggregate(self, within: Sequence[str], position: str | None, aggregates: dict[str, Column]) -> DataFrame:
+        # The order is not needed for the values; naming it lets all features share one sort.
+        window = self._window(within)
+        group = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        columns = {n: a.over(group) for n, a in aggregates.items()}
+        if position:
+            columns[position] = F.row_number().over(window).cast("long")
+        return self.rows.withColumns(columns)
 
-    def result(self) -> DataFrame:
-        return self.rows.drop("_g", "_block")
+    def last_known(self, column: str, name: str, within: Sequence[str]) -> DataFrame:
+        earlier = self._window(within).rowsBetween(Window.unboundedPreceding, -1)
+        return self.rows.withColumn(name, F.last(column, ignorenulls=True).over(earlier))
 
-    # -- frames of bounded length ------------------------------------------------
 
-    def neighbours(self, before: int, after: int = 0, within: Sequence[str] = (), **features: Feature) -> GameSeries:
-        """Add features whose frames reach ``before`` rows back and ``after`` rows ahead.
+@dataclass(frozen=True)
+class _Blocked:
+    """Numbered rows in blocks of ``size``."""
 
-        ``within`` names columns that cut an entity further (split, season); each cut
-        must be contiguous in the entity's order.
-        """
-        keys = [*self.entity, *within]
-        if not self.blocked:
-            window = Window.partitionBy(*keys).orderBy(*self.order)
-            return replace(self, rows=self.rows.withColumns({n: f(window) for n, f in features.items()}))
-        size = self.block_rows
-        if max(before, after) > size:
-            raise ValueError(f"frame of {max(before, after)} rows is longer than a block of {size}")
-        place = F.pmod(F.col("_g"), F.lit(size))
+    rows: DataFrame
+    entity: tuple[str, ...]
+    size: int
+
+    def neighbours(self, before: int, after: int, within: Sequence[str], features: dict[str, Feature]) -> DataFrame:
+        if max(before, after) > self.size:
+            raise ValueError(f"frame of {max(before, after)} rows is longer than a block of {self.size}")
+        place = F.pmod(F.col("_g"), F.lit(self.size))
         targets = F.array_compact(
             F.array(
                 F.col("_block"),
-                F.when(place >= size - before, F.col("_block") + 1),
+                F.when(place >= self.size - before, F.col("_block") + 1),
                 F.when(place < after, F.col("_block") - 1),
             )
         )
         copies = self.rows.withColumn("_at", F.explode(targets))
-        window = Window.partitionBy("_at", *keys).orderBy("_g")
+        window = Window.partitionBy("_at", *self.entity, *within).orderBy("_g")
         done = copies.withColumns({n: f(window) for n, f in features.items()})
-        return replace(self, rows=done.where(F.col("_at") == F.col("_block")).drop("_at"))
+        return done.where(F.col("_at") == F.col("_block")).drop("_at")
 
-    # -- features of the whole entity --------------------------------------------
-
-    def aggregate(self, within: Sequence[str] = (), position: str | None = None, **aggregates: Column) -> GameSeries:
-        """Add per-entity aggregates, and the 1-based place in the order, to every row."""
+    def aggregate(self, within: Sequence[str], position: str | None, aggregates: dict[str, Column]) -> DataFrame:
         keys = [*self.entity, *within]
-        if not self.blocked:
-            # The order is not needed for the values; naming it lets all features share one sort.
-            ordered = Window.partitionBy(*keys).orderBy(*self.order)
-            group = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-            columns = {n: a.over(group) for n, a in aggregates.items()}
-            if position:
-                columns[position] = F.row_number().over(ordered).cast("long")
-            return replace(self, rows=self.rows.withColumns(columns))
         totals = self.rows.groupBy(*keys).agg(F.min("_g").alias("_start"), *[a.alias(n) for n, a in aggregates.items()])
-        rows = self._spread(totals, keys)
+        # Brought back by (block, entity), a key no longer than a block.
+        pairs = self.rows.select("_block", *keys).distinct()
+        rows = _join(self.rows, _join(pairs, totals, keys), ["_block", *keys])
         if position:
             rows = rows.withColumn(position, F.col("_g") - F.col("_start") + 1)
         # Rows feed both sides of the join; writing them keeps chains of steps linear.
-        return replace(self, rows=materialize(rows.drop("_start"), "totals"))
-
-    def position(self, name: str = "pos", within: Sequence[str] = ()) -> GameSeries:
-        return self.aggregate(within, position=name)
+        return materialize(rows.drop("_start"), "totals")
 
-    def last_known(self, column: str, name: str, within: Sequence[str] = ()) -> GameSeries:
-        """Latest non-null value of an earlier row."""
+    def last_known(self, column: str, name: str, within: Sequence[str]) -> DataFrame:
         keys = [*self.entity, *within]
         earlier = (Window.unboundedPreceding, -1)
-        if not self.blocked:
-            window = Window.partitionBy(*keys).orderBy(*self.order).rowsBetween(*earlier)
-            return replace(self, rows=self.rows.withColumn(name, F.last(column, ignorenulls=True).over(window)))
         summary = self.rows.groupBy("_block", *keys).agg(
             F.max_by(column, F.when(F.col(column).isNotNull(), F.col("_g"))).alias("_seen")
         )
@@ -128,12 +105,70 @@ class GameSeries:
         rows = _join(self.rows, summary, ["_block", *keys]).withColumn(
             name, F.coalesce(F.last(column, ignorenulls=True).over(inside), F.col("_carry"))
         )
-        return replace(self, rows=rows.drop("_carry"))
+        return rows.drop("_carry")
 
-    def _spread(self, totals: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """Bring per-entity rows to the rows by (block, entity): no key exceeds a block."""
-        pairs = self.rows.select("_block", *keys).distinct()
-        return _join(self.rows, _join(pairs, totals, keys), ["_block", *keys])
+
+@dataclass(frozen=True)
+class GameSeries:
+    parts: tuple[_Whole | _Blocked, ...]
+    entity: tuple[str, ...]
+
+    @staticmethod
+    def of(
+        df: DataFrame,
+        entity: Sequence[str],
+        order: Sequence[str],
+        block_rows: int | None = None,
+        largest: int | None = None,
+    ) -> GameSeries:
+        """``order`` must be unique within an entity. ``largest`` skips the size check."""
+        entity, order = tuple(entity), tuple(order)
+        size = limit(df.sparkSession, "hardwood.blockRows", block_rows)
+        if largest is None:
+            largest = profile(df, entity).largest
+        if largest <= size:
+            return GameSeries((_Whole(df, entity, order),), entity)
+        sizes = df.groupBy(*entity).agg(F.count(F.lit(1)).alias("_n"))
+        long = materialize(sizes.where(F.col("_n") > size).select(*entity, F.lit(True).alias("_long")), "long")
+        if not within_limit(long):
+            return GameSeries((_Blocked(numbered(df, [*entity, *order], size), entity, size),), entity)
+        marked = _join(df, F.broadcast(long), entity)
+        short_rows = marked.where(F.col("_long").isNull()).drop("_long")
+        long_rows = marked.where(F.col("_long")).drop("_long")
+        blocked = _Blocked(numbered(long_rows, [*entity, *order], size), entity, size)
+        return GameSeries((_Whole(short_rows, entity, order), blocked), entity)
+
+    def _each(self, change: Callable) -> GameSeries:
+        return replace(self, parts=tuple(replace(p, rows=change(p)) for p in self.parts))
+
+    def with_columns(self, **columns: Column) -> GameSeries:
+        return self._each(lambda p: p.rows.withColumns(columns))
+
+    def drop(self, *columns: str) -> GameSeries:
+        return self._each(lambda p: p.rows.drop(*columns))
+
+    def result(self) -> DataFrame:
+        """All rows with their features."""
+        return reduce(DataFrame.unionByName, [p.rows.drop("_g", "_block") for p in self.parts])
+
+    def neighbours(self, before: int, after: int = 0, within: Sequence[str] = (), **features: Feature) -> GameSeries:
+        """Add features whose frames reach ``before`` rows back and ``after`` rows ahead.
+
+        ``within`` names columns that cut an entity further (split, season); each cut
+        must be contiguous in the entity's order.
+        """
+        return self._each(lambda p: p.neighbours(before, after, within, features))
+
+    def aggregate(self, within: Sequence[str] = (), position: str | None = None, **aggregates: Column) -> GameSeries:
+        """Add per-entity aggregates, and the 1-based place in the order, to every row."""
+        return self._each(lambda p: p.aggregate(within, position, aggregates))
+
+    def position(self, name: str = "pos", within: Sequence[str] = ()) -> GameSeries:
+        return self.aggregate(within, position=name)
+
+    def last_known(self, column: str, name: str, within: Sequence[str] = ()) -> GameSeries:
+        """Latest non-null value of an earlier row."""
+        return self._each(lambda p: p.last_known(column, name, within))
 
 
 def _join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -286,7 +321,8 @@ def sliding_windows(
         window_dates=window_of_previous([date], steps),
     )
     return (
-        built.rows.where(F.col("window").isNotNull())
+        built.result()
+        .where(F.col("window").isNotNull())
         .select(
             *series.entity,
             *within,
@@ -301,4 +337,4 @@ def sliding_windows(
 def change_since_last(series: GameSeries, column: str, name: str) -> GameSeries:
     """Difference to the last listed (non-null) value."""
     known = series.last_known(column, "_last")
-    return replace(known, rows=known.rows.withColumn(name, F.col(column) - F.col("_last")).drop("_last"))
+    return known.with_columns(**{name: F.col(column) - F.col("_last")}).drop("_last")

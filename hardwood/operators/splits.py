@@ -34,9 +34,7 @@ def chronological_split(series: GameSeries, train_share: float) -> GameSeries:
     counted = series.aggregate(position="_pos", _n=F.count(F.lit(1)))
     last_train = F.floor(F.lit(float(train_share)) * F.col("_n"))
     marked = counted.with_columns(split=F.when(F.col("_pos") <= last_train, "train").otherwise("test"))
-    return GameSeries(
-        marked.rows.drop("_pos", "_n"), marked.entity, marked.order, marked.block_rows, marked.blocked
-    )
+    return marked.drop("_pos", "_n")
 
 
 def shuffled(df: DataFrame, key: str, salt: str = "") -> DataFrame:

@@ -22,10 +22,11 @@ def con():
     return connection
 
 
-@pytest.fixture
-def tight(spark):
-    """Limits so low that every series is cut into blocks and no join is broadcast by size."""
-    limits = {"spark.hardwood.blockRows": "37", "spark.hardwood.broadcastRows": "0"}
+@pytest.fixture(params=["0", "1000000"], ids=["no broadcast", "long series only"])
+def tight(spark, request):
+    """Limits so low that series are cut into blocks and, in the first case, no join is
+    broadcast by size."""
+    limits = {"spark.hardwood.blockRows": "37", "spark.hardwood.broadcastRows": request.param}
     for key, value in limits.items():
         spark.conf.set(key, value)
     yield

@@ -83,13 +83,29 @@ def test_features_match_pandas(spark, log, block):
 
 def test_layout_follows_the_longest_series(spark, log):
     df = frame(spark, log)
-    assert not series(df, 90).blocked
-    assert series(df, 89).blocked
-    assert not series(df, 10, largest=10).blocked
+    kinds = lambda s: [type(p).__name__ for p in s.parts]
+    assert kinds(series(df, 90)) == ["_Whole"]
+    assert kinds(series(df, 10, largest=10)) == ["_Whole"]
+    cut = series(df, 89)
+    assert kinds(cut) == ["_Whole", "_Blocked"]
+    assert [p.rows.count() for p in cut.parts] == [sum(LENGTHS.values()) - 90, 90]
+    spark.conf.set("spark.hardwood.broadcastRows", "0")
+    try:
+        assert kinds(series(df, 89)) == ["_Blocked"]
+    finally:
+        spark.conf.unset("spark.hardwood.broadcastRows")
+
+
+def test_missing_entity_is_an_entity(spark):
+    """Rows without a player form one long series, too."""
+    df = spark.range(60).select(F.when(F.col("id") % 3 == 0, "a").alias("player"), F.col("id").alias("seq"), F.lit(1).alias("game"))
+    for block in (1_000, 30, 7):
+        got = series(df, block).position("pos").result().groupBy("player").agg(F.max("pos").alias("m")).collect()
+        assert {r["player"]: r["m"] for r in got} == {"a": 20, None: 40}
 
 
 def test_blocks_have_equal_size(spark, log):
-    blocks = series(frame(spark, log), 25).rows.groupBy("_block").count().collect()
+    blocks = series(frame(spark, log), 25).parts[-1].rows.groupBy("_block").count().collect()
     assert sorted(b["count"] for b in blocks)[1:] == [25] * (len(blocks) - 1)
 
 

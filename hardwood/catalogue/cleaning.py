@@ -13,6 +13,7 @@ from hardwood.operators.impute import (
 )
 from hardwood.operators.evaluate import head
 from hardwood.operators.reconcile import matched_or_quarantine
+from hardwood.operators.splits import features_and_label
 from hardwood.sources.delimited import clean_feed, game_state, in_date_range
 
 TEAMS = list(TEAM_CODES)
@@ -478,7 +479,7 @@ def entity_filter(tables):
 def feature_select(tables):
     box = tables.lineitem.withColumn("doubled", F.round(F.col("l_quantity") * 2, 4))
     features = feature_columns(box, ["l_orderkey", "l_extendedprice"], numeric_only=True)
-    chosen = originals_first(box.select(*features, F.col("l_extendedprice").alias("label")), ["label"])
+    chosen = features_and_label(box, features, "l_extendedprice")
     return originals_first(chosen, ["doubled", "label"])
 
 

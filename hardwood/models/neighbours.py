@@ -20,6 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hardwood.operators.balance import attach, profile
 from hardwood.session import materialize
 
 # Python functions travel to the executors with their code; nothing is installed there.
@@ -75,11 +76,37 @@ def nearest(
     pivots: int | None = None,
     block: int = BLOCK,
 ) -> DataFrame:
-    """``(qid, rid, dist, y)``: the k nearest references of every query.
+    """``(qid, rid, dist, y)``: the k nearest references of every query, ties by ``rid``.
 
     ``queries(qid long, vec array<double>)``, ``references(rid long, vec, y double)``. With
-    ``not_self`` a reference with the query's own id is skipped.
+    ``not_self`` a reference with the query's own id is skipped. A vector with more than
+    ``block`` copies is searched for, or kept as reference, only as often as it matters.
     """
+    if _most_copies(references) > block:
+        # Of equal vectors the k + 1 smallest ids are all that can be among k others.
+        rank = F.row_number().over(Window.partitionBy(F.xxhash64("vec"), "vec").orderBy("rid"))
+        references = references.withColumn("_copy", rank).where(F.col("_copy") <= k + 1).drop("_copy")
+    if _most_copies(queries) <= block:
+        return _search(queries, references, k, not_self, pivots, block)
+    vectors = materialize(queries.groupBy("vec").agg(F.min("qid").alias("qid")), "vectors")
+    found = _search(vectors, references, k + 1, False, pivots, block)
+    # At most k + 1 rows per vector.
+    lists = found.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("dist", "rid", "y"))).alias("near"))
+    known = materialize(vectors.join(lists, "qid").select("vec", "near"), "near")
+    near = F.col("near")
+    if not_self:
+        near = F.filter(near, lambda n: n["rid"] != F.col("qid"))
+    joined = attach(queries.select("qid", "vec"), known, ["vec"], ["qid"], "inner")
+    return joined.select("qid", F.inline(F.slice(near, 1, k))).select("qid", "rid", "dist", "y")
+
+
+def _most_copies(df: DataFrame) -> int:
+    return profile(df.select(F.xxhash64("vec").alias("h")), ["h"]).largest
+
+
+def _search(
+    queries: DataFrame, references: DataFrame, k: int, not_self: bool, pivots: int | None, block: int
+) -> DataFrame:
     n_refs = references.count()
     n_queries = queries.count()
     wanted = pivots or min(256, max(1, int(math.sqrt(n_refs) / 4)))

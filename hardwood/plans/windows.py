@@ -63,8 +63,8 @@ def season_windows(
     for column in ("Team", "Against"):
         coded = apply_index(scored, index, [], column, "_idx", ["Player", *order], unmatched=0)
         scored = coded.drop(column).withColumnRenamed("_idx", column)
-    stats = [c for c in feature_columns(scored, ("Team", "Against", "Home"), numeric_only=True)]
-    flagged = flag_and_zero_fill(scored, stats)
+    # Any null of the row counts as a missed game, also a percentage without an attempt.
+    flagged = flag_and_zero_fill(scored, scored.columns)
     kept = flagged.select("Player", "season", *[c for c in order], *[c for c in columns if c not in order], "book")
     largest = profile(box, ["Player", "season"]).largest
     series = chronological_split(GameSeries.of(kept, ["Player", "season"], order, block_rows, largest), train_share)

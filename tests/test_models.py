@@ -93,6 +93,11 @@ def test_neighbours_match_brute_force(spark, block, pivots):
         got = group.sort_values(["dist", "rid"])["rid"].tolist()
         assert got == want[qid], qid
     assert len(found) == 7 * len(vectors)
+    others = neighbours.nearest(queries, refs, 7, pivots=pivots, block=block).toPandas()
+    assert len(others) == 7 * len(vectors)
+    for qid in (0, 45, 130):
+        d = sorted((float(np.sqrt(((vectors[qid] - w) ** 2).sum())), j) for j, w in enumerate(vectors))[:7]
+        assert others[others["qid"] == qid].sort_values(["dist", "rid"])["rid"].tolist() == [j for _, j in d]
     predicted = {r["qid"]: r["y_pred"] for r in neighbours.knn_regression(queries, refs, 7, not_self=True, pivots=pivots, block=block).collect()}
     assert predicted[0] == pytest.approx(y[want[0]].mean())
 

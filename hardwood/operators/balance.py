@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 
 from hardwood.session import limit, materialize
 
-# A key is hot when it holds more than this share of all rows, so at most
-# 1 / HOT_SHARE keys can be hot.
-HOT_SHARE = 0.001
-SALTS = 256
+# At most this many keys are treated as hot, so their table can be broadcast.
+HOT_KEYS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -61,23 +59,28 @@ def attach(
     """Equi-join ``big`` to ``small`` (one row per key) without a hot partition.
 
     Within the broadcast limits (``rows`` overrides one), ``small`` is broadcast and ``big``
-    does not move. Beyond, both
-    sides are shuffled; the rows of hot keys are spread over ``SALTS`` slots by the
-    hash of ``spread_by`` (columns that tell the rows of one key apart) and only the
-    hot keys' rows of ``small`` are repeated for each slot. Materialize a ``small`` that
-    is costly to compute: it is read for the check and again for the join.
+    does not move. Beyond, both sides are shuffled. If a key of ``big`` then has more rows
+    than ``spark.hardwood.blockRows``, its rows are spread over as many slots as it has
+    blocks, by the hash of ``spread_by`` (columns that tell the rows of one key apart),
+    and only the hot keys' rows of ``small`` are repeated for each slot. Materialize a
+    ``small`` that is costly to compute: it is read for the check and again for the join.
     """
     on = list(on)
     if within_limit(small, rows):
         return big.join(F.broadcast(small), on, how)
-    sizes = materialize(big.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")), "sizes")
-    total = sizes.agg(F.sum("_n")).first()[0] or 0
-    hot = sizes.where(F.col("_n") > max(1, total * HOT_SHARE)).select(*on, F.lit(True).alias("_hot"))
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
-    left = big.join(F.broadcast(hot), on, "left").withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(0))
-    slots = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = small.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(slots)).drop("_hot")
-    return left.drop("_hot").join(right, [*on, "_salt"], how).drop("_salt")
+    shape = profile(big, on)
+    block = max(limit(big.sparkSession, "hardwood.blockRows"), shape.rows // HOT_KEYS)
+    if shape.largest <= block:
+        return big.join(small, on, how)
+    sizes = big.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block)
+    slots = F.ceil(F.col("_n") / F.lit(block)).cast("int")
+    # Fewer than shape.rows / block <= HOT_KEYS rows.
+    hot = materialize(sizes.select(*on, slots.alias("_slots")), "hot")
+    salt = F.pmod(F.xxhash64(*spread_by), F.col("_slots")).cast("int")
+    left = big.join(F.broadcast(hot), on, "left").withColumn("_salt", F.coalesce(salt, F.lit(0)))
+    every = F.sequence(F.lit(0), F.coalesce(F.col("_slots"), F.lit(1)) - 1)
+    right = small.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(every)).drop("_slots")
+    return left.drop("_slots").join(right, [*on, "_salt"], how).drop("_salt")
 
 
 def keep_known(big: DataFrame, keys: DataFrame, on: Sequence[str], spread_by: Sequence[str], rows: int | None = None) -> DataFrame:

@@ -19,10 +19,6 @@ def residual(actual: str, predicted: str, sign: str = "actual-predicted") -> Col
     raise ValueError(f"sign {sign!r}")
 
 
-def squared_error(actual: str, predicted: str) -> Column:
-    return F.pow(F.col(predicted) - F.col(actual), F.lit(2.0))
-
-
 def metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = (), tolerance: float = 3.0) -> DataFrame:
     """MSE, MAE, and how many predictions are over or under by ``tolerance``; one pass."""
     gap = residual(actual, predicted, "predicted-actual")

@@ -96,6 +96,14 @@ def test_box_scores(spark, games):
     assert [(r["URL"], r["Error"]) for r in rows(errors, "URL")] == [("/b/2", "no table body"), ("/b/3", "no rows")]
 
 
+def test_rows_of_all_tables(spark, games):
+    found = P.table_rows(games)
+    assert found.where("url = '/b/1'").groupBy("table_idx").count().count() == 9
+    repeated = rows(found.where("NOT is_first"), "row_idx")
+    assert [(r["table_idx"], r["row_idx"], r["header"]) for r in repeated] == [(0, 3, "Zoë O'Neil")]
+    assert found.where("url <> '/b/1'").count() == 0
+
+
 def test_box_scores_do_not_shuffle(spark, games):
     plan = P.box_scores(games)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan

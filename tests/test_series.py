@@ -2,6 +2,7 @@
 
 import math
 import random
+import warnings
 
 import pandas as pd
 import pytest
@@ -68,7 +69,9 @@ def expected(log):
             g[f"2_{c}"] = [p.mean() if len(p) == 2 else None for p in past]
         g["ready"] = g["pos"] > 3
         out.append(g)
-    return pd.concat(out).sort_values("game").reset_index(drop=True)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", FutureWarning)
+        return pd.concat(out).sort_values("game").reset_index(drop=True)
 
 
 @pytest.mark.parametrize("block", [1_000_000, 40, 5])

@@ -8,6 +8,7 @@ from conftest import rows
 from hardwood.fixed_values import BOX_COLUMNS, FEED_COLUMNS, FEED_HEADER
 from hardwood.plans.feed import clean_feed_folder, prepare_shifted, read_shifted, shifted_sets
 from hardwood.sources import delimited as D
+from hardwood.session import materialize, remove_work, shared_folder
 from hardwood.sources import sinks as K
 
 
@@ -53,6 +54,13 @@ def test_corrupt_line_is_kept_apart(spark, tmp_path):
     assert [r["_corrupt"] is None for r in found] == [True, False]
 
 
+def test_feed_reader_keeps_all_columns(spark, tmp_path):
+    folder = str(tmp_path / "feed")
+    write(f"{folder}/2019-20.csv", ":".join(FEED_HEADER), feed_line(FEED_HEADER, **game()))
+    row = D.read_feed(spark, folder).first()
+    assert row["Last, First"] == "James, LeBron" and row["First  Last"] is None and row["season"] == "2019-20"
+
+
 def test_feed_gate_and_cleaning(spark, tmp_path):
     folder, out = str(tmp_path / "feed"), str(tmp_path / "out")
     pending = game("Nene", gid="9", day="20191023", fdp="", stats="")
@@ -148,3 +156,12 @@ def test_window_sets_by_timestep(spark, tmp_path):
     assert K.read_prepared(spark, path, 3).where("y < 0").count() == K.read_prepared(spark, path, 3, "test").count() == 5
     plan = K.read_prepared(spark, path, 4, "train")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(timestep" in plan
+
+
+def test_work_folder_is_removed(spark):
+    small = materialize(spark.range(3).toDF("x"), "probe")
+    folder = f"{shared_folder(spark)}/hardwood/{spark.sparkContext.applicationId}"
+    assert small.count() == 3 and any(n.startswith("probe-") for n in os.listdir(folder))
+    remove_work(spark)
+    assert not os.path.exists(folder)
+    assert materialize(spark.range(2).toDF("x"), "probe").count() == 2

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["exact_dedup", "mixing"]
+MODULES = ["outliers", "exact_dedup", "personal_data", "packing", "near_dedup", "secret_scan", "mixing", "quality"]
 
 
 def queries() -> dict:

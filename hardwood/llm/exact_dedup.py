@@ -24,7 +24,8 @@ from hardwood.llm.common import table, text_of, unwrapped, wrapped
 from hardwood.operators.balance import within_limit
 from hardwood.session import materialize
 
-CAPACITY = 100_000
+# Rows of a bucket, and of an overflow page.
+CAPACITY = 2_048
 MAX_DEPTH = 30
 
 
@@ -65,7 +66,7 @@ def directory(keys: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def _owned(rows: DataFrame) -> DataFrame:
-    """``(row, rep)`` from ``(key, page, id, row, text)``: the first row of the same text on the page."""
+    """``(row, rep)`` from ``(bucket, key, page, id, row, text)``: the first row of the same text on the page."""
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, chain = None, []
@@ -83,8 +84,8 @@ def _owned(rows: DataFrame) -> DataFrame:
                 reps.append(rep)
             yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(reps, pa.int64())], ["row", "rep"])
 
-    ordered = rows.repartitionByRange("key", "page").sortWithinPartitions(
-        "key", "page", F.col("id").desc_nulls_last(), F.col("row").desc()
+    ordered = rows.repartitionByRange("bucket", "key", "page").sortWithinPartitions(
+        "bucket", "key", "page", F.col("id").desc_nulls_last(), F.col("row").desc()
     )
     texts = ordered.select("key", "page", "row", F.col("text").cast("binary").alias("text"))
     return texts.mapInArrow(own, "row long, rep long")
@@ -108,28 +109,29 @@ def copies(rows: DataFrame, text_col: str, capacity: int = CAPACITY) -> DataFram
     # Each leaf stands for all directory entries of the final depth that point to it.
     spread = F.expr(f"explode(sequence(0L, shiftleft(1L, {depth} - depth) - 1))")
     entries = leaves.withColumn("slot", spread).select(
-        F.expr(f"shiftleft(bucket, {depth} - depth) + slot").alias("entry"), "bucket", "depth"
+        F.expr(f"shiftleft(bucket, {depth} - depth) + slot").alias("entry"),
+        F.expr(f"shiftleft(bucket, {depth} - depth)").alias("bucket"),
     )
-    located = pages.withColumn("entry", _prefix(F.col("key"), depth)).join(entries, "entry", "left").drop("entry")
-    located = materialize(located, "located")
+    located = pages.withColumn("entry", _prefix(F.col("key"), depth)).join(entries, "entry", "left")
+    # A hot key may be alone below its entry.
+    located = materialize(located.select("key", "pages", F.coalesce("bucket", "entry").alias("bucket")), "located")
     small = F.broadcast(located) if within_limit(located) else located
     # A hot key's rows are dealt to its overflow pages by row number.
     wanted = rows.join(small, "key").withColumn("page", F.pmod(F.xxhash64("row"), F.col("pages")).cast("int"))
-    wanted = wanted.select("key", "page", "pages", "id", "row", text_of(f"doc.`{text_col}`").alias("text"))
+    wanted = wanted.select("bucket", "key", "page", "id", "row", text_of(f"doc.`{text_col}`").alias("text"))
     first = _owned(wanted)
     plain = rows.select("row", "key", "id").join(small.select("key", "pages"), "key")
     found = materialize(first.join(plain, "row"), "pages")
     on_page = found.groupBy("rep").agg(F.count(F.lit(1)).alias("n"))
     # One row per text and overflow page, compared once more across the pages of the key.
-    again = found.where((F.col("pages") > 1) & (F.col("row") == F.col("rep"))).select("row", "key", "id")
-    texts = rows.select("row", text_of(f"doc.`{text_col}`").alias("text"))
-    across = _owned(texts.join(again, "row").withColumn("page", F.lit(0)))
-    merged = materialize(
-        on_page.join(across.select(F.col("row").alias("rep"), F.col("rep").alias("keep_row")), "rep", "left").select(
-            "rep", F.coalesce("keep_row", "rep").alias("keep_row"), "n"
-        ),
-        "merged",
-    )
+    again = materialize(found.where((F.col("pages") > 1) & (F.col("row") == F.col("rep"))).select("row", "key", "id"), "again")
+    merged = on_page.select("rep", F.col("rep").alias("keep_row"), "n")
+    if not again.isEmpty():
+        few = F.broadcast(again) if within_limit(again) else again
+        texts = rows.select("row", text_of(f"doc.`{text_col}`").alias("text")).join(few, "row")
+        across = _owned(texts.withColumn("page", F.lit(0)).withColumn("bucket", F.col("key"))).select(F.col("row").alias("rep"), F.col("rep").alias("first"))
+        merged = on_page.join(across, "rep", "left").select("rep", F.coalesce("first", "rep").alias("keep_row"), "n")
+    merged = materialize(merged, "merged")
     sizes = merged.groupBy("keep_row").agg(F.sum("n").alias("group_size"))
     named = found.where(F.col("row") == F.col("rep")).select(F.col("row").alias("keep_row"), F.col("id").alias("keep_id"))
     classes = merged.join(sizes, "keep_row").join(named, "keep_row").drop("n")
@@ -139,7 +141,7 @@ def copies(rows: DataFrame, text_col: str, capacity: int = CAPACITY) -> DataFram
 def exact_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, key: Column | None = None
 ) -> DataFrame:
-    """All rows as ``doc`` with ``keep_id, group_size, kept``; ``key`` replaces the hash of the text."""
+    """All rows as ``doc`` with ``keep_id, group_size, kept``; ``key`` (a long column) replaces the hash of the text."""
     rows = indexed(docs, id_col, text_col, key)
     groups = copies(rows, text_col, capacity)
     labelled = rows.join(groups, "row", "left")

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["outliers", "exact_dedup", "personal_data", "packing", "near_dedup", "secret_scan", "mixing", "quality"]
+MODULES = [
+    "outliers", "exact_dedup", "licences", "personal_data", "packing",
+    "near_dedup", "secret_scan", "lm_scoring", "mixing", "quality",
+]
 
 
 def queries() -> dict:
     found = {}
     for module in MODULES:
         found |= import_module(f"hardwood.llm.{module}").QUERIES
-    return found
+    return found | {"pipeline": import_module("corpus_pipeline").run}
 
 
 def oracle_sql() -> dict:
     found = {}
     for module in MODULES:
         found |= import_module(f"hardwood.llm.{module}").SQL
-    return found
+    whole = import_module("corpus_pipeline").ORACLE_SQL
+    return found | ({"pipeline": whole} if whole else {})

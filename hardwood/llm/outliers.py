@@ -37,7 +37,7 @@ LEAST_ROWS = 100
 # Upper tail at which a normal vector would be rejected; texts have heavier tails than the normal.
 TAIL = 1e-9
 # Transformed statistics, and their least standard deviations.
-FLOORS = {"log_words": 0.5, "word_length": 0.6, "symbols": 0.6, "dup_lines": 0.6, "repeated": 0.8, "upper": 0.04, "exclaim": 0.5}
+FLOORS = {"log_words": 0.5, "word_length": 0.6, "symbols": 0.4, "dup_lines": 0.8, "repeated": 0.9, "upper": 0.04, "exclaim": 0.5}
 
 
 def vector(counts: str) -> Column:

@@ -4,15 +4,17 @@ Each text is the set of its hashed word shingles; the ``SKETCH`` smallest values
 
 1. Texts with equal sets form a class and go on as one representative.
 2. Inverted lists of the ``LISTED`` smallest values generate overlaps. A list of at most ``LIST`` members
-   yields its pairs. Longer lists belong to text that many documents share; a pair needs one only if
-   its members have too few other values (``LEAST_LIGHT``; with that many, the chance that two
-   documents at the threshold share none of them is below 1e-6).
-3. Representatives with too few other values are grouped by pairs of minima of their sketches. Large
-   groups compare all members with their most central one only. Members far from it (by sketch) form
-   the group's next round; when rounds end, the rest is compared in full. Members close to it but not
-   linked are compared with the whole neighbourhood, as they may link to a member of it. Members that
-   link to the centre need no comparison with each other, as they are in one component.
-4. The sketch of the union estimates the similarity and filters pairs, far below the threshold.
+   yields its pairs. Longer lists belong to text that many documents share. A representative with
+   too few values in short lists is listed again by its ``DEEPER`` smallest values
+   among its like: that finds documents that hold a common passage beside text of their own. (With as
+   many values as :func:`enough` asks for, the chance that none is shared with a linked document is below ``MISSED``.)
+3. What has too few such values even then consists of common text. It is grouped by pairs of minima of
+   the sketches. Large groups compare all members with their most central one. Members that link to
+   it are in one component and are not compared with each other; all that remains is compared in
+   blocks of bounded size on the full sets: the unlinked with each other, and those of them that are
+   close enough to the centre with its linked members. A block returns a spanning forest of its links.
+4. The sketch of the union estimates the similarity and drops pairs more than ``MARGIN`` below the
+   threshold (five standard deviations).
 5. Pairs are confirmed on the full sets, likely ones first; a pair within a component found so far
    cannot change it and is left out.
 
@@ -27,10 +29,12 @@ give empty results. Other columns are carried along.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,10 +45,10 @@ from hardwood.llm.components import components
 from hardwood.operators.balance import attach, within_limit
 from hardwood.session import materialize
 
-SKETCH, LISTED, LIST = 32, 16, 64
-LEAST_LIGHT = 10
-BANDS, ROUNDS = 20, 4
-CLOSE = 0.5
+SKETCH, LISTED, DEEPER, LIST = 48, 12, 64, 64
+MISSED = 1e-6
+BANDS, BLOCK = 14, 512
+MARGIN = 30  # hundredths
 
 
 @dataclass(frozen=True)
@@ -82,24 +86,29 @@ def shingle_set(text: bytes, words: int, known: dict[bytes, int]) -> np.ndarray:
 
 
 def _sketched(rows: DataFrame, words: int) -> DataFrame:
-    """``(row, size, h1, h2, sketch)`` from ``(row, text)``; equal sets have equal ``size, h1, h2``."""
+    """``(row, size, h1, h2, sketch, listed)`` from ``(row, text)``; equal sets have equal ``size, h1, h2``.
+
+    The sketch holds the upper halves of its values, which keep their order; lists need whole values.
+    """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known: dict[bytes, int] = {}
-            size, h1, h2, low = [], [], [], []
+            size, h1, h2, low, listed = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 values = shingle_set(text, words, known)
                 digest = hashlib.blake2b(values.tobytes(), digest_size=16).digest()
                 size.append(len(values))
                 h1.append(int.from_bytes(digest[:8], "little", signed=True))
                 h2.append(int.from_bytes(digest[8:], "little", signed=True))
-                low.append(values[:SKETCH])
+                low.append((values[:SKETCH] >> 32).astype(np.int32))
+                listed.append(values[:LISTED])
             numbers = [pa.array(c, pa.int64()) for c in (size, h1, h2)]
-            lists = pa.array(low, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), *numbers, lists], ["row", "size", "h1", "h2", "sketch"])
+            lists = [pa.array(low, pa.list_(pa.int32())), pa.array(listed, pa.list_(pa.int64()))]
+            names = ["row", "size", "h1", "h2", "sketch", "listed"]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *numbers, *lists], names)
 
-    return rows.mapInArrow(sketch, "row long, size long, h1 long, h2 long, sketch array<long>")
+    return rows.mapInArrow(sketch, "row long, size long, h1 long, h2 long, sketch array<int>, listed array<long>")
 
 
 def _full_sets(rows: DataFrame, words: int) -> DataFrame:
@@ -117,26 +126,29 @@ def _side(df: DataFrame, name: str, key: list[str], more: tuple[str, ...] = ())
     return df.select(*key, *[F.col(c).alias(f"{c}_{name}") for c in ("rep", "size", "sketch", *more)])
 
 
-def _alike(percent: int) -> Column:
-    """Sizes allow the similarity, and the sketches share enough values to be close."""
+def _estimated(joined: DataFrame, percent: int) -> DataFrame:
+    """``joined`` with ``estimate``, where sizes and the union's sketch allow ``percent`` hundredths.
+
+    The estimate is the share of the union's smallest values that both sets have.
+    """
     small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    shared = F.size(F.array_intersect("sketch_a", "sketch_b"))
-    return (100 * small >= percent * large) & (shared >= F.ceil(CLOSE * F.least(small, F.lit(SKETCH))))
+    shared = F.array_intersect("sketch_a", "sketch_b")
+    floor = (percent - MARGIN) / 100
+    # The union's sketch is no shorter than the longer set, up to its length.
+    possible = (100 * small >= percent * large) & (F.size(shared) >= floor * F.least(large, F.lit(SKETCH)))
+    taken = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, SKETCH)
+    estimate = F.when(possible, F.size(F.array_intersect(taken, shared)) / F.size(taken))
+    return joined.withColumn("estimate", estimate).where(F.col("estimate") >= floor)
 
 
-def _estimated(pairs: DataFrame) -> DataFrame:
-    """``(a, b, estimate)``: the share of the union's smallest values that both sets have."""
-    union = F.array_sort(F.array_union("sketch_a", "sketch_b"))
-    taken = F.slice(union, 1, SKETCH)
-    both = F.size(F.array_intersect(taken, F.array_intersect("sketch_a", "sketch_b")))
-    a, b = F.least("rep_a", "rep_b"), F.greatest("rep_a", "rep_b")
-    return pairs.select(a.alias("a"), b.alias("b"), (both / F.size(taken)).alias("estimate"))
+def _pairs(joined: DataFrame) -> DataFrame:
+    return joined.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"), "estimate")
 
 
 def _within(members: DataFrame, key: list[str], percent: int) -> DataFrame:
     """Close pairs of each group; only for groups of bounded size."""
     left, right = _side(members, "a", key), _side(members, "b", key)
-    return _estimated(left.join(right, key).where((F.col("rep_a") < F.col("rep_b")) & _alike(percent)))
+    return _pairs(_estimated(left.join(right, key).where(F.col("rep_a") < F.col("rep_b")), percent))
 
 
 def _sized(members: DataFrame, key: list[str]) -> DataFrame:
@@ -145,85 +157,145 @@ def _sized(members: DataFrame, key: list[str]) -> DataFrame:
     return members.join(sizes, key)
 
 
-def _neighbourhoods(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """For ``(g, rep, size, sketch, weight)`` of large groups: close pairs, links, and balls ``(centre, rep)``.
-
-    In each round a group's members are compared with its centre. Members that link to it leave the
-    group, the others go on. Whatever links to a linked member is in the ball of the centre.
-    """
-    columns = ("rep", "size", "sketch", "weight")
-    pairs, links, balls = [], [], []
-    for _ in range(ROUNDS):
-        heaviest = members.groupBy("g").agg(F.max("weight").alias("weight"))
-        centre = members.join(heaviest, ["g", "weight"]).groupBy("g").agg(F.min("rep").alias("rep"))
-        centre = materialize(members.join(centre, ["g", "rep"], "left_semi"), "centres")
-        other = members.select("g", *[F.col(c).alias(f"{c}_b") for c in columns])
-        near = other.join(_side(centre, "a", ["g"]), "g").where(_alike(2 * percent - 100))
-        near = materialize(near.select("rep_a", "rep_b", _alike(percent).alias("alike")).distinct(), "near")
-        balls.append(near.select(F.col("rep_a").alias("centre"), F.col("rep_b").alias("rep")))
-        asked = near.where("alike AND rep_a != rep_b").select(
-            F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")
-        )
-        found = materialize(_confirmed(asked.distinct(), sets, percent), "links")
-        links.append(found)
-        both = found.union(found.select("b", "a")).toDF("centre", "rep").union(centre.select("rep", "rep")).distinct()
-        gone = centre.select("g", F.col("rep").alias("centre")).join(both, "centre").select("g", "rep")
-        members = _sized(members.join(gone, ["g", "rep"], "left_anti"), ["g"])
-        pairs.append(_within(members.where(F.col("n") <= LIST), ["g"], percent))
-        members = materialize(members.where(F.col("n") > LIST).drop("n"), "others")
-        if members.isEmpty():
+def forest(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """A spanning forest of the links between the two sides of a block, or within its one side."""
+    frame = frame.sort_values(["side", "rep"], kind="stable")
+    sets = [np.asarray(v, dtype=np.int64) for v in frame["shingles"]]
+    side, rep = frame["side"].to_numpy(), frame["rep"].to_numpy()
+    size = np.array([len(v) for v in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), size)
+    often = times[column] > 1  # what one set alone has is in no intersection
+    owner, column = owner[often], column[often]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], np.unique(column[order], return_inverse=True)[1]
+    common = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
+        low, high = np.searchsorted(column, [start, start + 2048])
+        part = np.zeros((len(sets), 2048), dtype=np.float32)
+        part[owner[low:high], column[low:high] - start] = 1.0
+        common += part @ part.T
+    linked = 100.0 * common >= percent * (size[:, None] + size[None, :] - common)
+    if side.min() != side.max():
+        linked &= side[:, None] != side[None, :]
+    links, seen = [], np.zeros(len(sets), dtype=bool)
+    for root in range(len(sets)):
+        waiting = [] if seen[root] else [root]
+        seen[root] = True
+        while waiting:
+            new = np.flatnonzero(linked[waiting.pop()] & ~seen)
+            seen[new] = True
+            waiting.extend(new.tolist())
+            links.extend((rep[root], rep[i]) for i in new)
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
+def _neighbourhoods(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` of large groups, given as ``(g, rep, size, sketch, weight)``: enough to join all that link."""
+    heaviest = members.groupBy("g").agg(F.max("weight").alias("weight"))
+    centre = members.join(heaviest, ["g", "weight"]).groupBy("g").agg(F.min("rep").alias("rep"))
+    centre = materialize(members.join(centre, ["g", "rep"], "left_semi"), "centres")
+    other = members.select("g", *[F.col(c).alias(f"{c}_b") for c in ("rep", "size", "sketch")])
+    # Two links in a row cannot lead further from the centre than this.
+    close = _estimated(other.join(_side(centre, "a", ["g"]), "g"), 2 * percent - 100)
+    close = close.where(F.col("rep_a") != F.col("rep_b")).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
+    met = _compared(close, sets).where(_reaches(2 * percent - 100))
+    met = materialize(met.select("a", "b", _reaches(percent).alias("linked")), "met")
+    named = centre.select("g", F.col("rep").alias("a"))
+    state = members.select("g", F.col("rep").alias("b")).join(named, "g").where(F.col("a") != F.col("b")).join(met, ["a", "b"], "left")
+    # Unlinked, of these close to the centre, and linked.
+    state = state.select("g", F.col("b").alias("rep"), F.coalesce("linked", F.lit(False)).alias("linked"), F.col("linked").isNotNull().alias("near"))
+    loose, near = ~F.col("linked"), ~F.col("linked") & F.col("near")
+    parts = lambda rows: F.greatest(F.lit(1), F.ceil(F.sum(rows.cast("int")) / F.lit(BLOCK)).cast("int"))
+    counts = state.groupBy("g").agg(parts(loose).alias("n_loose"), parts(near).alias("n_near"), parts(F.col("linked")).alias("n_linked"))
+    state = materialize(state.join(counts, "g"), "state")
+    own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    def sent(rows: DataFrame, what: int, mine: str, others: str, side: int) -> DataFrame:
+        return rows.select("g", "rep", F.lit(what).alias("what"), own(mine).alias("m"), each(others).alias("o"), F.lit(side).alias("side"))
+
+    among = sent(state.where(loose), 0, "n_loose", "n_loose", 0)
+    swap = F.col("m") > F.col("o")
+    among = among.select("g", "rep", "what", F.least("m", "o").alias("i"), F.greatest("m", "o").alias("j"), swap.cast("int").alias("side"))
+    asking = sent(state.where(near), 1, "n_near", "n_linked", 0).withColumnsRenamed({"m": "i", "o": "j"})
+    asked = sent(state.where("linked"), 1, "n_linked", "n_near", 1).withColumnsRenamed({"m": "j", "o": "i"})
+    blocks = among.unionByName(asking).unionByName(asked).join(sets.withColumnRenamed("row", "rep"), "rep")
+    found = blocks.groupBy("g", "what", "i", "j").applyInPandas(lambda frame: forest(frame, percent), "a long, b long")
+    return materialize(met.where("linked").select("a", "b").union(found).distinct(), "sure")
+
+
+def enough(listed: int, percent: int) -> int:
+    """Of ``listed`` random values, so many that all being in one set of a linked pair only is rarer than ``MISSED``."""
+    alone = 1 - percent / 100
+    tail, least = 0.0, listed + 1
+    while least > 1:
+        tail += math.comb(listed, least - 1) * alone ** (least - 1) * (1 - alone) ** (listed - least + 1)
+        if tail > MISSED:
             break
-    else:
-        pairs.append(_within(members, ["g"], percent))
-    found, linked, ball = pairs[0], links[0], balls[0]
-    for more in pairs[1:]:
-        found = found.unionByName(more)
-    for more in links[1:]:
-        linked = linked.unionByName(more)
-    for more in balls[1:]:
-        ball = ball.unionByName(more)
-    return found, linked.distinct(), materialize(ball.distinct(), "balls")
-
-
-def _candidates(reps: DataFrame, sets_for: Callable, percent: int) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
-    """``(a, b, estimate)`` of close representatives, and the links and balls of large groups."""
-    posted = reps.select("rep", "size", "sketch", F.explode(F.slice("sketch", 1, LISTED)).alias("v"))
-    lists = materialize(posted.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1), "lists")
-    shared = posted.join(lists, "v")
-    shared = materialize(shared, "postings")
-    pairs = _within(shared.where(F.col("n") <= LIST), ["v"], percent)
-    # Values of its own and of short lists are what a representative can be found by.
-    heavy = shared.where(F.col("n") > LIST).groupBy("rep").agg(F.count(F.lit(1)).alias("heavy"), F.sum("n").alias("weight"))
-    loose = (100 - percent) / percent
-    needed = F.least(F.lit(LEAST_LIGHT), F.floor(F.col("size") * F.lit(loose)) + 1)
-    light = F.least(F.col("size"), F.lit(LISTED)) - F.col("heavy")
-    found = reps.select("rep", "size", "sketch").join(heavy, "rep").where(light < needed).drop("heavy")
-    found = materialize(found, "heavy")
-    if found.isEmpty():
-        return pairs, None, None
+        least -= 1
+    return least
+
+
+def _listed(reps: DataFrame, values: Column, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Close pairs from the short inverted lists of ``values``, and the representatives with too few of them."""
+    posted = reps.select("rep", "size", F.size(values).alias("values"), F.explode(values).alias("v"))
+    lists = posted.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    shared = materialize(posted.join(lists, "v"), "shared")
+    with_sketch = shared.where(F.col("n") <= LIST).select("v", "rep").join(reps.select("rep", "size", "sketch"), "rep")
+    pairs = _within(with_sketch, ["v"], percent)
+    heavy = shared.where(F.col("n") > LIST).groupBy("rep").agg(
+        F.count(F.lit(1)).alias("heavy"), F.sum("n").alias("weight"), F.first("size").alias("of"), F.first("values").alias("values")
+    )
+    # Of a whole set, at most this many values are not in a linked one.
+    whole = F.floor(F.col("of") * F.lit((100 - percent) / 100) + F.lit(1e-9)) + 1
+    table = F.array(*[F.lit(enough(n, percent)) for n in range(1, DEEPER + 1)])
+    needed = F.when(F.col("values") == F.col("of"), whole).otherwise(F.element_at(table, F.col("values")))
+    few = heavy.where(F.col("values") - F.col("heavy") < needed).select("rep", "weight")
+    return pairs, materialize(few, "few")
+
+
+def _candidates(reps: DataFrame, sets_for: Callable, percent: int) -> tuple[DataFrame, DataFrame | None]:
+    """``(a, b, estimate)`` of close representatives, and the links of large groups."""
+    pairs, few = _listed(reps, F.col("listed"), percent)
+    if few.isEmpty():
+        return pairs, None
+    sets = sets_for(few.select(F.col("rep").alias("row"))).withColumnRenamed("row", "rep")
+    again = materialize(reps.select("rep", "size", "sketch").join(sets, "rep"), "again")
+    more, common = _listed(again, F.slice("shingles", 1, DEEPER), percent)
+    pairs = pairs.unionByName(more)
+    if common.isEmpty():
+        return pairs, None
 
     def least(seed: int) -> Column:
         return F.array_min(F.transform("sketch", lambda x: F.xxhash64(x, F.lit(seed))))
 
     keys = F.array(*[F.xxhash64(F.lit(j), least(2 * j), least(2 * j + 1)) for j in range(BANDS)])
-    grouped = materialize(found.withColumn("g", F.explode(keys)), "bands")
-    grouped = _sized(grouped, ["g"])
+    found = again.select("rep", "size", "sketch").join(common, "rep")
+    grouped = materialize(_sized(found.withColumn("g", F.explode(keys)), ["g"]), "bands")
     pairs = pairs.unionByName(_within(grouped.where(F.col("n") <= LIST), ["g"], percent))
-    large = materialize(grouped.where(F.col("n") > LIST).drop("n"), "large")
+    large = grouped.where(F.col("n") > LIST).drop("n")
     if large.isEmpty():
-        return pairs, None, None
-    more, links, balls = _neighbourhoods(large, sets_for(large.select(F.col("rep").alias("row"))), percent)
-    return pairs.unionByName(more), links, balls
+        return pairs, None
+    return pairs, _neighbourhoods(large, sets.withColumnRenamed("rep", "row"), percent)
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the similarity."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` with the sizes of both full sets and of what they have in common."""
     left = sets.select(F.col("row").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("row").alias("b"), F.col("shingles").alias("of_b"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("of_a", "of_b"))
-    alike = 100 * common >= percent * (F.size("of_a") + F.size("of_b") - common)
-    return both.where(alike).select("a", "b")
+    return both.select("a", "b", common.alias("common"), F.size("of_a").alias("n_a"), F.size("of_b").alias("n_b"))
+
+
+def _reaches(percent: int) -> Column:
+    return 100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets reach the similarity."""
+    return _compared(pairs, sets).where(_reaches(percent)).select("a", "b")
 
 
 def _crossing(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -243,7 +315,7 @@ def _linked(reps: DataFrame, rows: DataFrame, text_col: str, near: Near) -> Data
         texts = rows.join(small, "row", "left_semi").select("row", text_of(f"doc.`{text_col}`").cast("binary").alias("text"))
         return materialize(_full_sets(texts, near.words), "sets")
 
-    pairs, sure, balls = _candidates(reps, sets_for, near.percent)
+    pairs, sure = _candidates(reps, sets_for, near.percent)
     pairs = materialize(pairs.groupBy("a", "b").agg(F.max("estimate").alias("estimate")), "pairs")
     sets = sets_for(pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))))
     # First the partner most alike, and the first partner that is likely to be linked.
@@ -261,23 +333,7 @@ def _linked(reps: DataFrame, rows: DataFrame, text_col: str, near: Near) -> Data
     if not rest.isEmpty():
         links = materialize(links.union(_confirmed(rest, sets, near.percent)), "confirmed")
         roots = materialize(components(links), "roots")
-    if balls is None:
-        return roots
-    # Close to a centre without a link: compared with the whole ball.
-    loose = materialize(_crossing(balls.select(F.col("centre").alias("a"), F.col("rep").alias("b")), roots), "loose")
-    if loose.isEmpty():
-        return roots
-    of = reps.select("rep", "size", "sketch")
-    asked = _side(loose.select(F.col("a").alias("centre"), F.col("b").alias("rep")).join(of, "rep"), "a", ["centre"])
-    ball = _side(balls.join(of, "rep"), "b", ["centre"])
-    met = asked.join(ball, "centre").where((F.col("rep_a") != F.col("rep_b")) & _alike(near.percent))
-    met = _crossing(_estimated(met).select("a", "b").distinct(), roots).select("a", "b")
-    met = materialize(met.join(pairs, ["a", "b"], "left_anti"), "met")
-    if met.isEmpty():
-        return roots
-    sets = sets_for(met.select(F.col("a").alias("row")).union(met.select(F.col("b").alias("row"))))
-    links = materialize(links.union(_confirmed(met, sets, near.percent)), "confirmed")
-    return materialize(components(links), "roots")
+    return roots
 
 
 def _labelled(docs: DataFrame, id_col: str, text_col: str, near: Near) -> tuple[DataFrame, DataFrame]:
@@ -293,7 +349,7 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, near: Near) -> tuple[
     named = attach(sketches.select("row", *same), classes, same, ["row"])
     members = materialize(named.select("row", "size", F.coalesce("rep", "row").alias("rep")), "members")
     copies = members.where(F.col("row") != F.col("rep")).select("row")
-    reps = with_words.join(copies, "row", "left_anti").select(F.col("row").alias("rep"), "size", "sketch")
+    reps = with_words.join(copies, "row", "left_anti").select(F.col("row").alias("rep"), "size", "sketch", "listed")
     roots = _linked(reps, rows, text_col, near)
     ids = rows.select("row", F.col(f"doc.`{id_col}`").alias("id"))
     known = members.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").join(ids, "row")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hardwood.llm import exact_dedup, mixing, near_dedup, packing, quality
 from hardwood.llm.common import prepared, table
-from hardwood.session import materialize
+from hardwood.session import remove_path, work_path, work_scope
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(prepared(spark), sf_dir, "documents")
+    """All stages in turn; what a stage made for itself is deleted when its table is written, its input, too."""
+    docs, earlier = table(prepared(spark), sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        path = work_path(spark, name)
+        with work_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if earlier:
+            remove_path(spark, earlier)
+        docs, earlier = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

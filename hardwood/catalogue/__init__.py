@@ -6,7 +6,7 @@ from importlib import import_module
 
 from hardwood.catalogue.registry import REGISTRY, Query
 
-MODULES = ["cleaning", "pages", "merging", "features", "scaling", "models", "evaluation", "subscriptions", "pipelines"]
+MODULES = ["cleaning", "pages", "merging", "features", "scaling", "models", "evaluation", "subscriptions", "pipelines", "files"]
 
 
 def all_queries() -> dict[str, Query]:

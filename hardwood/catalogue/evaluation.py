@@ -137,13 +137,13 @@ def target_histogram(tables):
     "best_worst_players",
     "O3 A6",
     f"""
-    WITH {SQL_NAIVE}, m AS ({SQL_PLAYER} FROM p WHERE split = 'test' GROUP BY user_id HAVING count(*) >= 8),
+    WITH {SQL_NAIVE}, m AS ({SQL_PLAYER} FROM p WHERE split = 'test' GROUP BY user_id HAVING count(*) >= 10),
     r AS (SELECT *, row_number() OVER (ORDER BY mse, user_id) AS a, row_number() OVER (ORDER BY mse DESC, user_id) AS b FROM m)
     SELECT user_id, n, round(mse, 4) AS mse, 'best' AS side FROM r WHERE a <= 3
     UNION ALL SELECT user_id, n, round(mse, 4), 'worst' FROM r WHERE b <= 3
     """,
 )
 def best_worst_players(tables):
-    """Best and worst three among players with at least eight test games."""
-    ranked = E.best_and_worst(difficulty(tables), "user_id", at_least=8)
+    """Best and worst three among players with at least ten test games."""
+    ranked = E.best_and_worst(difficulty(tables), "user_id", at_least=10)
     return ranked.select("user_id", "n", F.round("mse", 4).alias("mse"), "side")

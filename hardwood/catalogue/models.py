@@ -44,7 +44,7 @@ SQL_POOLED = SQL_FIT.format(key="", where="WHERE split = 'train'", group="")
 def _pooled(tables):
     rows = _stored(tables, 2)
     features = ["y_1", "y_2"]
-    model = linear.linear_pipeline(features, "y").fit(rows.where("split = 'train'"))
+    model = linear.fit_complete(linear.linear_pipeline(features, "y"), rows.where("split = 'train'"), features, "y")
     return model, rows, features
 
 
@@ -136,31 +136,84 @@ def pooled_model_player_mse(tables):
     return metrics(scored, "y", "y_pred", ["user_id"]).select("user_id", "n", F.round("mse", 3).alias("mse"))
 
 
-LAGS = ["y_1", "y_2", "y_3"]
+SQL_LARGE_MEANS = "x AS (SELECT l_suppkey, l_extendedprice AS y, l_quantity AS y_1, l_partkey + 1000000.0::DOUBLE AS y_2 FROM lineitem)"
 
 
-@query("tree_regressor", "M3")
+@query(
+    "fit_per_supplier_large_means",
+    "M6",
+    f"""
+    WITH {SQL_LARGE_MEANS}, f AS ({SQL_FIT.format(key="l_suppkey,", where="", group="GROUP BY l_suppkey")})
+    SELECT l_suppkey, n, 'fitted' AS status, round(my - b1 * m1 - b2 * m2, 1) AS w0, round(b1, 4) AS w1, round(b2, 5) AS w2 FROM f
+    """,
+)
+def fit_per_supplier_large_means(tables):
+    """Fits do not depend on the magnitude of a feature."""
+    rows = tables.lineitem.select(
+        "l_suppkey", F.col("l_extendedprice").alias("y"), F.col("l_quantity").cast("double").alias("x1"), (F.col("l_partkey") + 1e6).alias("x2")
+    )
+    fits = linear.fit_per_entity(rows, ["l_suppkey"], ["x1", "x2"], "y")
+    digits = {0: 1, 1: 4, 2: 5}
+    return fits.select("l_suppkey", "n", "status", *[F.round(F.get("weights", F.lit(i)), d).alias(f"w{i}") for i, d in digits.items()])
+
+
+# Of one feature with few values, a tree of full depth predicts the mean of each value's rows. The first boosting
+# round is that tree, and later rounds have nothing left to fit.
+SQL_MEANS = """
+    x AS (SELECT l_orderkey, l_linenumber, l_quantity AS q, l_extendedprice / 1000 AS y,
+                 CASE WHEN l_orderkey % 10 < 7 THEN 'train' WHEN l_orderkey % 10 = 7 THEN 'val' ELSE 'test' END AS split FROM lineitem),
+    m AS (SELECT q, avg(y) AS y_pred FROM x WHERE split = 'train' GROUP BY q),
+    s AS (SELECT x.*, m.y_pred FROM x JOIN m ON x.q = m.q)"""
+VALUES = 64
+
+
+def _quantities(tables):
+    """Lines with their quantity as the only feature, and a split by order."""
+    tenth = F.col("l_orderkey") % 10
+    split = F.when(tenth < 7, "train").when(tenth == 7, "val").otherwise("test")
+    rows = tables.lineitem.select(
+        "l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("q"), (F.col("l_extendedprice") / 1000).alias("y"),
+        split.alias("split"),
+    )
+    return materialize(rows, "quantities")
+
+
+@query("tree_regressor", "M3", f"WITH {SQL_MEANS} SELECT l_orderkey, l_linenumber, y, round(y_pred, 5) AS y_pred FROM s WHERE split = 'test'")
 def tree_regressor(tables):
-    rows = _stored(tables, 3)
-    model = trees.tree_pipeline(LAGS, "y", depth=12).fit(rows.where("split = 'train'"))
+    rows = _quantities(tables)
+    model = linear.fit_complete(trees.tree_pipeline(["q"], "y", bins=VALUES), rows.where("split = 'train'"), ["q"], "y")
     scored = model.transform(rows.where("split = 'test'"))
-    return scored.select("event_id", "y", F.round("y_pred", 4).alias("y_pred"))
+    return scored.select("l_orderkey", "l_linenumber", "y", F.round("y_pred", 5).alias("y_pred"))
+
 
+def _stopped(tables):
+    """Boosting that stops on a validation part, which is neither fitted nor scored."""
+    rows = _quantities(tables)
+    train, validation = rows.where("split = 'train'"), rows.where("split = 'val'")
+    model, curve = trees.fit_with_patience(train, validation, ["q"], "y", patience=2, min_delta=1e-6, depth=30, bins=VALUES)
+    return model, curve, rows
 
-@query("boosted_early_stop", "M5")
+
+@query("boosted_early_stop", "M5", f"WITH {SQL_MEANS} SELECT l_orderkey, l_linenumber, y, round(y_pred, 5) AS y_pred FROM s WHERE split = 'test'")
 def boosted_early_stop(tables):
-    rows = _stored(tables, 3).withColumn("is_val", F.col("split") == "test")
-    model = trees.boosted_pipeline(LAGS, "y", "is_val", rounds=10, depth=3).fit(rows)
-    return model.transform(rows.where("is_val")).select("event_id", "y", F.round("y_pred", 4).alias("y_pred"))
+    model, _, rows = _stopped(tables)
+    scored = model.transform(rows.where("split = 'test'"))
+    return scored.select("l_orderkey", "l_linenumber", "y", F.round("y_pred", 5).alias("y_pred"))
 
 
-@query("loss_curve", "E4")
+@query(
+    "loss_curve",
+    "E4",
+    f"""
+    WITH {SQL_MEANS},
+    l AS (SELECT avg((y - y_pred) ** 2) FILTER (WHERE split = 'train') AS loss, avg((y - y_pred) ** 2) FILTER (WHERE split = 'val') AS val_loss FROM s)
+    SELECT r::INT AS round, round(loss, 5) AS loss, round(val_loss, 5) AS val_loss FROM l, range(1, 5) t(r)
+    """,
+)
 def loss_curve(tables):
-    rows = _stored(tables, 3)
-    train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
-    model = trees.boosted_pipeline(LAGS, "y", rounds=10, depth=3).fit(train)
-    curve = trees.loss_curve(model, train, test)
-    return curve.withColumns({c: F.round(c, 4) for c in ("loss", "val_loss")})
+    """Four rounds: the best one, two without an improvement, and the rest of the trial."""
+    _, curve, _ = _stopped(tables)
+    return curve.withColumns({c: F.round(c, 5) for c in ("loss", "val_loss")})
 
 
 @query(

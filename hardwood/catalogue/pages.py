@@ -36,6 +36,21 @@ def link_explode(tables):
     return P.link_rows(tables.pages.select("page_id", "html"))
 
 
+def _quoted_otherwise(pages):
+    """Addresses in double quotes, in single quotes or bare, by page; one letter of them as a reference."""
+    form = F.col("page_id") % 3
+    bare = F.regexp_replace("html", 'href="/([^"\\s>]*)"', "href=&#x2F;$1")
+    single = F.regexp_replace("html", 'href="/([^"]*)"', "HREF = '&#47;$1'")
+    html = F.when(form == 0, F.col("html")).when(form == 1, single).otherwise(bare)
+    return pages.select("page_id", html.alias("html"))
+
+
+@query("link_quoting_forms", "S10", f"WITH {SQL_LINKS} SELECT page_id, pos, href, text FROM link")
+def link_quoting_forms(tables):
+    """The same links, however their addresses are written."""
+    return P.link_rows(_quoted_otherwise(tables.pages))
+
+
 @query("link_stride", "S11", f"WITH {SQL_LINKS} SELECT page_id, pos, href FROM link WHERE (pos + 1) % 4 = 0 AND length(text) > 1")
 def link_stride(tables):
     links = P.link_rows(tables.pages.select("page_id", "html"))
@@ -93,20 +108,21 @@ _SQL_MONTHS = ", ".join(f"({k}, '{m}')" for k, v in SEASON_MONTHS.items() for m
     grid AS (SELECT y::VARCHAR || '-' || lpad(((y + 1) % 100)::VARCHAR, 2, '0') AS season, month, y % 5 AS kind,
                     '/leagues/NBA_20' || lpad(((y + 1) % 100)::VARCHAR, 2, '0') || '_games-' || month || '.html' AS page
              FROM seasons JOIN md ON md.kind = seasons.y % 5),
-    landed AS (SELECT DISTINCT year(o_orderdate)::VARCHAR || '-' || lpad(((year(o_orderdate) + 1) % 100)::VARCHAR, 2, '0') AS season,
-                      lower(strftime(o_orderdate, '%B')) AS month FROM orders WHERE o_totalprice > 480000)
+    landed AS (SELECT year(o_orderdate)::VARCHAR || '-' || lpad(((year(o_orderdate) + 1) % 100)::VARCHAR, 2, '0') AS season,
+                      lower(strftime(o_orderdate, '%B')) AS month FROM orders GROUP BY 1, 2
+               HAVING avg(o_totalprice) > (SELECT avg(o_totalprice) FROM orders))
     SELECT season, month, page FROM grid WHERE NOT EXISTS
       (SELECT 1 FROM landed WHERE landed.season = grid.season AND landed.month = grid.month)
     """,
 )
 def coverage_missing_months(tables):
-    """Expected season months without a landed page; a large order stands for a page."""
+    """Expected season months without a landed page; a month of dear orders stands for a page."""
     year = F.year("o_orderdate")
     label = F.concat(year.cast("string"), F.lit("-"), F.lpad(((year + 1) % 100).cast("string"), 2, "0"))
     seasons = tables.orders.select(label.alias("season"), (year % 5).alias("scrape_type")).distinct()
-    landed = tables.orders.where("o_totalprice > 480000").select(
-        label.alias("season"), F.lower(F.date_format("o_orderdate", "MMMM")).alias("month")
-    )
+    overall = tables.orders.agg(F.avg("o_totalprice")).first()[0]
+    by_month = tables.orders.groupBy(label.alias("season"), F.lower(F.date_format("o_orderdate", "MMMM")).alias("month"))
+    landed = by_month.agg(F.avg("o_totalprice").alias("mean")).where(F.col("mean") > F.lit(overall))
     grid = expected_months(seasons)
     return only_new(grid, landed, ["season", "month"], ["page"]).select("season", "month", "page")
 
@@ -206,17 +222,55 @@ def box_score_extract(tables):
     return box.select("Player", F.col("Date").cast("string").alias("Date"), "Team", "Against", "Home", "MP", "FG", "PTS", "GameLink")
 
 
+def _broken_pages(tables):
+    """Pages with each kind of fault, beside whole ones."""
+    pages = _box_pages(tables)
+    order = F.element_at(F.split("url", "/"), -1).cast("long")
+    kind = order % 8
+    no_home = F.regexp_replace("html", "(?s)<tbody><tr><th>Team Totals.*?</tbody>", "")
+    html = (
+        F.when(kind == 1, no_home)
+        .when(kind == 2, F.regexp_replace("html", " at ", " v "))
+        .when(kind == 3, F.regexp_replace("html", "(?s)<tr.*?</tr>|<tr.*?(?=</tbody>)", ""))
+        .otherwise(F.col("html"))
+    )
+    return pages.select("url", html.alias("html"))
+
+
 @query(
     "box_score_quarantine",
     "K6 S15",
-    """SELECT '/boxscores/' || o_orderkey AS "URL", 'no table body' AS "Error" FROM orders WHERE o_orderstatus = 'P'""",
+    """
+    SELECT * FROM (
+      SELECT '/boxscores/' || o_orderkey AS "URL",
+        CASE WHEN o_orderstatus = 'P' THEN 'no table body' WHEN o_orderkey % 8 = 1 THEN 'no home table'
+             WHEN o_orderkey % 8 = 2 THEN 'no teams or date in the title' WHEN o_orderkey % 8 = 3 THEN 'no rows' END AS "Error" FROM orders)
+    WHERE "Error" IS NOT NULL
+    """,
 )
 def box_score_quarantine(tables):
-    return P.page_errors(_box_pages(tables))
+    return P.page_errors(_broken_pages(tables))
+
+
+@query(
+    "box_score_of_whole_pages",
+    "S15 K6",
+    """
+    SELECT '/boxscores/' || o_orderkey AS "GameLink", count(*) AS n FROM orders, range(3)
+    WHERE o_orderstatus <> 'P' AND o_orderkey % 8 NOT IN (1, 2, 3) GROUP BY 1
+    """,
+)
+def box_score_of_whole_pages(tables):
+    """Pages in quarantine give no rows; all others give all of theirs."""
+    return P.box_scores(_broken_pages(tables)).groupBy("GameLink").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("stream_page_ingest", "T1", "SELECT page_id, url, length(html)::INT AS n_chars FROM pages")
 def stream_page_ingest(tables):
+    """Pages land in two parts, of which the second repeats a half of the first."""
     folder = work_path(tables.spark, "ingest")
-    table = ingest_pages(tables.spark, tables.folder, f"{folder}/pages", f"{folder}/checkpoint", glob="pages.parquet")
+    half = F.col("page_id") % 4
+    for landed in (half < 2, half > 0):
+        tables.pages.where(landed).write.mode("append").parquet(f"{folder}/landing")
+        table = ingest_pages(tables.spark, f"{folder}/landing", f"{folder}/pages", f"{folder}/checkpoint")
     return table.select("page_id", "url", F.length("html").alias("n_chars"))

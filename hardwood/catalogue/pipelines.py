@@ -5,57 +5,83 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hardwood.catalogue.features import SQL_WEEK, week
+from hardwood.catalogue.models import SQL_POOLED
 from hardwood.catalogue.registry import query
-from hardwood.plans.averages import merged_averages
+from hardwood.models.linear import fit_complete, linear_pipeline
+from hardwood.operators.evaluate import metrics
+from hardwood.operators.impute import fill_series_mean
+from hardwood.operators.series import GameSeries, window_features
+from hardwood.plans.averages import linear_on_averages, merged_averages
 from hardwood.plans.feed import shifted_sets
 from hardwood.plans.windows import player_windows, season_windows
+from hardwood.session import materialize
 
 
-@query(
-    "feed_to_lag_sets",
-    "W7 W1 P3 C20",
-    f"""
-    WITH g AS (SELECT *, {SQL_WEEK} AS season, CASE WHEN event_type <> 'error' THEN value END AS y0 FROM events),
-    i AS (SELECT *, coalesce(y0, avg(y0) OVER (PARTITION BY season, user_id)) AS y FROM g),
-    l AS (SELECT *, lag(y, 1) OVER w AS y_1, lag(y, 5) OVER w AS y_5, row_number() OVER w - 1 AS before FROM i
+STEPS = 20
+
+
+def _sql_lags(value: str, mean: str) -> str:
+    """Imputed events with lags and splits, as ``k``; ``mean`` wraps the mean that fills gaps."""
+    return f"""
+    g AS (SELECT *, {SQL_WEEK} AS season, CASE WHEN event_type <> 'error' THEN {value} END AS y0 FROM events),
+    i AS (SELECT *, coalesce(y0, {mean.format("avg(y0) OVER (PARTITION BY season, user_id)")}) AS y FROM g),
+    l AS (SELECT *, lag(y, 1) OVER w AS y_1, lag(y, 5) OVER w AS y_5, lag(y, {STEPS}) OVER w AS y_20, row_number() OVER w - 1 AS before FROM i
           WINDOW w AS (PARTITION BY season, user_id ORDER BY ts, event_id)),
-    k AS (SELECT *, md5(season || '|' || user_id || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '|' || event_id || 's10a') AS a,
-                 md5(season || '|' || user_id || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '|' || event_id || 's10b') AS b FROM l WHERE y IS NOT NULL)
-    SELECT event_id, least(before, 5)::INT AS depth, round(y, 6) AS y, round(y_1, 6) AS y_1, round(y_5, 6) AS y_5,
-           CASE WHEN ('0x' || substr(a, 1, 8))::BIGINT % 100 >= 80 THEN 'test' WHEN ('0x' || substr(b, 1, 8))::BIGINT % 100 < 90 THEN 'train' ELSE 'val' END AS split
-    FROM k
-    """,
-)
-def feed_to_lag_sets(tables):
-    """A player without any score in a season has no value to fill with and drops out."""
-    feed = tables.events.select(
+    h AS (SELECT *, md5(season || '|' || user_id || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '|' || event_id || 's10a') AS a,
+                 md5(season || '|' || user_id || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '|' || event_id || 's10b') AS b FROM l WHERE y IS NOT NULL),
+    k AS (SELECT *, CASE WHEN ('0x' || substr(a, 1, 8))::BIGINT % 100 >= 80 THEN 'test' WHEN ('0x' || substr(b, 1, 8))::BIGINT % 100 < 90 THEN 'train' ELSE 'val' END AS split FROM h)"""
+
+
+# Means of such values do not lie half-way between two roundings.
+UNEVEN = 1.0003717
+_SQL_UNEVEN = _sql_lags(f"value * {UNEVEN}::DOUBLE", "round({}, 2)")
+SQL_LAG_SETS = f"""
+    WITH {_SQL_UNEVEN}
+    SELECT event_id, n AS timestep, split, round(y, 6) AS y, round(y_1, 6) AS y_1, CASE WHEN n = {STEPS} THEN round(y_20, 6) END AS y_20
+    FROM k, (VALUES (1), (5), ({STEPS})) t(n) WHERE before >= n"""
+
+
+def lag_feed(tables, scale: float = UNEVEN):
+    """Events as a cleaned feed; errors are games without a score."""
+    score = F.col("value") if scale == 1.0 else F.col("value") * scale
+    return tables.events.select(
         week().alias("season"),
         F.col("user_id").alias("Player"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("Date"),
         F.col("event_id").alias("GameID"),
-        F.when(F.col("event_type") != "error", F.col("value")).alias("FDP"),
+        F.when(F.col("event_type") != "error", score).alias("FDP"),
         F.col("value").alias("FDSal"),
     )
-    sets = shifted_sets(feed, 5, digits=None)
-    return sets.select(
-        F.col("GameID").alias("event_id"), "depth", F.round("FDP", 6).alias("y"), F.round("FDP_1", 6).alias("y_1"),
-        F.round("FDP_5", 6).alias("y_5"), "split",
-    )
 
 
 @query(
-    "merge_to_averages",
-    "J1 C10 W3 C26",
-    """
-    WITH b AS (SELECT l_orderkey, sum(l_quantity) AS pts, count(*)::DOUBLE AS mp FROM lineitem GROUP BY 1),
-    m AS (SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice AS fdp, pts, mp FROM orders JOIN b ON o_orderkey = l_orderkey)
-    SELECT o_orderkey AS game, pts, CASE WHEN count(*) OVER w = 2 THEN round(avg(pts) OVER w, 4) END AS m_pts,
-           CASE WHEN count(*) OVER w = 2 THEN round(avg(mp) OVER w, 4) END AS m_mp,
-           CASE WHEN count(*) OVER w = 2 THEN round(avg(fdp) OVER w, 4) END AS m_fdp
-    FROM m WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, lpad(o_orderkey::VARCHAR, 12, '0') ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING)
+    "feed_to_lag_sets",
+    "W7 W1 P3 C20",
+    f"""
+    WITH {_sql_lags("value", "{}")}
+    SELECT event_id, least(before, {STEPS})::INT AS depth, round(y, 6) AS y, round(y_1, 6) AS y_1, round(y_5, 6) AS y_5, round(y_20, 6) AS y_20, split FROM k
     """,
 )
-def merge_to_averages(tables):
+def feed_to_lag_sets(tables):
+    """All twenty depths. A player without any score in a season has no value to fill with and drops out."""
+    sets = shifted_sets(lag_feed(tables, 1.0), STEPS, digits=None)
+    lags = [F.round(f"FDP_{n}", 6).alias(f"y_{n}") for n in (1, 5, STEPS)]
+    return sets.select(F.col("GameID").alias("event_id"), "depth", F.round("FDP", 6).alias("y"), *lags, "split")
+
+
+@query(
+    "impute_two_digits",
+    "W7 A3",
+    f"WITH {_SQL_UNEVEN} SELECT event_id, round(y, 6) AS y FROM k",
+)
+def impute_two_digits(tables):
+    """Gaps filled with the mean of the season's games, rounded as by default."""
+    series = GameSeries.of(lag_feed(tables), ["season", "Player"], ["Date", "GameID"])
+    filled = fill_series_mean(series, ["FDP"]).result().where("FDP IS NOT NULL")
+    return filled.select(F.col("GameID").alias("event_id"), F.round("FDP", 6).alias("y"))
+
+
+def _two_sides(tables):
     game = F.concat(F.lit("g-"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0"))
     keyed = tables.orders.select(
         "o_orderkey", game.alias("GameID"), F.concat(F.lit("P"), F.col("o_custkey").cast("string")).alias("name"),
@@ -70,13 +96,56 @@ def merge_to_averages(tables):
         F.upper("GameID").alias("GameID"), F.col("name").alias("Name"), "Date", F.upper("Team").alias("Team"),
         F.lit("X").alias("OPP"), "PTS", "MP",
     )
-    done = merged_averages(feed, box, ["PTS", "MP", "FDP"])
+    return feed, box
+
+
+def _averaged_sql(extra: str = "") -> str:
+    return f"""
+    b AS (SELECT l_orderkey, sum(l_quantity) AS pts, count(*)::DOUBLE AS mp FROM lineitem GROUP BY 1),
+    m AS (SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus, o_totalprice AS fdp, pts, mp FROM orders JOIN b ON o_orderkey = l_orderkey),
+    v AS (SELECT *, CASE WHEN count(*) OVER w = 2 THEN avg(pts) OVER w END AS a1, CASE WHEN count(*) OVER w = 2 THEN avg(mp) OVER w END AS a2{extra}
+          FROM m WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, lpad(o_orderkey::VARCHAR, 12, '0') ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING))"""
+
+
+@query(
+    "merge_to_averages",
+    "J1 C10 W3 C26",
+    f"""
+    WITH {_averaged_sql(", CASE WHEN count(*) OVER w = 2 THEN avg(fdp) OVER w END AS a3")}
+    SELECT o_orderkey AS game, pts, round(a1, 4) AS m_pts, round(a2, 4) AS m_mp, round(a3, 4) AS m_fdp FROM v
+    """,
+)
+def merge_to_averages(tables):
+    done = merged_averages(*_two_sides(tables), ["PTS", "MP", "FDP"])
     return done.select(
         F.regexp_extract("GameID", "(\\d+)$", 1).cast("long").alias("game"), F.col("PTS").alias("pts"),
         *[F.round(f"2_{c}", 4).alias(f"m_{c.lower()}") for c in ("PTS", "MP", "FDP")],
     )
 
 
+@query(
+    "linear_on_averages",
+    "J1 W3 C20 C17 P2 M1 A5",
+    f"""
+    WITH {_averaged_sql()},
+    r AS (SELECT *, fdp / 1000 AS y, md5('g-' || lpad(o_orderkey::VARCHAR, 12, '0')) AS h FROM v WHERE a1 IS NOT NULL AND fdp <> 0),
+    x AS (SELECT *, CASE WHEN ('0x' || substr(h, 1, 8))::BIGINT % 100 < 80 THEN 'train' ELSE 'test' END AS split FROM r),
+    f AS (SELECT avg(a1) AS m1, avg(a2) AS m2, avg(y) AS my,
+            (covar_pop(y, a1) * var_pop(a2) - covar_pop(y, a2) * covar_pop(a1, a2)) / (var_pop(a1) * var_pop(a2) - covar_pop(a1, a2) ** 2) AS b1,
+            (covar_pop(y, a2) * var_pop(a1) - covar_pop(y, a1) * covar_pop(a1, a2)) / (var_pop(a1) * var_pop(a2) - covar_pop(a1, a2) ** 2) AS b2
+          FROM x WHERE split = 'train')
+    SELECT o_orderkey AS game, round(my + b1 * (a1 - m1) + b2 * (a2 - m2), 4) AS y_pred FROM x, f WHERE split = 'test'
+    """,
+)
+def linear_on_averages_query(tables):
+    """Merged sources, means of the previous two games, and a linear fit on them with a random split."""
+    averaged = merged_averages(*_two_sides(tables), ["PTS", "MP"])
+    averaged = averaged.withColumn("FDP", F.col("FDP") / 1000)
+    _, predicted, _ = linear_on_averages(averaged, ["PTS", "MP"], key="GameID")
+    game = F.regexp_extract("GameID", "(\\d+)$", 1).cast("long")
+    return predicted.select(game.alias("game"), F.round("y_pred", 4).alias("y_pred"))
+
+
 ORDER = ["Date", "l_orderkey", "l_linenumber", "l_partkey"]
 
 
@@ -156,3 +225,28 @@ def season_window_pipeline(tables):
         F.col("Player").alias("player"), "season", "split", F.col("target_date").cast("string").alias("target"), F.round("y", 4).alias("y"),
         at("FG", 0).alias("fg0"), at("injured", 2).alias("injured2"), at("Team", 2).alias("team2"), at("Against", 1).alias("against1"),
     )
+
+
+@query(
+    "season_windows_to_model",
+    "W5 M7 A6 E1",
+    f"""
+    WITH {SQL_BOX},
+    p AS (SELECT *, row_number() OVER (PARTITION BY player, season ORDER BY d, l_orderkey, l_linenumber, l_partkey) AS pos,
+                 count(*) OVER (PARTITION BY player, season) AS n FROM b),
+    c AS (SELECT *, CASE WHEN pos <= floor(0.85::DOUBLE * n) THEN 'train' ELSE 'test' END AS split FROM p),
+    w AS (SELECT *, lag(fg, 2) OVER o AS y_1, lag(fg, 1) OVER o AS y_2
+          FROM c WINDOW o AS (PARTITION BY player, season, split ORDER BY d, l_orderkey, l_linenumber, l_partkey)),
+    x AS (SELECT * FROM w WHERE y_1 IS NOT NULL), f AS ({SQL_POOLED}),
+    s AS (SELECT player, y, my + b1 * (y_1 - m1) + b2 * (y_2 - m2) AS y_pred FROM x, f WHERE split = 'test')
+    SELECT player, count(*) AS n, round(avg((y_pred - y) * (y_pred - y)), 3) AS mse FROM s GROUP BY 1
+    """,
+)
+def season_windows_to_model(tables):
+    """Windows within seasons, flattened into features of one pooled model, judged per player."""
+    windows = season_windows(_box(tables), ["FG"], 2, order=ORDER)
+    rows = materialize(window_features(windows, ["FG"], 2), "windows")
+    features = ["FG_0", "FG_1"]
+    model = fit_complete(linear_pipeline(features, "y"), rows.where("split = 'train'"), features, "y")
+    scored = model.transform(rows.where("split = 'test'"))
+    return metrics(scored, "y", "y_pred", ["Player"]).select(F.col("Player").alias("player"), "n", F.round("mse", 3).alias("mse"))

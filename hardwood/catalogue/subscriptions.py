@@ -76,28 +76,33 @@ def subscription_state(tables):
     return S.subscription_state(_commands(tables)).select("user", "site", "url")
 
 
-@query(
-    "subscription_shows",
-    "T2",
-    f"""
-    WITH {SQL_MESSAGES}, s AS (SELECT "user", count(*) AS n_shows FROM m WHERE verb = 'show' GROUP BY 1)
-    SELECT "user", site, n_shows FROM c JOIN s USING ("user") WHERE back = 1 AND verb = 'add'
-    """,
-)
+# A site is listed from an add to the next command for it.
+SQL_SHOWN = """
+    t AS (SELECT "user", site, verb, ts, msg_id, lead(ts) OVER w AS until_ts, lead(msg_id) OVER w AS until_id
+          FROM m WHERE verb IN ('add', 'delete') WINDOW w AS (PARTITION BY "user", site ORDER BY ts, msg_id)),
+    sh AS (SELECT s.msg_id, s.ts, s."user", t.site FROM m s JOIN t ON t."user" = s."user"
+           WHERE s.verb = 'show' AND t.verb = 'add' AND (t.ts, t.msg_id) < (s.ts, s.msg_id)
+             AND (t.until_id IS NULL OR (s.ts, s.msg_id) < (t.until_ts, t.until_id)))"""
+
+
+@query("subscription_shows", "T2", f"""WITH {SQL_MESSAGES}, {SQL_SHOWN} SELECT msg_id, "user", site FROM sh""")
 def subscription_shows(tables):
-    return S.shown_lists(_commands(tables)).select("user", "site", "n_shows")
+    """The lists as they were when users asked."""
+    return S.shown_lists(_commands(tables)).select("msg_id", "user", "site")
 
 
 @query(
     "subscription_notices",
     "T2 C34",
     f"""
-    WITH {SQL_MESSAGES}
+    WITH {SQL_MESSAGES}, {SQL_SHOWN},
+    l AS (SELECT msg_id, string_agg(site, chr(10) ORDER BY site) AS sites FROM sh GROUP BY 1)
     SELECT msg_id, "user", 'ERROR: ' || month(ts) || '/' || day(ts) || '/' || year(ts) AS subject,
            site || CASE verb WHEN 'add' THEN ' is already listed' ELSE ' is not listed' END AS message
     FROM c WHERE (coalesce(before, '') = 'add') = (verb = 'add')
     UNION ALL
-    SELECT msg_id, "user", 'WEBSITE LIST: ' || month(ts) || '/' || day(ts) || '/' || year(ts), '' FROM m WHERE verb = 'show'
+    SELECT m.msg_id, "user", 'WEBSITE LIST: ' || month(ts) || '/' || day(ts) || '/' || year(ts), coalesce(sites, '')
+    FROM m LEFT JOIN l ON l.msg_id = m.msg_id WHERE verb = 'show'
     """,
 )
 def subscription_notices(tables):
@@ -133,19 +138,40 @@ SQL_CHANGES = """
     ch AS (SELECT "user", title, word, is_new, count(*) AS cnt FROM w WHERE word <> '' GROUP BY ALL)"""
 
 
+SQL_REPORT = f"""
+    {SQL_CHANGES},
+    u AS (SELECT DISTINCT "user" FROM ch),
+    d AS (SELECT DISTINCT "user", title FROM ch),
+    e AS (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY title) AS number FROM d),
+    a AS (
+      SELECT "user", 0 AS section, '' AS title, 0 AS place, '' AS word, '' AS is_new, repeat(chr(9), 3) || 'List Of Websites With Changes' AS line FROM u
+      UNION ALL SELECT "user", 1, title, 0, '', '', number || '.' || title FROM e
+      UNION ALL SELECT "user", 2, '', 0, '', '', repeat(chr(9), 3) || 'WORD REPORT' FROM u
+      UNION ALL SELECT "user", 3, title, 0, '', '', repeat(chr(9), 4) || title FROM d
+      UNION ALL SELECT "user", 3, title, 1, '', '', 'Old Words' || repeat(chr(9), 5) || 'New Words' FROM d
+      UNION ALL SELECT "user", 3, title, 2, word, is_new, CASE WHEN is_new = 'N' THEN repeat(chr(9), 5) ELSE '' END
+                 || CASE WHEN word[1] = 'ß' THEN 'Ss' ELSE upper(substr(word, 1, 1)) END || lower(substr(word, 2)) || chr(9) || '+' || cnt FROM ch),
+    l AS (SELECT "user", line, row_number() OVER (PARTITION BY "user" ORDER BY section, title, place, word, is_new) AS line_no FROM a)"""
+
+
+@query("word_change_report", "A10 C33", f"""WITH {SQL_REPORT} SELECT "user", line_no, line FROM l""")
+def word_change_report(tables):
+    """Whole reports, line by line."""
+    return S.report_lines(_changes(tables))
+
+
 @query(
-    "word_change_report",
-    "A10 C33",
+    "word_change_mails",
+    "A10",
     f"""
-    WITH {SQL_CHANGES},
-    l AS (SELECT "user", title || chr(9) || CASE WHEN is_new = 'N' THEN repeat(chr(9), 5) ELSE '' END
-                 || CASE WHEN word[1] = 'ß' THEN 'Ss' ELSE upper(substr(word, 1, 1)) END || lower(substr(word, 2)) || chr(9) || '+' || cnt AS line,
-                 row_number() OVER (PARTITION BY "user" ORDER BY title, word, is_new) AS k FROM ch)
-    SELECT "user", ((k - 1) // 500 + 1)::INT AS part, count(*)::INT AS n_lines, string_agg(line, chr(10) ORDER BY k) AS body FROM l GROUP BY 1, 2
+    WITH {SQL_REPORT}
+    SELECT "user", ((line_no - 1) // 100 + 1)::INT AS part, count(*)::INT AS n_lines, string_agg(line, chr(10) ORDER BY line_no) AS body
+    FROM l GROUP BY 1, 2
     """,
 )
-def word_change_report(tables):
-    return S.report_parts(_changes(tables), 500)
+def word_change_mails(tables):
+    """The same, cut into mails of a hundred lines."""
+    return S.report_parts(_changes(tables), 100)
 
 
 @query(

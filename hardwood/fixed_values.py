@@ -3,6 +3,9 @@
 # --- fixed values: texts in a minutes or count column that mean "no numbers for this game"
 DID_NOT_PLAY = ["Did Not Play", "Did Not Dress", "Not With Team", "Player Suspended"]
 
+# --- fixed values: address of a month page, by the two digits of the year and the month
+MONTH_PAGE = "/leagues/NBA_%s_games-%s.html"
+
 # --- fixed values: raw box-score columns
 BOX_COLUMNS = [
     "Player", "Date", "Team", "Against", "Home",

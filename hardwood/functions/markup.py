@@ -5,15 +5,16 @@ Functions that take a ``source`` expect :func:`visible_source` of the page.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _COMMENT_OR_SCRIPT = "(?is)<!--.*?-->|<script\\b.*?</script>|<style\\b.*?</style>"
-_ANCHOR = "(?is)<a\\s[^>]*?href\\s*=\\s*\"[^\"]*\"[^>]*>.*?(?=</a>|<a\\s|$)"
-
-
-# --- fixed values: named character references that occur in names and numbers
-_NAMED = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
+# An address may stand in double quotes, in single quotes, or bare.
+_ADDRESS = "href\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)'|([^\\s\"'>]+))"
+_OPENING = f"(?is)<a(?=\\s)[^>]*?[\\s\"']{_ADDRESS}"
+_ANCHOR = f"{_OPENING}[^>]*>.*?(?=</a>|<a\\s|$)"
 
 
 def visible_source(html: Column) -> Column:
@@ -24,18 +25,28 @@ def visible_source(html: Column) -> Column:
 _REST = 1_000_000_000
 
 
+# Names and code points of HTML's character references, as the standard library lists them.
+_NAMES = {**name2codepoint, "apos": ord("'")}
+
+
 def unescaped(text: Column) -> Column:
-    """Character references resolved: decimal ones and the common names."""
+    """Character references resolved once: decimal, hexadecimal and named ones; unknown ones stay."""
+    names = F.create_map(*[F.lit(x) for name, code in sorted(_NAMES.items()) for x in (name, code)])
 
     def resolved(piece: Column) -> Column:
-        number = F.regexp_extract(piece, "^(\\d{1,7});", 1)
-        char = F.decode(F.unhex(F.lpad(F.hex(number.try_cast("int")), 8, "0")), "UTF-32")
-        return F.when(number != "", F.concat(char, F.regexp_replace(piece, "^\\d{1,7};", ""))).otherwise(F.concat(F.lit("&#"), piece))
-
-    pieces = F.split(text, "&#")
+        name = F.regexp_extract(piece, "^(#\\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        number = (
+            F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10).try_cast("int"))
+            .when(name.startswith("#"), F.substr(name, F.lit(2)).try_cast("int"))
+            .otherwise(F.try_element_at(names, name))
+        )
+        valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number)), 8, "0")), "UTF-32")
+        space = F.when(number == 160, F.lit(" ")).otherwise(char)  # names are keys, so spaces must be alike
+        return F.coalesce(F.concat(space, F.substr(piece, F.length(name) + 2)), F.concat(F.lit("&"), piece))
+
+    pieces = F.split(text, "&")
     plain = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, _REST), resolved), ""))
-    for name, char in _NAMED.items():
-        plain = F.replace(plain, F.lit(name), F.lit(char))
     return F.when(text.contains("&"), plain).otherwise(text)
 
 
@@ -78,17 +89,19 @@ def first_body(source: Column) -> Column:
 
 def links(source: Column) -> Column:
     """array<struct<href,text>> of the anchors with an address, in page order."""
+
+    def address(anchor: Column) -> Column:
+        return unescaped(F.concat(*[F.regexp_extract(anchor, _OPENING, i) for i in (1, 2, 3)]))
+
     return F.transform(
         F.regexp_extract_all(source, F.lit(_ANCHOR), F.lit(0)),
-        lambda a: F.struct(
-            F.regexp_extract(a, "(?is)href\\s*=\\s*\"([^\"]*)\"", 1).alias("href"),
-            F.trim(F.regexp_replace(a, "(?s)<[^>]*>", "")).alias("text"),
-        ),
+        lambda a: F.struct(address(a).alias("href"), F.trim(unescaped(F.regexp_replace(a, "(?s)<[^>]*>", ""))).alias("text")),
     )
 
 
 def first_heading(source: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_extract(source, "(?is)<h1[^>]*>(.*?)</h1>", 1), "(?s)<[^>]*>", ""))
+    inside = F.regexp_extract(source, "(?is)<h1[^>]*>(.*?)</h1>", 1)
+    return F.trim(unescaped(F.regexp_replace(inside, "(?s)<[^>]*>", "")))
 
 
 def header_teams(title: Column) -> tuple[Column, Column]:

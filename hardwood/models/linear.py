@@ -9,8 +9,8 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,19 +20,37 @@ from hardwood.operators.balance import attach
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def known_features(features: Sequence[str], prediction: str = "y_pred") -> SQLTransformer:
+    """A last stage that keeps every row and gives a null prediction where a feature is missing."""
+    missing = " OR ".join(f"`{f}` IS NULL OR isnan(`{f}`)" for f in features)
+    return SQLTransformer(
+        statement=f"SELECT * EXCEPT (`{prediction}`), CASE WHEN {missing} THEN NULL ELSE `{prediction}` END AS `{prediction}` FROM __THIS__"
+    )
+
+
 def linear_pipeline(features: Sequence[str], label: str, prediction: str = "y_pred") -> Pipeline:
-    """Least squares without regularisation."""
+    """Least squares without regularisation; fit it with :func:`fit_complete`."""
     return Pipeline(
         stages=[
-            VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"),
+            VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
             LinearRegression(featuresCol="features", labelCol=label, predictionCol=prediction, solver="normal", regParam=0.0),
+            known_features(features, prediction),
         ]
     )
 
 
+def fit_complete(pipeline: Pipeline, df: DataFrame, features: Sequence[str], label: str) -> PipelineModel:
+    """Fit, or fail if a feature or the label is missing: to drop or to fill such rows is the caller's choice."""
+    gaps = [F.count(F.when(F.col(f"`{c}`").isNull() | F.isnan(F.col(f"`{c}`").cast("double")), 1)).alias(c) for c in [*features, label]]
+    missing = {c: n for c, n in df.agg(*gaps).first().asDict().items() if n}
+    if missing:
+        raise ValueError(f"rows without a value: {missing}")
+    return pipeline.fit(df)
+
+
 def coefficients(model: PipelineModel, features: Sequence[str]) -> DataFrame:
     """``(feature, weight)`` with the intercept as its own row."""
-    fitted = model.stages[-1]
+    fitted = next(s for s in model.stages if isinstance(s, LinearRegressionModel))
     rows = [(f, float(w)) for f, w in zip(features, fitted.coefficients)] + [("(intercept)", float(fitted.intercept))]
     return SparkSession.getActiveSession().createDataFrame(rows, "feature string, weight double")
 
@@ -49,37 +67,45 @@ def simple_regression(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) ->
 def fit_per_entity(df: DataFrame, entity: Sequence[str], features: Sequence[str], label: str) -> DataFrame:
     """One least-squares fit per entity: ``(entity, n, status, weights)``.
 
-    ``weights`` is [intercept, w1, ...]. The sums of squares and products are ordinary
-    aggregates, combined before the shuffle, so the length of a series does not matter;
-    Python only solves the small systems. Entities with fewer rows than features + 2 are
-    listed as ``too short``.
+    ``weights`` is [intercept, w1, ...]. Means, variances and covariances are ordinary
+    aggregates, combined before the shuffle, so the length of a series does not matter, and they
+    are centred, so the magnitude of the values does not, either. Python only solves
+    the small systems of correlations. A feature without variance gets weight 0. Entities with fewer
+    rows than features + 2 are listed as ``too short``.
     """
-    names = ["1", *features]
-    value = lambda c: F.lit(1.0) if c == "1" else F.col(c).cast("double")
+    value = lambda c: F.col(f"`{c}`").cast("double")
     complete = df.dropna("any", subset=[*features, label])
-    sums = []
+    names = [*features, label]
+    sums = [F.avg(value(a)).alias(f"m_{i}") for i, a in enumerate(names)]
     for i, a in enumerate(names):
-        sums += [F.sum(value(a) * value(b)).alias(f"s_{i}_{j}") for j, b in enumerate(names) if j >= i]
-        sums.append(F.sum(value(a) * F.col(label)).alias(f"t_{i}"))
+        sums += [F.covar_pop(value(a), value(b)).alias(f"c_{i}_{j}") for j, b in enumerate(names) if j >= i]
     totals = complete.groupBy(*entity).agg(F.count(F.lit(1)).alias("n"), *sums)
-    size = len(names)
+    size = len(features)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            gram = np.empty((len(batch), size, size))
-            right = np.empty((len(batch), size))
-            for i in range(size):
-                right[:, i] = batch[f"t_{i}"]
-                for j in range(i, size):
-                    gram[:, i, j] = gram[:, j, i] = batch[f"s_{i}_{j}"]
-            enough = batch["n"].to_numpy() >= len(features) + 2
-            weights: list = [None] * len(batch)
-            for row in np.flatnonzero(enough):
-                # Minimum-norm solution where a feature is constant.
-                weights[row] = np.linalg.lstsq(gram[row], right[row], rcond=1e-12)[0].tolist()
+            rows = len(batch)
+            means = np.array([batch[f"m_{i}"] for i in range(size + 1)], dtype=float).T
+            cov = np.empty((rows, size + 1, size + 1))
+            for i in range(size + 1):
+                for j in range(i, size + 1):
+                    cov[:, i, j] = cov[:, j, i] = batch[f"c_{i}_{j}"].to_numpy(dtype=float)
+            enough = batch["n"].to_numpy() >= size + 2
+            cov[~enough] = 0.0
+            spread = np.sqrt(np.einsum("rii->ri", cov)[:, :size])
+            flat = ~(spread > 1e-12 * np.maximum(np.abs(means[:, :size]), 1e-300))
+            scale = np.where(flat, 1.0, spread)
+            system = cov[:, :size, :size] / (scale[:, :, None] * scale[:, None, :])
+            right = cov[:, :size, size] / scale
+            system[flat[:, :, None] | flat[:, None, :]] = 0.0
+            right[flat] = 0.0
+            # Minimum-norm solution where features depend on each other.
+            slopes = np.einsum("rij,rj->ri", np.linalg.pinv(system, rcond=1e-10, hermitian=True), right) / scale
+            intercept = means[:, size] - (slopes * means[:, :size]).sum(1)
+            whole = np.column_stack([intercept, slopes])
             out = batch[[*entity, "n"]].copy()
             out["status"] = np.where(enough, "fitted", "too short")
-            out["weights"] = weights
+            out["weights"] = [w.tolist() if ok else None for w, ok in zip(whole, enough)]
             yield out
 
     kinds = dict(df.dtypes)

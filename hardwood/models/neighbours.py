@@ -108,7 +108,6 @@ def _search(
     queries: DataFrame, references: DataFrame, k: int, not_self: bool, pivots: int | None, block: int
 ) -> DataFrame:
     n_refs = references.count()
-    n_queries = queries.count()
     wanted = pivots or min(256, max(1, int(math.sqrt(n_refs) / 4)))
     # A bounded number of vectors reaches the driver: at most ``wanted``.
     chosen = references.select("vec").orderBy(F.xxhash64("rid"), "rid").limit(wanted).collect()
@@ -139,7 +138,16 @@ def _search(
     slots = np.maximum(1, -(-size // block)).astype("int32")
     ring_cell = np.array([r["cell"] for r in inner])
     ring_dist = np.array([r["ring"] for r in inner])
-    chunks = max(1, -(-n_queries // block))
+
+    def home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield batch.assign(home=_distances(_matrix(batch["vec"]), centres).argmin(1).astype("int32"))
+
+    # Queries near one pivot visit the same few cells, so they are cut into blocks by pivot.
+    at_home = queries.select("qid", "vec").mapInPandas(home, "qid long, vec array<double>, home int")
+    at_home = materialize(at_home, "queries")
+    parts = {r["home"]: -(-r["n"] // block) for r in at_home.groupBy("home").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
@@ -161,13 +169,18 @@ def _search(
                 out["slot"] = (np.arange(len(out)) - np.repeat(first, repeat)).astype("int32")
                 yield out
 
-    chunk = F.pmod(F.xxhash64("qid", F.lit(1)), F.lit(chunks)).cast("int")
-    routed = queries.select("qid", "vec").mapInPandas(route, "qid long, vec array<double>, cell int, slot int")
-    routed = routed.withColumn("chunk", chunk)
+    if not parts:
+        return queries.sparkSession.createDataFrame([], "qid long, rid long, dist double, y double")
+    n_parts = F.element_at(F.create_map(*[F.lit(int(x)) for p in parts.items() for x in p]), F.col("home"))
+    chunk = F.concat_ws("-", "home", F.pmod(F.xxhash64("qid", F.lit(1)), n_parts))
+    routed = at_home.withColumn("chunk", chunk).drop("home")
+    routed = materialize(routed.mapInPandas(route, "qid long, vec array<double>, chunk string, cell int, slot int"), "routed")
     of_cell = {int(c): int(s) for c, s in zip(used, slots)}
     n_slots = F.element_at(F.create_map(*[F.lit(x) for p in of_cell.items() for x in p]), F.col("cell"))
     blocks = cells.drop("ring").withColumn("slot", F.pmod(F.xxhash64("rid", F.lit(2)), n_slots).cast("int"))
-    blocks = blocks.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    # A block of references goes to the chunks that ask for it, and to no other.
+    blocks = blocks.join(asked_blocks(routed), ["cell", "slot"])
+    blocks = blocks.select("rid", "vec", "y", "cell", "slot", F.col("chunk").alias("chunk"))
     keys = ["cell", "slot", "chunk"]
     best = (
         routed.groupBy(*keys)
@@ -178,6 +191,11 @@ def _search(
     return best.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
 
 
+def asked_blocks(routed: DataFrame) -> DataFrame:
+    """``(cell, slot, chunk)``: the blocks of references that some query of a chunk visits."""
+    return routed.select("cell", "slot", "chunk").distinct()
+
+
 def knn_regression(queries: DataFrame, references: DataFrame, k: int = 10, **options) -> DataFrame:
     """``(qid, n_neighbours, y_pred)``: mean target of the k nearest references."""
     return nearest(queries, references, k, **options).groupBy("qid").agg(

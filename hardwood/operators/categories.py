@@ -4,42 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hardwood.operators.balance import attach, within_limit
-from hardwood.operators.series import numbered
+from hardwood.operators.balance import attach
+from hardwood.operators.series import GameSeries, numbered
 from hardwood.session import limit, materialize
 
 
+# Places of rows below this fit beside the column's number in one long.
+_PLACES = 1 << 48
+
+
 def first_seen_index(
-    df: DataFrame, entity: Sequence[str], order: Sequence[str], columns: Sequence[str]
+    df: DataFrame, entity: Sequence[str], order: Sequence[str], columns: Sequence[str], block_rows: int | None = None
 ) -> DataFrame:
     """``(entity, category, idx)``: 1-based, in order of first appearance.
 
-    All values of the first column come before values that only later columns have.
-    Rows are reduced to one per (entity, category) before anything is ranked.
+    All values of the first column come before values that only later columns have. Rows are reduced
+    to one number per (entity, category), the column and the row's place in its order, which
+    is combined before the shuffle; ``order`` must end with unique columns.
     """
+    rows = GameSeries.of(df.select(*entity, *order, *columns), entity, order, block_rows).position("_place").result()
     sources = F.array(
-        *[F.struct(F.lit(i).alias("source"), F.col(c).cast("string").alias("category")) for i, c in enumerate(columns)]
+        *[
+            F.struct((F.lit(i * _PLACES) + F.col("_place")).alias("first"), F.col(c).cast("string").alias("category"))
+            for i, c in enumerate(columns)
+        ]
     )
-    seen = df.select(*entity, *order, F.explode(sources).alias("s")).select(*entity, *order, "s.*")
-    first = seen.groupBy(*entity, "category").agg(F.min(F.struct("source", *order)).alias("first"))
-    rank = F.row_number().over(Window.partitionBy(*entity).orderBy("first", "category"))
-    return materialize(first.select(*entity, "category", rank.cast("int").alias("idx")), "categories")
+    seen = rows.select(*entity, F.explode(sources).alias("s")).select(*entity, "s.*")
+    first = materialize(seen.groupBy(*entity, "category").agg(F.min("first").alias("first")), "first")
+    ranked = GameSeries.of(first, entity, ["first"], block_rows).position("idx").result()
+    return materialize(ranked.select(*entity, "category", F.col("idx").cast("int").alias("idx")), "categories")
 
 
-def global_index(df: DataFrame, column: str, rows: int | None = None) -> DataFrame:
-    """``(category, idx)``: 1-based by name over the distinct categories.
-
-    Up to ``rows`` categories (the broadcast limit) one sorted task numbers them; beyond, the range-sorted
-    numbering of :mod:`hardwood.operators.series` does.
-    """
+def global_index(df: DataFrame, column: str) -> DataFrame:
+    """``(category, idx)``: 1-based by name over the distinct categories, numbered by range-sorted partitions."""
     distinct = df.select(F.col(column).cast("string").alias("category")).where(F.col("category").isNotNull()).distinct()
-    distinct = materialize(distinct, "distinct")
-    if within_limit(distinct, rows):
-        return distinct.withColumn("idx", F.row_number().over(Window.orderBy("category")))
-    return numbered(distinct, ["category"], limit(df.sparkSession, "hardwood.blockRows")).select("category", (F.col("_g") + 1).alias("idx"))
+    places = numbered(distinct, ["category"], limit(df.sparkSession, "hardwood.blockRows"))
+    return places.select("category", (F.col("_g") + 1).alias("idx"))
 
 
 def apply_index(

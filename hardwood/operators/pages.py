@@ -120,13 +120,30 @@ def _opened(bodies: DataFrame, kept: Sequence[str], tables: Sequence[int] | None
     return rows.select(*kept, "table_idx", "row_idx", "_row.header", first.alias("is_first"), "_row.cells")
 
 
-def page_errors(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Quarantine table ``(URL, Error)``: pages without a table body, or without a row in any."""
-    bodies = _visible(pages, html).select(F.col(url).alias("URL"), table_bodies(F.col(html)).alias("_bodies"))
-    error = F.when(F.size("_bodies") == 0, "no table body").when(
-        ~F.exists("_bodies", lambda b: b.rlike("(?i)<tr\\b")), "no rows"
+def _page_error(title: Column, bodies: Column, tables: Sequence[int]) -> Column:
+    """What keeps a page from giving a whole game; null if nothing does."""
+    away, home = header_teams(title)
+    return (
+        F.when(F.size(bodies) == 0, "no table body")
+        .when(~F.exists(bodies, lambda b: b.rlike("(?i)<tr\\b")), "no rows")
+        .when(F.size(bodies) <= max(tables), "no home table")
+        .when((away == "") | (home == "") | header_date(title).isNull(), "no teams or date in the title")
     )
-    return _each(bodies, ["URL"], F.array_compact(F.array(error)), "_i", "Error").drop("_i")
+
+
+def _read_pages(pages: DataFrame, url: str, html: str, tables: Sequence[int]) -> DataFrame:
+    """``(url, _title, _bodies, _error)``; a page without source has no table body."""
+    source = F.coalesce(F.col(html), F.lit(""))
+    read = _visible(pages.withColumn(html, source), html).select(
+        url, first_heading(F.col(html)).alias("_title"), table_bodies(F.col(html)).alias("_bodies")
+    )
+    return read.withColumn("_error", _page_error(F.col("_title"), F.col("_bodies"), tables))
+
+
+def page_errors(pages: DataFrame, url: str = "url", html: str = "html", tables: tuple[int, int] = (0, 8)) -> DataFrame:
+    """Quarantine table ``(URL, Error)``: the pages that :func:`box_scores` leaves out, and why."""
+    read = _read_pages(pages, url, html, tables).select(F.col(url).alias("URL"), F.array_compact(F.array("_error")).alias("_errors"))
+    return _each(read, ["URL"], "_errors", "_i", "Error").drop("_i")
 
 
 def _cell(i: int) -> Column:
@@ -138,11 +155,11 @@ def box_scores(pages: DataFrame, url: str = "url", html: str = "html", tables: t
 
     Table ``tables[0]`` is the visitors', ``tables[1]`` the home side's. A short row (the
     player did not play) is filled up with nulls. Of several rows with one name in one
-    team the first counts.
+    team the first counts. Pages listed by :func:`page_errors` give no rows, so no game is halved.
     """
-    read = _visible(pages, html).select(
-        url, first_heading(F.col(html)).alias("_title"), table_bodies(F.col(html)).alias("_bodies")
-    )
+    read = _read_pages(pages, url, html, tables)
+    whole = F.when(F.col("_error").isNull(), F.col("_bodies"))
+    read = read.select(url, "_title", whole.alias("_bodies"))
     away, home = header_teams(F.col("_title"))
     titled = read.select(
         url, "_bodies", away.alias("_away"), home.alias("_home"),

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hardwood.fixed_values import SEASON_MONTHS
+from hardwood.fixed_values import MONTH_PAGE, SEASON_MONTHS
 from hardwood.operators.balance import attach, drop_known, keep_known
 
 
@@ -56,7 +56,7 @@ def expected_months(seasons: DataFrame, season: str = "season", kind: str = "scr
     months = F.create_map(*[x for k, v in SEASON_MONTHS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
     grid = seasons.withColumn("month", F.explode(F.element_at(months, F.col(kind))))
     year = F.concat(F.lit("20"), F.substring_index(F.col(season), "-", -1))
-    return grid.withColumn("page", F.format_string("/leagues/NBA_%s_games-%s.html", year, F.col("month")))
+    return grid.withColumn("page", F.format_string(MONTH_PAGE, year, F.col("month")))
 
 
 def append(*tables: DataFrame, source: str | None = None) -> DataFrame:

@@ -334,6 +334,12 @@ def sliding_windows(
     )
 
 
+def window_features(windows: DataFrame, columns: Sequence[str], steps: int, window: str = "window") -> DataFrame:
+    """Flatten an array of ``steps`` rows into model features: ``{column}_{i}``, the oldest row first (0)."""
+    cells = {f"{c}_{i}": F.get(f"{window}.{c}", F.lit(i)).cast("double") for i in range(steps) for c in columns}
+    return windows.withColumns(cells).drop(window)
+
+
 def change_since_last(series: GameSeries, column: str, name: str) -> GameSeries:
     """Difference to the last listed (non-null) value."""
     known = series.last_known(column, "_last")

@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hardwood.functions.mail import (
     command_site, command_url, command_verb, report_line, sender_address, sender_mailbox,
 )
-from hardwood.operators.balance import attach, keep_known
-from hardwood.operators.series import GameSeries, lagged
+from hardwood.operators.balance import keep_known
+from hardwood.operators.series import GameSeries, lagged, led
 from hardwood.session import materialize
 
 CHANGES = ("add", "delete")
+# --- fixed values: headings of a report
+LIST_HEADING = "\t\t\tList Of Websites With Changes"
+REPORT_HEADING = "\t\t\tWORD REPORT"
+COLUMN_TITLES = "Old Words\t\t\t\t\tNew Words"
 
 
 def parsed_commands(messages: DataFrame) -> DataFrame:
@@ -52,14 +57,26 @@ def subscription_state(commands: DataFrame) -> DataFrame:
     return last_commands(commands).where(F.col("verb") == "add").select("user", "site", "url", F.col("ts").alias("since"))
 
 
-def shown_lists(commands: DataFrame) -> DataFrame:
-    """For users who asked to see their list: its sites, one row each."""
-    asked = (
-        commands.where(F.col("verb") == "show")
-        .groupBy("user")
-        .agg(F.count(F.lit(1)).alias("n_shows"), F.max("ts").alias("last_show"))
+def _order(prefix: str = "") -> Column:
+    """Commands in time order; ties by message."""
+    return F.struct(F.col(f"{prefix}ts").alias("ts"), F.col(f"{prefix}msg_id").alias("msg_id"))
+
+
+def shown_lists(commands: DataFrame, block_rows: int | None = None) -> DataFrame:
+    """``(msg_id, ts, user, site)``: the list as it was when a user asked to see it, one row per site.
+
+    A site is on the list from an add to the next command for it, so at most one stretch per site
+    covers a show, and the join gives the rows of the lists and no others.
+    """
+    changes = commands.where(F.col("verb").isin(*CHANGES) & F.col("site").isNotNull())
+    replay = GameSeries.of(changes.select("msg_id", "ts", "user", "site", "verb"), ["user", "site"], ["ts", "msg_id"], block_rows)
+    followed = replay.neighbours(0, 1, _ts=led("ts", 1), _msg_id=led("msg_id", 1)).result()
+    listed = followed.where(F.col("verb") == "add").select(
+        "user", "site", _order().alias("since"), F.when(F.col("_msg_id").isNotNull(), _order("_")).alias("until")
     )
-    return attach(subscription_state(commands), materialize(asked, "shows"), ["user"], ["site"], "inner")
+    shows = commands.where(F.col("verb") == "show").select("msg_id", "ts", "user")
+    covered = (F.col("since") < _order()) & (F.col("until").isNull() | (_order() < F.col("until")))
+    return shows.join(listed, "user").where(covered).select("msg_id", "ts", "user", "site")
 
 
 def notices(commands: DataFrame, block_rows: int | None = None) -> DataFrame:
@@ -78,30 +95,53 @@ def notices(commands: DataFrame, block_rows: int | None = None) -> DataFrame:
         F.when(F.col("verb") == "add", F.concat("site", F.lit(" is already listed")))
         .otherwise(F.concat("site", F.lit(" is not listed"))).alias("message"),
     )
-    shows = commands.where(F.col("verb") == "show").select(
-        "msg_id", "ts", "user", F.lit("WEBSITE LIST").alias("subject"), F.lit("").alias("message")
+    shows = commands.where(F.col("verb") == "show").select("msg_id", "ts", "user")
+    lists = shown_lists(commands, block_rows).groupBy("msg_id").agg(F.array_join(F.sort_array(F.collect_list("site")), "\n").alias("message"))
+    told = shows.join(lists, "msg_id", "left").select(
+        "msg_id", "ts", "user", F.lit("WEBSITE LIST").alias("subject"), F.coalesce("message", F.lit("")).alias("message")
     )
-    return errors.unionByName(shows)
+    return errors.unionByName(told)
 
 
 def report_lines(changes: DataFrame, block_rows: int | None = None) -> DataFrame:
-    """Word report of ``changes(user, title, word, is_new, cnt)``: numbered lines per user."""
-    lines = changes.withColumn("line", report_line(F.col("word"), F.col("is_new"), F.col("cnt")))
-    series = GameSeries.of(materialize(lines, "lines"), ["user"], ["title", "word", "is_new"], block_rows)
-    return series.position("line_no").result()
+    """Whole report of ``changes(user, title, word, is_new, cnt)``: ``(user, line_no, line)``.
 
-
-def report_parts(changes: DataFrame, lines_per_part: int = 500, block_rows: int | None = None) -> DataFrame:
-    """The report as mail texts of at most ``lines_per_part`` lines: (user, part, n_lines, body).
+    The list of changed sites, then for each site its heading, the column titles and its words.
+    """
+    none = F.lit("")
+
+    def lines(df: DataFrame, section: int, title, place: int, line, word=none, is_new=none) -> DataFrame:
+        keys = [F.lit(section).alias("section"), title.alias("title"), F.lit(place).alias("place")]
+        return df.select("user", *keys, word.alias("word"), is_new.alias("is_new"), line.alias("line"))
+
+    changes = materialize(changes, "changes")
+    users = changes.select("user").distinct()
+    sites = materialize(changed_sites(changes, block_rows=block_rows), "listed")
+    title, word, is_new = F.col("title"), F.col("word"), F.col("is_new")
+    whole = [
+        lines(users, 0, none, 0, F.lit(LIST_HEADING)),
+        lines(sites, 1, title, 0, F.col("entry")),
+        lines(users, 2, none, 0, F.lit(REPORT_HEADING)),
+        lines(sites, 3, title, 0, F.concat(F.lit("\t" * 4), title)),
+        lines(sites, 3, title, 1, F.lit(COLUMN_TITLES)),
+        lines(changes, 3, title, 2, report_line(word, is_new, F.col("cnt")), word, is_new),
+    ]
+    every = materialize(reduce(DataFrame.unionByName, whole), "lines")
+    order = ["section", "title", "place", "word", "is_new"]
+    series = GameSeries.of(every, ["user"], order, block_rows)
+    return series.position("line_no").result().select("user", "line_no", "line")
+
+
+def report_parts(changes: DataFrame, lines_per_part: int, block_rows: int | None = None) -> DataFrame:
+    """The report cut into mail texts of at most ``lines_per_part`` lines: (user, part, n_lines, body).
 
     A user's whole report has no bound; its parts do, so no task holds more than one part.
     """
     lines = report_lines(changes, block_rows)
     part = F.floor((F.col("line_no") - 1) / lines_per_part).cast("int") + 1
-    placed = lines.select("user", part.alias("part"), F.struct("line_no", "title", "line").alias("l"))
+    placed = lines.select("user", part.alias("part"), F.struct("line_no", "line").alias("l"))
     folded = placed.groupBy("user", "part").agg(F.array_sort(F.collect_list("l")).alias("ls"))
-    text = F.transform("ls", lambda l: F.concat(l["title"], F.lit("\t"), l["line"]))
-    return folded.select("user", "part", F.size("ls").alias("n_lines"), F.array_join(text, "\n").alias("body"))
+    return folded.select("user", "part", F.size("ls").alias("n_lines"), F.array_join(F.transform("ls", lambda l: l["line"]), "\n").alias("body"))
 
 
 def changed_sites(changes: DataFrame, user: Sequence[str] = ("user",), title: str = "title", block_rows: int | None = None) -> DataFrame:

@@ -8,10 +8,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hardwood.models.linear import linear_pipeline
+from hardwood.models.linear import fit_complete, linear_pipeline
 from hardwood.operators.evaluate import metrics
 from hardwood.operators.impute import complete_rows, nonzero_target, originals_first
-from hardwood.operators.reconcile import merge_sources
 from hardwood.operators.scaling import minmax
 from hardwood.operators.series import GameSeries, previous_means
 from hardwood.operators.splits import random_split
@@ -35,8 +34,12 @@ def box_side(box: DataFrame) -> DataFrame:
 
 
 def merged_averages(feed: DataFrame, box: DataFrame, columns: Sequence[str], games: int = 2, block_rows: int | None = None) -> DataFrame:
-    """Inner merge, then the mean of the previous games for every column, derived last."""
-    merged = materialize(merge_sources(feed_side(feed), box_side(box), MERGE_KEYS, ["GameID", "Name"]), "merged")
+    """Inner merge, then the mean of the previous games for every column, derived last.
+
+    A game and player is one row on either side, so a plain join is balanced, and each side is computed once.
+    """
+    merged = feed_side(feed).join(box_side(box), list(MERGE_KEYS))
+    merged = materialize(merged, "merged")
     series = GameSeries.of(merged, ["Name"], ["Date", "GameID"], block_rows)
     averaged = previous_means(series, columns, games).result()
     return originals_first(averaged, [f"{games}_{c}" for c in columns])
@@ -52,6 +55,6 @@ def linear_on_averages(
     if scale:
         split = minmax(split, features, [key])
     split = materialize(split, "fit")
-    model = linear_pipeline(features, target).fit(split.where(F.col("split") == "train"))
+    model = fit_complete(linear_pipeline(features, target), split.where(F.col("split") == "train"), features, target)
     predicted = model.transform(split.where(F.col("split") == "test")).drop("features")
     return model, predicted, metrics(predicted, target, "y_pred")

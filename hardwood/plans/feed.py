@@ -9,17 +9,22 @@ from hardwood.operators.impute import fill_series_mean
 from hardwood.operators.series import GameSeries, lag_depth, lag_set
 from hardwood.operators.splits import nested_split
 from hardwood.sources.delimited import clean_feed, read_checked_feed
-from hardwood.sources.sinks import write_combined, write_errors, write_prepared, write_seasons
+from hardwood.sources.sinks import rebuild, write_combined, write_errors
 
 
 def clean_feed_folder(spark: SparkSession, folder: str, target: str) -> DataFrame:
-    """Clean all complete files; write per season, combined, and the rejected files."""
+    """Clean all complete files; write combined, per season, and what was rejected.
+
+    Files that lack a column and lines that do not parse are rows of the errors table and
+    absent from the clean output. Files are parsed once; a rerun gives the same tables.
+    """
     raw, rejected = read_checked_feed(spark, folder)
     cleaned = clean_feed(raw)
-    write_seasons(cleaned, f"{target}/seasons")
     write_combined(cleaned, f"{target}/combined")
     write_errors(rejected, f"{target}/errors")
-    return spark.read.schema(cleaned.schema).parquet(f"{target}/combined")
+    combined = spark.read.schema(cleaned.schema).parquet(f"{target}/combined")
+    rebuild(combined, f"{target}/seasons", ["season"])
+    return combined
 
 
 def shifted_sets(
@@ -37,8 +42,8 @@ def shifted_sets(
 
 
 def prepare_shifted(feed: DataFrame, target: str, steps: int = 20) -> None:
-    """Write the sets once, partitioned by depth and split."""
-    write_prepared(shifted_sets(feed, steps), target, ("depth", "split"))
+    """Write the sets once, partitioned by depth and split; sets of an earlier run go."""
+    rebuild(shifted_sets(feed, steps), target, ("depth", "split"))
 
 
 def read_shifted(spark: SparkSession, path: str, timestep: int, split: str | None = None, column: str = "FDP") -> DataFrame:

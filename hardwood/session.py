@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,19 +64,43 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Paths handed out and not removed yet, in order.
+_handed_out: list[str] = []
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder, grouped by application for easy removal."""
     app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/hardwood/{app}/{label}-{uuid.uuid4().hex}"
+    _handed_out.append(f"{shared_folder(spark)}/hardwood/{app}/{label}-{uuid.uuid4().hex}")
+    return _handed_out[-1]
 
 
-def remove_work(spark: SparkSession) -> None:
-    """Delete this application's intermediate tables, once nothing reads them any more."""
-    folder = f"{shared_folder(spark)}/hardwood/{spark.sparkContext.applicationId}"
+def remove_path(spark: SparkSession, folder: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def remove_work(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once nothing reads them any more."""
+    remove_path(spark, f"{shared_folder(spark)}/hardwood/{spark.sparkContext.applicationId}")
+    _handed_out.clear()
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are deleted at the end.
+
+    Results are lazy: write them inside, to a path that was made outside.
+    """
+    before = len(_handed_out)
+    try:
+        yield
+    finally:
+        for folder in _handed_out[before:]:
+            remove_path(spark, folder)
+        del _handed_out[before:]
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 

@@ -36,6 +36,8 @@ def _read(spark: SparkSession, paths: Sequence[str], schema: T.StructType, sep:
         .option("sep", sep)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        # A parser that is asked for fewer columns does not notice a broken line.
+        .option("columnPruning", False)
         .option("pathGlobFilter", "*.csv")
         .csv(list(paths))
     )
@@ -53,6 +55,12 @@ def read_feed(spark: SparkSession, paths: str | Sequence[str], schema: T.StructT
     return _read(spark, paths, schema, ":").withColumn("season", season_of(F.col("_metadata.file_name")))
 
 
+def wanted_file(file_name: Column, ignore: Iterable[str] = IGNORED_ENTRIES, without: str | None = None) -> Column:
+    """Neither an ignored entry nor, with ``without``, a name that contains this text."""
+    wanted = ~file_name.isin(list(ignore))
+    return wanted & ~file_name.contains(without) if without else wanted
+
+
 def listed_files(spark: SparkSession, folder: str, ignore: Iterable[str] = IGNORED_ENTRIES, containing: str | None = None) -> DataFrame:
     """``(path, file_name)`` of the CSV files of a folder, without the ignored entries.
 
@@ -62,14 +70,12 @@ def listed_files(spark: SparkSession, folder: str, ignore: Iterable[str] = IGNOR
         spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
         .select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"))
     )
-    kept = files.where(~F.col("file_name").isin(list(ignore)))
-    return kept.where(~F.col("file_name").contains(containing)) if containing else kept
+    return files.where(wanted_file(F.col("file_name"), ignore, containing))
 
 
 def read_folder(spark: SparkSession, folder: str, skip_containing: str = "Combined", reader=read_games) -> DataFrame:
-    """All season files of a folder but the combined ones."""
-    rows = reader(spark, folder)
-    return rows.where(~F.col("_metadata.file_name").contains(skip_containing))
+    """All season files of a folder but the combined ones and the ignored entries."""
+    return reader(spark, folder).where(wanted_file(F.col("_metadata.file_name"), without=skip_containing))
 
 
 def file_headers(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,7 +104,8 @@ def read_checked_feed(
     """(rows of the complete files, quarantine of the others).
 
     Files are read once per distinct header and put together by column name, so their
-    column order may differ. Only file names and headers reach the driver.
+    column order may differ. Lines that do not parse are part of the quarantine. Only the distinct
+    headers and their file names reach the driver; the parsed rows are stored once.
     """
     checked = materialize(checked_files(spark, folder, required, sep), "headers")
     quarantine = checked.where(F.size("missing") > 0).select(
@@ -111,13 +118,17 @@ def read_checked_feed(
     for header, paths in by_header.items():
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header.split(sep)])
         part = _read(spark, paths, schema, sep).select(
-            *[F.col(f"`{c}`") for c in required], CORRUPT, season_of(F.col("_metadata.file_name")).alias("season")
+            *[F.col(f"`{c}`") for c in required], CORRUPT,
+            season_of(F.col("_metadata.file_name")).alias("season"), F.col("_metadata.file_path").alias("_path"),
         )
         rows = part if rows is None else rows.unionByName(part)
     if rows is None:
-        empty = T.StructType([T.StructField(c, T.StringType()) for c in [*required, CORRUPT, "season"]])
-        rows = spark.createDataFrame([], empty)
-    return rows, quarantine
+        empty = T.StructType([T.StructField(c, T.StringType()) for c in [*required, "season"]])
+        return spark.createDataFrame([], empty), quarantine
+    stored = materialize(rows, "feed")
+    broken = stored.where(F.col(CORRUPT).isNotNull())
+    lines = broken.select(F.col("_path").alias("URL"), F.concat(F.lit("corrupt line: "), CORRUPT).alias("Error"))
+    return stored.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "_path"), quarantine.unionByName(lines)
 
 
 def clean_feed(raw: DataFrame) -> DataFrame:

@@ -59,13 +59,13 @@ def read_prepared(spark: SparkSession, path: str, timestep: int, split: str | No
 
 def rebuild(df: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
     """Replace the whole output, including partitions that ``df`` no longer has."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = (_balanced(df, *keys) if keys else df).write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*keys) if keys else writer).parquet(path)
 
 
-def write_errors(errors: DataFrame, path: str) -> None:
-    """Quarantine table ``(URL, Error)``."""
-    errors.select("URL", "Error").write.mode("append").parquet(path)
+def write_errors(errors: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Quarantine table ``(URL, Error)`` of a run; a rerun replaces it."""
+    errors.select("URL", "Error").write.mode(mode).parquet(path)
 
 
 def write_losses(losses: DataFrame, path: str, kind: str = "parquet") -> None:

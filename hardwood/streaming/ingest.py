@@ -1,11 +1,19 @@
-"""Pages that land as files are taken in once; the stream's checkpoint remembers them."""
+"""Pages that land as files are taken in once, whatever their file time.
+
+The stream's checkpoint remembers files; the target remembers pages. Each micro-batch drops the pages
+whose key the target holds and writes the others to a folder named by the batch, so a batch that is
+repeated after a failure replaces itself. Pages without a key cannot be told apart and all stay.
+"""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hardwood.operators.balance import drop_known
+
 PAGES = T.StructType(
     [
         T.StructField("page_id", T.LongType()),
@@ -13,28 +21,41 @@ PAGES = T.StructType(
         T.StructField("html", T.StringType()),
     ]
 )
+_BATCHED = T.StructType([*PAGES.fields, T.StructField("batch", T.LongType())])
 
 
-def page_stream(spark: SparkSession, landing: str, glob: str = "*.parquet", key: str = "page_id", late: str = "1 hour") -> DataFrame:
-    """New pages; a page that lands again within ``late`` is dropped."""
-    landed = (
-        spark.readStream.schema(PAGES).option("pathGlobFilter", glob).parquet(landing)
-        .withColumn("landed", F.col("_metadata.file_modification_time"))
-    )
-    return landed.withWatermark("landed", late).dropDuplicatesWithinWatermark([key])
+def page_stream(spark: SparkSession, landing: str, glob: str = "*.parquet") -> DataFrame:
+    """Landed pages. The age of a file never rules it out."""
+    reader = spark.readStream.schema(PAGES).option("pathGlobFilter", glob).option("maxFileAge", "36500d")
+    return reader.parquet(landing)
+
+
+def _taken(spark: SparkSession, target: str) -> DataFrame:
+    """Pages taken in so far, with their ``batch``."""
+    try:
+        return spark.read.schema(_BATCHED).parquet(target)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _BATCHED)
 
 
 def ingest_pages(spark: SparkSession, landing: str, target: str, checkpoint: str, glob: str = "*.parquet", key: str = "page_id") -> DataFrame:
     """Take in everything that is new, stop, and return the target table."""
+
+    def take(batch: DataFrame, number: int) -> None:
+        # Of one page twice in a batch, one row counts.
+        once = batch.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(batch.where(F.col(key).isNull()))
+        earlier = _taken(spark, target).where(F.col("batch") != number).where(F.col(key).isNotNull())
+        new = drop_known(once, earlier, [key], ["url"])
+        new.select(*PAGES.fieldNames()).write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={number}")
+
     query = (
-        page_stream(spark, landing, glob, key)
-        .drop("landed")
-        .writeStream.format("parquet")
-        .option("path", target)
+        page_stream(spark, landing, glob)
+        .writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(PAGES).parquet(target)
+    return _taken(spark, target).drop("batch")

@@ -61,12 +61,50 @@ def test_saved_model_scores_alike(spark, points, tmp_path):
 
 def test_boosting_stops_early_and_reports_losses(spark, points):
     _, df = points
-    marked = df.withColumn("is_val", F.col("id") % 4 == 0)
-    model = trees.boosted_pipeline(["x1", "x2"], "y", "is_val", rounds=30).fit(marked)
-    curve = rows(trees.loss_curve(model, marked.where("NOT is_val"), marked.where("is_val")), "round")
-    assert 1 <= len(curve) <= 30
-    ordered = sorted(curve, key=lambda r: r["round"])
-    assert ordered[-1]["loss"] <= ordered[0]["loss"]
+    train, val = df.where("id % 4 <> 0"), df.where("id % 4 = 0")
+    model, curve = trees.fit_with_patience(train, val, ["x1", "x2"], "y", rounds=12, patience=3, min_delta=0.01)
+    losses = [r["val_loss"] for r in sorted(curve.collect(), key=lambda r: r["round"])]
+    best, _ = trees.best_round(losses, 3, 0.01)
+    kept = trees.loss_curve(model, train, val).collect()
+    assert len(kept) == best
+    assert max(kept, key=lambda r: r["round"])["val_loss"] == pytest.approx(losses[best - 1])
+
+
+@pytest.mark.parametrize(
+    "losses, patience, delta, want",
+    [([5, 4, 3, 2], 2, 0, (4, False)), ([5, 4, 4, 4, 1], 2, 0, (2, True)), ([5, 4.9, 4.8, 4.0], 3, 0.5, (4, False)), ([3, 3, 3], 2, 0, (1, True)), ([2], 5, 0, (1, False))],
+)
+def test_patience(losses, patience, delta, want):
+    assert trees.best_round(losses, patience, delta) == want
+
+
+@pytest.mark.parametrize("mean", [0.0, 1e3, 1e4, 1e6, 1e9])
+def test_fits_do_not_depend_on_the_magnitude(spark, mean):
+    rng = np.random.default_rng(11)
+    x = np.stack([mean + rng.normal(size=200), -mean + rng.normal(size=200) * 50], axis=1)
+    y = 7 - 3 * (x[:, 0] - mean) + 0.5 * (x[:, 1] + mean) + mean
+    df = spark.createDataFrame([("a", *map(float, r), float(t)) for r, t in zip(x, y)], "p string, x1 double, x2 double, y double")
+    weights = linear.fit_per_entity(df, ["p"], ["x1", "x2"], "y").first()["weights"]
+    assert weights[1:] == pytest.approx([-3, 0.5], rel=1e-5)
+    assert weights[0] + weights[1] * mean - weights[2] * mean == pytest.approx(7 + mean, rel=1e-5)
+
+
+def test_dependent_features_share_the_weight(spark):
+    df = spark.createDataFrame([("a", float(i), 2.0 * i, 6.0 * i + 1) for i in range(8)], "p string, x1 double, x2 double, y double")
+    fit = linear.fit_per_entity(df, ["p"], ["x1", "x2"], "y")
+    assert all(r["y_pred"] == pytest.approx(r["y"]) for r in linear.predict_per_entity(df, fit, ["p"], ["x1", "x2"], ["y"]).collect())
+
+
+def test_scoring_keeps_every_row(spark, points):
+    _, df = points
+    gaps = df.withColumn("x1", F.when(F.col("id") % 3 != 0, F.col("x1")))
+    for pipeline in (linear.linear_pipeline(["x1", "x2"], "y"), trees.tree_pipeline(["x1", "x2"], "y", depth=3), trees.boosted_pipeline(["x1", "x2"], "y", rounds=2)):
+        model = linear.fit_complete(pipeline, df, ["x1", "x2"], "y")
+        scored = model.transform(gaps)
+        assert scored.count() == df.count()
+        assert scored.where("(y_pred IS NULL) <> (x1 IS NULL)").count() == 0
+        with pytest.raises(ValueError, match="x1"):
+            linear.fit_complete(pipeline, gaps, ["x1", "x2"], "y")
 
 
 def brute(vectors, y, k):
@@ -142,3 +180,23 @@ def test_histogram_edges(spark):
     assert found == {1: 1, 2: 1, 6: 1, 10: 3}
     flat = E.histogram(df.where("x = 10"), "x").collect()
     assert [(r["bin"], r["n"]) for r in flat] == [(1, 2)]
+
+
+def test_references_go_only_where_they_are_asked_for(spark, monkeypatch):
+    """Rows shuffled on the reference side are those of the blocks that some routed query visits."""
+    rng = np.random.default_rng(6)
+    spots = np.repeat(rng.normal(size=(12, 4)) * 100, 30, axis=0) + rng.normal(size=(360, 4))
+    refs = spark.createDataFrame([(i, v.tolist(), 0.0) for i, v in enumerate(spots)], "rid long, vec array<double>, y double")
+    asked = []
+    kept = neighbours.asked_blocks
+    monkeypatch.setattr(neighbours, "asked_blocks", lambda routed: asked.append(kept(routed)) or asked[-1])
+    found = neighbours.nearest(refs.select(F.col("rid").alias("qid"), "vec"), refs, 3, not_self=True, pivots=12, block=10)
+    want = brute(spots, None, 3)
+    got = {}
+    for r in found.orderBy("qid", "dist", "rid").collect():
+        got.setdefault(r["qid"], []).append(r["rid"])
+    assert got == want
+    triples = asked[0].count()
+    chunks = asked[0].select("chunk").distinct().count()
+    blocks = asked[0].select("cell", "slot").distinct().count()
+    assert triples < blocks * chunks / 2

@@ -1,5 +1,7 @@
 """Splits, scaling, categories, reconciliation on small tables."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from hardwood.operators import categories as C
 from hardwood.operators import impute as I
 from hardwood.operators import reconcile as R
 from hardwood.operators import scaling, splits
+from hardwood.session import materialize, work_scope
 
 
 @pytest.fixture(scope="module")
@@ -59,17 +62,18 @@ def test_single_step(spark):
 def test_first_seen_index(spark):
     games = [("p", 1, "X", "Y"), ("p", 2, "Z", "X"), ("p", 3, "X", "W"), ("q", 1, "W", "X")]
     df = spark.createDataFrame(games, "player string, d int, Team string, Against string").repartition(3)
-    index = C.first_seen_index(df, ["player"], ["d"], ["Team", "Against"])
-    assert [(r["player"], r["category"], r["idx"]) for r in rows(index, "player", "idx")] == [
-        ("p", "X", 1), ("p", "Z", 2), ("p", "Y", 3), ("p", "W", 4), ("q", "W", 1), ("q", "X", 2),
-    ]
+    for block in (1_000_000, 1):
+        index = C.first_seen_index(df, ["player"], ["d"], ["Team", "Against"], block)
+        assert [(r["player"], r["category"], r["idx"]) for r in rows(index, "player", "idx")] == [
+            ("p", "X", 1), ("p", "Z", 2), ("p", "Y", 3), ("p", "W", 4), ("q", "W", 1), ("q", "X", 2),
+        ]
 
 
-def test_global_index_both_ways(spark):
+def test_global_index(spark):
     df = spark.createDataFrame([(c,) for c in "dbacab"] + [(None,)], "t string")
     want = [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
-    for limit in (100, 2):
-        assert [(r["category"], r["idx"]) for r in rows(C.global_index(df, "t", limit), "category")] == want
+    assert [(r["category"], r["idx"]) for r in rows(C.global_index(df, "t"), "category")] == want
+    assert dict(C.global_index(df, "t").dtypes)["idx"] == "bigint"
     coded = C.apply_index(df, C.global_index(df.where("t <> 'd'"), "t"), [], "t", "i", ["t"], unmatched=0)
     assert {(r["t"], r["i"]) for r in coded.collect()} == {("a", 1), ("b", 2), ("c", 3), ("d", 0), (None, 0)}
 
@@ -110,3 +114,14 @@ def test_expected_months(spark):
     counts = {r["season"]: r["count"] for r in grid.groupBy("season").count().collect()}
     assert counts == {"2018-19": 9, "2019-20": 10, "2020-21": 4}
     assert grid.where("page = '/leagues/NBA_2020_games-october-2019.html'").count() == 1
+
+
+def test_work_scope_removes_its_tables(spark, tmp_path):
+    kept = materialize(spark.range(5), "kept")
+    with work_scope(spark):
+        made = materialize(spark.range(7), "made")
+        path = made.inputFiles()[0]
+        assert made.count() == 7
+        made.write.parquet(str(tmp_path / "out"))
+    assert not os.path.exists(path.removeprefix("file://"))
+    assert kept.count() == 5 and spark.read.parquet(str(tmp_path / "out")).count() == 7

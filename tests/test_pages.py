@@ -37,6 +37,17 @@ def test_month_links(spark, months):
     ]
 
 
+def test_addresses_in_any_form_and_references(spark):
+    html = (
+        "<a href='/a&amp;b'>D&#x27;Angelo</a><A class=x HREF = /c?d=1 >Jos&eacute;&nbsp;M</A><a data-href=\"/no\">none</a>"
+        "<a name=top>no address</a><a\nhref=\"/f\">&#233;&#xe9;&unknown;&#xD800;&#0; & &amp;lt;</a>"
+    )
+    found = rows(P.link_rows(spark.createDataFrame([(1, html)], "page_id long, html string")), "pos")
+    assert [(r["href"], r["text"]) for r in found] == [
+        ("/a&b", "D'Angelo"), ("/c?d=1", "José M"), ("/f", "éé&unknown;&#xD800;&#0; & &lt;"),
+    ]
+
+
 def test_every_fourth_link(spark, months):
     links = P.link_rows(months.where("page_id = 1"), in_first_body=True)
     kept = P.stride_links(links, 4, F.trim("text") == P.BOX_SCORE_TEXT)
@@ -77,6 +88,10 @@ def games(spark):
         ("/b/1", game_page("Golden State Warriors at Seattle SuperSonics Box Score, January 13, 2016", away, home)),
         ("/b/2", "<h1>Postponed</h1><p>no game"),
         ("/b/3", "<table><tbody></tbody></table>"),
+        ("/b/4", f"<h1>A at B Box Score, January 13, 2016</h1><table><tbody>{away}</tbody></table>"),
+        ("/b/5", game_page("A v B, January 13, 2016", away, home)),
+        ("/b/6", game_page("A at B Box Score, Smarch 13, 2016", away, home)),
+        ("/b/7", None),
     ]
     return spark.createDataFrame(pages, "url string, html string")
 
@@ -93,15 +108,18 @@ def test_box_scores(spark, games):
     assert {r["Date"] for r in found} == {dt.date(2016, 1, 13)}
     assert found[0]["Against"] == "Seattle SuperSonics" and found[0]["GameLink"] == "/b/1"
     assert found[1]["FG%"] is None and found[1]["+/-"] == 4.0
-    assert [(r["URL"], r["Error"]) for r in rows(errors, "URL")] == [("/b/2", "no table body"), ("/b/3", "no rows")]
+    assert [(r["URL"], r["Error"]) for r in rows(errors, "URL")] == [
+        ("/b/2", "no table body"), ("/b/3", "no rows"), ("/b/4", "no home table"), ("/b/5", "no teams or date in the title"),
+        ("/b/6", "no teams or date in the title"), ("/b/7", "no table body"),
+    ]
 
 
 def test_rows_of_all_tables(spark, games):
     found = P.table_rows(games)
     assert found.where("url = '/b/1'").groupBy("table_idx").count().count() == 9
-    repeated = rows(found.where("NOT is_first"), "row_idx")
+    repeated = rows(found.where("NOT is_first AND url = '/b/1'"), "row_idx")
     assert [(r["table_idx"], r["row_idx"], r["header"]) for r in repeated] == [(0, 3, "Zoë O'Neil")]
-    assert found.where("url <> '/b/1'").count() == 0
+    assert found.where("url IN ('/b/2', '/b/3', '/b/7')").count() == 0
 
 
 def test_box_scores_do_not_shuffle(spark, games):

@@ -86,6 +86,20 @@ def test_feed_gate_and_cleaning(spark, tmp_path):
     assert sorted(os.listdir(f"{out}/seasons"))[-2:] == ["season=2018-19", "season=2019-20"]
 
 
+def test_corrupt_lines_are_quarantined_once(spark, tmp_path):
+    folder, out = str(tmp_path / "feed"), str(tmp_path / "out")
+    good = feed_line(FEED_HEADER, **game())
+    write(f"{folder}/2019-20.csv", ":".join(FEED_HEADER), good, "garbage", good + ":one:more")
+    for _ in range(2):
+        cleaned = clean_feed_folder(spark, folder, out)
+        assert cleaned.count() == 1 and cleaned.where("GID IS NULL").count() == 0
+        errors = rows(spark.read.parquet(f"{out}/errors"), "Error")
+        assert [e["Error"][:13] for e in errors] == ["corrupt line:"] * 2
+        assert any(e["Error"].endswith("garbage") for e in errors)
+        assert all(e["URL"].endswith("2019-20.csv") for e in errors)
+        assert spark.read.parquet(f"{out}/seasons").count() == 1
+
+
 def test_gate_without_complete_file(spark, tmp_path):
     folder = str(tmp_path / "feed")
     write(f"{folder}/2017-18.csv", "GID:Date", "1:20170101")

@@ -1,6 +1,8 @@
 """Commands, notices, reports, and the streaming counterparts."""
 
 import datetime as dt
+import os
+import shutil
 import time
 
 from conftest import rows
@@ -36,13 +38,21 @@ def test_state_and_shows(spark):
     commands = S.parsed_commands(inbox(spark))
     state = [(r["user"], r["site"]) for r in rows(S.subscription_state(commands), "user", "site")]
     assert state == [("ann", "last"), ("ann", "mysite"), ("eve", "x")]
-    shown = [(r["user"], r["site"], r["n_shows"]) for r in rows(S.shown_lists(commands), "site")]
-    assert shown == [("ann", "last", 1), ("ann", "mysite", 1)]
+    for block in (1_000_000, 1):
+        assert [(r["msg_id"], r["user"], r["site"]) for r in rows(S.shown_lists(commands, block), "site")] == [(6, "ann", "mysite")]
+
+
+def test_lists_are_those_at_the_time_of_the_show(spark):
+    told = ["add a", "show", "add b", "show", "delete a", "show", "delete b", "show", "add a", "add a", "show"]
+    sent = [message(i, "ann@m.example", t + (" http://x" if t.startswith("add") else "")) for i, t in enumerate(told)]
+    commands = S.parsed_commands(spark.createDataFrame(sent, FIELDS))
+    lists = {r["msg_id"]: r["message"] for r in S.notices(commands).where("subject = 'WEBSITE LIST'").collect()}
+    assert lists == {1: "a", 3: "a\nb", 5: "b", 7: "", 10: "a"}
 
 
 def test_notices(spark):
     commands = S.parsed_commands(inbox(spark))
-    want = [(2, "ERROR", "mysite is already listed"), (3, "ERROR", "other is not listed"), (6, "WEBSITE LIST", "")]
+    want = [(2, "ERROR", "mysite is already listed"), (3, "ERROR", "other is not listed"), (6, "WEBSITE LIST", "mysite")]
     for block in (1_000_000, 1):
         assert [(r["msg_id"], r["subject"], r["message"]) for r in rows(S.notices(commands, block), "msg_id")] == want
 
@@ -57,9 +67,14 @@ def test_report_is_cut_into_parts(spark):
     changes = [("u", "t", f"word{i:03d}", "N" if i % 2 else "O", i + 1) for i in range(25)] + [("v", "s", "one", "N", 1)]
     df = spark.createDataFrame(changes, "user string, title string, word string, is_new string, cnt long")
     for block in (1_000_000, 7):
-        parts = rows(S.report_parts(df, 10, block), "user", "part")
-        assert [(r["user"], r["part"], r["n_lines"]) for r in parts] == [("u", 1, 10), ("u", 2, 10), ("u", 3, 5), ("v", 1, 1)]
-        assert parts[0]["body"].split("\n")[:2] == ["t\tWord000\t+1", "t\t\t\t\t\t\tWord001\t+2"]
+        lines = [r["line"] for r in sorted(S.report_lines(df.where("user = 'u'"), block).collect(), key=lambda r: r["line_no"])]
+        assert lines[:6] == [
+            "\t\t\tList Of Websites With Changes", "1.t", "\t\t\tWORD REPORT", "\t\t\t\tt", "Old Words\t\t\t\t\tNew Words", "Word000\t+1",
+        ]
+        assert lines[6] == "\t\t\t\t\tWord001\t+2" and len(lines) == 30
+        parts = rows(S.report_parts(df, 12, block), "user", "part")
+        assert [(r["user"], r["part"], r["n_lines"]) for r in parts] == [("u", 1, 12), ("u", 2, 12), ("u", 3, 6), ("v", 1, 6)]
+        assert "\n".join(r["body"] for r in parts[:3]).split("\n") == lines
         sites = rows(S.changed_sites(df, block_rows=block), "user")
         assert [r["entry"] for r in sites] == ["1.t", "1.s"]
 
@@ -103,3 +118,24 @@ def test_pages_are_taken_in_once(spark, tmp_path):
     table = ingest_pages(spark, landing, target, check)
     assert sorted(r["page_id"] for r in table.collect()) == [1, 2, 3]
     assert ingest_pages(spark, landing, target, check).count() == 3
+
+
+def test_file_times_do_not_matter(spark, tmp_path):
+    """New pages in a file hours older, and repeats in one hours younger."""
+    landing, target, check = (str(tmp_path / n) for n in ("in", "pages", "check"))
+
+    def land(name, hours, *ids):
+        folder = tmp_path / "made" / name
+        spark.createDataFrame([(i, f"/p{i}", f"<p>{i}") for i in ids], "page_id long, url string, html string").coalesce(1).write.parquet(str(folder))
+        made, = folder.glob("*.parquet")
+        os.makedirs(landing, exist_ok=True)
+        placed = f"{landing}/{name}.parquet"
+        shutil.copyfile(made, placed)
+        now = time.time() + hours * 3600
+        os.utime(placed, (now, now))
+        return sorted(r["page_id"] for r in ingest_pages(spark, landing, target, check).collect())
+
+    assert land("a", 0, 1, 2) == [1, 2]
+    assert land("b", -3, 3, 4) == [1, 2, 3, 4]
+    assert land("c", 6, 1, 5) == [1, 2, 3, 4, 5]
+    assert land("d", -24 * 400, 6, 2) == [1, 2, 3, 4, 5, 6]

@@ -19,6 +19,7 @@ An empty table gives an empty result. Other columns are carried along.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -44,7 +45,6 @@ DIGIT = re.compile(r"[0-9]")
 WORDS = re.compile(WORD)
 # Marks that may surround an identifier.
 EDGES = "\"'()[]{}<>,;:.!?"
-GAP = re.compile(r"[\x20\x09-\x0D]+")
 MENTION = "array<struct<start: int, end: int, kind: int, value: string, one: string, two: string>>"
 
 
@@ -95,35 +95,36 @@ def _plain(word: str) -> str:
     return DIGIT.sub("0", word.lower())
 
 
-def _before(text: str, start: int) -> tuple[str | None, str | None]:
-    """The last word and the last two words before a place, without the marks that open the entity."""
-    words: list[str] = []
-    end = start
-    while len(words) < 2 and end > 0:
-        begin = end
-        while begin > 0 and not GAP.match(text, begin - 1):
-            begin -= 1
-        if begin < end:
-            word = _plain(text[begin:end])
-            # Marks alone right before the entity belong to it.
-            if words or begin < start and word.strip(EDGES):
-                words.append(word)
-        end = begin
-        while end > 0 and GAP.match(text, end - 1):
-            end -= 1
-    if not words:
-        return None, None
-    return words[0], f"{words[1]} {words[0]}" if len(words) > 1 else None
+def _contexts(text: str, spans: list[tuple[int, int]]) -> list[tuple[str | None, str | None]]:
+    """The last word and the last two words before each span; ``spans`` are in order.
+
+    What is glued to a span counts as a word, back to the span before and without the marks that open it.
+    Every part of the text is looked at once, however many spans a word holds.
+    """
+    bounds = [m.span() for m in WORDS.finditer(text)]
+    starts = [start for start, _ in bounds]
+    plain: dict[int, str] = {}
+    found, done = [], 0
+    for start, end in spans:
+        i = bisect_right(starts, start) - 1
+        glued = text[max(starts[i], done) : start]
+        words = [_plain(glued)] if glued.strip(EDGES) else []
+        while len(words) < 2 and i > 0:
+            i -= 1
+            if i not in plain:
+                plain[i] = _plain(text[bounds[i][0] : bounds[i][1]])
+            words.append(plain[i])
+        found.append((words[0] if words else None, f"{words[1]} {words[0]}" if len(words) > 1 else None))
+        done = max(done, end)
+    return found
 
 
 def mentions(text: str) -> list[tuple[int, int, int, str, str | None, str | None]]:
-    """``(start, end, kind, value, one, two)``: fixed spans, and other identifiers as kind -1."""
+    """``(start, end, kind, value, one, two)`` in order: fixed spans, and other identifiers as kind -1."""
     fixed = fixed_spans(text)
-    found = []
-    for start, kind, end in fixed:
-        found.append((start, end, kind, text[start:end].lower(), *_before(text, start)))
     if not fixed and not DIGIT.search(text) and "@" not in text:
-        return found
+        return []
+    found = [(start, end, kind) for start, kind, end in fixed]
     reach, at = [], 0
     for start, _, end in fixed:  # merged, in order
         if reach and start < reach[-1][1]:
@@ -140,8 +141,10 @@ def mentions(text: str) -> list[tuple[int, int, int, str, str | None, str | None
             at += 1
         if start >= end or (at < len(reach) and reach[at][0] < end):
             continue
-        found.append((start, end, -1, text[start:end].lower(), *_before(text, start)))
-    return found
+        found.append((start, end, -1))
+    found.sort(key=lambda f: (f[0], f[2]))
+    around = _contexts(text, [f[:2] for f in found])
+    return [(*f, text[f[0] : f[1]].lower(), *near) for f, near in zip(found, around)]
 
 
 def _scanned(docs: DataFrame, text_col: str) -> DataFrame:

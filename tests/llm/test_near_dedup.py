@@ -1,6 +1,8 @@
+import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from cases import EDGES, FOLDER
 from pyspark.sql import functions as F
@@ -85,14 +87,56 @@ def crowd():
     return [(i * 3 + 1, " ".join(t)) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("words, percent", [(3, 85), (5, 80)])
-@pytest.mark.parametrize("limit", [64, 6, 2])
-def test_long_lists_lose_no_link(make, crowd, monkeypatch, words, percent, limit):
-    """With short lists nearly everything goes by neighbourhoods of large groups."""
+@pytest.mark.parametrize("limit, block, words, percent", [(64, 512, 3, 85), (6, 512, 5, 80), (2, 16, 3, 85)])
+def test_long_lists_lose_no_link(make, crowd, monkeypatch, limit, block, words, percent):
+    """With short lists nearly everything goes by large groups, and with small blocks these are cut."""
     monkeypatch.setattr(op, "LIST", limit)
+    monkeypatch.setattr(op, "BLOCK", block)
     check(op.near_duplicates(make(crowd), op.Near(words, percent)), crowd, words, percent)
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_enough(percent):
+    """The chance that all of so many values are in one set only is below the limit, and that of one less is not."""
+    alone = 1 - percent / 100
+    for n in (1, 5, 12, 64):
+        tail = lambda k: sum(math.comb(n, i) * alone**i * (1 - alone) ** (n - i) for i in range(k, n + 1))
+        least = op.enough(n, percent)
+        assert tail(least) <= op.MISSED < tail(least - 1)
+
+
+def test_forest_joins_what_links():
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 10**9, 100)
+    sets = [np.unique(np.r_[base[: 100 - k], rng.integers(10**9, 2 * 10**9, k)]) for k in rng.integers(0, 30, 40)]
+    for sides in (np.zeros(40, dtype=int), np.arange(40) % 2):
+        links = op.forest(pd.DataFrame({"rep": range(40), "side": sides, "shingles": sets}), 80)
+        want, have = list(range(40)), list(range(40))
+
+        def join(parent, a, b):
+            while parent[a] != a:
+                a = parent[a]
+            while parent[b] != b:
+                b = parent[b]
+            parent[max(a, b)] = min(a, b)
+
+        for i in range(40):
+            for j in range(i):
+                common = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common) and (sides.max() == 0 or sides[i] != sides[j]):
+                    join(want, i, j)
+        for a, b in links.itertuples(index=False):
+            join(have, a, b)
+
+        def roots(parent):
+            def find(x):
+                return x if parent[x] == x else find(parent[x])
+
+            return [find(i) for i in range(40)]
+
+        assert roots(have) == roots(want) and len(links) < 40
+
+
 def test_one_of_each_keeps_columns(make, crowd):
     docs = make(crowd)
     kept = op.one_of_each(docs)

@@ -1,14 +1,17 @@
 """Language-model scoring by cross-entropy difference.
 
-A target and a background model of words and word pairs share one vocabulary: the words with at least
-``WORD_SHARE`` of all tokens, so at most ``1 / WORD_SHARE`` of them; the rest is one unknown word. Pairs
-are kept from ``PAIR_SHARE`` of either corpus on, at most ``2 / PAIR_SHARE`` of them. The models are
-matched: counts are scaled to the smaller corpus, and cut-offs, smoothing and interpolation are the same. A
-document's score is the mean over its tokens of the loss under the target model less the loss under
-the background model; the lower, the more like the target.
-
-All words and pairs of all documents are counted (added up per task, then shuffled). Only the models,
-whose size the two shares bound, go through the driver to the tasks.
+A target and a background model of words and word pairs share one vocabulary: the words seen at least
+``WORD_LEAST`` times; the rest is one unknown word, whose probability comes from the words seen less often.
+Pairs count from ``PAIR_LEAST`` times on. Both are fixed numbers, so vocabulary and pairs grow with the corpus
+and no word or pair that repeats is left out at any size. The models are matched: counts are scaled to the
+smaller corpus, and cut-offs, smoothing and interpolation are the same. A document's score is the mean over its
+tokens of the loss under the target model less the loss under the background model; the lower, the more like
+the target.
+
+All words and pairs of all documents are counted (added up per task, then shuffled), and the models stay tables.
+Documents meet them in two ways with the same result: pairs with at least ``OFTEN`` of all tokens, so at most
+``1 / OFTEN`` of them, are sent to the tasks; all others are counted per document and joined by shuffle, where
+no key is hot, as the frequent ones are not among them. Words and pairs go by 64-bit hashes.
 
 Words are lower-cased runs without ASCII white space. Null and empty texts have no tokens and losses and
 score 0. Rows without an id are background. An empty target gives a uniform target model. Repeated rows
@@ -17,190 +20,211 @@ count as often as they occur; an empty table gives an empty result. Other column
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hardwood.llm.common import prepared, table, text_of, wrapped
-from hardwood.operators.balance import attach
+from hardwood.operators.balance import attach, within_limit
 from hardwood.session import materialize
 
-WORD_SHARE, PAIR_SHARE = 1e-5, 2e-6
+WORD_LEAST, PAIR_LEAST = 2, 2
 PAIRS_WEIGHT = 0.6
+# Of all tokens: pairs from here on are sent to the tasks instead of joined.
+OFTEN = 2e-6
 # Distinct words, and tokens, that a task holds before it hands counts on.
 HELD_WORDS, HELD_TOKENS = 300_000, 3_000_000
-UNKNOWN = 0
+# Numbers of what leads a text and of the unknown word; all other numbers are hashes.
+START, UNKNOWN = 0, 1
 
 
-def _words(text: bytes) -> list[bytes]:
-    return text.lower().split()
+class Hashes(dict):
+    """Hashes of words, kept between texts."""
 
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
 
-def _word_counts(texts: DataFrame) -> DataFrame:
-    """``(word, n, t)`` from ``(text, target)``: tokens in all documents and in the target."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every: Counter = Counter()
-        inside: Counter = Counter()
+def _coded(texts: list[bytes], known: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First word, second word and text of each pair, ``START`` leading each text, and the tokens of each text."""
+    if len(known) > HELD_WORDS:
+        known.clear()
+    numbers, lengths = [], []
+    for text in texts:
+        words = text.lower().split()
+        numbers.append(START)
+        numbers.extend(map(known.__getitem__, words))
+        lengths.append(len(words))
+    numbers = np.array(numbers, dtype=np.uint64)
+    lengths = np.array(lengths, dtype=np.int64)
+    starts = np.zeros(len(numbers), dtype=bool)
+    starts[np.cumsum(lengths + 1) - lengths - 1] = True
+    # What leads to the start of the next text is no pair.
+    inner = ~starts[1:]
+    text = np.repeat(np.arange(len(texts)), lengths)
+    return numbers[:-1][inner], numbers[1:][inner], text, lengths
 
-        def handed() -> pa.RecordBatch:
-            words = list(every)
-            columns = [pa.array(words, pa.binary())]
-            columns += [pa.array([c[w] for w in words], pa.int64()) for c in (every, inside)]
-            every.clear()
-            inside.clear()
-            return pa.RecordBatch.from_arrays(columns, ["word", "n", "t"])
 
-        for batch in batches:
-            for text, target in zip(batch.column("text").to_pylist(), batch.column("target").to_pylist()):
-                words = _words(text)
-                every.update(words)
-                if target:
-                    inside.update(words)
-                if len(every) > HELD_WORDS:
-                    yield handed()
-        yield handed()
+def _keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return ((first << np.uint64(21) | first >> np.uint64(43)) ^ second).view(np.int64)
 
-    counts = texts.mapInArrow(count, "word binary, n long, t long")
-    return counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
 
-
-def _numbered(texts: list[bytes], known: dict[bytes, int], start: int) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers of all texts, each text led by the number ``start``, and the length of each."""
-    numbers, lengths = [], []
-    for text in texts:
-        words = _words(text)
-        numbers.append(start)
-        numbers.extend(map(known.get, words, repeat(UNKNOWN)))
-        lengths.append(len(words))
-    return np.array(numbers, dtype=np.int64), np.array(lengths, dtype=np.int64)
+def _key(first: Column, second: Column) -> Column:
+    """:func:`_keys` in Spark."""
+    return F.shiftleft(first, 21).bitwiseOR(F.shiftrightunsigned(first, 43)).bitwiseXOR(second)
 
 
-def _pair_counts(texts: DataFrame, vocabulary) -> DataFrame:
-    """``(pair, n, t)``; a pair's number is first * base + second."""
+def _pair_counts(texts: DataFrame) -> DataFrame:
+    """``(v, w, n, t)`` from ``(text, target)``: pairs in all documents and in the target."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {w: i + 1 for i, w in enumerate(vocabulary.value)}
-        start = len(known) + 1
-        base = start + 1
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        known = Hashes()
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def handed() -> pa.RecordBatch:
-            pairs = np.concatenate([p for p, _ in held]) if held else np.empty(0, np.int64)
-            inside = np.concatenate([t for _, t in held]) if held else np.empty(0, bool)
+            first, second, inside = (np.concatenate(c) for c in zip(*held))
             held.clear()
-            values, rank = np.unique(pairs, return_inverse=True)
+            values, rank = np.unique(_keys(first, second), return_inverse=True)
+            v = np.empty(len(values), dtype=np.uint64)
+            w = np.empty(len(values), dtype=np.uint64)
+            v[rank], w[rank] = first, second
             n, t = np.bincount(rank, minlength=len(values)), np.bincount(rank, weights=inside, minlength=len(values))
-            columns = [pa.array(values, pa.int64()), pa.array(n.astype(np.int64)), pa.array(t.astype(np.int64))]
-            return pa.RecordBatch.from_arrays(columns, ["pair", "n", "t"])
+            columns = [v.view(np.int64), w.view(np.int64), n.astype(np.int64), t.astype(np.int64)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["v", "w", "n", "t"])
 
         for batch in batches:
-            numbers, lengths = _numbered(batch.column("text").to_pylist(), known, start)
-            pair = numbers[:-1] * base + numbers[1:] if len(numbers) else numbers
-            flags = np.array(batch.column("target").to_pylist(), dtype=bool)
-            flag = np.repeat(flags, lengths + 1)[1:]
-            # What leads to the start of the next text is no pair.
-            inner = numbers[1:] != start
-            held.append((pair[inner], flag[inner]))
-            if sum(len(p) for p, _ in held) > HELD_TOKENS:
+            first, second, text, _ = _coded(batch.column("text").to_pylist(), known)
+            held.append((first, second, np.array(batch.column("target").to_pylist(), dtype=bool)[text]))
+            if sum(len(f) for f, _, _ in held) > HELD_TOKENS:
                 yield handed()
-        yield handed()
-
-    counts = texts.mapInArrow(count, "pair long, n long, t long")
-    return counts.groupBy("pair").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+        if held:
+            yield handed()
+
+    counts = texts.mapInArrow(count, "v long, w long, n long, t long")
+    return counts.groupBy("v", "w").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+
+
+def _models(
+    texts: DataFrame,
+    word_least: int,
+    pair_least: int,
+    word_share: float | None,
+    pair_share: float | None,
+) -> tuple[DataFrame, float]:
+    """``(pair, n, loss_t, loss_n)`` for each pair of ``(text, target)``, and the number of tokens; all rows are the background."""
+    pairs = materialize(_pair_counts(texts), "pairs")
+    # Each token is the second of one pair.
+    words = materialize(pairs.groupBy("w").agg(F.sum("n").alias("n"), F.sum("t").alias("t")), "words")
+    whole = words.agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
+    total = {c: whole[c] or 0 for c in "nt"}
+    vocabulary = words.where(F.col("n") >= (word_least if word_share is None else word_share * total["n"]))
+    kept = vocabulary.agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n"), F.sum("t").alias("t")).first()
+    rest = {c: total[c] - (kept[c] or 0) for c in "nt"}
+    small = min(total.values())
+    scale = {c: min(1.0, small / max(total[c], 1)) if small else 1.0 for c in "nt"}
+
+    as_second = vocabulary.select("w", F.col("n").alias("second_n"), F.col("t").alias("second_t"))
+    as_first = vocabulary.select(F.col("w").alias("v"), F.col("n").alias("first_n"), F.col("t").alias("first_t"))
+    coded = attach(attach(pairs, as_second, ["w"], ["v"]), as_first, ["v"], ["w"])
+    coded = coded.withColumn("y", F.when(F.col("second_n").isNull(), F.lit(UNKNOWN)).otherwise(F.col("w")))
+    leads = (F.col("v") != START) & F.col("first_n").isNull()
+    coded = coded.withColumn("x", F.when(leads, F.lit(UNKNOWN)).otherwise(F.col("v")))
+    for c in "nt":
+        coded = coded.withColumn(f"second_{c}", F.coalesce(f"second_{c}", F.lit(rest[c])))
+        coded = coded.withColumn(f"first_{c}", F.coalesce(f"first_{c}", F.lit(rest[c])))
+    if rest["n"]:
+        # Pairs that differ in unknown words only are one pair.
+        some = (F.col("x") == UNKNOWN) | (F.col("y") == UNKNOWN)
+        merged = materialize(coded.where(some).groupBy("x", "y").agg(F.sum("n").alias("all_n"), F.sum("t").alias("all_t")), "merged")
+        like = attach(coded.where(some), merged, ["x", "y"], ["v", "w"])
+        alone = coded.where(~some).withColumns({"all_n": F.col("n"), "all_t": F.col("t")})
+        coded = alone.unionByName(like)
+    else:
+        coded = coded.withColumns({"all_n": F.col("n"), "all_t": F.col("t")})
+    if pair_share is None:
+        counts = F.col("all_n") >= pair_least
+    else:
+        counts = (F.col("all_n") >= pair_share * total["n"]) | ((F.col("all_t") >= pair_share * total["t"]) & (F.col("all_t") > 0))
+    # A word leads about as many pairs as it has tokens; the start of a text leads those counted.
+    starts = pairs.where(F.col("v") == START).join(coded.where(F.col("v") == START).select("w", counts.alias("kept")), "w")
+    led = starts.where("kept").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
 
+    def loss(c: str) -> Column:
+        one = (F.col(f"second_{c}") * scale[c] + 1.0) / (total[c] * scale[c] + kept["words"] + 1)
+        lead = F.when(F.col("v") == START, max((led[c] or 0) * scale[c], 1.0)).otherwise(F.col(f"first_{c}") * scale[c])
+        share = F.least(F.col(f"all_{c}") * scale[c] / F.greatest(lead, F.lit(1e-12)), F.lit(1.0))
+        return -F.log(F.when(counts, PAIRS_WEIGHT * share).otherwise(0.0) + (1 - PAIRS_WEIGHT) * one)
 
-class Matched(NamedTuple):
-    """Probabilities of words and of kept pairs, for the target (row 0) and the background (row 1)."""
+    model = coded.select(_key(F.col("v"), F.col("w")).alias("pair"), "n", loss("t").alias("loss_t"), loss("n").alias("loss_n"))
+    return materialize(model, "model"), total["n"]
 
-    words: list[bytes]
-    single: np.ndarray
-    pairs: np.ndarray
-    joined: np.ndarray
 
+def _met(texts: DataFrame, often: DataFrame) -> DataFrame:
+    """Sums over the pairs ``often``, one row for each of ``(row, text)``, with null ``pair``; and ``(row, pair, times)`` of the rest."""
+    # Plain arrays, so that tasks need no class of this module.
+    frame = often.orderBy("pair").toPandas()  # <= 1 / OFTEN
+    sent = texts.sparkSession.sparkContext.broadcast((frame["pair"].to_numpy(np.int64), frame[["loss_t", "loss_n"]].to_numpy(np.float64)))
 
-def matched(words: list[bytes], counts: np.ndarray, totals: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray) -> Matched:
-    """``counts`` is words x 2 in the order of ``words``, ``pair_counts`` pairs x 2; ``totals`` the tokens of both corpora."""
-    scale = np.minimum(1.0, totals.min() / np.maximum(totals, 1)) if totals.min() else np.ones(2)
-    unknown = (totals - counts.sum(0)) * scale
-    whole = np.concatenate([unknown[:, None], counts.T * scale[:, None]], axis=1)
-    single = (whole + 1.0) / (totals * scale + whole.shape[1])[:, None]
-    order = np.argsort(pairs)
-    pairs, pair_counts = pairs[order], pair_counts[order].T * scale[:, None]
-    base = len(words) + 2
-    first, second = pairs // base, pairs % base
-    # A word leads about as many pairs as it has tokens; the start of a text leads those counted.
-    led = np.zeros((2, base))
-    led[:, : base - 1] = whole
-    led[:, base - 1] = np.maximum(pair_counts[:, first == base - 1].sum(1), 1.0)
-    share = np.minimum(pair_counts / np.maximum(led[:, first], 1e-12), 1.0)
-    return Matched(words, single, pairs, PAIRS_WEIGHT * share + (1 - PAIRS_WEIGHT) * single[:, second])
-
-
-def losses(model: Matched, known: dict[bytes, int], texts: list[bytes]) -> list[np.ndarray]:
-    """Tokens, and mean losses under both models, of each text; ``known`` numbers the model's words from 1."""
-    start = len(known) + 1
-    numbers, lengths = _numbered(texts, known, start)
-    pair = numbers[:-1] * (start + 1) + numbers[1:]
-    text = np.repeat(np.arange(len(texts)), lengths + 1)[1:]
-    inner = numbers[1:] != start
-    pair, second, text = pair[inner], numbers[1:][inner], text[inner]
-    found = [lengths]
-    at = np.minimum(np.searchsorted(model.pairs, pair), max(0, len(model.pairs) - 1))
-    kept = model.pairs[at] == pair if len(model.pairs) else np.zeros(len(pair), dtype=bool)
-    for corpus in range(2):
-        p = (1 - PAIRS_WEIGHT) * model.single[corpus, second]
-        p[kept] = model.joined[corpus, at[kept]]
-        found.append(np.bincount(text, weights=-np.log(p), minlength=len(texts)) / np.maximum(lengths, 1))
-    return found
-
-
-def matched_models(texts: DataFrame, word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> Matched:
-    """Models of ``(text binary, target boolean)``; all rows are the background."""
-    counts = materialize(_word_counts(texts), "words")
-    total = counts.agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
-    n, t = total["n"] or 0, total["t"] or 0
-    frequent = counts.where((F.col("n") >= word_share * n) & (F.col("n") > 0)).orderBy("word").toPandas()  # <= 1 / word_share
-    words = [bytes(w) for w in frequent["word"]]
-    vocabulary = texts.sparkSession.sparkContext.broadcast(words)
-    pairs = _pair_counts(texts, vocabulary)
-    often = (F.col("n") >= pair_share * n) | ((F.col("t") >= pair_share * t) & (F.col("t") > 0))
-    kept = materialize(pairs.where(often), "pairs").orderBy("pair").toPandas()  # <= 2 / pair_share
-    return matched(
-        words,
-        frequent[["t", "n"]].to_numpy(dtype=np.float64).reshape(-1, 2),
-        np.array([t, n], dtype=np.float64),
-        kept["pair"].to_numpy(dtype=np.int64),
-        kept[["t", "n"]].to_numpy(dtype=np.float64).reshape(-1, 2),
-    )
-
-
-def scored(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", **shares) -> DataFrame:
-    """All rows as ``doc`` with ``n_tokens, ce_target, ce_background``; ``target`` holds the ids of the target, in ``id``."""
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Hashes()
+        pairs, losses = sent.value
+        names = ["row", "pair", "times", "n_tokens", "loss_t", "loss_n"]
+        for batch in batches:
+            rows = np.array(batch.column("row").to_pylist(), dtype=np.int64)
+            first, second, text, lengths = _coded(batch.column("text").to_pylist(), known)
+            key = _keys(first, second)
+            at = np.minimum(np.searchsorted(pairs, key), max(0, len(pairs) - 1))
+            found = pairs[at] == key if len(pairs) else np.zeros(len(key), dtype=bool)
+            sums = [pa.array(np.bincount(text[found], weights=losses[at[found], c], minlength=len(rows)), pa.float64()) for c in range(2)]
+            none = pa.nulls(len(rows), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(rows), none, none, pa.array(lengths), *sums], names)
+            key, text = key[~found], text[~found]
+            order = np.lexsort((key, text))
+            key, text = key[order], text[order]
+            new = np.flatnonzero(np.r_[len(key) > 0, (key[1:] != key[:-1]) | (text[1:] != text[:-1])][: len(key)])
+            times = np.diff(np.r_[new, len(key)])
+            none = [pa.nulls(len(new), kind) for kind in (pa.int64(), pa.float64(), pa.float64())]
+            yield pa.RecordBatch.from_arrays([pa.array(rows[text[new]]), pa.array(key[new]), pa.array(times), *none], names)
+
+    kind = "row long, pair long, times long, n_tokens long, loss_t double, loss_n double"
+    return materialize(texts.mapInArrow(meet, kind), "met")
+
+
+def scored(
+    docs: DataFrame,
+    target: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    word_least: int = WORD_LEAST,
+    pair_least: int = PAIR_LEAST,
+    word_share: float | None = None,
+    pair_share: float | None = None,
+) -> DataFrame:
+    """All rows as ``doc`` with ``n_tokens, ce_target, ce_background``; ``target`` holds the ids of the target, in ``id``.
+
+    A share of all tokens, where given, takes the place of a least count.
+    """
     prepared(docs.sparkSession)
     ids = materialize(target.select("id").where("id IS NOT NULL").distinct().withColumn("target", F.lit(True)), "target")
-    texts = docs.select(docs[f"`{id_col}`"].alias("id"), text_of(docs[f"`{text_col}`"]).cast("binary").alias("text"))
-    texts = attach(texts, ids, ["id"], ["text"]).select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    # Plain arrays, so that tasks need no class of this module.
-    sent = docs.sparkSession.sparkContext.broadcast(tuple(matched_models(texts, **shares)))
-    ready: list = []
-
-    @F.arrow_udf("n_tokens long, ce_target double, ce_background double")
-    def loss(texts: pa.Array) -> pa.Array:
-        if not ready:
-            model = Matched(*sent.value)
-            ready.extend([model, {w: i + 1 for i, w in enumerate(model.words)}])
-        found = losses(*ready, texts.to_pylist())
-        return pa.StructArray.from_arrays([pa.array(f) for f in found], ["n_tokens", "ce_target", "ce_background"])
-
-    measured = wrapped(docs).withColumn("loss", loss(text_of(f"doc.`{text_col}`").cast("binary")))
-    return measured.select("doc", "loss.*")
+    rows = materialize(wrapped(docs).withColumn("row", F.monotonically_increasing_id()), "documents")
+    texts = rows.select("row", F.col(f"doc.`{id_col}`").alias("id"), text_of(f"doc.`{text_col}`").cast("binary").alias("text"))
+    marked = attach(texts, ids, ["id"], ["row"]).select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    model, tokens = _models(marked, word_least, pair_least, word_share, pair_share)
+    often = F.col("n") >= OFTEN * tokens
+    met = _met(texts.select("row", "text"), model.where(often))
+    rest = met.where("pair IS NOT NULL").select("row", "pair", "times").join(model.where(~often), "pair")
+    rest = rest.select("row", F.lit(0).cast("long").alias("n_tokens"), *[(F.col("times") * F.col(c)).alias(c) for c in ("loss_t", "loss_n")])
+    every = met.where("pair IS NULL").select("row", "n_tokens", "loss_t", "loss_n").unionByName(rest)
+    sums = materialize(every.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "loss_t", "loss_n")]), "losses")
+    each = F.greatest("n_tokens", F.lit(1))
+    means = sums.select("row", "n_tokens", (F.col("loss_t") / each).alias("ce_target"), (F.col("loss_n") / each).alias("ce_background"))
+    small = F.broadcast(means) if within_limit(sums) else means
+    return rows.join(small, "row").select("doc", "n_tokens", "ce_target", "ce_background")
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,3 +100,20 @@ def test_query(spark, documents):
     for r in rows:
         assert r["n_tokens"] == len(documents[r["doc_id"]]["text"].encode().split())
         assert math.isclose(r["score"], r["ce_target"] - r["ce_background"], abs_tol=1e-12)
+
+
+@pytest.mark.parametrize("often", [op.OFTEN, 0.02, 2.0])
+def test_what_repeats_is_kept_at_any_size(spark, make, monkeypatch, often):
+    """Words and pairs seen twice among 400,000 tokens count, also when nearly all pairs are joined by shuffle."""
+    monkeypatch.setattr(op, "OFTEN", often)
+    rows = [(i, "common words " * 2_000) for i in range(100)]
+    rows += [(200 + i, f"rare{i // 2} pair{i // 2} once{i} rare{i // 2} pair{i // 2}") for i in range(40)] + [(300, None), (301, "")]
+    target = [0, 200, 201, 230]
+    total = sum(len((t or "").split()) for _, t in rows)
+    found = op.scored(make(rows), spark.createDataFrame([(i,) for i in target], "id long"))
+    want = by_hand(rows, target, word_share=2 / total, pair_share=2 / total)
+    have = {r["doc"]["doc_id"]: (r["n_tokens"], r["ce_target"], r["ce_background"]) for r in found.collect()}
+    assert len(have) == len(rows)
+    # The oracle's share of the small target would keep pairs that are seen there only once: there are none.
+    for (doc_id, _), w in zip(rows, want):
+        assert have[doc_id] == pytest.approx(w, rel=1e-9, abs=1e-9)

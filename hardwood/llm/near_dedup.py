@@ -7,7 +7,8 @@ Each text is the set of its hashed word shingles; the ``SKETCH`` smallest values
    yields its pairs. Longer lists belong to text that many documents share. A representative with
    too few values in short lists is listed again by its ``DEEPER`` smallest values
    among its like: that finds documents that hold a common passage beside text of their own. (With as
-   many values as :func:`enough` asks for, the chance that none is shared with a linked document is below ``MISSED``.)
+   many values as :func:`enough` asks for, the chance that none is shared with a linked document is below ``MISSED``. A
+   set that is listed whole needs so many that one is in the list of every linked document, however long.)
 3. What has too few such values even then consists of common text. It is grouped by pairs of minima of
    the sketches. Large groups compare all members with their most central one. Members that link to
    it are in one component and are not compared with each other; all that remains is compared in
@@ -237,8 +238,8 @@ def enough(listed: int, percent: int) -> int:
     return least
 
 
-def _listed(reps: DataFrame, values: Column, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Close pairs from the short inverted lists of ``values``, and the representatives with too few of them."""
+def _listed(reps: DataFrame, values: Column, listed: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Close pairs from the short inverted lists of ``values``, at most ``listed`` of a set, and the representatives with too few of them."""
     posted = reps.select("rep", "size", F.size(values).alias("values"), F.explode(values).alias("v"))
     lists = posted.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     shared = materialize(posted.join(lists, "v"), "shared")
@@ -247,8 +248,10 @@ def _listed(reps: DataFrame, values: Column, percent: int) -> tuple[DataFrame, D
     heavy = shared.where(F.col("n") > LIST).groupBy("rep").agg(
         F.count(F.lit(1)).alias("heavy"), F.sum("n").alias("weight"), F.first("size").alias("of"), F.first("values").alias("values")
     )
-    # Of a whole set, at most this many values are not in a linked one.
-    whole = F.floor(F.col("of") * F.lit((100 - percent) / 100) + F.lit(1e-9)) + 1
+    # Of a whole set, at most so many values are not in a linked one, and so many beyond the end of its list.
+    absent = F.floor(F.col("of") * F.lit((100 - percent) / 100) + F.lit(1e-9))
+    beyond = F.greatest(F.floor(F.col("of") * F.lit(100 / percent) + F.lit(1e-9)) - listed, F.lit(0))
+    whole = absent + beyond + 1
     table = F.array(*[F.lit(enough(n, percent)) for n in range(1, DEEPER + 1)])
     needed = F.when(F.col("values") == F.col("of"), whole).otherwise(F.element_at(table, F.col("values")))
     few = heavy.where(F.col("values") - F.col("heavy") < needed).select("rep", "weight")
@@ -257,12 +260,12 @@ def _listed(reps: DataFrame, values: Column, percent: int) -> tuple[DataFrame, D
 
 def _candidates(reps: DataFrame, sets_for: Callable, percent: int) -> tuple[DataFrame, DataFrame | None]:
     """``(a, b, estimate)`` of close representatives, and the links of large groups."""
-    pairs, few = _listed(reps, F.col("listed"), percent)
+    pairs, few = _listed(reps, F.col("listed"), LISTED, percent)
     if few.isEmpty():
         return pairs, None
     sets = sets_for(few.select(F.col("rep").alias("row"))).withColumnRenamed("row", "rep")
     again = materialize(reps.select("rep", "size", "sketch").join(sets, "rep"), "again")
-    more, common = _listed(again, F.slice("shingles", 1, DEEPER), percent)
+    more, common = _listed(again, F.slice("shingles", 1, DEEPER), DEEPER, percent)
     pairs = pairs.unionByName(more)
     if common.isEmpty():
         return pairs, None

@@ -167,3 +167,16 @@ def test_shingle_hashes_depend_on_order_and_length():
     sets = [op.shingle_set(t, 3, {}) for t in (b"a b c", b"c b a", b"a b", b"a", b"A B C")]
     assert len({s.tobytes() for s in sets}) == 4
     assert np.array_equal(sets[0], sets[4])
+
+
+@pytest.mark.parametrize("common, rare, own, other", [(10, 2, 2, 3), (54, 10, 11, 12)])
+def test_short_texts_of_common_words_link(make, common, rare, own, other):
+    """A whole set, with all its rare values beyond the end of its partner's list, in the first and in the second round."""
+    value = {w: int(op.shingle_set(w.encode(), 1, {})[0]) for w in (f"w{i}" for i in range(common + rare + own))}
+    words = sorted(value, key=value.get)
+    shared, partners, last = words[:common], words[common : common + own], words[common + own :]
+    beyond = (w for w in (f"x{i}" for i in range(10**6)) if op.shingle_set(w.encode(), 1, {})[0] > value[shared[-1]])
+    texts = [shared + last, shared + last + partners] + [shared + [next(beyond) for _ in range(other)] for _ in range(op.LIST + 10)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    assert classes([t for _, t in rows], 1, 85)[0][:3] == [0, 0, 2]
+    check(op.near_duplicates(make(rows), op.Near(1, 85)), rows, 1, 85)

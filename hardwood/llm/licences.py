@@ -1,7 +1,11 @@
 """Licence scans: passages compared to licence templates by Dice coefficient over word bigrams.
 
-A text is compared as a whole, by paragraphs, by lines and by sentences, so a notice is found at any size and
-place. Texts are normalised: lower case, words only, lines that state a copyright left out. Two sets of
+A text is compared as a whole, by paragraphs, by lines and by sentences, and by windows over its words: for each
+template of at least ``NOTICE`` bigrams, the windows of up to its largest possible size that are most like it, wherever
+they begin and end. So a notice is found at any place, also over several sentences or paragraphs of a longer text. Shorter
+templates are references of one line, where the name or version at the end decides: a window could leave it out, so
+these are compared by whole lines and sentences only. Of windows that overlap by half of the shorter, the one with
+most of its template counts. Texts are normalised: lower case, words only, lines that state a copyright left out. Two sets of
 bigrams are alike if 2 * common / (size + size) reaches ``LEAST``. Sizes alone bound that value, so a
 passage meets only the templates of fitting size; and as a match must hold two thirds of a template's
 bigrams, one of the rarer third of them must be there, or the passage is not looked at.
@@ -17,6 +21,7 @@ import math
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +30,8 @@ from pyspark.sql import functions as F
 from hardwood.llm.common import prepared, table, text_of, wrapped
 
 LEAST = 0.8
+# Bigrams from which on a template is searched by windows.
+NOTICE = 16
 PERMISSION = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
     'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
@@ -48,6 +55,15 @@ ENDORSEMENT = (
     "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
     "derived from this software without specific prior written permission."
 )
+BSD_AS_IS = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+    "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+    "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
 # Texts and notices of public licences. Of one licence, every entry is a template of its own.
 TEMPLATES = {
     "MIT": (
@@ -58,8 +74,14 @@ TEMPLATES = {
         "This project is licensed under the MIT License.",
         "SPDX-License-Identifier: MIT",
     ),
-    "BSD-2-Clause": (REDISTRIBUTION, "Licensed under the BSD 2-Clause License.", "SPDX-License-Identifier: BSD-2-Clause"),
+    "BSD-2-Clause": (
+        REDISTRIBUTION + " " + BSD_AS_IS,
+        REDISTRIBUTION,
+        "Licensed under the BSD 2-Clause License.",
+        "SPDX-License-Identifier: BSD-2-Clause",
+    ),
     "BSD-3-Clause": (
+        REDISTRIBUTION + " " + ENDORSEMENT + " " + BSD_AS_IS,
         REDISTRIBUTION + " " + ENDORSEMENT,
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Licensed under the BSD 3-Clause License.",
@@ -149,11 +171,16 @@ class Templates:
         self.known = sorted((k for k in known if k[0]), key=lambda k: (len(k[0]), k[1], sorted(k[0])))
         self.sizes = [len(grams) for grams, _ in self.known]
         self.anchors: set[tuple[str, str]] = set()
-        for grams, _ in self.known:
+        # For each anchor, the notices that it may stand in.
+        self.notices: dict[tuple[str, str], list[int]] = {}
+        for number, (grams, _) in enumerate(self.known):
             needed = math.ceil(least / (2 - least) * len(grams) - 1e-9)
             # Any choice would do; pairs of long words are rare in other texts.
             rare = sorted(grams, key=lambda g: (-len(g[0]) - len(g[1]), g))
-            self.anchors.update(rare[: len(grams) - needed + 1])
+            some = rare[: len(grams) - needed + 1]
+            self.anchors.update(some)
+            for anchor in some if len(grams) >= NOTICE else ():
+                self.notices.setdefault(anchor, []).append(number)
 
     def best(self, words: list[str]) -> tuple[float, str] | None:
         """The best template of a passage; ties by name."""
@@ -177,9 +204,69 @@ def _cut(text: str, at: int, mark: re.Pattern) -> Iterator[tuple[int, str]]:
     yield at + start, text[start:]
 
 
-def _passages(text: str) -> set[tuple[int, str]]:
-    """The text, its paragraphs, its lines, and sentences within lines and paragraphs."""
-    found = {(0, text)}
+@cache
+def _standard() -> Templates:
+    return Templates(TEMPLATES, LEAST)
+
+
+def _apart(found: list[tuple], share: float) -> list[tuple]:
+    """Of ``(rank, start, end, ...)`` in order, those that no earlier one overlaps by more than ``share`` of the shorter."""
+    kept: list[tuple] = []
+    for f in found:
+        if not any(min(e, f[2]) - max(s, f[1]) > share * min(e - s, f[2] - f[1]) for _, s, e, *_ in kept):
+            kept.append(f)
+    return kept
+
+
+def _likest(pairs: list[tuple[str, str]], anchors: list[int], grams: Bigrams, least: float) -> list[tuple]:
+    """``((-dice, length), start, end, common)`` of the runs of ``pairs`` most like ``grams``, none overlapping."""
+    needed = math.ceil(least / (2 - least) * len(grams) - 1e-9)
+    longest = math.floor(len(grams) * (2 - least) / least + 1e-9)
+    hits: list[int] = []
+    for a in anchors:  # every match holds an anchor
+        first = max(a - longest + 1, hits[-1] + 1 if hits else 0)
+        hits.extend(k for k in range(first, min(a + longest, len(pairs))) if pairs[k] in grams)
+    found = []
+    for n, start in enumerate(hits):
+        # The likest run begins and ends with bigrams of the template.
+        if bisect_left(hits, start + longest) - n < needed:
+            continue
+        seen: set[tuple[str, str]] = set()
+        common, best = 0, None
+        for k in range(start, min(start + longest, len(pairs))):
+            new = pairs[k] not in seen
+            seen.add(pairs[k])
+            if pairs[k] in grams:
+                common += new
+                rank = (-2 * common / (len(seen) + len(grams)), k + 1 - start)
+                if common >= needed and -rank[0] >= least and (best is None or rank < best[0]):
+                    best = (rank, start, k + 1, common)
+        if best:
+            found.append(best)
+    return _apart(sorted(found), 0.0)
+
+
+def _windows(text: str, templates: Templates) -> Iterator[tuple[int, str]]:
+    """The runs of words most like a notice."""
+    places = list(WORDS.finditer(COPYRIGHT.sub(lambda m: " " * len(m.group()), text)))
+    words = [m.group().lower() for m in places]
+    pairs = list(zip(words, words[1:]))
+    anchors: dict[int, list[int]] = {}
+    for k, pair in enumerate(pairs):
+        for number in templates.notices.get(pair, ()):
+            anchors.setdefault(number, []).append(k)
+    found = []
+    for number, at in anchors.items():
+        grams, name = templates.known[number]
+        found += [((-common, *rank, name), start, end) for rank, start, end, common in _likest(pairs, at, grams, templates.least)]
+    for _, start, end in _apart(sorted(found), 0.5):
+        begin = places[start].start()
+        yield begin, text[begin : places[end].end()]
+
+
+def _passages(text: str, templates: Templates | None = None) -> set[tuple[int, str]]:
+    """The text, its paragraphs, its lines, sentences within lines and paragraphs, and windows."""
+    found = {(0, text), *_windows(text, templates or _standard())}
     for at, paragraph in _cut(text, 0, PARAGRAPH):
         found.add((at, paragraph))
         found.update(_cut(paragraph, at, SENTENCE))
@@ -195,7 +282,7 @@ def licences(text: str, templates: Templates) -> list[tuple[int, int, str, float
     if templates.anchors.isdisjoint(zip(words, words[1:])) and not COPYRIGHT.search(text):
         return []
     found = []
-    for at, passage in _passages(text):
+    for at, passage in _passages(text, templates):
         best = templates.best(normalised(passage))
         if best:
             start = at + len(passage) - len(passage.lstrip())

@@ -75,3 +75,51 @@ def test_edges(edges):
 
 def test_empty(nothing):
     assert op.licence_scan(nothing).count() == 0
+
+
+BSD = {
+    "BSD-2-Clause": [op.REDISTRIBUTION],
+    "BSD-3-Clause": [op.REDISTRIBUTION, op.ENDORSEMENT],
+}
+FILLER = " ".join(f"word{i} of the plain{i % 7}" for i in range(60))
+
+
+def licence_file(parts):
+    """Numbered conditions and the disclaimer, separated by blank lines."""
+    text = " ".join(parts)
+    for number, begin in enumerate(["Redistributions of source", "Redistributions in binary", "Neither the name"], 1):
+        text = text.replace(begin, f"\n\n{number}. {begin}")
+    return "Copyright (c) 2001, Somebody\n\n" + text + "\n\n" + op.BSD_AS_IS
+
+
+GPL = op.TEMPLATES["GPL-3.0"][0].replace(" This program is", "\n\nThis program is").replace(" See the", "\n\nSee the")
+PLACED = [
+    ("GPL-3.0", GPL + "\n\n" + FILLER),
+    ("GPL-3.0", FILLER + "\n\n" + GPL + "\n\n" + FILLER),
+    ("GPL-3.0", FILLER + " " + op.TEMPLATES["GPL-3.0"][0] + " " + FILLER),
+    *[(name, licence_file(parts)) for name, parts in BSD.items()],
+    *[(name, FILLER + "\n\n" + licence_file(parts) + "\n\n" + FILLER) for name, parts in BSD.items()],
+]
+
+
+@pytest.mark.parametrize("name, text", PLACED)
+def test_notices_within_longer_texts(name, text):
+    """The likest of all runs of words, by trying each."""
+    words = op.normalised(text)
+    best = 0.0
+    for known in (op.bigrams(op.normalised(t)) for t in op.TEMPLATES[name]):
+        for start in range(len(words) - 1):
+            seen, common = set(), 0
+            for pair in list(zip(words[start:], words[start + 1 :]))[: len(known) * 3 // 2]:
+                common += pair in known and pair not in seen
+                seen.add(pair)
+                if len(known) >= op.NOTICE:
+                    best = max(best, 2 * common / (len(seen) + len(known)))
+    found = op.licences(text, TEMPLATES)
+    assert [n for _, _, n, _ in found] == [name]
+    assert found[0][3] == pytest.approx(best) and best > 0.9
+    assert op.licences(text, TEMPLATES) == brute(text)
+
+
+def test_one_line_references_keep_their_version():
+    assert op.licences("Licensed under the Apache License, Version 1.1, as it was. " + FILLER, TEMPLATES) == []

@@ -206,7 +206,12 @@ def _score(a: str, left: str, right: str) -> Column:
 def collocations(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, top: int = TOP, held: int = HELD_PERCENT
 ) -> DataFrame:
-    """``(lang, rank, phrase, a, l, r, n, score)``: the ``top`` phrases of every language."""
+    """``(lang, rank, phrase, a, l, r, n, score)``: the ``top`` phrases of every language.
+
+    ``held`` is a share in percent, from 1 to 100: an inner node of a path is held in any case.
+    """
+    if not 1 <= held <= 100:
+        raise ValueError("held must be a percentage from 1 to 100")
     prepared(docs.sparkSession)
     texts = _pieces_of(docs, text_col, lang_col)
     seed = 0

@@ -44,6 +44,8 @@ END = 0
 # Tokens and distinct words that a task holds before it hands on, checked after each text.
 HELD_TOKENS, HELD_WORDS = 4_000_000, 1_000_000
 HOT_WORD, SLOTS = 1e-3, 64
+# Edges that a task adds up at once.
+HELD_ROWS = 200_000
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _AS_STOP = bytes.maketrans(_BREAKS, b"." * len(_BREAKS))
@@ -147,21 +149,66 @@ def _counted_edges(texts: DataFrame, seed: int, hot: set[int]) -> DataFrame:
     return texts.mapInArrow(count, "x long, y long, z long, slot int, n long")
 
 
+def _runs(held: np.ndarray, keys: np.ndarray, n: np.ndarray, last: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys (columns) of sorted rows with their sums, and what is held back: the last key may go on in the next rows.
+
+    ``held`` is what the call before held back, a column of key and sum, or nothing.
+    """
+    keys, n = np.concatenate([held[:-1], keys], axis=1), np.concatenate([held[-1], n])
+    if not len(n):
+        return keys, n, held
+    new = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(0)])
+    keys, n = keys[:, new], np.add.reduceat(n, new)
+    if last:
+        return keys, n, held[:, :0]
+    return keys[:, :-1], n[:-1], np.r_[keys[:, -1], n[-1]][:, None]
+
+
+def _flows(dealt: DataFrame, least: int) -> DataFrame:
+    """``(x, y, z, n)`` from sorted edges: edges, nodes (null ``z``) and the task's part of words (null ``y``)."""
+
+    def flow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {size: np.zeros((size + 1, 0), dtype=np.int64) for size in (4, 3, 1)}
+
+        def rows(columns: list[np.ndarray], n: np.ndarray) -> pa.RecordBatch:
+            none = [pa.nulls(len(n), pa.int64())] * (3 - len(columns))
+            return pa.RecordBatch.from_arrays([*map(pa.array, columns), *none, pa.array(n)], ["x", "y", "z", "n"])
+
+        def step(found: np.ndarray, last: bool) -> Iterator[pa.RecordBatch]:
+            edges, n, held[4] = _runs(held[4], found[:4], found[4], last)
+            keep = (n >= least) & (edges[2] != END)
+            yield rows([edges[0][keep], edges[1][keep], edges[2][keep]], n[keep])
+            nodes, n, held[3] = _runs(held[3], edges[[0, 1, 3]], n, last)
+            keep = ((n >= least) | (nodes[2] > 0)) & (nodes[1] != END)
+            yield rows([nodes[0][keep], nodes[1][keep]], n[keep])
+            words, n, held[1] = _runs(held[1], nodes[:1], n, last)
+            yield rows([words[0]], n)
+
+        parts, waiting = [], 0
+        for batch in batches:
+            parts.append(np.stack([batch.column(c).to_numpy() for c in ("x", "y", "z", "hot", "n")]))
+            waiting += batch.num_rows
+            if waiting > HELD_ROWS:
+                yield from step(np.concatenate(parts, axis=1), False)
+                parts, waiting = [], 0
+        yield from step(np.concatenate([np.zeros((5, 0), dtype=np.int64), *parts], axis=1), True)
+
+    ordered = dealt.repartition("x", "y", "slot").sortWithinPartitions("x", "y", "z")
+    ordered = ordered.select("x", "y", "z", (F.col("slot") >= 0).cast("long").alias("hot"), "n")
+    return ordered.mapInArrow(flow, "x long, y long, z long, n long")
+
+
 def graph(texts: DataFrame, seed: int, hot: set[int], least: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Edges ``(x, y, z, n)`` and nodes ``(x, y, n)`` from ``least`` on, words ``(x, n)``; nodes and words by flow."""
-    # One exchange by node serves the edges and the flow out of the nodes.
-    dealt = _counted_edges(texts, seed, hot).repartition("x", "y", "slot")
+    """Edges ``(x, y, z, n)`` and nodes ``(x, y, n)`` from ``least`` on, words ``(x, n)``; nodes and words by flow.
+
+    One exchange and one sort by node serve all three.
+    """
+    stored = materialize(_flows(_counted_edges(texts, seed, hot), least), "graph")
     n = F.sum("n").alias("n")
-    none = F.lit(None).cast("long")
-    edges = dealt.groupBy("x", "y", "z", "slot").agg(n).where((F.col("n") >= least) & (F.col("z") != END)).select("x", "y", "z", "n")
-    flow = dealt.groupBy("x", "y", "slot").agg(n)
-    nodes = flow.where((F.col("slot") >= 0) | (F.col("n") >= least)).where(F.col("y") != END).select("x", "y", none.alias("z"), "n")
-    words = flow.groupBy("x").agg(n).where(F.col("n") >= least).select("x", none.alias("y"), none.alias("z"), "n")
-    stored = materialize(edges.unionByName(nodes).unionByName(words), "graph")
-    edges = stored.where("z IS NOT NULL")
-    # Only nodes with slots have several rows, at most one for each slot.
+    # Only nodes with slots have several rows, at most one for each slot; words have one for each task.
     nodes = stored.where("z IS NULL AND y IS NOT NULL").groupBy("x", "y").agg(n).where(F.col("n") >= least)
-    return edges, nodes, stored.where("y IS NULL").select("x", "n")
+    words = stored.where("y IS NULL").groupBy("x").agg(n).where(F.col("n") >= least)
+    return stored.where("z IS NOT NULL"), nodes, words
 
 
 def unary_nodes(edges: DataFrame, nodes: DataFrame) -> DataFrame:

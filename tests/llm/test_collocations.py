@@ -104,6 +104,22 @@ def test_distinct_rows(triples, numbers):
     assert Counter(triples) == {tuple(map(int, c)): int(k) for c, k in zip(rows.T, n)}
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(*[st.integers(0, 2)] * 2, st.integers(1, 5)), max_size=30), st.integers(1, 7))
+def test_runs_over_many_batches(rows, size):
+    rows = sorted(rows)
+    want = Counter()
+    for x, y, n in rows:
+        want[x, y] += n
+    held, got = np.zeros((3, 0), dtype=np.int64), []
+    starts = range(0, len(rows) + 1, size)
+    for start in starts:
+        part = np.array(rows[start : start + size], dtype=np.int64).reshape(-1, 3).T
+        keys, n, held = op._runs(held, part[:2], part[2], start == starts[-1])
+        got += [(int(x), int(y), int(k)) for x, y, k in zip(*keys, n)]
+    assert got == [(x, y, n) for (x, y), n in sorted(want.items())]
+
+
 @pytest.mark.parametrize("times", [10, 25])
 def test_paths_are_whole_passages(make, times):
     passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa"

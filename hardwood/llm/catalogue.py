@@ -7,7 +7,7 @@ from importlib import import_module
 MODULES = [
     "outliers", "exact_dedup", "licences", "personal_data", "packing",
     "near_dedup", "secret_scan", "lm_scoring", "mixing", "quality",
-    "collocations", "hard_negatives",
+    "collocations", "hard_negatives", "suffix_dedup",
 ]
 
 

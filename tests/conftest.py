@@ -14,9 +14,3 @@ def spark(tmp_path_factory):
     session = local_session(4, "tests", **{"spark.checkpoint.dir": str(folder), "spark.sql.shuffle.partitions": "4"})
     yield session
     session.stop()
-
-
-def rows(df, *order):
-    """Rows as dicts, sorted by the given columns."""
-    found = [r.asDict(recursive=True) for r in df.collect()]
-    return sorted(found, key=lambda r: tuple(str(r[c]) for c in order)) if order else found

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from hardwood.models import linear, neighbours, trees
 from hardwood.operators import evaluate as E
 from hardwood.sources.sinks import load_model, save_model

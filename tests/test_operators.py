@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from hardwood.operators import categories as C
 from hardwood.operators import impute as I
 from hardwood.operators import reconcile as R

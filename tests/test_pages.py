@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from hardwood.operators import pages as P
 from hardwood.plans.scrape import pages_to_box
 

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from hardwood.fixed_values import BOX_COLUMNS, FEED_COLUMNS, FEED_HEADER
 from hardwood.plans.feed import clean_feed_folder, prepare_shifted, read_shifted, shifted_sets
 from hardwood.sources import delimited as D

@@ -5,7 +5,7 @@ import os
 import shutil
 import time
 
-from conftest import rows
+from helpers import rows
 from hardwood.operators import subscriptions as S
 from hardwood.streaming.ingest import ingest_pages
 from hardwood.streaming.subscriptions import read_state, update_state

@@ -8,7 +8,7 @@ from hardwood.catalogue.registry import query
 from hardwood.functions.mail import report_date
 from hardwood.operators import subscriptions as S
 from hardwood.session import work_path
-from hardwood.streaming.subscriptions import read_state, update_state
+from hardwood.streaming.subscriptions import read_replies, read_state, update_replies, update_state
 
 
 def _messages(events):
@@ -120,6 +120,25 @@ def stream_subscription_state(tables):
     return read_state(spark, f"{folder}/state").select("user", "site", "url")
 
 
+@query(
+    "stream_subscription_replies",
+    "T2",
+    f"""
+    WITH {SQL_MESSAGES}, {SQL_SHOWN}
+    SELECT msg_id, "user", 'ERROR ' || verb AS subject, site FROM c WHERE (coalesce(before, '') = 'add') = (verb = 'add')
+    UNION ALL SELECT msg_id, "user", 'WEBSITE LIST', NULL FROM m WHERE verb = 'show'
+    UNION ALL SELECT msg_id, "user", 'WEBSITE LIST', site FROM sh
+    """,
+)
+def stream_subscription_replies(tables):
+    """Errors and lists as rows, replayed in time order from the stream."""
+    spark = tables.spark
+    events = spark.readStream.schema(tables.events.schema).option("pathGlobFilter", "events.parquet").parquet(tables.folder)
+    folder = work_path(spark, "replies")
+    update_replies(S.parsed_commands(_messages(events)), f"{folder}/rows", f"{folder}/checkpoint", delay="0 seconds")
+    return read_replies(spark, f"{folder}/rows").select("msg_id", "user", "subject", "site")
+
+
 def _changes(tables):
     """Word counts per conversation (user) and turn (site); the assistant's words are new."""
     words = F.explode(F.split(F.lower("text"), "[^\\p{L}]+"))

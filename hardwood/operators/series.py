@@ -67,16 +67,11 @@ class _Blocked:
     size: int
 
     def neighbours(self, before: int, after: int, within: Sequence[str], features: dict[str, Feature]) -> DataFrame:
-        if max(before, after) > self.size:
-            raise ValueError(f"frame of {max(before, after)} rows is longer than a block of {self.size}")
+        # A row goes to all blocks that its frame reaches, however long the frame is.
         place = F.pmod(F.col("_g"), F.lit(self.size))
-        targets = F.array_compact(
-            F.array(
-                F.col("_block"),
-                F.when(place >= self.size - before, F.col("_block") + 1),
-                F.when(place < after, F.col("_block") - 1),
-            )
-        )
+        ahead = F.floor((place + before) / F.lit(self.size))
+        back = F.floor((F.lit(after - 1) - place) / F.lit(self.size)) + 1
+        targets = F.sequence(F.col("_block") - back, F.col("_block") + ahead)
         copies = self.rows.withColumn("_at", F.explode(targets))
         window = Window.partitionBy("_at", *self.entity, *within).orderBy("_g")
         done = copies.withColumns({n: f(window) for n, f in features.items()})

@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 from hardwood.functions.mail import (
     command_site, command_url, command_verb, report_line, sender_address, sender_mailbox,
 )
-from hardwood.operators.balance import keep_known
+from hardwood.operators.balance import attach, keep_known
 from hardwood.operators.series import GameSeries, lagged, led
 from hardwood.session import materialize
 
 CHANGES = ("add", "delete")
+# Shows that one step takes out of a stretch.
+STRETCH = 4_096
+# Subjects of reply rows.
+LIST, ADD_ERROR, DELETE_ERROR = "WEBSITE LIST", "ERROR add", "ERROR delete"
 # --- fixed values: headings of a report
 LIST_HEADING = "\t\t\tList Of Websites With Changes"
 REPORT_HEADING = "\t\t\tWORD REPORT"
@@ -57,26 +61,77 @@ def subscription_state(commands: DataFrame) -> DataFrame:
     return last_commands(commands).where(F.col("verb") == "add").select("user", "site", "url", F.col("ts").alias("since"))
 
 
-def _order(prefix: str = "") -> Column:
-    """Commands in time order; ties by message."""
-    return F.struct(F.col(f"{prefix}ts").alias("ts"), F.col(f"{prefix}msg_id").alias("msg_id"))
+def listed_stretches(commands: DataFrame, block_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(user, site, first, last)`` and ``(user, show, msg_id, ts)``.
+
+    Shows are numbered per user in time order. A site is on the list from an add to the next command
+    for it, which covers the shows from ``first`` to ``last``; ``last`` is null where no command follows.
+    """
+    changes = commands.where(F.col("verb").isin(*CHANGES) & F.col("site").isNotNull()).select("msg_id", "ts", "user", "site", "verb")
+    shows = commands.where(F.col("verb") == "show").select("msg_id", "ts", "user")
+    order = ["ts", "msg_id"]
+    shows = materialize(GameSeries.of(shows, ["user"], order, block_rows).position("show").result(), "shows")
+    every = changes.withColumn("show", F.lit(None).cast("long")).unionByName(shows, allowMissingColumns=True)
+    seen = GameSeries.of(materialize(every, "commands"), ["user"], order, block_rows).last_known("show", "_seen").result()
+    seen = materialize(seen.where("verb IS NOT NULL").withColumn("_seen", F.coalesce("_seen", F.lit(0).cast("long"))), "seen")
+    replay = GameSeries.of(seen.drop("show"), ["user", "site"], order, block_rows)
+    followed = replay.neighbours(0, 1, last=led("_seen", 1)).result()
+    stretches = followed.where(F.col("verb") == "add").select("user", "site", (F.col("_seen") + 1).alias("first"), "last")
+    return stretches, shows
 
 
 def shown_lists(commands: DataFrame, block_rows: int | None = None) -> DataFrame:
     """``(msg_id, ts, user, site)``: the list as it was when a user asked to see it, one row per site.
 
-    A site is on the list from an add to the next command for it, so at most one stretch per site
-    covers a show, and the join gives the rows of the lists and no others.
+    Every stretch on the list gives one row for each show that it covers, and these rows meet their show by its
+    number. So the work is in proportion to the commands and the rows that come out, however many
+    commands one user sends.
     """
+    stretches, shows = listed_stretches(commands, block_rows)
+    total = materialize(shows.groupBy("user").agg(F.max("show").alias("shows")), "totals")
+    # A user without shows has no lists.
+    bounded = attach(stretches, total, ["user"], ["site", "first"], "inner")
+    covered = bounded.withColumn("last", F.coalesce("last", "shows")).where("first <= last")
+    # Long stretches are taken apart in two steps, so no row holds a long array.
+    step = F.lit(STRETCH)
+    covered = covered.withColumn("_from", F.explode(F.sequence("first", "last", step)))
+    covered = covered.select("user", "site", F.explode(F.sequence("_from", F.least(F.col("_from") + step - 1, F.col("last")))).alias("show"))
+    return attach(covered, shows, ["user", "show"], ["site"], "inner").select("msg_id", "ts", "user", "site")
+
+
+def reply_rows(commands: DataFrame, block_rows: int | None = None) -> DataFrame:
+    """``(msg_id, ts, user, subject, site)``: replies as rows, whatever the length of a list.
+
+    An error names its site; a list has one row with a null site, which opens it, and one for each site.
+    """
+    shows = commands.where(F.col("verb") == "show").select("msg_id", "ts", "user")
+    opened = shows.withColumn("site", F.lit(None).cast("string")).unionByName(shown_lists(commands, block_rows))
+    failed = failed_commands(commands, block_rows).select("msg_id", "ts", "user", error_subject().alias("subject"), "site")
+    return failed.unionByName(opened.select("msg_id", "ts", "user", F.lit(LIST).alias("subject"), "site"))
+
+
+def error_subject() -> Column:
+    return F.when(F.col("verb") == "add", F.lit(ADD_ERROR)).otherwise(F.lit(DELETE_ERROR))
+
+
+def failed_commands(commands: DataFrame, block_rows: int | None = None) -> DataFrame:
+    """Adds of a listed site and deletes of an unlisted one, in time order per (user, site)."""
     changes = commands.where(F.col("verb").isin(*CHANGES) & F.col("site").isNotNull())
     replay = GameSeries.of(changes.select("msg_id", "ts", "user", "site", "verb"), ["user", "site"], ["ts", "msg_id"], block_rows)
-    followed = replay.neighbours(0, 1, _ts=led("ts", 1), _msg_id=led("msg_id", 1)).result()
-    listed = followed.where(F.col("verb") == "add").select(
-        "user", "site", _order().alias("since"), F.when(F.col("_msg_id").isNotNull(), _order("_")).alias("until")
+    seen = replay.neighbours(1, 0, _before=lagged("verb", 1)).result()
+    listed = F.coalesce(F.col("_before") == "add", F.lit(False))
+    return seen.where(listed == (F.col("verb") == "add")).drop("_before")
+
+
+def mails(replies: DataFrame) -> DataFrame:
+    """Replies as mail texts ``(msg_id, ts, user, subject, message)``; a list becomes one text here and not before."""
+    site, subject = F.col("site"), F.col("subject")
+    failed = replies.where(subject != LIST).select(
+        "msg_id", "ts", "user", F.lit("ERROR").alias("subject"),
+        F.concat(site, F.when(subject == ADD_ERROR, F.lit(" is already listed")).otherwise(F.lit(" is not listed"))).alias("message"),
     )
-    shows = commands.where(F.col("verb") == "show").select("msg_id", "ts", "user")
-    covered = (F.col("since") < _order()) & (F.col("until").isNull() | (_order() < F.col("until")))
-    return shows.join(listed, "user").where(covered).select("msg_id", "ts", "user", "site")
+    lists = replies.where(subject == LIST).groupBy("msg_id", "ts", "user").agg(F.array_sort(F.collect_list("site")).alias("sites"))
+    return failed.unionByName(lists.select("msg_id", "ts", "user", F.lit(LIST).alias("subject"), F.array_join("sites", "\n").alias("message")))
 
 
 def notices(commands: DataFrame, block_rows: int | None = None) -> DataFrame:
@@ -85,22 +140,7 @@ def notices(commands: DataFrame, block_rows: int | None = None) -> DataFrame:
     Commands are replayed in time order. ``add`` of a listed site and ``delete`` of an
     unlisted one are errors; a change that worked is silent.
     """
-    changes = commands.where(F.col("verb").isin(*CHANGES) & F.col("site").isNotNull())
-    replay = GameSeries.of(changes.select("msg_id", "ts", "user", "site", "verb"), ["user", "site"], ["ts", "msg_id"], block_rows)
-    seen = replay.neighbours(1, 0, _before=lagged("verb", 1)).result()
-    listed = F.coalesce(F.col("_before") == "add", F.lit(False))
-    failed = seen.where(listed == (F.col("verb") == "add"))
-    errors = failed.select(
-        "msg_id", "ts", "user", F.lit("ERROR").alias("subject"),
-        F.when(F.col("verb") == "add", F.concat("site", F.lit(" is already listed")))
-        .otherwise(F.concat("site", F.lit(" is not listed"))).alias("message"),
-    )
-    shows = commands.where(F.col("verb") == "show").select("msg_id", "ts", "user")
-    lists = shown_lists(commands, block_rows).groupBy("msg_id").agg(F.array_join(F.sort_array(F.collect_list("site")), "\n").alias("message"))
-    told = shows.join(lists, "msg_id", "left").select(
-        "msg_id", "ts", "user", F.lit("WEBSITE LIST").alias("subject"), F.coalesce("message", F.lit("")).alias("message")
-    )
-    return errors.unionByName(told)
+    return mails(reply_rows(commands, block_rows))
 
 
 def report_lines(changes: DataFrame, block_rows: int | None = None) -> DataFrame:

@@ -1,11 +1,28 @@
-"""Subscription state kept up to date from a stream of commands."""
+"""Subscription state and replies kept up to date from a stream of commands.
+
+:func:`update_state` folds commands of any order into the state. Replies depend on the order of a user's
+commands, so :func:`update_replies` holds each command back until the watermark has passed it, and then
+replays what waited in time order.
+"""
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from hardwood.operators.subscriptions import ADD_ERROR, CHANGES, DELETE_ERROR, LIST, last_commands
+
+# The processor travels to the executors with its code; nothing is installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-from hardwood.operators.subscriptions import last_commands
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def update_state(commands: DataFrame, target: str, checkpoint: str) -> None:
@@ -34,3 +51,118 @@ def read_state(spark: SparkSession, target: str) -> DataFrame:
     log = spark.read.parquet(target)
     newest = log.groupBy("user", "site").agg(F.max_by(F.struct("verb", "url", "ts"), "batch").alias("s"))
     return newest.where(F.col("s.verb") == "add").select("user", "site", "s.url", F.col("s.ts").alias("since"))
+
+
+_REPLY = "msg_id long, at long, user string, subject string, site string"
+
+
+def _frame(user: str, replies: list[tuple]) -> pd.DataFrame:
+    """Replies ``(msg_id, at, subject, site)`` of a user; texts as plain objects, which Arrow takes in one piece."""
+    msg_ids, ats, subjects, sites = zip(*replies) if replies else ((), (), (), ())
+    texts = {"user": [user] * len(replies), "subject": subjects, "site": sites}
+    numbers = {"msg_id": pd.Series(msg_ids, dtype="int64"), "at": pd.Series(ats, dtype="int64")}
+    return pd.DataFrame(numbers | {c: pd.Series(v, dtype=object) for c, v in texts.items()})
+
+
+class _Replay(StatefulProcessor):
+    """State of one (user, slot): the sites listed, and the commands that the watermark has not passed.
+
+    After a command is replayed only its effect on the list remains, so what is kept is bounded by the
+    sites and by the commands of one watermark delay.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "at long, msg_id long", "verb string, site string")
+        self.listed = handle.getMapState("listed", "site string", "since long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for batch in rows:
+            known = batch[batch["slot"] >= 0]
+            for at, msg_id, verb, site in zip(known["at"], known["msg_id"], known["verb"], known["site"]):
+                self.waiting.updateValue((int(at), int(msg_id)), (verb, site))
+                first = int(at) if first is None else min(first, int(at))
+        if first is not None:
+            self._wake(first)
+        yield _frame(key[0], [])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        replies, later = [], None
+        for (at, msg_id), (verb, site) in sorted(self.waiting.iterator(), key=lambda item: tuple(item[0])):
+            if at // 1000 > passed:
+                later = at
+                break
+            self.waiting.removeKey((at, msg_id))
+            replies += self._replayed(int(key[1]), at, msg_id, verb, site)
+        if later is not None:
+            self._wake(later)
+        yield _frame(key[0], replies)
+
+    def _replayed(self, slot: int, at: int, msg_id: int, verb: str, site: str | None) -> list[tuple]:
+        if verb == "show":
+            opened = [(msg_id, at, LIST, None)] if slot == 0 else []
+            return opened + [(msg_id, at, LIST, name) for (name,) in self.listed.keys()]
+        known = self.listed.containsKey((site,))
+        if known == (verb == "add"):
+            return [(msg_id, at, ADD_ERROR if known else DELETE_ERROR, site)]
+        if known:
+            self.listed.removeKey((site,))
+        else:
+            self.listed.updateValue((site,), (at,))
+        return []
+
+    def _wake(self, at: int) -> None:
+        # Timers are in milliseconds, and one before the command's own also wakes a command at the watermark.
+        self.handle.registerTimer(max(0, at // 1000 - 1))
+
+    def close(self) -> None:
+        pass
+
+
+def update_replies(commands: DataFrame, target: str, checkpoint: str, delay: str = "1 hour", slots: int = 8) -> int:
+    """Replay all new commands in time order and write the reply rows they cause below ``target``.
+
+    Commands may arrive in any order within ``delay`` of event time; each waits until the newest command is
+    ``delay`` ahead of it. Returns how many came too late to be replayed. A user's sites are dealt to ``slots``
+    tasks, so a user with most commands is no hot task; a show asks all of them. Each micro-batch writes its own
+    folder, replaced as a whole if the batch is repeated.
+    """
+    spark = commands.sparkSession
+    changes = F.col("verb").isin(*CHANGES) & F.col("site").isNotNull()
+    shows = F.col("verb") == "show"
+    of_site = F.when(changes, F.pmod(F.xxhash64("site"), F.lit(slots)).cast("int")).otherwise(F.lit(-1))
+    slot = F.when(shows, F.sequence(F.lit(0), F.lit(slots - 1))).otherwise(F.array(of_site))
+    # Any message moves the watermark; a filter here would be pushed below it, so what is no command goes to slot -1.
+    # Watermarks are in milliseconds, so event time is, too; ``at`` keeps the order within one.
+    exact = commands.withColumn("at", F.unix_micros(F.col("ts").cast("timestamp")))
+    timed = exact.withColumn("ts", F.date_trunc("millisecond", F.timestamp_micros("at"))).withWatermark("ts", delay)
+    dealt = timed.select("ts", "at", "msg_id", "verb", "site", "user", F.explode(slot).alias("slot"))
+    replies = dealt.groupBy("user", "slot").transformWithStateInPandas(
+        _Replay(), outputStructType=_REPLY, outputMode="append", timeMode="EventTime"
+    )
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch.withColumn("ts", F.timestamp_micros("at")).drop("at").write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    earlier = spark.conf.get(STATE_STORE)
+    # Timers and maps need the RocksDB store.
+    spark.conf.set(STATE_STORE, ROCKS_DB)
+    try:
+        query = (
+            replies.writeStream.outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .foreachBatch(store)
+            .start()
+        )
+        query.awaitTermination()
+    finally:
+        spark.conf.set(STATE_STORE, earlier)
+    return sum(operator["numRowsDroppedByWatermark"] for progress in query.recentProgress for operator in progress["stateOperators"])
+
+
+def read_replies(spark: SparkSession, target: str) -> DataFrame:
+    """``(msg_id, ts, user, subject, site)`` of all batches, as :func:`~hardwood.operators.subscriptions.reply_rows`."""
+    return spark.read.parquet(target).select("msg_id", "ts", "user", "subject", "site")

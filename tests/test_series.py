@@ -8,6 +8,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from helpers import rows
+
 from hardwood.operators.impute import fill_group_mean, fill_series_mean
 from hardwood.operators.series import (
     GameSeries, change_since_last, full_history, lag_features, lag_sets, lead_features, previous_means, sliding_windows,
@@ -112,9 +114,14 @@ def test_blocks_have_equal_size(spark, log):
     assert sorted(b["count"] for b in blocks)[1:] == [25] * (len(blocks) - 1)
 
 
-def test_frame_longer_than_block_is_refused(spark, log):
-    with pytest.raises(ValueError):
-        lag_features(series(frame(spark, log), 3), ["y"], 4)
+@pytest.mark.parametrize("block", [1, 3, 7])
+def test_frame_longer_than_block(spark, log, block):
+    """A frame that spans many blocks gives what one block gives."""
+    df = frame(spark, log)
+    for features in (lag_features, lead_features):
+        whole = features(series(df, 1_000_000), ["y"], 8).result()
+        cut = features(series(df, block), ["y"], 8).result()
+        assert rows(cut.select(whole.columns), *whole.columns) == rows(whole, *whole.columns)
 
 
 def test_lag_sets_row_counts(spark, log):

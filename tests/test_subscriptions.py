@@ -2,13 +2,17 @@
 
 import datetime as dt
 import os
+import random
 import shutil
 import time
 
+import pytest
+from pyspark.sql import functions as F
+
 from helpers import rows
 from hardwood.operators import subscriptions as S
 from hardwood.streaming.ingest import ingest_pages
-from hardwood.streaming.subscriptions import read_state, update_state
+from hardwood.streaming.subscriptions import read_replies, read_state, update_replies, update_state
 
 FIELDS = "msg_id long, ts timestamp, sender string, subject string"
 
@@ -105,6 +109,68 @@ def test_late_file_with_older_commands(spark, tmp_path):
     assert rows(read_state(spark, state), "user", "site") == want
 
 
+def listed_replies(df):
+    return sorted((r["msg_id"], r["user"], r["subject"], r["site"] or "") for r in df.collect())
+
+
+def busy(n, users, seed, start=0):
+    rng = random.Random(seed)
+    told = ["add {} http://x.example", "delete {}", "show", "hello"]
+    return [message(start + i, f"u{rng.randrange(users)}@m.example", rng.choice(told).format(f"s{rng.randrange(4)}")) for i in range(n)]
+
+
+def test_streamed_replies_equal_batch(spark, tmp_path):
+    """Three batches; the second has commands that are older than some of the first."""
+    landing, target, check = (str(tmp_path / n) for n in ("in", "replies", "check"))
+    sent = busy(200, 5, seed=4)
+    parts = [sent[:60] + sent[80:100], sent[60:80] + sent[100:140], sent[140:] + [message(100_000, "end@m.example", "hello")]]
+    for part in parts:
+        spark.createDataFrame(part, FIELDS).coalesce(1).write.mode("append").parquet(landing)
+        commands = S.parsed_commands(spark.readStream.schema(FIELDS).parquet(landing))
+        assert update_replies(commands, target, check, delay="1 hour", slots=3) == 0
+    want = S.reply_rows(S.parsed_commands(spark.createDataFrame(sent, FIELDS)))
+    assert listed_replies(read_replies(spark, target)) == listed_replies(want)
+    texts = {r["msg_id"]: r["message"] for r in S.mails(read_replies(spark, target)).collect()}
+    assert texts == {r["msg_id"]: r["message"] for r in S.notices(S.parsed_commands(spark.createDataFrame(sent, FIELDS))).collect()}
+
+
+def test_commands_beyond_the_delay_are_counted(spark, tmp_path):
+    landing, target, check = (str(tmp_path / n) for n in ("in", "replies", "check"))
+    late = []
+    for part in ([message(500, "a@m.example", "add s http://x")], [message(1, "a@m.example", "delete s"), message(700, "a@m.example", "show")], [message(900, "a@m.example", "hello")]):
+        spark.createDataFrame(part, FIELDS).coalesce(1).write.mode("append").parquet(landing)
+        late.append(update_replies(S.parsed_commands(spark.readStream.schema(FIELDS).parquet(landing)), target, check, delay="1 minute", slots=1))
+    assert late == [0, 1, 0]
+    assert listed_replies(read_replies(spark, target)) == [(700, "a", "WEBSITE LIST", ""), (700, "a", "WEBSITE LIST", "s")]
+
+
+@pytest.mark.parametrize("block", [1_000_000, 5_000])
+def test_lists_of_a_user_with_many_commands(spark, block):
+    """Rows are made in proportion to the lists, not to commands times shows."""
+    sites = 20_000
+    told = [f"add s{i} http://x" if i % 2 == 0 else f"delete s{i - 1}" for i in range(2 * sites)] + [f"add t{i} http://x" for i in range(10)]
+    gap = len(told) // 4_000
+    sent, i = [], 0
+    for place, text in enumerate(told):
+        sent.append(message(i, "u@m.example", text))
+        i += 1
+        if place % gap == 0:
+            sent.append(message(i, "u@m.example", "show"))
+            i += 1
+    commands = S.parsed_commands(spark.createDataFrame(sent, FIELDS))
+    stretches, shows = S.listed_stretches(commands, block)
+    n_shows = shows.count()
+    made = stretches.select(F.sum(F.greatest(F.lit(0), F.coalesce("last", F.lit(n_shows)) - F.col("first") + 1))).first()[0]
+    listed, want = set(), 0
+    for _, _, _, text in sent:
+        verb, *site = text.split()[:2]
+        if verb == "show":
+            want += len(listed)
+        else:
+            (listed.add if verb == "add" else listed.discard)(site[0])
+    assert n_shows > 3_900 and S.shown_lists(commands, block).count() == want == made
+
+
 def test_pages_are_taken_in_once(spark, tmp_path):
     landing, target, check = (str(tmp_path / n) for n in ("in", "pages", "check"))
 

@@ -80,23 +80,33 @@ def _cleaned(tables):
     feed = _feed(tables)
     first = F.col("season") == "1992-93"
     broken = F.col("GID").cast("long") % 50 == 0
-    _season_files(spark, feed.where(~first).withColumn("Stats", F.when(broken, "1pt:2rb").otherwise(F.col("Stats"))), f"{folder}/in", ":")
+    # Two cells that are no numbers, in lines that parse.
+    unread = F.col("GID").cast("long") % 50 == 1
+    lines = feed.where(~first).withColumns(
+        {
+            "Stats": F.when(broken, "1pt:2rb").otherwise(F.col("Stats")),
+            "Minutes": F.when(unread, "half").otherwise(F.col("Minutes")),
+            "FD Sal": F.when(unread, "n/a").otherwise(F.col("FD Sal")),
+        }
+    )
+    _season_files(spark, lines, f"{folder}/in", ":")
     _season_files(spark, feed.where(first).drop("YH Sal"), f"{folder}/in", ":")
     for _ in range(2):  # a rerun gives the same tables
         cleaned = clean_feed_folder(spark, f"{folder}/in", f"{folder}/out")
     return cleaned, folder
 
 
-SQL_FEED = """x AS (SELECT *, year(l_shipdate) = 1992 AS gated, l_orderkey % 50 = 0 AS broken FROM lineitem)"""
+SQL_FEED = """x AS (SELECT *, year(l_shipdate) = 1992 AS gated, l_orderkey % 50 = 0 AS broken, l_orderkey % 50 = 1 AS unread FROM lineitem)"""
 
 
 @query(
     "feed_quarantine",
-    "K6 S6",
+    "K6 S6 C1",
     f"""
     WITH {SQL_FEED}
     SELECT '1992-93.csv' AS file, 'missing columns: YH Sal' AS error, 1 AS n WHERE EXISTS (SELECT 1 FROM x WHERE gated)
     UNION ALL SELECT {SQL_SEASON.replace('o_orderdate', 'l_shipdate')} || '.csv', 'corrupt line', count(*) FROM x WHERE broken AND NOT gated GROUP BY 1
+    UNION ALL SELECT {SQL_SEASON.replace('o_orderdate', 'l_shipdate')} || '.csv', e, count(*) FROM x, (VALUES ('Minutes: half'), ('FDSal: n/a')) AS c(e) WHERE unread AND NOT gated GROUP BY ALL
     """,
 )
 def feed_quarantine(tables):
@@ -113,7 +123,7 @@ def feed_quarantine(tables):
     f"""
     WITH {SQL_FEED}
     SELECT l_orderkey AS "GID", 'No' || l_partkey || ' Part' AS "Player", l_orderkey || '-' || l_linenumber AS "GameID", l_quantity::INT::DOUBLE AS "Minutes",
-           round(l_extendedprice * 100)::DOUBLE AS "FDP", {SQL_SEASON.replace('o_orderdate', 'l_shipdate')} AS season FROM x WHERE NOT gated AND NOT broken
+           round(l_extendedprice * 100)::DOUBLE AS "FDP", {SQL_SEASON.replace('o_orderdate', 'l_shipdate')} AS season FROM x WHERE NOT gated AND NOT broken AND NOT unread
     """,
 )
 def feed_clean_lines(tables):

@@ -9,7 +9,7 @@ from hardwood.catalogue.registry import query
 from hardwood.fixed_values import SEASON_MONTHS
 from hardwood.operators import pages as P
 from hardwood.operators.reconcile import expected_months, only_new
-from hardwood.plans.scrape import clean_box
+from hardwood.plans.scrape import checked_box, clean_box
 from hardwood.streaming.ingest import ingest_pages
 from hardwood.session import work_path
 
@@ -51,6 +51,18 @@ def link_quoting_forms(tables):
     return P.link_rows(_quoted_otherwise(tables.pages))
 
 
+def _with_brackets(pages):
+    """Attributes before the address that hold ``>``, quotes of the other kind, and what looks like an address."""
+    more = """<a title="1 > 0" data-a='say "href=/x" > y' data-b = "it's" rel=next\n href="""
+    return pages.select("page_id", F.regexp_replace("html", "<a href=", more).alias("html"))
+
+
+@query("link_quoted_brackets", "S10", f"WITH {SQL_LINKS} SELECT page_id, pos, href, text FROM link")
+def link_quoted_brackets(tables):
+    """The same links, whatever stands in the other attributes."""
+    return P.link_rows(_with_brackets(tables.pages))
+
+
 @query("link_stride", "S11", f"WITH {SQL_LINKS} SELECT page_id, pos, href FROM link WHERE (pos + 1) % 4 = 0 AND length(text) > 1")
 def link_stride(tables):
     links = P.link_rows(tables.pages.select("page_id", "html"))
@@ -265,6 +277,38 @@ def box_score_of_whole_pages(tables):
     return P.box_scores(_broken_pages(tables)).groupBy("GameLink").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _unreadable_pages(tables):
+    """Whole pages of which some have a cell that is no number."""
+    order = F.element_at(F.split("url", "/"), -1).cast("long")
+    html = (
+        F.when(order % 8 == 4, F.replace(F.col("html"), F.lit("<td>34:12"), F.lit("<td>half")))
+        .when(order % 8 == 5, F.replace(F.col("html"), F.lit("<td>12:30"), F.lit("<td>12;30")))
+        .otherwise(F.col("html"))
+    )
+    return _box_pages(tables).select("url", html.alias("html"))
+
+
+@query(
+    "cell_quarantine",
+    "C7 K6 C1",
+    """
+    WITH o AS (SELECT o_orderkey, '/boxscores/' || o_orderkey AS url FROM orders WHERE o_orderstatus <> 'P')
+    SELECT 'error' AS kind, url AS "URL", CASE WHEN o_orderkey % 8 = 4 THEN 'MP: half' ELSE 'MP: 12;30' END AS "Error", 1 AS n FROM o WHERE o_orderkey % 8 IN (4, 5)
+    UNION ALL SELECT 'clean', url, NULL, CASE WHEN o_orderkey % 8 IN (4, 5) THEN 2 ELSE 3 END FROM o
+    UNION ALL SELECT 'rows', NULL, NULL, 3 * count(*) FROM o
+    """,
+)
+def cell_quarantine(tables):
+    """Unreadable cells one by one, the rows that stay, and all rows read."""
+    account = checked_box(P.box_scores(_unreadable_pages(tables)))
+    none = F.lit(None).cast("string")
+    errors = account.errors.groupBy("URL", "Error").agg(F.count(F.lit(1)).alias("n")).select(F.lit("error").alias("kind"), "URL", "Error", "n")
+    clean = account.clean.groupBy("GameLink").agg(F.count(F.lit(1)).alias("n"))
+    clean = clean.select(F.lit("clean").alias("kind"), F.col("GameLink").alias("URL"), none.alias("Error"), "n")
+    total = tables.spark.range(1).select(F.lit("rows").alias("kind"), none.alias("URL"), none.alias("Error"), F.lit(account.n_rows).cast("long").alias("n"))
+    return errors.unionByName(clean).unionByName(total)
+
+
 @query("stream_page_ingest", "T1", "SELECT page_id, url, length(html)::INT AS n_chars FROM pages")
 def stream_page_ingest(tables):
     """Pages land in two parts, of which the second repeats a half of the first."""

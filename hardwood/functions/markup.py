@@ -11,10 +11,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _COMMENT_OR_SCRIPT = "(?is)<!--.*?-->|<script\\b.*?</script>|<style\\b.*?</style>"
-# An address may stand in double quotes, in single quotes, or bare.
-_ADDRESS = "href\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)'|([^\\s\"'>]+))"
-_OPENING = f"(?is)<a(?=\\s)[^>]*?[\\s\"']{_ADDRESS}"
-_ANCHOR = f"{_OPENING}[^>]*>.*?(?=</a>|<a\\s|$)"
+# A quote matters only after an equals sign: there a value in quotes may hold anything, also ``>``.
+_VALUE = "(?:\"[^\"]*+\"|'[^']*+'|[^\\s>]*+)"
+_ATTRIBUTES = f"[^>=]*+(?:=\\s*+{_VALUE}[^>=]*+)*+"
+_TAG = f"(?s)</?[A-Za-z!]{_ATTRIBUTES}>"
+_ANCHOR = f"(?is)<a(?=\\s){_ATTRIBUTES}>.*?(?=</a>|<a\\s|$)"
+# The first address among the attributes of an opening tag, with its quotes.
+_ADDRESS = f"(?is)^<a(?:\\s*+(?!href\\s*+=)[^\\s=>]++(?:\\s*+=\\s*+{_VALUE})?+)*+\\s*+href\\s*+=\\s*+(\"[^\"]*+\"|'[^']*+'|[^\\s>]++)"
 
 
 def visible_source(html: Column) -> Column:
@@ -89,13 +92,21 @@ def first_body(source: Column) -> Column:
 
 def links(source: Column) -> Column:
     """array<struct<href,text>> of the anchors with an address, in page order."""
+    anchors = F.transform(
+        F.regexp_extract_all(source, F.lit(_ANCHOR), F.lit(0)),
+        lambda a: F.struct(F.regexp_extract(a, _ADDRESS, 1).alias("address"), a.alias("anchor")),
+    )
 
-    def address(anchor: Column) -> Column:
-        return unescaped(F.concat(*[F.regexp_extract(anchor, _OPENING, i) for i in (1, 2, 3)]))
+    def unquoted(address: Column) -> Column:
+        quoted = address.startswith('"') | address.startswith("'")
+        return F.when(quoted, F.substr(address, F.lit(2), F.length(address) - 2)).otherwise(address)
 
     return F.transform(
-        F.regexp_extract_all(source, F.lit(_ANCHOR), F.lit(0)),
-        lambda a: F.struct(address(a).alias("href"), F.trim(unescaped(F.regexp_replace(a, "(?s)<[^>]*>", ""))).alias("text")),
+        F.filter(anchors, lambda a: a["address"] != ""),
+        lambda a: F.struct(
+            unescaped(unquoted(a["address"])).alias("href"),
+            F.trim(unescaped(F.regexp_replace(a["anchor"], _TAG, ""))).alias("text"),
+        ),
     )
 
 

@@ -8,20 +8,21 @@ from pyspark.sql import functions as F
 from hardwood.operators.impute import fill_series_mean
 from hardwood.operators.series import GameSeries, lag_depth, lag_set
 from hardwood.operators.splits import nested_split
-from hardwood.sources.delimited import clean_feed, read_checked_feed
+from hardwood.sources.delimited import checked_feed, read_checked_feed
 from hardwood.sources.sinks import rebuild, write_combined, write_errors
 
 
 def clean_feed_folder(spark: SparkSession, folder: str, target: str) -> DataFrame:
     """Clean all complete files; write combined, per season, and what was rejected.
 
-    Files that lack a column and lines that do not parse are rows of the errors table and
-    absent from the clean output. Files are parsed once; a rerun gives the same tables.
+    Files that lack a column, lines that do not parse and cells that cannot be read are rows of the errors table; such
+    files and lines are absent from the clean output. Files are parsed once; a rerun gives the same tables.
     """
     raw, rejected = read_checked_feed(spark, folder)
-    cleaned = clean_feed(raw)
+    account = checked_feed(raw, F.col("_path"))
+    cleaned = account.clean
     write_combined(cleaned, f"{target}/combined")
-    write_errors(rejected, f"{target}/errors")
+    write_errors(rejected.unionByName(account.errors), f"{target}/errors")
     combined = spark.read.schema(cleaned.schema).parquet(f"{target}/combined")
     rebuild(combined, f"{target}/seasons", ["season"])
     return combined

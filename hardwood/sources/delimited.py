@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from hardwood.fixed_values import BOX_COLUMNS, FEED_COLUMNS, FEED_HEADER, IGNORED_ENTRIES
 from hardwood.functions.clean import compact_date, flip_name
+from hardwood.operators.accounting import Account, Cell, read_cells
 from hardwood.session import materialize
 
 CORRUPT = "_corrupt"
@@ -101,7 +103,7 @@ def checked_files(spark: SparkSession, folder: str, required: Sequence[str] = tu
 def read_checked_feed(
     spark: SparkSession, folder: str, required: Sequence[str] = tuple(FEED_COLUMNS), sep: str = ":"
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows of the complete files, quarantine of the others).
+    """(rows of the complete files with their ``_path``, quarantine of the others).
 
     Files are read once per distinct header and put together by column name, so their
     column order may differ. Lines that do not parse are part of the quarantine. Only the distinct
@@ -123,30 +125,40 @@ def read_checked_feed(
         )
         rows = part if rows is None else rows.unionByName(part)
     if rows is None:
-        empty = T.StructType([T.StructField(c, T.StringType()) for c in [*required, "season"]])
+        empty = T.StructType([T.StructField(c, T.StringType()) for c in [*required, "season", "_path"]])
         return spark.createDataFrame([], empty), quarantine
     stored = materialize(rows, "feed")
     broken = stored.where(F.col(CORRUPT).isNotNull())
     lines = broken.select(F.col("_path").alias("URL"), F.concat(F.lit("corrupt line: "), CORRUPT).alias("Error"))
-    return stored.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "_path"), quarantine.unionByName(lines)
+    return stored.where(F.col(CORRUPT).isNull()).drop(CORRUPT), quarantine.unionByName(lines)
+
+
+def _feed_reader(name: str) -> Callable[[Column], Column]:
+    if name == "Date":
+        return compact_date
+    if name == "Player":
+        return flip_name
+    if name in _WHOLE:
+        return lambda text: text.try_cast("double").cast(_WHOLE[name])
+    if name in _TEXT:
+        return lambda text: text
+    return lambda text: text.try_cast("double")
+
+
+# The chosen columns: names flipped, compact dates parsed, numbers typed.
+FEED_CELLS = [Cell(old, new, _feed_reader(new)) for old, new in FEED_COLUMNS.items()]
 
 
 def clean_feed(raw: DataFrame) -> DataFrame:
-    """Chosen columns, renamed and typed; names flipped, compact dates parsed."""
-    columns = []
-    for old, new in FEED_COLUMNS.items():
-        value = F.col(f"`{old}`")
-        if new == "Date":
-            value = compact_date(value)
-        elif new == "Player":
-            value = flip_name(value)
-        elif new in _WHOLE:
-            value = value.try_cast("double").cast(_WHOLE[new])
-        elif new not in _TEXT:
-            value = value.try_cast("double")
-        columns.append(value.alias(new))
-    extra = [c for c in ("season",) if c in raw.columns]
-    return raw.select(*columns, *extra)
+    """Chosen columns, renamed and typed; a cell that cannot be read is null. :func:`checked_feed` tells which."""
+    return raw.select(*[cell.value() for cell in FEED_CELLS], *[c for c in ("season",) if c in raw.columns])
+
+
+def checked_feed(raw: DataFrame, url: Column) -> Account:
+    """Like :func:`clean_feed`, with lines that have an unreadable cell in quarantine."""
+    account = read_cells(raw, FEED_CELLS, url, [c for c in ("season",) if c in raw.columns])
+    names = [cell.name for cell in FEED_CELLS]
+    return replace(account, clean=account.clean.select(*names, *[c for c in account.clean.columns if c not in names]))
 
 
 def game_state(stats: str = "Stats") -> Column:

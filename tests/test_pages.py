@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from hardwood.operators import pages as P
-from hardwood.plans.scrape import pages_to_box
+from hardwood.fixed_values import BOX_STATS
+from hardwood.operators.pages import link_rows
+from hardwood.plans.scrape import checked_box, pages_to_box
 
 
 def month_page(games, extra=""):
@@ -136,3 +138,32 @@ def test_zero_filled(spark):
         ("Ann A", "Den", "Mia", 0, 1, 34.12, 0.0, 30.0, -2.0), ("Bob B", "Mia", "Den", 1, 0, 0.0, 0.0, 0.0, 0.0),
     ]
     assert found[0]["GameID"] == "20200101-Den-Mia"
+
+
+def test_anchors_with_brackets_and_quotes(spark):
+    html = """<a title="1 > 0" href="/x">one</a><a href='/y' data-a="href=/no">two</a><a data-b='say "hi" > all' href=/z>th<i title="a>b">re</i>e</a>
+        <a name="no address">four</a><a href="">five</a><a HREF = /it's class=b>six</a><a data-href="/no" href="/w">seven</a><a href>eight</a><a title="=>" href="/v">nine"""
+    found = link_rows(spark.createDataFrame([(1, html)], "page_id long, html string"))
+    want = [("/x", "one"), ("/y", "two"), ("/z", "three"), ("", "five"), ("/it's", "six"), ("/w", "seven"), ("/v", "nine")]
+    assert [(r["href"], r["text"]) for r in rows(found, "pos")] == want
+
+
+def test_long_attributes_do_not_overflow(spark):
+    html = f"""<a data-a="{'x>' * 200_000}" {'b=1 ' * 3_000} href="/x">one</a>""" + "<a " + "c " * 50_000
+    found = link_rows(spark.createDataFrame([(1, html)], "page_id long, html string"))
+    assert [(r["href"], r["text"]) for r in found.collect()] == [("/x", "one")]
+
+
+def test_every_cell_is_a_value_or_an_error(spark):
+    """Rows in are rows out and rows in quarantine; each unreadable cell is one error."""
+    blank = {c: "1" for c in BOX_STATS} | {"Player": "P", "Date": "January 13 2016", "Team": "T", "Against": "U", "Home": "1", "GameLink": "/g"}
+    cells = [
+        {}, {"MP": "Did Not Play", "FG": "Not With Team"}, {c: "xx" for c in BOX_STATS}, {"MP": "34:12", "FG": " "}, {"Date": "13th of May"},
+        {"PTS": None, "Home": "x"}, {"FG": "1.5"},
+    ]
+    raw = spark.createDataFrame([{k: v for k, v in (blank | c | {"GameLink": f"/g{i}"}).items()} for i, c in enumerate(cells)], ", ".join(f"`{c}` string" for c in blank))
+    account = checked_box(raw)
+    assert (account.n_rows, account.n_clean, account.n_quarantined, account.n_errors) == (7, 3, 4, len(BOX_STATS) + 3)
+    assert [r["GameLink"] for r in rows(account.clean, "GameLink")] == ["/g0", "/g1", "/g3"]
+    errors = [(r["URL"], r["Error"]) for r in rows(account.errors, "URL", "Error")]
+    assert errors == sorted([("/g2", f"{c}: xx") for c in BOX_STATS] + [("/g4", "Date: 13th of May"), ("/g5", "Home: x"), ("/g6", "FG: 1.5")])

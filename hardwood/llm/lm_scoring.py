@@ -1,21 +1,23 @@
 """Language-model scoring by cross-entropy difference.
 
-A target and a background model of words and word pairs share one vocabulary: the words seen at least
-``WORD_LEAST`` times; the rest is one unknown word, whose probability comes from the words seen less often.
-Pairs count from ``PAIR_LEAST`` times on. Both are fixed numbers, so vocabulary and pairs grow with the corpus
-and no word or pair that repeats is left out at any size. The models are matched: counts are scaled to the
-smaller corpus, and cut-offs, smoothing and interpolation are the same. A document's score is the mean over its
-tokens of the loss under the target model less the loss under the background model; the lower, the more like
-the target.
-
-All words and pairs of all documents are counted (added up per task, then shuffled), and the models stay tables.
-Documents meet them in two ways with the same result: pairs with at least ``OFTEN`` of all tokens, so at most
-``1 / OFTEN`` of them, are sent to the tasks; all others are counted per document and joined by shuffle, where
-no key is hot, as the frequent ones are not among them. Words and pairs go by 64-bit hashes.
-
-Words are lower-cased runs without ASCII white space. Null and empty texts have no tokens and losses and
-score 0. Rows without an id are background. An empty target gives a uniform target model. Repeated rows
-count as often as they occur; an empty table gives an empty result. Other columns are carried along.
+A target and a background model of words and word pairs share one vocabulary: the words seen at least ``WORD_LEAST``
+times in all documents; the rest is one unknown word, whose probability comes from the words seen less often.
+Pairs of such words count from ``PAIR_LEAST`` times on. Both are fixed numbers, so vocabulary and pairs grow with the
+corpus, and no word or pair that repeats is left out at any size. The models are matched: counts are scaled to the smaller
+corpus, and cut-offs, smoothing and interpolation are the same. A document's score is the mean over its tokens of the loss under
+the target model less the loss under the background model; the lower, the more like the target. A pair that does not
+count leaves its second word alone.
+
+Documents are read once, in blocks of about ``HELD_TOKENS`` tokens. A block is kept as the numbers of its words, and asks for the
+counts of its different words and pairs, each once, with what it counted itself: the same rows that ask
+make the totals. Questions go by key ranges as sorted, delta-coded lists. A range adds up what all blocks counted, and answers
+each block with one bit per key and the totals of the keys that count, so what occurs once costs a bit. The block
+then adds up the losses of its documents. Nothing is broadcast but a few sums, and no key is hot: each block asks once.
+
+Words are lower-cased runs without ASCII white space. Words and pairs go by 63-bit hashes. Null and empty texts have no tokens,
+losses and score 0. Rows without an id are background. An empty target gives a uniform target model. Repeated
+rows count as often as they occur and give a row each; an empty table gives an empty result. Other columns are not read. A text of
+any length is part of one block. Scores that tie stay as they are: nothing is ranked.
 """
 
 from __future__ import annotations
@@ -25,174 +27,146 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hardwood.llm.common import prepared, table, text_of, wrapped
-from hardwood.operators.balance import attach, within_limit
+from hardwood.llm.common import prepared, table, text_of
+from hardwood.operators.balance import attach
 from hardwood.session import materialize
 
 WORD_LEAST, PAIR_LEAST = 2, 2
 PAIRS_WEIGHT = 0.6
-# Of all tokens: pairs from here on are sent to the tasks instead of joined.
-OFTEN = 2e-6
-# Distinct words, and tokens, that a task holds before it hands counts on.
-HELD_WORDS, HELD_TOKENS = 300_000, 3_000_000
-# Numbers of what leads a text and of the unknown word; all other numbers are hashes.
-START, UNKNOWN = 0, 1
+# Tokens and different words of a block, checked after each batch of texts.
+HELD_TOKENS, HELD_WORDS = 4_000_000, 500_000
+# Bytes of text whose words and pairs make one range of keys.
+RANGE_BYTES = 16 * 1024 * 1024
+# Hash of what leads a text.
+START = 0x9E3779B97F4A7C15
 
+_BLOCK = (
+    "block long, part long, ids array<long>, lengths binary, words binary, keys binary, n binary, t binary, "
+    "tokens_n long, tokens_t long, texts_n long, texts_t long"
+)
+_ANSWER = "block long, part long, size long, known binary, n binary, t binary, words_known long, words_n long, words_t long"
 
-class Hashes(dict):
-    """Hashes of words, kept between texts."""
 
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+def squeezed(numbers: np.ndarray) -> bytes:
+    """Whole numbers from 0 on as bytes: small ones cost little, as equal bytes of all numbers lie together."""
+    planes = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def _coded(texts: list[bytes], known: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First word, second word and text of each pair, ``START`` leading each text, and the tokens of each text."""
-    if len(known) > HELD_WORDS:
-        known.clear()
-    numbers, lengths = [], []
-    for text in texts:
-        words = text.lower().split()
-        numbers.append(START)
-        numbers.extend(map(known.__getitem__, words))
-        lengths.append(len(words))
-    numbers = np.array(numbers, dtype=np.uint64)
-    lengths = np.array(lengths, dtype=np.int64)
-    starts = np.zeros(len(numbers), dtype=bool)
-    starts[np.cumsum(lengths + 1) - lengths - 1] = True
-    # What leads to the start of the next text is no pair.
-    inner = ~starts[1:]
-    text = np.repeat(np.arange(len(texts)), lengths)
-    return numbers[:-1][inner], numbers[1:][inner], text, lengths
+def opened(data: bytes) -> np.ndarray:
+    """What :func:`squeezed` got, as unsigned longs."""
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
 
 
-def _keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return ((first << np.uint64(21) | first >> np.uint64(43)) ^ second).view(np.int64)
+def _block_keys(words: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Keys of a block's words (even) and of its pairs (odd), from word hashes and ``first << 32 | second``; 0 leads a text."""
+    hashes = np.r_[np.uint64(START), words]
+    first, second = hashes[codes >> np.uint64(32)], hashes[codes & np.uint64(0xFFFFFFFF)]
+    pair = (first ^ (first >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + second
+    pair = (pair ^ (pair >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    return np.r_[words & ~np.uint64(1), pair | np.uint64(1)]
 
 
-def _key(first: Column, second: Column) -> Column:
-    """:func:`_keys` in Spark."""
-    return F.shiftleft(first, 21).bitwiseOR(F.shiftrightunsigned(first, 43)).bitwiseXOR(second)
+def _pairs(sequence: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``first << 32 | second`` of each token of texts one after another; the first word of a text follows 0."""
+    first = np.r_[np.uint64(0), sequence[:-1]] if len(sequence) else sequence
+    starts = (np.cumsum(lengths) - lengths)[lengths > 0]
+    first[starts] = 0
+    return first << np.uint64(32) | sequence
 
 
-def _pair_counts(texts: DataFrame) -> DataFrame:
-    """``(v, w, n, t)`` from ``(text, target)``: pairs in all documents and in the target."""
+def _blocks(texts: DataFrame, bits: int) -> DataFrame:
+    """Rows of documents (null ``part``) and questions of blocks, from ``(id, text, target)``."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Hashes()
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, schema = TaskContext.get().partitionId() << 24, None
+        names = [c.split()[0] for c in _BLOCK.split(", ")]
+        kinds = {"long": pa.int64(), "array<long>": pa.list_(pa.int64()), "binary": pa.binary()}
+        schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in _BLOCK.split(", ")])
+
+        def row(**values: object) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([values.get(c)], schema.field(c).type) for c in names], schema=schema)
+
+        known: dict[bytes, int] = {}
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-        def handed() -> pa.RecordBatch:
-            first, second, inside = (np.concatenate(c) for c in zip(*held))
-            held.clear()
-            values, rank = np.unique(_keys(first, second), return_inverse=True)
-            v = np.empty(len(values), dtype=np.uint64)
-            w = np.empty(len(values), dtype=np.uint64)
-            v[rank], w[rank] = first, second
-            n, t = np.bincount(rank, minlength=len(values)), np.bincount(rank, weights=inside, minlength=len(values))
-            columns = [v.view(np.int64), w.view(np.int64), n.astype(np.int64), t.astype(np.int64)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["v", "w", "n", "t"])
+        def asked() -> Iterator[pa.RecordBatch]:
+            words = np.fromiter(map(xxhash.xxh3_64_intdigest, known), dtype=np.uint64, count=len(known))
+            sequence, lengths, inside = (np.concatenate(c) for c in zip(*held))
+            weights = np.repeat(inside, lengths).astype(np.float64)
+            codes, at, n = np.unique(_pairs(sequence, lengths), return_inverse=True, return_counts=True)
+            t = np.bincount(at, weights=weights, minlength=len(codes))
+            single = sequence.astype(np.int64) - 1
+            n = np.r_[np.bincount(single, minlength=len(words)), n]
+            t = np.r_[np.bincount(single, weights=weights, minlength=len(words)), t].astype(np.int64)
+            keys = _block_keys(words, codes)
+            order = np.argsort(keys, kind="stable")
+            keys, n, t = keys[order], n[order], t[order]
+            filled = lengths > 0
+            yield row(
+                block=number, words=squeezed(words), tokens_n=len(sequence), tokens_t=int(weights.sum()),
+                texts_n=int(filled.sum()), texts_t=int((filled & inside).sum()),
+            )
+            part = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), dtype=np.uint64)
+            edges = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, len(keys)]
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                if a < b:
+                    steps = np.diff(keys[a:b], prepend=np.uint64(0))
+                    yield row(block=number, part=int(part[a]), keys=squeezed(steps), n=squeezed(n[a:b]), t=squeezed(t[a:b]))
 
         for batch in batches:
-            first, second, text, _ = _coded(batch.column("text").to_pylist(), known)
-            held.append((first, second, np.array(batch.column("target").to_pylist(), dtype=bool)[text]))
-            if sum(len(f) for f, _, _ in held) > HELD_TOKENS:
-                yield handed()
+            lines = [text.lower().split() for text in batch.column("text").to_pylist()]
+            numbers: list[int] = []
+            for line in lines:
+                for word in line:
+                    if word not in known:
+                        known[word] = len(known) + 1
+                numbers.extend(map(known.__getitem__, line))
+            sequence, lengths = np.array(numbers, dtype=np.uint64), np.array([len(line) for line in lines], dtype=np.int64)
+            held.append((sequence, lengths, np.array(batch.column("target").to_pylist(), dtype=bool)))
+            yield row(block=number, ids=batch.column("id").to_pylist(), lengths=squeezed(lengths), words=squeezed(sequence))
+            if sum(len(s) for s, _, _ in held) > HELD_TOKENS or len(known) > HELD_WORDS:
+                yield from asked()
+                known.clear()
+                held.clear()
+                number += 1
         if held:
-            yield handed()
-
-    counts = texts.mapInArrow(count, "v long, w long, n long, t long")
-    return counts.groupBy("v", "w").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-
-
-def _models(
-    texts: DataFrame,
-    word_least: int,
-    pair_least: int,
-    word_share: float | None,
-    pair_share: float | None,
-) -> tuple[DataFrame, float]:
-    """``(pair, n, loss_t, loss_n)`` for each pair of ``(text, target)``, and the number of tokens; all rows are the background."""
-    pairs = materialize(_pair_counts(texts), "pairs")
-    # Each token is the second of one pair.
-    words = materialize(pairs.groupBy("w").agg(F.sum("n").alias("n"), F.sum("t").alias("t")), "words")
-    whole = words.agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
-    total = {c: whole[c] or 0 for c in "nt"}
-    vocabulary = words.where(F.col("n") >= (word_least if word_share is None else word_share * total["n"]))
-    kept = vocabulary.agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n"), F.sum("t").alias("t")).first()
-    rest = {c: total[c] - (kept[c] or 0) for c in "nt"}
-    small = min(total.values())
-    scale = {c: min(1.0, small / max(total[c], 1)) if small else 1.0 for c in "nt"}
-
-    as_second = vocabulary.select("w", F.col("n").alias("second_n"), F.col("t").alias("second_t"))
-    as_first = vocabulary.select(F.col("w").alias("v"), F.col("n").alias("first_n"), F.col("t").alias("first_t"))
-    coded = attach(attach(pairs, as_second, ["w"], ["v"]), as_first, ["v"], ["w"])
-    coded = coded.withColumn("y", F.when(F.col("second_n").isNull(), F.lit(UNKNOWN)).otherwise(F.col("w")))
-    leads = (F.col("v") != START) & F.col("first_n").isNull()
-    coded = coded.withColumn("x", F.when(leads, F.lit(UNKNOWN)).otherwise(F.col("v")))
-    for c in "nt":
-        coded = coded.withColumn(f"second_{c}", F.coalesce(f"second_{c}", F.lit(rest[c])))
-        coded = coded.withColumn(f"first_{c}", F.coalesce(f"first_{c}", F.lit(rest[c])))
-    if rest["n"]:
-        # Pairs that differ in unknown words only are one pair.
-        some = (F.col("x") == UNKNOWN) | (F.col("y") == UNKNOWN)
-        merged = materialize(coded.where(some).groupBy("x", "y").agg(F.sum("n").alias("all_n"), F.sum("t").alias("all_t")), "merged")
-        like = attach(coded.where(some), merged, ["x", "y"], ["v", "w"])
-        alone = coded.where(~some).withColumns({"all_n": F.col("n"), "all_t": F.col("t")})
-        coded = alone.unionByName(like)
-    else:
-        coded = coded.withColumns({"all_n": F.col("n"), "all_t": F.col("t")})
-    if pair_share is None:
-        counts = F.col("all_n") >= pair_least
-    else:
-        counts = (F.col("all_n") >= pair_share * total["n"]) | ((F.col("all_t") >= pair_share * total["t"]) & (F.col("all_t") > 0))
-    # A word leads about as many pairs as it has tokens; the start of a text leads those counted.
-    starts = pairs.where(F.col("v") == START).join(coded.where(F.col("v") == START).select("w", counts.alias("kept")), "w")
-    led = starts.where("kept").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
-
-    def loss(c: str) -> Column:
-        one = (F.col(f"second_{c}") * scale[c] + 1.0) / (total[c] * scale[c] + kept["words"] + 1)
-        lead = F.when(F.col("v") == START, max((led[c] or 0) * scale[c], 1.0)).otherwise(F.col(f"first_{c}") * scale[c])
-        share = F.least(F.col(f"all_{c}") * scale[c] / F.greatest(lead, F.lit(1e-12)), F.lit(1.0))
-        return -F.log(F.when(counts, PAIRS_WEIGHT * share).otherwise(0.0) + (1 - PAIRS_WEIGHT) * one)
-
-    model = coded.select(_key(F.col("v"), F.col("w")).alias("pair"), "n", loss("t").alias("loss_t"), loss("n").alias("loss_n"))
-    return materialize(model, "model"), total["n"]
-
-
-def _met(texts: DataFrame, often: DataFrame) -> DataFrame:
-    """Sums over the pairs ``often``, one row for each of ``(row, text)``, with null ``pair``; and ``(row, pair, times)`` of the rest."""
-    # Plain arrays, so that tasks need no class of this module.
-    frame = often.orderBy("pair").toPandas()  # <= 1 / OFTEN
-    sent = texts.sparkSession.sparkContext.broadcast((frame["pair"].to_numpy(np.int64), frame[["loss_t", "loss_n"]].to_numpy(np.float64)))
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Hashes()
-        pairs, losses = sent.value
-        names = ["row", "pair", "times", "n_tokens", "loss_t", "loss_n"]
-        for batch in batches:
-            rows = np.array(batch.column("row").to_pylist(), dtype=np.int64)
-            first, second, text, lengths = _coded(batch.column("text").to_pylist(), known)
-            key = _keys(first, second)
-            at = np.minimum(np.searchsorted(pairs, key), max(0, len(pairs) - 1))
-            found = pairs[at] == key if len(pairs) else np.zeros(len(key), dtype=bool)
-            sums = [pa.array(np.bincount(text[found], weights=losses[at[found], c], minlength=len(rows)), pa.float64()) for c in range(2)]
-            none = pa.nulls(len(rows), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(rows), none, none, pa.array(lengths), *sums], names)
-            key, text = key[~found], text[~found]
-            order = np.lexsort((key, text))
-            key, text = key[order], text[order]
-            new = np.flatnonzero(np.r_[len(key) > 0, (key[1:] != key[:-1]) | (text[1:] != text[:-1])][: len(key)])
-            times = np.diff(np.r_[new, len(key)])
-            none = [pa.nulls(len(new), kind) for kind in (pa.int64(), pa.float64(), pa.float64())]
-            yield pa.RecordBatch.from_arrays([pa.array(rows[text[new]]), pa.array(key[new]), pa.array(times), *none], names)
-
-    kind = "row long, pair long, times long, n_tokens long, loss_t double, loss_n double"
-    return materialize(texts.mapInArrow(meet, kind), "met")
+            yield from asked()
+
+    return materialize(texts.mapInArrow(read, _BLOCK), "blocks")
+
+
+def _answers(blocks: DataFrame, word_least: int, pair_least: int) -> DataFrame:
+    """For each question, which keys count and their totals; and per range the words that count."""
+
+    def answer(questions: pa.Table) -> pa.Table:
+        columns = {c: questions.column(c).to_pylist() for c in ("block", "part", "keys", "n", "t")}
+        keys = [np.cumsum(opened(k), dtype=np.uint64) for k in columns["keys"]]
+        sizes = [len(k) for k in keys]
+        different, at = np.unique(np.concatenate(keys), return_inverse=True)
+        total = {c: np.bincount(at, weights=np.concatenate([opened(v) for v in columns[c]]).astype(np.float64)).astype(np.int64) for c in "nt"}
+        single = different & np.uint64(1) == 0
+        counts = total["n"] >= np.where(single, word_least, pair_least)
+        rows, end = [], 0
+        for block, part, size in zip(columns["block"], columns["part"], sizes):
+            asked = at[end : end + size]
+            end += size
+            known = counts[asked]
+            rows.append((block, part, size, np.packbits(known).tobytes(), *[squeezed(total[c][asked[known]]) for c in "nt"], None, None, None))
+        words = counts & single
+        rows.append((None, columns["part"][0], None, None, None, None, int(words.sum()), *[int(total[c][words].sum()) for c in "nt"]))
+        kinds = {"long": pa.int64(), "binary": pa.binary()}
+        schema = [c.split() for c in _ANSWER.split(", ")]
+        return pa.table({name: pa.array(values, kinds[kind]) for (name, kind), values in zip(schema, zip(*rows))})
+
+    asked = blocks.where("part IS NOT NULL").select("block", "part", "keys", "n", "t")
+    return materialize(asked.groupBy("part").applyInArrow(answer, _ANSWER), "answers")
 
 
 def scored(
@@ -202,29 +176,60 @@ def scored(
     text_col: str = "text",
     word_least: int = WORD_LEAST,
     pair_least: int = PAIR_LEAST,
-    word_share: float | None = None,
-    pair_share: float | None = None,
 ) -> DataFrame:
-    """All rows as ``doc`` with ``n_tokens, ce_target, ce_background``; ``target`` holds the ids of the target, in ``id``.
-
-    A share of all tokens, where given, takes the place of a least count.
-    """
+    """``(id, n_tokens, ce_target, ce_background)`` for each row; ``target`` holds the ids of the target, in ``id``."""
     prepared(docs.sparkSession)
     ids = materialize(target.select("id").where("id IS NOT NULL").distinct().withColumn("target", F.lit(True)), "target")
-    rows = materialize(wrapped(docs).withColumn("row", F.monotonically_increasing_id()), "documents")
-    texts = rows.select("row", F.col(f"doc.`{id_col}`").alias("id"), text_of(f"doc.`{text_col}`").cast("binary").alias("text"))
-    marked = attach(texts, ids, ["id"], ["row"]).select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    model, tokens = _models(marked, word_least, pair_least, word_share, pair_share)
-    often = F.col("n") >= OFTEN * tokens
-    met = _met(texts.select("row", "text"), model.where(often))
-    rest = met.where("pair IS NOT NULL").select("row", "pair", "times").join(model.where(~often), "pair")
-    rest = rest.select("row", F.lit(0).cast("long").alias("n_tokens"), *[(F.col("times") * F.col(c)).alias(c) for c in ("loss_t", "loss_n")])
-    every = met.where("pair IS NULL").select("row", "n_tokens", "loss_t", "loss_n").unionByName(rest)
-    sums = materialize(every.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "loss_t", "loss_n")]), "losses")
-    each = F.greatest("n_tokens", F.lit(1))
-    means = sums.select("row", "n_tokens", (F.col("loss_t") / each).alias("ce_target"), (F.col("loss_n") / each).alias("ce_background"))
-    small = F.broadcast(means) if within_limit(sums) else means
-    return rows.join(small, "row").select("doc", "n_tokens", "ce_target", "ce_background")
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_of(f"`{text_col}`").cast("binary").alias("text"))
+    marked = attach(texts, ids, ["id"], ["text"]).select("id", "text", F.coalesce("target", F.lit(False)).alias("target"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = _blocks(marked, max(0, -(-size // RANGE_BYTES) - 1).bit_length())
+    answers = _answers(blocks, word_least, pair_least)
+
+    sums = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens_n", "tokens_t", "texts_n", "texts_t")]).first()
+    kept = answers.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words_known", "words_n", "words_t")]).first()
+    total = {c: sums[f"tokens_{c}"] for c in "nt"}
+    lead = {c: sums[f"texts_{c}"] for c in "nt"}
+    rest = {c: total[c] - kept[f"words_{c}"] for c in "nt"}
+    vocabulary = kept["words_known"] + 1
+    small = min(total.values())
+    scale = {c: min(1.0, small / max(total[c], 1)) if small else 1.0 for c in "nt"}
+
+    def score(documents: pa.Table, answered: pa.Table) -> pa.Table:
+        rows = documents.to_pylist()
+        words = opened(next(r["words"] for r in rows if r["ids"] is None))
+        rows = [r for r in rows if r["ids"] is not None]
+        names = ["id", "n_tokens", "ce_target", "ce_background"]
+        lengths = np.concatenate([opened(r["lengths"]) for r in rows]).astype(np.int64)
+        codes, at = np.unique(_pairs(np.concatenate([opened(r["words"]) for r in rows]), lengths), return_inverse=True)
+        keys = _block_keys(words, codes)
+        replies = sorted(answered.to_pylist(), key=lambda r: r["part"])
+        known = np.concatenate([np.zeros(0, dtype=bool), *[np.unpackbits(np.frombuffer(r["known"], np.uint8), count=r["size"]).astype(bool) for r in replies]])
+        order = np.argsort(keys, kind="stable")
+        first, second = (codes >> np.uint64(32)).astype(np.int64), (codes & np.uint64(0xFFFFFFFF)).astype(np.int64) - 1
+        counts = np.zeros(len(keys), dtype=bool)
+        counts[order] = known
+        means = []
+        text = np.repeat(np.arange(len(lengths)), lengths)
+        for c in "tn":
+            found = np.zeros(len(keys), dtype=np.float64)
+            found[order[known]] = np.concatenate([np.zeros(0), *[opened(r[c]).astype(np.float64) for r in replies]])
+            single, pair = found[: len(words)], found[len(words) :]
+            one = (np.where(counts[: len(words)], single, rest[c]) * scale[c] + 1.0) / (total[c] * scale[c] + vocabulary)
+            leads = np.maximum(np.r_[lead[c], single] * scale[c], 1e-12)
+            # A pair counts with both its words, or as the beginning of a text with its only one.
+            sure = counts[len(words) :] & counts[: len(words)][second] & np.r_[True, counts[: len(words)]][first]
+            share = np.minimum(pair * scale[c] / leads[first], 1.0)
+            loss = -np.log(np.where(sure, PAIRS_WEIGHT * share + (1 - PAIRS_WEIGHT) * one[second], one[second]))
+            means.append(np.bincount(text, weights=loss[at], minlength=len(lengths)) / np.maximum(lengths, 1))
+        ids = pa.array([i for r in rows for i in r["ids"]], pa.int64())
+        return pa.table([ids, pa.array(lengths), pa.array(means[0]), pa.array(means[1])], names=names)
+
+    documents = blocks.where("part IS NULL").select("block", "ids", "lengths", "words")
+    replies = answers.where("block IS NOT NULL").select("block", "part", "size", "known", "n", "t")
+    return documents.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
+        score, "id long, n_tokens long, ce_target double, ce_background double"
+    )
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +238,7 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0")
     found = scored(docs, labels.select(F.col("doc_id").alias("id")))
     difference = (F.col("ce_target") - F.col("ce_background")).alias("score")
-    return found.select("doc.doc_id", "n_tokens", "ce_target", "ce_background", difference)
+    return found.select(F.col("id").alias("doc_id"), "n_tokens", "ce_target", "ce_background", difference)
 
 
 SQL: dict[str, str] = {}

@@ -17,13 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from hardwood.operators.subscriptions import ADD_ERROR, CHANGES, DELETE_ERROR, LIST, last_commands
+from hardwood.streaming.ingest import keyed_state
 
 # The processor travels to the executors with its code; nothing is installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def update_state(commands: DataFrame, target: str, checkpoint: str) -> None:
     """Fold all new commands into the change log below ``target``.
@@ -146,10 +144,8 @@ def update_replies(commands: DataFrame, target: str, checkpoint: str, delay: str
     def store(batch: DataFrame, number: int) -> None:
         batch.withColumn("ts", F.timestamp_micros("at")).drop("at").write.mode("overwrite").parquet(f"{target}/batch={number}")
 
-    earlier = spark.conf.get(STATE_STORE)
     # Timers and maps need the RocksDB store.
-    spark.conf.set(STATE_STORE, ROCKS_DB)
-    try:
+    with keyed_state(spark):
         query = (
             replies.writeStream.outputMode("append")
             .option("checkpointLocation", checkpoint)
@@ -158,8 +154,6 @@ def update_replies(commands: DataFrame, target: str, checkpoint: str, delay: str
             .start()
         )
         query.awaitTermination()
-    finally:
-        spark.conf.set(STATE_STORE, earlier)
     return sum(operator["numRowsDroppedByWatermark"] for progress in query.recentProgress for operator in progress["stateOperators"])
 
 

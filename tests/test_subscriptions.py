@@ -8,6 +8,7 @@ import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from helpers import rows
 from hardwood.operators import subscriptions as S
@@ -205,3 +206,40 @@ def test_file_times_do_not_matter(spark, tmp_path):
     assert land("b", -3, 3, 4) == [1, 2, 3, 4]
     assert land("c", 6, 1, 5) == [1, 2, 3, 4, 5]
     assert land("d", -24 * 400, 6, 2) == [1, 2, 3, 4, 5, 6]
+
+
+def test_a_batch_costs_its_own_size(spark, tmp_path, monkeypatch):
+    """Ten batches: what a batch reads and looks up does not grow with what was taken in before."""
+    landing, target, check = (str(tmp_path / n) for n in ("in", "pages", "check"))
+    for batch in range(10):
+        ids = [*range(batch * 50, batch * 50 + 50), *([batch * 50 - 1] if batch else []), None, None]
+        pages = spark.createDataFrame([(i, f"/p{i}", "<p>" * 100) for i in ids], "page_id long, url string, html string")
+        pages.coalesce(1).write.mode("append").parquet(landing)
+    progress = []
+    plain = DataStreamWriter.start
+
+    def start(self, *args, **kwargs):
+        query = plain(self, *args, **kwargs)
+        progress.append(query)
+        return query
+
+    monkeypatch.setattr(DataStreamWriter, "start", start)
+    table = ingest_pages(spark, landing, target, check, files_per_batch=1)
+    assert sorted(r["page_id"] for r in table.where("page_id IS NOT NULL").collect()) == list(range(500))
+    assert table.where("page_id IS NULL").count() == 20
+    batches = [p for p in progress[0].recentProgress if p["numInputRows"]]
+    assert len(batches) == 10
+    assert {p["numInputRows"] for p in batches[1:]} == {53}
+    state = [p["stateOperators"][0] for p in batches]
+    assert [s["numRowsTotal"] for s in state] == [52 * (i + 1) for i in range(10)]
+    # Lookups of the state: one for each row of the batch.
+    read = [s["customMetrics"]["rocksdbTotalBytesReadByCompaction"] + s["customMetrics"]["rocksdbTotalBytesRead"] for s in state]
+    assert max(read[2:]) <= 2 * max(read[1], 1_000)
+
+
+def test_a_target_needs_its_checkpoint(spark, tmp_path):
+    landing, target = str(tmp_path / "in"), str(tmp_path / "pages")
+    spark.createDataFrame([(1, "/p", "<p>")], "page_id long, url string, html string").write.parquet(landing)
+    ingest_pages(spark, landing, target, str(tmp_path / "one"))
+    with pytest.raises(ValueError):
+        ingest_pages(spark, landing, target, str(tmp_path / "two"))

@@ -14,7 +14,8 @@ make the totals. Questions go by key ranges as sorted, delta-coded lists. A rang
 each block with one bit per key and the totals of the keys that count, so what occurs once costs a bit. The block
 then adds up the losses of its documents. Nothing is broadcast but a few sums, and no key is hot: each block asks once.
 
-Words are lower-cased runs without ASCII white space. Words and pairs go by 63-bit hashes. Null and empty texts have no tokens,
+Words are lower-cased runs without ASCII white space. Words and pairs go by hashes with ``SPARE_BITS`` bits more than it takes to
+count the corpus' bytes (63 at most), so at any size fewer than one in 10^7 shares its hash with another. Null and empty texts have no tokens,
 losses and score 0. Rows without an id are background. An empty target gives a uniform target model. Repeated
 rows count as often as they occur and give a row each; an empty table gives an empty result. Other columns are not read. A text of
 any length is part of one block. Scores that tie stay as they are: nothing is ranked.
@@ -39,9 +40,10 @@ from hardwood.session import materialize
 WORD_LEAST, PAIR_LEAST = 2, 2
 PAIRS_WEIGHT = 0.6
 # Tokens and different words of a block, checked after each batch of texts.
-HELD_TOKENS, HELD_WORDS = 4_000_000, 500_000
+HELD_TOKENS, HELD_WORDS = 2_500_000, 500_000
 # Bytes of text whose words and pairs make one range of keys.
 RANGE_BYTES = 16 * 1024 * 1024
+SPARE_BITS = 24
 # Hash of what leads a text.
 START = 0x9E3779B97F4A7C15
 
@@ -64,28 +66,36 @@ def opened(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u8").ravel()
 
 
-def _block_keys(words: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """Keys of a block's words (even) and of its pairs (odd), from word hashes and ``first << 32 | second``; 0 leads a text."""
+def _block_keys(words: np.ndarray, codes: np.ndarray, bits: int) -> np.ndarray:
+    """Keys of a block's words (even) and of its pairs (odd), from word hashes and ``first << 32 | second``; 0 leads a text.
+
+    A key has ``bits`` bits of hash and one that tells words from pairs.
+    """
     hashes = np.r_[np.uint64(START), words]
     first, second = hashes[codes >> np.uint64(32)], hashes[codes & np.uint64(0xFFFFFFFF)]
     pair = (first ^ (first >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + second
     pair = (pair ^ (pair >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-    return np.r_[words & ~np.uint64(1), pair | np.uint64(1)]
+    pair ^= pair >> np.uint64(29)
+    rest = np.uint64(64 - bits)
+    return np.r_[words >> rest << np.uint64(1), pair >> rest << np.uint64(1) | np.uint64(1)]
 
 
 def _pairs(sequence: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """``first << 32 | second`` of each token of texts one after another; the first word of a text follows 0."""
-    first = np.r_[np.uint64(0), sequence[:-1]] if len(sequence) else sequence
+    first = np.zeros(len(sequence), dtype=np.uint64)
+    first[1:] = sequence[:-1]
     starts = (np.cumsum(lengths) - lengths)[lengths > 0]
     first[starts] = 0
-    return first << np.uint64(32) | sequence
+    first <<= np.uint64(32)
+    first |= sequence
+    return first
 
 
-def _blocks(texts: DataFrame, bits: int) -> DataFrame:
+def _blocks(texts: DataFrame, bits: int, range_bits: int) -> DataFrame:
     """Rows of documents (null ``part``) and questions of blocks, from ``(id, text, target)``."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, schema = TaskContext.get().partitionId() << 24, None
+        number = TaskContext.get().partitionId() << 24
         names = [c.split()[0] for c in _BLOCK.split(", ")]
         kinds = {"long": pa.int64(), "array<long>": pa.list_(pa.int64()), "binary": pa.binary()}
         schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in _BLOCK.split(", ")])
@@ -93,19 +103,22 @@ def _blocks(texts: DataFrame, bits: int) -> DataFrame:
         def row(**values: object) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([values.get(c)], schema.field(c).type) for c in names], schema=schema)
 
+        # Words by their number in the block, from 1 on; then number, length and place of each text's words.
         known: dict[bytes, int] = {}
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def asked() -> Iterator[pa.RecordBatch]:
             words = np.fromiter(map(xxhash.xxh3_64_intdigest, known), dtype=np.uint64, count=len(known))
             sequence, lengths, inside = (np.concatenate(c) for c in zip(*held))
+            held.clear()
             weights = np.repeat(inside, lengths).astype(np.float64)
             codes, at, n = np.unique(_pairs(sequence, lengths), return_inverse=True, return_counts=True)
             t = np.bincount(at, weights=weights, minlength=len(codes))
             single = sequence.astype(np.int64) - 1
             n = np.r_[np.bincount(single, minlength=len(words)), n]
             t = np.r_[np.bincount(single, weights=weights, minlength=len(words)), t].astype(np.int64)
-            keys = _block_keys(words, codes)
+            keys = _block_keys(words, codes, bits)
+            del codes, at
             order = np.argsort(keys, kind="stable")
             keys, n, t = keys[order], n[order], t[order]
             filled = lengths > 0
@@ -113,7 +126,7 @@ def _blocks(texts: DataFrame, bits: int) -> DataFrame:
                 block=number, words=squeezed(words), tokens_n=len(sequence), tokens_t=int(weights.sum()),
                 texts_n=int(filled.sum()), texts_t=int((filled & inside).sum()),
             )
-            part = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), dtype=np.uint64)
+            part = keys >> np.uint64(bits + 1 - range_bits)
             edges = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, len(keys)]
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
                 if a < b:
@@ -128,13 +141,12 @@ def _blocks(texts: DataFrame, bits: int) -> DataFrame:
                     if word not in known:
                         known[word] = len(known) + 1
                 numbers.extend(map(known.__getitem__, line))
-            sequence, lengths = np.array(numbers, dtype=np.uint64), np.array([len(line) for line in lines], dtype=np.int64)
+            sequence, lengths = np.array(numbers, dtype=np.uint32), np.array([len(line) for line in lines], dtype=np.int64)
             held.append((sequence, lengths, np.array(batch.column("target").to_pylist(), dtype=bool)))
             yield row(block=number, ids=batch.column("id").to_pylist(), lengths=squeezed(lengths), words=squeezed(sequence))
             if sum(len(s) for s, _, _ in held) > HELD_TOKENS or len(known) > HELD_WORDS:
                 yield from asked()
                 known.clear()
-                held.clear()
                 number += 1
         if held:
             yield from asked()
@@ -183,7 +195,8 @@ def scored(
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_of(f"`{text_col}`").cast("binary").alias("text"))
     marked = attach(texts, ids, ["id"], ["text"]).select("id", "text", F.coalesce("target", F.lit(False)).alias("target"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = _blocks(marked, max(0, -(-size // RANGE_BYTES) - 1).bit_length())
+    bits = min(63, size.bit_length() + SPARE_BITS)
+    blocks = _blocks(marked, bits, min(bits, max(0, -(-size // RANGE_BYTES) - 1).bit_length()))
     answers = _answers(blocks, word_least, pair_least)
 
     sums = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens_n", "tokens_t", "texts_n", "texts_t")]).first()
@@ -202,18 +215,19 @@ def scored(
         names = ["id", "n_tokens", "ce_target", "ce_background"]
         lengths = np.concatenate([opened(r["lengths"]) for r in rows]).astype(np.int64)
         codes, at = np.unique(_pairs(np.concatenate([opened(r["words"]) for r in rows]), lengths), return_inverse=True)
-        keys = _block_keys(words, codes)
+        keys = _block_keys(words, codes, bits)
         replies = sorted(answered.to_pylist(), key=lambda r: r["part"])
         known = np.concatenate([np.zeros(0, dtype=bool), *[np.unpackbits(np.frombuffer(r["known"], np.uint8), count=r["size"]).astype(bool) for r in replies]])
         order = np.argsort(keys, kind="stable")
         first, second = (codes >> np.uint64(32)).astype(np.int64), (codes & np.uint64(0xFFFFFFFF)).astype(np.int64) - 1
         counts = np.zeros(len(keys), dtype=bool)
         counts[order] = known
-        means = []
+        order, means = order[known], []
+        del keys, codes
         text = np.repeat(np.arange(len(lengths)), lengths)
         for c in "tn":
-            found = np.zeros(len(keys), dtype=np.float64)
-            found[order[known]] = np.concatenate([np.zeros(0), *[opened(r[c]).astype(np.float64) for r in replies]])
+            found = np.zeros(len(counts), dtype=np.float64)
+            found[order] = np.concatenate([np.zeros(0), *[opened(r[c]).astype(np.float64) for r in replies]])
             single, pair = found[: len(words)], found[len(words) :]
             one = (np.where(counts[: len(words)], single, rest[c]) * scale[c] + 1.0) / (total[c] * scale[c] + vocabulary)
             leads = np.maximum(np.r_[lead[c], single] * scale[c], 1e-12)

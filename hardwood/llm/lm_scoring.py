@@ -23,6 +23,7 @@ any length is part of one block. Scores that tie stay as they are: nothing is ra
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +41,7 @@ from hardwood.session import materialize
 WORD_LEAST, PAIR_LEAST = 2, 2
 PAIRS_WEIGHT = 0.6
 # Tokens and different words of a block, checked after each batch of texts.
-HELD_TOKENS, HELD_WORDS = 2_500_000, 500_000
+HELD_TOKENS, HELD_WORDS = 2_000_000, 300_000
 # Bytes of text whose words and pairs make one range of keys.
 RANGE_BYTES = 16 * 1024 * 1024
 SPARE_BITS = 24
@@ -54,6 +55,14 @@ _BLOCK = (
 _ANSWER = "block long, part long, size long, known binary, n binary, t binary, words_known long, words_n long, words_t long"
 
 
+class Numbers(dict):
+    """Words by the order in which they are met, from 1 on."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self) + 1
+        return number
+
+
 def squeezed(numbers: np.ndarray) -> bytes:
     """Whole numbers from 0 on as bytes: small ones cost little, as equal bytes of all numbers lie together."""
     planes = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T)
@@ -103,8 +112,8 @@ def _blocks(texts: DataFrame, bits: int, range_bits: int) -> DataFrame:
         def row(**values: object) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([values.get(c)], schema.field(c).type) for c in names], schema=schema)
 
-        # Words by their number in the block, from 1 on; then number, length and place of each text's words.
-        known: dict[bytes, int] = {}
+        # For each batch: the numbers of all words, the texts' lengths, and which texts are in the target.
+        known = Numbers()
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def asked() -> Iterator[pa.RecordBatch]:
@@ -134,14 +143,12 @@ def _blocks(texts: DataFrame, bits: int, range_bits: int) -> DataFrame:
                     yield row(block=number, part=int(part[a]), keys=squeezed(steps), n=squeezed(n[a:b]), t=squeezed(t[a:b]))
 
         for batch in batches:
-            lines = [text.lower().split() for text in batch.column("text").to_pylist()]
-            numbers: list[int] = []
-            for line in lines:
-                for word in line:
-                    if word not in known:
-                        known[word] = len(known) + 1
-                numbers.extend(map(known.__getitem__, line))
-            sequence, lengths = np.array(numbers, dtype=np.uint32), np.array([len(line) for line in lines], dtype=np.int64)
+            numbers, lengths = array("I"), []
+            for text in batch.column("text"):
+                words = text.as_py().lower().split()
+                numbers.extend(map(known.__getitem__, words))
+                lengths.append(len(words))
+            sequence, lengths = np.array(numbers, dtype=np.uint32), np.array(lengths, dtype=np.int64)
             held.append((sequence, lengths, np.array(batch.column("target").to_pylist(), dtype=bool)))
             yield row(block=number, ids=batch.column("id").to_pylist(), lengths=squeezed(lengths), words=squeezed(sequence))
             if sum(len(s) for s, _, _ in held) > HELD_TOKENS or len(known) > HELD_WORDS:

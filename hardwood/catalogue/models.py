@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hardwood.catalogue.features import ORDER
 from hardwood.catalogue.registry import query
-from hardwood.models import linear, neighbours, trees
+from hardwood.models import exact_trees, linear, neighbours, trees
 from hardwood.operators.evaluate import metrics
 from hardwood.operators.impute import complete_rows
 from hardwood.operators.series import GameSeries, lag_features
@@ -186,6 +186,45 @@ def tree_regressor(tables):
     return scored.select("l_orderkey", "l_linenumber", "y", F.round("y_pred", 5).alias("y_pred"))
 
 
+def _sql_level(nodes: str) -> str:
+    """Best split of each node by running sums over the values of two continuous features."""
+    return f"""
+      SELECT node, feature, threshold FROM (
+        SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, threshold) AS place FROM (
+          SELECT node, feature, (v + after) / 2 AS threshold,
+                 round((ls * ls / ln + (s - ls) * (s - ls) / (n - ln) - s * s / n) / (q - s * s / n), 12) AS gain
+          FROM (SELECT node, feature, v, lead(v) OVER w AS after, sum(k) OVER w AS ln, sum(ys) OVER w AS ls,
+                       sum(k) OVER p AS n, sum(ys) OVER p AS s, sum(yq) OVER p AS q
+                FROM (SELECT node, feature, v, count(*)::DOUBLE AS k, sum(y) AS ys, sum(y * y) AS yq
+                      FROM (SELECT node, y, 0 AS feature, a AS v FROM {nodes} UNION ALL SELECT node, y, 1, b FROM {nodes}) GROUP BY ALL)
+                WINDOW w AS (PARTITION BY node, feature ORDER BY v), p AS (PARTITION BY node, feature))
+          WHERE after IS NOT NULL)) WHERE place = 1"""
+
+
+@query(
+    "tree_exact_splits",
+    "M3",
+    f"""
+    WITH t0 AS (SELECT 'r' AS node, l_quantity::DOUBLE AS y, l_extendedprice AS a, l_partkey + l_discount AS b FROM lineitem),
+    s0 AS ({_sql_level('t0')}),
+    t1 AS (SELECT t0.node || CASE WHEN (CASE feature WHEN 0 THEN a ELSE b END) <= threshold THEN 'L' ELSE 'R' END AS node, y, a, b FROM t0 JOIN s0 ON s0.node = t0.node),
+    s1 AS ({_sql_level('t1')}),
+    t2 AS (SELECT t1.node || CASE WHEN (CASE feature WHEN 0 THEN a ELSE b END) <= threshold THEN 'L' ELSE 'R' END AS node, y FROM t1 JOIN s1 ON s1.node = t1.node),
+    c AS (SELECT node, count(*) AS n, avg(y) AS value FROM (SELECT node, y FROM t0 UNION ALL SELECT node, y FROM t1 UNION ALL SELECT node, y FROM t2) GROUP BY node)
+    SELECT c.node, feature, round(threshold, 6) AS threshold, n, round(value, 6) AS value
+    FROM c LEFT JOIN (SELECT * FROM s0 UNION ALL SELECT * FROM s1) s ON s.node = c.node
+    """,
+)
+def tree_exact_splits(tables):
+    """Two levels of a tree on two continuous columns, split on the cluster; its nodes are the result."""
+    rows = tables.lineitem.select(
+        F.col("l_quantity").cast("double").alias("y"), F.col("l_extendedprice").alias("a"), (F.col("l_partkey") + F.col("l_discount")).alias("b")
+    )
+    tree = exact_trees.fit_exact_tree(rows, ["a", "b"], "y", max_depth=2, local_rows=1)
+    digits = {c: F.round(c, 6).alias(c) for c in ("threshold", "value")}
+    return tree.top.select("node", "feature", digits["threshold"], "n", digits["value"])
+
+
 def _stopped(tables):
     """Boosting that stops on a validation part, which is neither fitted nor scored."""
     rows = _quantities(tables)

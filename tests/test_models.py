@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
-from hardwood.models import linear, neighbours, trees
+from hardwood.models import exact_trees, linear, neighbours, trees
 from hardwood.operators import evaluate as E
 from hardwood.sources.sinks import load_model, save_model
 
@@ -200,3 +200,50 @@ def test_references_go_only_where_they_are_asked_for(spark, monkeypatch):
     chunks = asked[0].select("chunk").distinct().count()
     blocks = asked[0].select("cell", "slot").distinct().count()
     assert triples < blocks * chunks / 2
+
+
+def grown(x, y, min_rows=2, max_depth=None, depth=0):
+    """Plain recursion: (prediction function, depth), the best split by squared error."""
+    mean = sum(y) / len(y)
+    error = sum((v - mean) ** 2 for v in y)
+    best = None
+    if len(y) >= min_rows and depth != max_depth and error > 1e-9:
+        for feature in range(len(x[0])):
+            values = sorted({r[feature] for r in x})
+            for a, b in zip(values, values[1:]):
+                parts = [[v for r, v in zip(x, y) if (r[feature] <= a) == side] for side in (True, False)]
+                left = sum(sum((v - sum(p) / len(p)) ** 2 for v in p) for p in parts)
+                gain = round((error - left) / error, 9)
+                if gain > 0 and (best is None or gain > best[0]):
+                    best = gain, feature, (a + b) / 2
+    if best is None:
+        return lambda r: mean, depth
+    _, feature, cut = best
+    sides = [[i for i, r in enumerate(x) if (r[feature] <= cut) == side] for side in (True, False)]
+    (low, d1), (high, d2) = (grown([x[i] for i in at], [y[i] for i in at], min_rows, max_depth, depth + 1) for at in sides)
+    return lambda r: low(r) if r[feature] <= cut else high(r), max(d1, d2)
+
+
+@pytest.mark.parametrize("local, options", [(1_000, {}), (25, {}), (25, {"max_depth": 3}), (10, {"min_rows": 12, "max_depth": 6})])
+def test_exact_tree_is_the_plain_recursion(spark, local, options):
+    rng = np.random.default_rng(8)
+    x = [[float(a), float(b)] for a, b in zip(rng.normal(size=90).round(2), rng.integers(0, 5, 90))]
+    y = [round(float(3 * (a > 0.1) + b + n), 3) for (a, b), n in zip(x, rng.normal(size=90))]
+    df = spark.createDataFrame([(i, *r, v) for i, (r, v) in enumerate(zip(x, y))], "id long, a double, b double, y double").repartition(5)
+    tree = exact_trees.fit_exact_tree(df, ["a", "b"], "y", local_rows=local, **options)
+    want, depth = grown(x, y, **options)
+    assert tree.depth() == depth
+    asked = [[float(a), float(b)] for a, b in rng.normal(scale=2, size=(60, 2))] + x
+    more = spark.createDataFrame([(i, *r) for i, r in enumerate(asked)] + [(-1, None, 1.0), (-2, 1.0, float("nan"))], "id long, a double, b double")
+    got = {r["id"]: r["y_pred"] for r in exact_trees.predict_exact_tree(tree, more).collect()}
+    assert got.pop(-1) is None and got.pop(-2) is None
+    assert got == pytest.approx({i: want(r) for i, r in enumerate(asked)}, abs=1e-9)
+
+
+@pytest.mark.parametrize("local", [1_000, 36])
+def test_exact_tree_has_no_limit_of_depth(spark, local):
+    df = spark.createDataFrame([(i, float(i), 3.0**i) for i in range(45)], "id long, x double, y double")
+    tree = exact_trees.fit_exact_tree(df, ["x"], "y", local_rows=local)
+    assert tree.depth() > 30
+    got = {r["id"]: r["y_pred"] for r in exact_trees.predict_exact_tree(tree, df).collect()}
+    assert got == pytest.approx({i: 3.0**i for i in range(45)})

@@ -42,6 +42,8 @@ WORD_LEAST, PAIR_LEAST = 2, 2
 PAIRS_WEIGHT = 0.6
 # Tokens and different words of a block, checked after each batch of texts.
 HELD_TOKENS, HELD_WORDS = 2_000_000, 300_000
+# Tokens of a row that keeps documents: Parquet looks at the size of a page only after a hundred rows.
+ROW_TOKENS = 50_000
 # Bytes of text whose words and pairs make one range of keys.
 RANGE_BYTES = 16 * 1024 * 1024
 SPARE_BITS = 24
@@ -143,14 +145,24 @@ def _blocks(texts: DataFrame, bits: int, range_bits: int) -> DataFrame:
                     yield row(block=number, part=int(part[a]), keys=squeezed(steps), n=squeezed(n[a:b]), t=squeezed(t[a:b]))
 
         for batch in batches:
-            numbers, lengths = array("I"), []
-            for text in batch.column("text"):
+            numbers, lengths, ids, inside = array("I"), [], [], []
+
+            def kept() -> pa.RecordBatch:
+                sequence, sizes = np.array(numbers, dtype=np.uint32), np.array(lengths, dtype=np.int64)
+                held.append((sequence, sizes, np.array(inside, dtype=bool)))
+                return row(block=number, ids=ids, lengths=squeezed(sizes), words=squeezed(sequence))
+
+            for doc_id, text, target in zip(batch.column("id").to_pylist(), batch.column("text"), batch.column("target").to_pylist()):
                 words = text.as_py().lower().split()
                 numbers.extend(map(known.__getitem__, words))
                 lengths.append(len(words))
-            sequence, lengths = np.array(numbers, dtype=np.uint32), np.array(lengths, dtype=np.int64)
-            held.append((sequence, lengths, np.array(batch.column("target").to_pylist(), dtype=bool)))
-            yield row(block=number, ids=batch.column("id").to_pylist(), lengths=squeezed(lengths), words=squeezed(sequence))
+                ids.append(doc_id)
+                inside.append(target)
+                if len(numbers) > ROW_TOKENS:
+                    yield kept()
+                    numbers, lengths, ids, inside = array("I"), [], [], []
+            if lengths:
+                yield kept()
             if sum(len(s) for s, _, _ in held) > HELD_TOKENS or len(known) > HELD_WORDS:
                 yield from asked()
                 known.clear()

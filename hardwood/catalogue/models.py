@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hardwood.catalogue.features import ORDER
 from hardwood.catalogue.registry import query
-from hardwood.models import exact_trees, linear, neighbours, trees
+from hardwood.models import boosting, exact_trees, linear, neighbours, trees
 from hardwood.operators.evaluate import metrics
 from hardwood.operators.impute import complete_rows
 from hardwood.operators.series import GameSeries, lag_features
@@ -255,6 +255,80 @@ def loss_curve(tables):
     return curve.withColumns({c: F.round(c, 5) for c in ("loss", "val_loss")})
 
 
+BOOST = {"rounds": 12, "patience": 1, "min_delta": 5.0, "rate": 0.5}
+
+
+def _sql_boosted(rounds: int, rate: float) -> str:
+    """Rounds of stumps on two binary features, each on the residuals of the rounds before."""
+    ctes = [
+        """b AS (SELECT l_orderkey, l_linenumber, l_extendedprice / 1000 AS y, (l_quantity > 25)::INT AS x0,
+                (l_extendedprice / l_quantity > 1500)::INT AS x1, l_orderkey % 10 AS tenth FROM lineitem)""",
+        "d0 AS MATERIALIZED (SELECT *, (SELECT avg(y) FROM b WHERE tenth < 7) AS pred FROM b)",
+    ]
+    for r in range(1, rounds + 1):
+        last = f"d{r - 1}"
+        ctes += [
+            f"""t{r} AS MATERIALIZED (
+              SELECT feature, {rate} * s0 / n0 AS v0, {rate} * s1 / n1 AS v1 FROM (
+                SELECT feature, count(*) FILTER (WHERE v = 0) AS n0, count(*) FILTER (WHERE v = 1) AS n1,
+                       sum(e) FILTER (WHERE v = 0) AS s0, sum(e) FILTER (WHERE v = 1) AS s1
+                FROM (SELECT 0 AS feature, x0 AS v, y - pred AS e FROM {last} WHERE tenth < 7
+                      UNION ALL SELECT 1, x1, y - pred FROM {last} WHERE tenth < 7) GROUP BY feature)
+              ORDER BY s0 * s0 / n0 + s1 * s1 / n1 DESC, feature LIMIT 1)""",
+            f"""d{r} AS MATERIALIZED (
+              SELECT {last}.* EXCLUDE (pred), pred + CASE WHEN (CASE feature WHEN 0 THEN x0 ELSE x1 END) = 0 THEN v0 ELSE v1 END AS pred FROM {last}, t{r})""",
+            f"""l{r} AS (SELECT {r} AS round, avg((y - pred) ** 2) FILTER (WHERE tenth < 7) AS loss,
+                avg((y - pred) ** 2) FILTER (WHERE tenth = 7) AS val_loss FROM d{r})""",
+        ]
+    every = " UNION ALL ".join(f"SELECT * FROM l{r}" for r in range(1, rounds + 1))
+    ctes.append(f"l AS MATERIALIZED ({every})")
+    # The first round that does not lower the loss by enough is the last one made, and not part of the model.
+    ctes.append(
+        f"""e AS (SELECT coalesce(min(round), {rounds + 1}) AS stopped FROM
+              (SELECT round, val_loss, lag(val_loss) OVER (ORDER BY round) AS before FROM l) WHERE val_loss >= before - {BOOST['min_delta']})"""
+    )
+    return ", ".join(ctes)
+
+
+SQL_BOOSTED = _sql_boosted(BOOST["rounds"], BOOST["rate"])
+
+
+def _boosted(tables):
+    tenth = F.col("l_orderkey") % 10
+    unit = F.col("l_extendedprice") / F.col("l_quantity")
+    rows = tables.lineitem.select(
+        "l_orderkey", "l_linenumber", tenth.alias("tenth"), (F.col("l_extendedprice") / 1000).alias("y"),
+        (F.col("l_quantity") > 25).cast("double").alias("x0"), (unit > 1500).cast("double").alias("x1"),
+    )
+    return rows, boosting.fit_boosted(rows.where("tenth < 7"), rows.where("tenth = 7"), ["x0", "x1"], "y", depth=1, bins=2, **BOOST)
+
+
+@query(
+    "boosted_rounds",
+    "M5 E4",
+    f"WITH {SQL_BOOSTED} SELECT round, round(loss, 6) AS loss, round(val_loss, 6) AS val_loss FROM l, e WHERE round <= stopped",
+)
+def boosted_rounds(tables):
+    """Losses of stumps on two binary features, round by round, until patience ends."""
+    _, (_, curve) = _boosted(tables)
+    return curve.withColumns({c: F.round(c, 6) for c in ("loss", "val_loss")})
+
+
+@query(
+    "boosted_predictions",
+    "M5",
+    f"""
+    WITH {SQL_BOOSTED}, p AS ({' UNION ALL '.join(f'SELECT {r} AS round, l_orderkey, l_linenumber, y, pred FROM d{r} WHERE tenth > 7' for r in range(1, BOOST['rounds'] + 1))})
+    SELECT l_orderkey, l_linenumber, y, round(pred, 6) AS y_pred FROM p, e WHERE round = stopped - 1
+    """,
+)
+def boosted_predictions(tables):
+    """The best round's model on lines that were neither fitted nor used to stop."""
+    rows, (model, _) = _boosted(tables)
+    found = model.predict(rows.where("tenth > 7"))
+    return found.select("l_orderkey", "l_linenumber", "y", F.round("y_pred", 6).alias("y_pred"))
+
+
 @query(
     "knn_regressor",
     "M4 J8",

@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
-from hardwood.models import exact_trees, linear, neighbours, trees
+from hardwood.models import boosting, exact_trees, linear, neighbours, trees
 from hardwood.operators import evaluate as E
+from hardwood.operators.series import GameSeries, sliding_windows, window_features
 from hardwood.sources.sinks import load_model, save_model
 
 
@@ -247,3 +248,45 @@ def test_exact_tree_has_no_limit_of_depth(spark, local):
     assert tree.depth() > 30
     got = {r["id"]: r["y_pred"] for r in exact_trees.predict_exact_tree(tree, df).collect()}
     assert got == pytest.approx({i: 3.0**i for i in range(45)})
+
+
+def test_boosting_on_windows_stops_on_validation_loss(spark):
+    """Windows of the last three games, of which the newest tells most."""
+    rng = np.random.default_rng(4)
+    games, value = [], {}
+    for i in range(1_500):
+        player = int(rng.integers(0, 6))
+        value[player] = 0.8 * value.get(player, 0.0) + float(rng.normal())
+        games.append((player, i, value[player]))
+    series = GameSeries.of(spark.createDataFrame(games, "player long, day long, pts double"), ["player"], ["day"])
+    windows = window_features(sliding_windows(series, ["pts"], "pts", "day", 3), ["pts"], 3).drop("window_dates")
+    train, validation, test = (windows.where(c) for c in ("target_date < 1000", "target_date BETWEEN 1000 AND 1199", "target_date >= 1200"))
+    features = ["pts_0", "pts_1", "pts_2"]
+    model, curve = boosting.fit_boosted(train, validation, features, "y", rounds=60, patience=5, min_delta=1e-3, depth=3, rate=0.3)
+    losses = [(r["loss"], r["val_loss"]) for r in rows(curve.orderBy("round"))]
+    best = min(range(len(losses)), key=lambda i: losses[i][1])
+    assert losses[0][1] > losses[1][1] > losses[2][1]
+    assert all(a[0] >= b[0] for a, b in zip(losses, losses[1:]))  # every round explains more of the training part
+    assert len(losses) < 60 and len(model.trees) <= best + 1
+    scored = model.predict(test)
+    assert scored.count() == test.count()
+    plain = test.agg(F.var_pop("y")).first()[0]
+    assert E.metrics(scored, "y", "y_pred").first()["mse"] < 0.6 * plain
+    # A round goes on from the rounds before: fewer rounds are the first trees of more.
+    shorter, _ = boosting.fit_boosted(train, validation, features, "y", rounds=2, depth=3, rate=0.3)
+    assert [t.feature for t in shorter.trees] == [t.feature for t in model.trees[:2]]
+    assert [v for t in shorter.trees for v in t.value] == pytest.approx([v for t in model.trees[:2] for v in t.value])
+
+
+def test_boosted_edges(spark, tmp_path):
+    data = [(i, float(i % 4), None if i % 9 == 0 else float(i % 3), None if i % 11 == 0 else float(10 * (i % 4))) for i in range(90)]
+    df = spark.createDataFrame(data, "id long, a double, b double, y double")
+    model, curve = boosting.fit_boosted(df, df.limit(0), ["a", "b"], "y", rounds=3, depth=2, rate=1.0)
+    assert curve.where("val_loss IS NULL").count() == 3 and curve.orderBy("round").first()["loss"] == pytest.approx(0.0)
+    model.save(spark, str(tmp_path / "m"))
+    again = boosting.Boosted.load(spark, str(tmp_path / "m"))
+    assert again == model
+    scored = {r["id"]: r["y_pred"] for r in again.predict(df).collect()}
+    assert scored == {i: None if b is None else pytest.approx(10 * a) for i, a, b, _ in data}
+    with pytest.raises(ValueError):
+        boosting.fit_boosted(df.limit(0), df, ["a"], "y")

@@ -14,6 +14,7 @@ from hardwood.operators.impute import (
 from hardwood.operators.evaluate import head
 from hardwood.operators.reconcile import matched_or_quarantine
 from hardwood.operators.splits import features_and_label
+from hardwood.operators.dates import read_dates
 from hardwood.sources.delimited import clean_feed, game_state, in_date_range
 
 TEAMS = list(TEAM_CODES)
@@ -503,3 +504,37 @@ def series_profile(tables):
         F.date_format(F.min("ts"), "yyyy-MM-dd").alias("first_day"),
         F.date_format(F.max("ts"), "yyyy-MM-dd").alias("last_day"),
     )
+
+
+# --- fixed values: formats of the query, by a number; the last ones cannot be read
+DATE_FORMATS = [
+    "yyyy-MM-dd", "yyyy/M/d", "yyyyMMdd", "MMMM d yyyy", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d-MMM-yyyy", "EEE, MMM d, yyyy",
+    "d/M/yyyy", "M-d-yyyy", "d.M.yy", "M/d/yy",
+]
+
+
+@query(
+    "date_formats",
+    "C3 C7",
+    """
+    WITH o AS (SELECT o_orderkey, o_orderdate::DATE AS d, o_orderkey % 15 AS f FROM orders)
+    SELECT o_orderkey, strftime(d, CASE WHEN f >= 11 THEN '20%y-%m-%d' ELSE '%Y-%m-%d' END) AS day, NULL AS "Error" FROM o WHERE f <= 11 OR (f = 12 AND (day(d) > 12 OR day(d) = month(d)))
+    UNION ALL SELECT o_orderkey, NULL, 'day: day or month first: ' || month(d) || '/' || day(d) || '/' || strftime(d, '%y') FROM o WHERE f = 12 AND day(d) <= 12 AND day(d) <> month(d)
+    UNION ALL SELECT o_orderkey, NULL, 'day: no date: 31st of ' || month(d) FROM o WHERE f = 13
+    UNION ALL SELECT o_orderkey, NULL, 'day: no date: ' || year(d) || '-02-30' FROM o WHERE f = 14
+    """,
+)
+def date_formats(tables):
+    """Thirteen formats in one column, of which one is written both ways and only read where a cell tells; and what is no date."""
+    form = F.col("o_orderkey") % 15
+    date = F.col("o_orderdate").cast("date")
+    text = F.lit(None).cast("string")
+    for number, pattern in enumerate(DATE_FORMATS):
+        text = F.when(form == number, F.date_format(date, pattern)).otherwise(text)
+    # Some cells of the two-digit form have the day first, so the column contradicts itself.
+    both = (form == 12) & (F.dayofmonth(date) > 12) & (F.col("o_orderkey") % 2 == 0)
+    text = F.when(both, F.date_format(date, "d/M/yy")).otherwise(text)
+    text = F.when(form == 13, F.concat(F.lit("31st of "), F.month(date))).when(form == 14, F.concat(F.year(date), F.lit("-02-30"))).otherwise(text)
+    account = read_dates(tables.orders.select("o_orderkey", text.alias("day")), "day", F.col("o_orderkey"))
+    clean = account.clean.select("o_orderkey", F.date_format("day", "yyyy-MM-dd").alias("day"), F.lit(None).cast("string").alias("Error"))
+    return clean.unionByName(account.errors.select(F.col("URL").cast("long").alias("o_orderkey"), F.lit(None).cast("string").alias("day"), "Error"))

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hardwood.catalogue.registry import query
+from hardwood.session import work_path
 from hardwood.operators import impute, splits
 from hardwood.operators.categories import apply_index, first_seen_index, global_index, lookup
 from hardwood.operators.scaling import single_step, standardize_series
+from hardwood.operators.seasons import SeasonStore
+from hardwood.operators.series import lag_features as add_lags
 from hardwood.operators.series import (
-    GameSeries, change_since_last, lag_sets, lead_features, previous_means, sliding_windows,
+    GameSeries, change_since_last, lag_sets, lead_features, numbered, previous_means, sliding_windows,
 )
 
 ORDER = ["ts", "event_id"]
@@ -285,3 +288,44 @@ def random_split(tables):
 )
 def nested_split(tables):
     return splits.nested_split(tables.events.select("event_id"), "event_id")
+
+
+@query(
+    "features_by_load",
+    "S9 W1 W3",
+    """
+    WITH c AS (SELECT event_id, user_id, ts, value, ntile(3) OVER (ORDER BY ts, event_id) - 1 AS load FROM events),
+    l AS (SELECT event_id, load, lag(value, 1) OVER w AS value_1, lag(value, 2) OVER w AS value_2, lag(value, 3) OVER w AS value_3,
+                 CASE WHEN count(*) OVER b = 2 THEN avg(value) OVER b END AS mean2, user_id FROM c
+          WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id), b AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING)),
+    s AS (SELECT user_id, load, count(*) AS k, sum(value) AS v FROM c GROUP BY 1, 2)
+    SELECT event_id, l.load::INT AS load, value_1, value_2, value_3, round(mean2, 6) AS mean2,
+           coalesce((SELECT sum(k) FROM s WHERE s.user_id = l.user_id AND s.load < l.load), 0)::BIGINT AS games_before,
+           round(coalesce((SELECT sum(v) FROM s WHERE s.user_id = l.user_id AND s.load < l.load), 0), 4) AS value_before FROM l
+    """,
+)
+def features_by_load(tables):
+    """Three loads, each from its own games and what the load before left: as all games at once."""
+    log = tables.events.select("event_id", "user_id", "ts", "value")
+    n = log.count()
+    order = F.struct("ts", "event_id")
+    # Thirds of all events in time order: their last events are found without a sort of the whole table in one task.
+    ends = [r["e"] for r in _last_of(log, [-(-n // 3), -(-n // 3) + -(-(n - -(-n // 3)) // 2)])]
+    first, second = (order <= F.struct(F.lit(e["ts"]).alias("ts"), F.lit(e["event_id"]).alias("event_id")) for e in ends)
+    load = F.when(first, 0).when(second, 1).otherwise(2)
+    store = SeasonStore(
+        work_path(tables.spark, "loads"), ("user_id",), ("ts", "event_id"), ("value",), 3,
+        lambda s: previous_means(add_lags(s, ["value"], 3), ["value"], 2),
+    )
+    for number in range(3):
+        store.add(log.where(load == number), number)
+    found = store.read(tables.spark)
+    return found.select(
+        "event_id", F.col("load").cast("int").alias("load"), "value_1", "value_2", "value_3", F.round("2_value", 6).alias("mean2"),
+        "games_before", F.round("value_before", 4).alias("value_before"),
+    )
+
+
+def _last_of(log, places):
+    """The events at given places (from 1) in time order."""
+    return numbered(log, ["ts", "event_id"], 1_000_000).where((F.col("_g") + 1).isin(places)).orderBy("_g").select(F.struct("ts", "event_id").alias("e")).collect()

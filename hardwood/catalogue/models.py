@@ -92,6 +92,34 @@ def ar_per_player(tables):
     )
 
 
+SQL_ORDERS = f"""
+    {SQL_LAGS},
+    v AS (SELECT *, event_id % 4 = 0 AS held FROM x),
+    one AS (SELECT user_id, count(*) AS n, regr_slope(y, y_1) AS s, regr_intercept(y, y_1) AS i FROM v WHERE NOT held GROUP BY 1),
+    two AS ({SQL_FIT.format(key="user_id,", where="WHERE NOT held", group="GROUP BY user_id").replace("FROM x", "FROM v")}),
+    e AS (SELECT user_id, one.n, count(*) AS n_validation, avg((i + s * y_1 - y) ** 2) AS e1, avg((my + b1 * (y_1 - m1) + b2 * (y_2 - m2) - y) ** 2) AS e2,
+                 any_value(i) AS i, any_value(s) AS s, any_value(my - b1 * m1 - b2 * m2) AS w0, any_value(b1) AS b1, any_value(b2) AS b2
+          FROM v JOIN one USING (user_id) JOIN two USING (user_id) WHERE held AND one.n >= 4 GROUP BY user_id, one.n)"""
+
+
+@query(
+    "ar_order_per_player",
+    "M6",
+    f"""
+    WITH {SQL_ORDERS}
+    SELECT user_id, n, n_validation, CASE WHEN e1 <= e2 THEN 1 ELSE 2 END AS lags, round(least(e1, e2), 3) AS mse,
+           round(CASE WHEN e1 <= e2 THEN i ELSE w0 END, 3) AS w0, round(CASE WHEN e1 <= e2 THEN s ELSE b1 END, 4) AS w1,
+           CASE WHEN e1 > e2 THEN round(b2, 4) END AS w2 FROM e
+    """,
+)
+def ar_order_per_player(tables):
+    """One lag or two, whichever predicts a player's validation games better."""
+    rows = _lagged(tables, 2).withColumn("held", F.col("event_id") % 4 == 0)
+    fits = linear.fit_best_order(rows, ["user_id"], ["y_1", "y_2"], "y", "held").where(F.col("order").isNotNull())
+    weights = [F.round(F.get("weights", F.lit(i)), 3 if i == 0 else 4).alias(f"w{i}") for i in range(3)]
+    return fits.select("user_id", "n", "n_validation", F.col("order").alias("lags"), F.round("mse", 3).alias("mse"), *weights)
+
+
 @query(
     "linear_regression",
     "M1 C20",

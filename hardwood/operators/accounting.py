@@ -55,8 +55,12 @@ def read_cells(raw: DataFrame, cells: Sequence[Cell], url: Column, kept: Sequenc
     among the clean ones, and each such cell is one error.
     """
     plain = [F.col(f"`{c}`") for c in kept]
-    errors = F.array_compact(F.array(*[c.error() for c in cells]))
-    read = raw.select(*plain, *[c.value() for c in cells], errors.alias("_errors"), url.cast("string").alias("_url"))
+    return account_of(raw, [*plain, *[c.value() for c in cells]], F.array_compact(F.array(*[c.error() for c in cells])), url)
+
+
+def account_of(raw: DataFrame, values: Sequence[Column], errors: Column, url: Column) -> Account:
+    """Rows of ``values`` told apart by whether the array ``errors`` is empty."""
+    read = raw.select(*values, errors.alias("_errors"), url.cast("string").alias("_url"))
     counts = Observation()
     n_errors = F.size("_errors")
     counted = read.observe(

@@ -290,3 +290,41 @@ def test_boosted_edges(spark, tmp_path):
     assert scored == {i: None if b is None else pytest.approx(10 * a) for i, a, b, _ in data}
     with pytest.raises(ValueError):
         boosting.fit_boosted(df.limit(0), df, ["a"], "y")
+
+
+@pytest.mark.parametrize("shift", [0.0, 1e6])
+def test_best_order_is_that_of_separate_fits(spark, shift):
+    """Twenty lags: chosen order, error and weights against one least-squares fit for each order."""
+    rng = np.random.default_rng(6)
+    data, want = [], {}
+    for player, noise in (("a", 0.3), ("b", 2.0)):
+        y = rng.normal(size=24).tolist()
+        for _ in range(400):
+            y.append(0.6 * y[-1] - 0.3 * y[-3] + 0.2 * y[-7] + float(rng.normal(scale=noise)))
+        y = [v + shift for v in y]
+        table = [(y[i], *[y[i - k] for k in range(1, 21)], i % 5 == 0) for i in range(24, len(y))]
+        data += [(player, *r) for r in table]
+        fits = []
+        for order in range(1, 21):
+            x = np.array([[1.0, *[v - shift for v in r[1 : order + 1]]] for r in table])
+            t, inside = np.array([r[0] - shift for r in table]), np.array([r[-1] for r in table])
+            w = np.linalg.lstsq(x[~inside], t[~inside], rcond=None)[0]
+            fits.append((float(((x[inside] @ w - t[inside]) ** 2).mean()), order, [w[0] + shift * (1 - w[1:].sum()), *w[1:]]))
+        want[player] = min(fits)
+    data += [("short", *([1.0] * 21), False), ("unjudged", *([2.0] * 21), True)]
+    lags = [f"y_{k}" for k in range(1, 21)]
+    df = spark.createDataFrame(data, f"p string, y double, {', '.join(f'{c} double' for c in lags)}, v boolean").repartition(5)
+    found = {r["p"]: r for r in linear.fit_best_order(df, ["p"], lags, "y", "v").collect()}
+    for player, (mse, order, weights) in want.items():
+        assert found[player]["order"] == order
+        assert found[player]["mse"] == pytest.approx(mse, rel=1e-6)
+        assert found[player]["weights"] == pytest.approx(weights, rel=1e-4, abs=1e-4 * max(1.0, shift * 1e-3))
+    assert found["short"]["order"] is None and found["unjudged"]["weights"] is None
+
+
+def test_best_order_with_lags_that_say_the_same(spark):
+    data = [("a", float(2 * i), float(i), float(i), float(i % 3), i % 4 == 0) for i in range(40)]
+    df = spark.createDataFrame(data, "p string, y double, y_1 double, y_2 double, y_3 double, v boolean")
+    found = linear.fit_best_order(df, ["p"], ["y_1", "y_2", "y_3"], "y", "v").first()
+    assert found["order"] == 1 and found["mse"] == pytest.approx(0.0, abs=1e-12)
+    assert found["weights"] == pytest.approx([0.0, 2.0], abs=1e-9)

@@ -518,7 +518,7 @@ DATE_FORMATS = [
     "C3 C7",
     """
     WITH o AS (SELECT o_orderkey, o_orderdate::DATE AS d, o_orderkey % 15 AS f FROM orders)
-    SELECT o_orderkey, strftime(d, CASE WHEN f >= 11 THEN '20%y-%m-%d' ELSE '%Y-%m-%d' END) AS day, NULL AS "Error" FROM o WHERE f <= 11 OR (f = 12 AND (day(d) > 12 OR day(d) = month(d)))
+    SELECT o_orderkey, CASE WHEN f >= 11 THEN strftime(d, '20%y-%m-%d') ELSE strftime(d, '%Y-%m-%d') END AS day, NULL AS "Error" FROM o WHERE f <= 11 OR (f = 12 AND (day(d) > 12 OR day(d) = month(d)))
     UNION ALL SELECT o_orderkey, NULL, 'day: day or month first: ' || month(d) || '/' || day(d) || '/' || strftime(d, '%y') FROM o WHERE f = 12 AND day(d) <= 12 AND day(d) <> month(d)
     UNION ALL SELECT o_orderkey, NULL, 'day: no date: 31st of ' || month(d) FROM o WHERE f = 13
     UNION ALL SELECT o_orderkey, NULL, 'day: no date: ' || year(d) || '-02-30' FROM o WHERE f = 14

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hardwood.catalogue.models import SQL_LAGS, SQL_POOLED, _pooled
-from hardwood.catalogue.pipelines import SQL_LAG_SETS, lag_feed
+from hardwood.catalogue.pipelines import SQL_LAG_SETS, STEPS, lag_feed
 from hardwood.catalogue.registry import query
 from hardwood.fixed_values import FEED_HEADER
 from hardwood.models.trees import score_saved
@@ -148,49 +150,45 @@ def seasons_round_trip(tables):
     return read.select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "cents", "status", "season", "late")
 
 
-@query("player_files_round_trip", "K3", """SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events WHERE user_id IN (1, 7)""")
+@query("player_files_round_trip", "K3", """SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events""")
 def player_files_round_trip(tables):
-    """Two players out of the buckets; the rows of a player lie in order."""
+    """All players out of their buckets, with the place of each row in its file: a player's rows lie together and in order."""
     folder = work_path(tables.spark, "players")
     log = tables.events.select(F.col("user_id").cast("string").alias("player"), "ts", "event_id")
     K.write_players(log, folder, "player", ["ts", "event_id"])
-    read = [K.read_player(tables.spark, folder, "player", p).withColumn("place", F.monotonically_increasing_id()) for p in ("1", "7")]
-    order = Window.partitionBy("player").orderBy("place")
-    both = read[0].unionByName(read[1])
-    return both.select(F.col("player").cast("long").alias("user_id"), "event_id", F.row_number().over(order).alias("k"))
+    placed = tables.spark.read.parquet(folder).select("player", "event_id", "_metadata.file_path", "_metadata.row_index")
+    first = F.min("row_index").over(Window.partitionBy("player", "file_path"))
+    # Rows of a player in two files, or with another's between them, would not count from one to the last.
+    return placed.select(F.col("player").cast("long").alias("user_id"), "event_id", (F.col("row_index") - first + 1).alias("k"))
 
 
 @query(
     "prepared_sets_round_trip",
     "K4 K5",
-    """SELECT l_orderkey, l_linenumber, l_linenumber AS timestep, l_quantity AS y FROM lineitem WHERE l_linenumber IN (2, 3) AND l_returnflag = 'A'""",
+    """SELECT l_orderkey, l_linenumber, l_linenumber AS timestep, l_returnflag AS split, l_quantity AS y FROM lineitem WHERE l_linenumber <= 3""",
 )
 def prepared_sets_round_trip(tables):
-    """A rebuild leaves nothing of an earlier, deeper set; a reader opens one timestep and one split."""
+    """A rebuild leaves nothing of an earlier, deeper set; each set is read by its timestep and split."""
     spark, folder = tables.spark, work_path(tables.spark, "sets")
     rows = tables.lineitem.select(
         "l_orderkey", "l_linenumber", F.col("l_linenumber").alias("timestep"), F.col("l_quantity").alias("y"), F.col("l_returnflag").alias("split")
     )
     K.write_prepared(rows.withColumn("y", -F.col("y")), folder)
     K.rebuild(rows.where("timestep <= 3"), folder, ["timestep", "split"])
-    wanted = [K.read_prepared(spark, folder, t, "A") for t in (2, 3, 4)]
-    read = wanted[0].unionByName(wanted[1]).unionByName(wanted[2])
-    return read.select("l_orderkey", "l_linenumber", "timestep", "y")
+    wanted = [K.read_prepared(spark, folder, t, split) for t in (1, 2, 3, 4) for split in ("A", "N", "R")]
+    read = reduce(DataFrame.unionByName, wanted)
+    return read.select("l_orderkey", "l_linenumber", "timestep", "split", "y")
 
 
 @query("shifted_sets_round_trip", "S17", SQL_LAG_SETS)
 def shifted_sets_round_trip(tables):
-    """The prepared lag sets, written and read at three depths."""
+    """The prepared lag sets, written and read at all depths with all their lags."""
     folder = work_path(tables.spark, "shifted")
     prepare_shifted(lag_feed(tables), folder)
-    sets = [read_shifted(tables.spark, folder, n) for n in (1, 5, 20)]
-    read = sets[0]
-    for more in sets[1:]:
-        read = read.unionByName(more, allowMissingColumns=True)
-    return read.select(
-        F.col("GameID").alias("event_id"), "timestep", "split", F.round("FDP", 6).alias("y"), F.round("FDP_1", 6).alias("y_1"),
-        F.round("FDP_20", 6).alias("y_20"),
-    )
+    sets = [read_shifted(tables.spark, folder, n) for n in range(1, STEPS + 1)]
+    read = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sets)
+    lags = [F.round(f"FDP_{n}", 6).alias(f"y_{n}") for n in range(1, STEPS + 1)]
+    return read.select(F.col("GameID").alias("event_id"), "timestep", "split", F.round("FDP", 6).alias("y"), *lags)
 
 
 @query(

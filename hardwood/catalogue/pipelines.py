@@ -25,7 +25,7 @@ def _sql_lags(value: str, mean: str) -> str:
     return f"""
     g AS (SELECT *, {SQL_WEEK} AS season, CASE WHEN event_type <> 'error' THEN {value} END AS y0 FROM events),
     i AS (SELECT *, coalesce(y0, {mean.format("avg(y0) OVER (PARTITION BY season, user_id)")}) AS y FROM g),
-    l AS (SELECT *, lag(y, 1) OVER w AS y_1, lag(y, 5) OVER w AS y_5, lag(y, {STEPS}) OVER w AS y_20, row_number() OVER w - 1 AS before FROM i
+    l AS (SELECT *, {", ".join(f"lag(y, {n}) OVER w AS y_{n}" for n in range(1, STEPS + 1))}, row_number() OVER w - 1 AS before FROM i
           WINDOW w AS (PARTITION BY season, user_id ORDER BY ts, event_id)),
     h AS (SELECT *, md5(season || '|' || user_id || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '|' || event_id || 's10a') AS a,
                  md5(season || '|' || user_id || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '|' || event_id || 's10b') AS b FROM l WHERE y IS NOT NULL),
@@ -37,8 +37,8 @@ UNEVEN = 1.0003717
 _SQL_UNEVEN = _sql_lags(f"value * {UNEVEN}::DOUBLE", "round({}, 2)")
 SQL_LAG_SETS = f"""
     WITH {_SQL_UNEVEN}
-    SELECT event_id, n AS timestep, split, round(y, 6) AS y, round(y_1, 6) AS y_1, CASE WHEN n = {STEPS} THEN round(y_20, 6) END AS y_20
-    FROM k, (VALUES (1), (5), ({STEPS})) t(n) WHERE before >= n"""
+    SELECT event_id, n::INT AS timestep, split, round(y, 6) AS y, {", ".join(f"CASE WHEN n >= {n} THEN round(y_{n}, 6) END AS y_{n}" for n in range(1, STEPS + 1))}
+    FROM k, range(1, {STEPS + 1}) t(n) WHERE before >= n"""
 
 
 def lag_feed(tables, scale: float = UNEVEN):
@@ -59,13 +59,13 @@ def lag_feed(tables, scale: float = UNEVEN):
     "W7 W1 P3 C20",
     f"""
     WITH {_sql_lags("value", "{}")}
-    SELECT event_id, least(before, {STEPS})::INT AS depth, round(y, 6) AS y, round(y_1, 6) AS y_1, round(y_5, 6) AS y_5, round(y_20, 6) AS y_20, split FROM k
+    SELECT event_id, least(before, {STEPS})::INT AS depth, round(y, 6) AS y, {", ".join(f"round(y_{n}, 6) AS y_{n}" for n in range(1, STEPS + 1))}, split FROM k
     """,
 )
 def feed_to_lag_sets(tables):
     """All twenty depths. A player without any score in a season has no value to fill with and drops out."""
     sets = shifted_sets(lag_feed(tables, 1.0), STEPS, digits=None)
-    lags = [F.round(f"FDP_{n}", 6).alias(f"y_{n}") for n in (1, 5, STEPS)]
+    lags = [F.round(f"FDP_{n}", 6).alias(f"y_{n}") for n in range(1, STEPS + 1)]
     return sets.select(F.col("GameID").alias("event_id"), "depth", F.round("FDP", 6).alias("y"), *lags, "split")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PLAYER_BUCKETS = 256
+PAGE_ROWS = 2_000
 
 
 def _balanced(df: DataFrame, *keys: str) -> DataFrame:
@@ -28,16 +29,18 @@ def write_combined(df: DataFrame, path: str, kind: str = "parquet", mode: str =
     writer.format(kind).save(path)
 
 
-def write_players(df: DataFrame, path: str, player: str = "player", order: Sequence[str] = (), buckets: int = PLAYER_BUCKETS) -> None:
+def write_players(
+    df: DataFrame, path: str, player: str = "player", order: Sequence[str] = (), buckets: int = PLAYER_BUCKETS, page_rows: int = PAGE_ROWS
+) -> None:
     """Rows of a player lie together in one of ``buckets`` folders, sorted.
 
-    A folder per player would mean millions of tiny files; sorted buckets give readers of
-    one player the same file skipping.
+    A folder per player would mean millions of tiny files; sorted buckets let readers of one player skip the rest: a
+    Bloom filter rules out row groups, and the bounds of pages of ``page_rows`` rows all others but the player's own.
     """
     placed = df.withColumn("player_bucket", F.pmod(F.xxhash64(player), F.lit(buckets)).cast("int"))
-    _balanced(placed, "player_bucket").sortWithinPartitions("player_bucket", player, *order).write.mode(
-        "overwrite"
-    ).partitionBy("player_bucket").parquet(path)
+    _balanced(placed, "player_bucket").sortWithinPartitions("player_bucket", player, *order).write.mode("overwrite").option(
+        f"parquet.bloom.filter.enabled#{player}", "true"
+    ).option("parquet.page.row.count.limit", page_rows).partitionBy("player_bucket").parquet(path)
 
 
 def read_player(spark: SparkSession, path: str, player: str, name: str, buckets: int = PLAYER_BUCKETS) -> DataFrame:

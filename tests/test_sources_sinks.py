@@ -134,6 +134,22 @@ def test_player_buckets(spark, tmp_path):
     assert "player_bucket" in one._jdf.queryExecution().executedPlan().toString()
 
 
+def test_one_player_is_read_by_pages(spark, tmp_path):
+    """Of a bucket's file only the pages with the player's rows leave the scan; a player who is not there, none."""
+    path = str(tmp_path / "players")
+    df = spark.range(60_000).select((F.col("id") % 97).cast("string").alias("player"), F.col("id").alias("game"))
+    K.write_players(df, path, order=["game"], buckets=2, page_rows=100)
+
+    def read(name):
+        one = K.read_player(spark, path, "player", name, buckets=2).select("game")
+        assert [r["game"] for r in one.collect()] == (list(range(int(name), 60_000, 97)) if int(name) < 97 else [])
+        one._jdf.collectToPython()  # this plan, whose counts are asked for
+        return one._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().get("numOutputRows").get().value()
+
+    assert read("13") <= 2 * (60_000 // 97 + 200)
+    assert read("1000") == 0
+
+
 def test_combined_csv_and_losses(spark, tmp_path):
     losses = spark.createDataFrame([("a", 2.0, 3), ("b", 1.0, 4)], "player string, mse double, n int")
     K.write_losses(losses, str(tmp_path / "l"), "csv")

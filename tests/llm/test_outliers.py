@@ -80,18 +80,20 @@ def test_estimates_withstand_a_tenth_of_outliers(spark, cloud):
 def brute(rows, floors):
     """The same C-steps on one array: starts, halves by distance bins, smaller determinant, reweighting."""
     p = rows.shape[1]
-    floor = np.diag(np.square(floors))
     distance = lambda mean, cov: np.einsum("ij,jk,ik->i", rows - mean, np.linalg.inv(cov), rows - mean)
 
+    def raised(cov, least):
+        return cov + np.diag(np.maximum(np.square(least) - np.diag(cov), 0) + 1e-6 * np.square(least))
+
     def fit(part):
-        return part.mean(0), np.cov(part.T, bias=True) + floor
+        return part.mean(0), raised(np.cov(part.T, bias=True), floors)
 
     low = lambda v: np.sort(v, axis=0)[(len(v) + 1) // 2 - 1]
     median = low(rows)
     scale = np.maximum(1.4826 * low(np.abs(rows - median)), floors)
     off = (rows - median) / scale
     sign = off * np.sqrt(p) / np.linalg.norm(off, axis=1, keepdims=True)
-    starts = [np.diag(scale**2), (np.cov(sign.T, bias=True) + 0.09 * np.eye(p)) * np.outer(scale, scale)]
+    starts = [np.diag(scale**2), raised(np.cov(sign.T, bias=True), [0.3] * p) * np.outer(scale, scale)]
     ends = []
     for cov in starts:
         mean = median
@@ -133,6 +135,79 @@ def test_junk_goes_and_clean_texts_stay(make):
     assert len(kept) >= 398
 
 
+def prose(rng, n, start, lang, source):
+    """Texts of sentences with a mark now and then, none of them odd."""
+    words = [f"{'abcdefghij'[i % 10]}{'lmnopq'[i % 6]}{'rstuv'[i % 5] * (1 + i % 4)}" for i in range(400)]
+    texts = []
+    for i in range(n):
+        lines = [" ".join(rng.choice(words, rng.integers(6, 14))).capitalize() + rng.choice([".", ".", ".", "!"]) for _ in range(rng.integers(6, 25))]
+        texts.append((start + i, "\n".join(lines), lang, source))
+    return texts
+
+
+def test_kept_by_brute_force(spark, make):
+    """Groups by language and source, by language, and all; fits, distances and the cut-off of every row on arrays."""
+    rng = np.random.default_rng(12)
+    rows = prose(rng, 150, 0, "en", "a") + prose(rng, 120, 1_000, "fr", "a") + prose(rng, 60, 2_000, "de", "a") + prose(rng, 70, 3_000, "de", None)
+    rows += prose(rng, 40, 4_000, None, "b")
+    rows += [(5_000 + i, t.replace(" ", " # ", 12 + 8 * i), lang, source) for i, (_, t, lang, source) in enumerate(rows[::40])]
+    rows += [(6_000, "few words", "en", "a"), (6_001, None, "en", "a"), (6_002, "a b c d e " * 30, "fr", "a")]
+    docs = make(rows)
+    found = {r["doc_id"]: r for r in op.judged(docs).select("doc.doc_id", "counts", "base_failed", "distance", "kept").collect()}
+    vectors = {r["doc_id"]: np.array(r["x"]) for r in docs.select("doc_id", op.counted(docs["text"]).alias("c")).select("doc_id", op.vector("c").alias("x")).collect()}
+    floors = list(op.FLOORS.values())
+    usable = [r for r in rows if not found[r[0]]["base_failed"]]
+    assert {r[0] for r in rows} - {r[0] for r in usable} == {6_000, 6_001, 6_002}
+
+    def size(*keys):
+        return sum(all(r[2 + i] == k for i, k in keys) for r in usable)
+
+    def group(r):
+        if size((0, r[2]), (1, r[3])) >= op.LEAST_ROWS:
+            return r[2], r[3]
+        rest = sum(size((0, r[2]), (1, s)) for s in {x[3] for x in rows} if size((0, r[2]), (1, s)) < op.LEAST_ROWS)
+        return (r[2],) if rest >= op.LEAST_ROWS else ()
+
+    members = {}
+    for r in usable:
+        members.setdefault(group(r), []).append(r[0])
+    assert len(members) == 4 and len(members[()]) < op.LEAST_ROWS < len(members[("de",)])
+    cut = op.chi2_quantile(1 - op.TAIL, len(floors))
+    rejected = 0
+    for ids in members.values():
+        if len(ids) < op.LEAST_ROWS:
+            assert all(found[i]["kept"] and found[i]["distance"] is None for i in ids)
+            continue
+        mean, cov = brute(np.array([vectors[i] for i in ids]), floors)
+        for i in ids:
+            off = vectors[i] - mean
+            want = off @ np.linalg.inv(cov) @ off
+            assert found[i]["distance"] == pytest.approx(want, rel=0.1, abs=0.05)
+            if abs(want / cut - 1) > 0.1:
+                assert found[i]["kept"] == (want <= cut)
+            rejected += not found[i]["kept"]
+    assert rejected >= 5
+
+
+def test_each_statistic_can_reject_alone(make):
+    rng = np.random.default_rng(13)
+    rows = prose(rng, 300, 0, "en", "a")
+    plain = rows[0][1].replace("!", ".")
+    lines = plain.split("\n")
+    odd = {
+        "dup_lines": "\n".join(x for line in lines for x in (line, "Again and once more so.")),
+        "symbols": plain.replace(" ", " # ", 60),
+        "exclaim": plain.replace(" ", "! "),
+        "upper": plain.upper(),
+        "word_length": plain.replace(" ", ""),
+    }
+    odd["word_length"] = " ".join(odd["word_length"][i : i + 40] for i in range(0, len(odd["word_length"]), 40)) * 2
+    docs = make(rows + [(1_000 + i, t, "en", "a") for i, t in enumerate(odd.values())])
+    found = {r["doc_id"]: r["kept"] for r in op.judged(docs).select("doc.doc_id", "kept").collect()}
+    assert sum(found[r[0]] for r in rows) >= 299
+    assert {name: found[1_000 + i] for i, name in enumerate(odd)} == dict.fromkeys(odd, False)
+
+
 def test_chi2_quantile():
     for share, dof, want in [(0.975, 7, 16.013), (0.75, 3, 4.108), (0.999, 5, 20.515)]:
         assert abs(op.chi2_quantile(share, dof) / want - 1) < 0.02

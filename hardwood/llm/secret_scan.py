@@ -2,10 +2,10 @@
 
 Each kind's matches are cut out of the whole text with the gaps before them, in one pass; places are
 running sums of lengths, in code points. Beside the fixed kinds, every run of token characters that mixes
-letters and digits is a candidate, and the smallest of the ``ENCODINGS`` that holds all its characters
-is inferred. Three tests ask whether it is a random string over that alphabet: chi-squared for
-uniform use, Wald and Wolfowitz' runs above and below the middle, and serial correlation. Fisher's method
-joins their probabilities.
+letters and digits, or upper and lower case inside, or is all upper case, is a candidate, and the smallest of the ``ENCODINGS``
+that holds all its characters is inferred. Runs of lower-case letters alone are words and no candidates. Three tests ask whether it
+is a random string over that alphabet: chi-squared for uniform use (equal pairs, where a letter is expected fewer than five
+times), Wald and Wolfowitz' runs above and below the middle, and serial correlation. Fisher's method joins their probabilities.
 
 Candidates are dismissed as not random by a step-up rule over the whole table (Benjamini and
 Hochberg), weighted by length, because a longer text has more power to be told from a random one. At most
@@ -111,13 +111,19 @@ def tested(tokens: DataFrame) -> DataFrame:
     pairs = F.arrays_zip(F.slice("x", 1, F.size("x") - 1).alias("p"), F.slice("x", 2, F.size("x")).alias("q"))
     base = base.select(
         "token", "encoding", "n", "a",
-        (squares * F.col("a") / F.col("n") - F.col("n")).alias("chi2"),
+        squares.alias("squares"), (squares * F.col("a") / F.col("n") - F.col("n")).alias("chi2"),
         F.aggregate(high, zero, lambda s, y: s + y).alias("n1"),
         F.aggregate(pairs, F.lit(1.0), lambda s, y: s + ((y["p"] > middle) != (y["q"] > middle)).cast("double")).alias("runs"),
         F.aggregate(pairs, zero, lambda s, y: s + (y["p"] - middle) * (y["q"] - middle)).alias("serial"),
         F.aggregate("x", zero, lambda s, y: s + (y - middle) * (y - middle)).alias("spread"),
     )
     dof = F.col("a") - 1
+    # So many equal pairs or more, if their number is Poisson: a chi-squared probability again.
+    pairs_met, pairs_expected = (F.col("squares") - F.col("n")) / 2, F.col("n") * (F.col("n") - 1) / (2 * F.col("a"))
+    twice = 2 * F.greatest(pairs_met, F.lit(1.0))
+    by_pairs = F.when(pairs_met < 1, 1.0).otherwise(
+        1.0 - _upper((F.pow(2 * pairs_expected / twice, F.lit(1 / 3)) - (1 - 2 / (9 * twice))) / F.sqrt(2 / (9 * twice)))
+    )
     # Wilson and Hilferty's cube root; only too uneven use speaks against randomness.
     cube = (F.pow(F.col("chi2") / dof, F.lit(1 / 3)) - (1 - 2 / (9 * dof))) / F.sqrt(2 / (9 * dof))
     both = 2 * F.col("n1") * (F.col("n") - F.col("n1"))
@@ -126,7 +132,8 @@ def tested(tokens: DataFrame) -> DataFrame:
     # On one side of the middle throughout: as odd as n tosses of a coin.
     by_runs = F.when(variance > 0, 2 * _tail(F.abs(F.col("runs") - expected) / F.sqrt(variance))).otherwise(F.pow(F.lit(2.0), 1 - F.col("n")))
     by_serial = 2 * _tail(F.abs(F.col("serial") / F.greatest(F.col("spread"), F.lit(1e-9))) * F.sqrt("n"))
-    joined = -2.0 * (F.log(_upper(cube)) + F.log(F.greatest(by_runs, F.lit(1e-300))) + F.log(F.greatest(by_serial, F.lit(1e-300))))
+    by_use = F.greatest(F.when(F.col("n") < 5 * F.col("a"), by_pairs).otherwise(_upper(cube)), F.lit(1e-300))
+    joined = -2.0 * (F.log(by_use) + F.log(F.greatest(by_runs, F.lit(1e-300))) + F.log(F.greatest(by_serial, F.lit(1e-300))))
     half = joined / 2.0
     fisher = F.exp(-half) * (1.0 + half + half * half / 2.0)
     return base.select("token", "encoding", "n", F.least(F.greatest(fisher, F.lit(1e-300)), F.lit(1.0)).alias("p"))
@@ -162,7 +169,9 @@ def secrets(docs: DataFrame, text_col: str = "text", rate: float = RATE) -> Data
     )
     cut = materialize(cut, "matches")
     fixed = _placed(cut, 0, LEAST_ASSIGNED).union(_placed(cut, 1, 0)).union(_placed(cut, 2, 0))
-    loose = _placed(cut, 3, 0).where(F.col("token").rlike("[0-9]") & F.col("token").rlike("[A-Za-z]"))
+    token = F.col("token")
+    mixed = (token.rlike("[0-9]") & token.rlike("[A-Za-z]")) | token.rlike("[a-z].*[A-Z]") | token.rlike("^[A-Z]+=*$")
+    loose = _placed(cut, 3, 0).where(mixed)
     loose = materialize(loose, "candidates")
     chosen = materialize(random_tokens(materialize(tested(loose.select("token").distinct()), "tested"), rate), "random")
     loose = attach(loose, chosen.select("token"), ["token"], ["row", "start"], "inner")

@@ -1,7 +1,8 @@
 """Personal data by bootstrapped contextual extraction.
 
 Seeds are the entities that fixed forms find: addresses, network numbers, cards, telephone numbers. The
-words before an entity are its lexical patterns (the last word, the last two words). Patterns that
+words before an entity are its lexical patterns (the last word, the last two words). A key with ``=`` or ``:`` that is glued to
+its value counts as a word, so ``email=`` and ``"tel":"`` are patterns, too. Patterns that
 introduce at least ``SUPPORT`` different seeds make up, with all identifiers they introduce, a graph of
 patterns and instances. In every round a pattern's confidence in a kind is the score of its instances,
 over everything that follows its words anywhere, and an instance's score is the noisy or of its
@@ -12,7 +13,8 @@ All texts are read whole, and all counts cover all documents. Patterns are count
 corpus in slices of ``SLICE``, so what a task is sent is bounded. A very frequent pattern is one row per
 distinct instance, added up before it is shuffled.
 
-Null and empty texts have no spans. Repeated rows are scanned each, but an instance counts once per pattern.
+Null and empty texts have no spans. Repeated rows are scanned each, but an instance counts once per pattern. Of kinds in which a
+pattern is equally confident the first listed counts, and so it does among patterns of one identifier.
 An empty table gives an empty result. Other columns are carried along.
 """
 
@@ -43,6 +45,9 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 WORDS = re.compile(WORD)
+# Marks that may open a value after its key.
+OPENING = "\"'([<"
+LETTER = re.compile(r"[A-Za-z]")
 # Marks that may surround an identifier.
 EDGES = "\"'()[]{}<>,;:.!?"
 MENTION = "array<struct<start: int, end: int, kind: int, value: string, one: string, two: string>>"
@@ -95,6 +100,17 @@ def _plain(word: str) -> str:
     return DIGIT.sub("0", word.lower())
 
 
+def key_end(word: str) -> int:
+    """Where a key with ``=`` or ``:`` and the marks that open its value end; 0 without one. The scheme of an address is no key."""
+    places = [p for p in (word.find("="), word.find(":")) if p >= 0]
+    if not places or not LETTER.search(word, 0, min(places)):
+        return 0
+    end = min(places) + 1
+    while end < len(word) and word[end] in OPENING:
+        end += 1
+    return 0 if word.startswith("/", end) else end
+
+
 def _contexts(text: str, spans: list[tuple[int, int]]) -> list[tuple[str | None, str | None]]:
     """The last word and the last two words before each span; ``spans`` are in order.
 
@@ -135,7 +151,10 @@ def mentions(text: str) -> list[tuple[int, int, int, str, str | None, str | None
         word = m[0]
         if "@" not in word and not DIGIT.search(word):
             continue
-        start = m.start() + len(word) - len(word.lstrip(EDGES))
+        opened = max(len(word) - len(word.lstrip(EDGES)), key_end(word))
+        if "@" not in word[opened:] and not DIGIT.search(word, opened):
+            opened = len(word) - len(word.lstrip(EDGES))
+        start = m.start() + opened
         end = m.end() - (len(word) - len(word.rstrip(EDGES)))
         while at < len(reach) and reach[at][1] <= start:
             at += 1
@@ -168,6 +187,7 @@ def _occurrences(docs: DataFrame, text_col: str, patterns: DataFrame) -> DataFra
 
     def counting(wanted: frozenset[bytes]):
         last = {p.rpartition(b" ")[2] for p in wanted}
+        glued = any(key_end(word.decode()) == len(word.decode()) for word in last)
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -179,6 +199,15 @@ def _occurrences(docs: DataFrame, text_col: str, patterns: DataFrame) -> DataFra
                             found[words[i]] += 1
                             if i:
                                 found[words[i - 1] + b" " + words[i]] += 1
+                    if glued and ("=" in text or ":" in text):
+                        for i, word in enumerate(words):
+                            if b"=" in word or b":" in word:
+                                whole = word.decode()
+                                end = key_end(whole)
+                                if 0 < end < len(whole) and (opened := whole[:end].encode()) in last:
+                                    found[opened] += 1
+                                    if i:
+                                        found[words[i - 1] + b" " + opened] += 1
                 known = {p.decode(): n for p, n in found.items() if p in wanted}
                 columns = [pa.array(list(known), pa.string()), pa.array(list(known.values()), pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["pattern", "total"])

@@ -143,3 +143,33 @@ def test_patterns_are_counted_in_slices(make, monkeypatch):
     whole = {tuple(r) for r in op.confident_patterns(op._scanned(docs, "text"), docs).collect()}
     monkeypatch.setattr(op, "SLICE", 2)
     assert {tuple(r) for r in op.confident_patterns(op._scanned(docs, "text"), docs).collect()} == whole
+
+
+def learnt(docs):
+    rows = op.personal_data(docs).select("doc.doc_id", "spans").collect()
+    return sorted((r["doc_id"], s["start"], s["end"], s["value"]) for r in rows for s in r["spans"] if s["learnt"])
+
+
+def test_keys_glued_to_values_are_patterns(make):
+    """Seeds after a key discover the values that no fixed form covers, and other keys discover nothing."""
+    seeds = [(i, f"row {i} email=user{'abcdef'[i]}@mail{i}.example end") for i in range(6)]
+    seeds += [(10 + i, f'{{"tel":"+49{i}0 123 456 78", "n":"x"}}') for i in range(4)]
+    hidden = [(20, "row 20 email=john77(at)mail.example end"), (21, '{"tel":"0049-30-1234567"}'), (22, "row 22 size=john77(at)mail.example"), (23, "see http://a1.example/x email=")]
+    assert learnt(make(seeds + hidden)) == [(20, 13, 35, "john77(at)mail.example"), (21, 8, 23, "0049-30-1234567")]
+
+
+def test_a_key_before_most_other_things_is_no_pattern(make):
+    rows = [(i, f"id=user{'abc'[i]}@mail.example") for i in range(3)] + [(10 + i, f"id=item{i} id=x{i}") for i in range(9)]
+    assert learnt(make(rows)) == []
+
+
+def test_a_pattern_with_a_third_of_all_instances(make, spark):
+    """A hot pattern, and instances met by many patterns, with every join salted."""
+    rows = [(i, f"write to u{i}@mail{i % 7}.example now, code k{i}") for i in range(400)] + [(1_000, "write to nobody77 now")]
+    for name in ("broadcastRows", "blockRows"):
+        spark.conf.set(f"spark.hardwood.{name}", "5")
+    try:
+        assert learnt(make(rows)) == [(1_000, 9, 17, "nobody77")]
+    finally:
+        for name in ("broadcastRows", "blockRows"):
+            spark.conf.unset(f"spark.hardwood.{name}")

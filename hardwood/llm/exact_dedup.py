@@ -7,8 +7,8 @@ each take a range of (key, page), keep a chain of the different texts met under
 bytes, so a collision of keys never merges two texts. Rows whose key occurs once are nobody's copy
 and are not moved.
 
-Null texts count as empty. Of equal texts the row with the largest id stays (null ids come last; of
-equal ids exactly one row stays). An empty table gives an empty result. Other columns are carried along.
+Null texts count as empty. A text of any length is one key and is compared whole. Of equal texts the row with the largest id
+stays (null ids come last; of equal ids exactly one row stays). An empty table gives an empty result. Other columns are carried along.
 """
 
 from __future__ import annotations

@@ -6,8 +6,8 @@ The rate of a source is target / words; a document is taken floor(rate) times, a
 number hashed from its id lies below the rate's fraction.
 
 Words are runs without ASCII white space; null texts and empty texts have none and are taken zero
-words of. Sources are ordered by code point, null last, and weighed by ``weights`` in turn. Rows
-without an id draw by their text; identical rows draw alike. Empty tables give empty results.
+words of; texts of any length are counted whole. Sources are ordered by code point, null last, and weighed by ``weights`` in turn. Rows
+without an id draw by their text; identical rows draw alike. Empty tables give empty results. Other columns are carried along.
 """
 
 from __future__ import annotations

@@ -7,8 +7,9 @@ a grouping of pieces into bins: crossover injects well-filled bins of one parent
 removes the bins that hold a piece twice, and puts the displaced pieces back by best fit. After each
 epoch every island passes its best packing to the next one; the best island of a province counts.
 
-Null and empty texts are one end id. Repeated rows are packed as often as they occur. An empty table
-gives no pieces. No piece is dropped or cut again, and one task sees one province only.
+Null and empty texts are one end id. Repeated rows are packed as often as they occur. A text of any length is cut in one
+task. Pieces of equal length are taken in the order of their rows, equally good packings in that of their islands. An empty table
+gives no pieces. No piece is dropped or cut again, and one task sees one province only. Other columns are not carried along.
 
 The ids are those of the ``tokenizers`` file. They are computed by ``tiktoken`` from the same
 vocabulary, which is several times faster; a text that holds a special token's string goes through
@@ -37,6 +38,10 @@ PROVINCE, ISLANDS, EPOCHS = 20_000, 2, 2
 POPULATION, GENERATIONS, WELL_FILLED = 4, 4, 0.98
 
 
+# Kept by the process that made them.
+_encoders: dict[tuple[str, str], Callable[[str], np.ndarray]] = {}
+
+
 def _files() -> tuple[str, str]:
     import public_tokenizers
 
@@ -49,9 +54,8 @@ def encoder(tokenizer: str | None = None, ranks: str | None = None) -> Callable[
 
     if tokenizer is None or ranks is None:
         tokenizer, ranks = _files()
-    known = tiktoken.__dict__.setdefault("_kept_encoders", {})
-    if (tokenizer, ranks) in known:
-        return known[tokenizer, ranks]
+    if (tokenizer, ranks) in _encoders:
+        return _encoders[tokenizer, ranks]
     import public_tokenizers
     from tokenizers import Tokenizer
 
@@ -67,7 +71,7 @@ def encoder(tokenizer: str | None = None, ranks: str | None = None) -> Callable[
             return np.array(slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
         return np.array(fast.encode_ordinary(text), dtype="<u4")
 
-    known[tokenizer, ranks] = encode
+    _encoders[tokenizer, ranks] = encode
     return encode
 
 
@@ -201,7 +205,7 @@ def packed(pieces: DataFrame, length: int = LENGTH, province: int = PROVINCE, is
     pieces = materialize(pieces.withColumn("pid", F.monotonically_increasing_id()), "pieces")
     partial = pieces.where(F.col("length") < length).select("pid", "length")
     provinces = parts_for(partial.count(), province)
-    dealt = partial.select(F.pmod("pid", F.lit(provinces)).cast("int").alias("province"), "pid", "length")
+    dealt = partial.select(F.pmod(F.xxhash64("pid"), F.lit(provinces)).cast("int").alias("province"), "pid", "length")
     state = dealt.select(
         "*",
         F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"),

@@ -4,8 +4,9 @@ Trees are grown on statistics of the text; every path from a root becomes one ru
 bounds. A lasso logistic fit weighs the rules, and those with a weight are compiled into one column
 expression, so scoring runs over whole tables without a join.
 
-Learning sees at most about ``SAMPLE`` labelled documents (chosen by a hash of the id; one row per
-id). Everything else covers all rows. Null and empty texts have all statistics 0 and get a score as
+Learning sees at most about ``SAMPLE`` labelled documents (chosen by a hash of the id; of rows that share an
+id the one with the least counts, of labels the least). Everything else covers all rows, and whole texts of any length. A score
+at exactly the threshold is accepted. Null and empty texts have all statistics 0 and get a score as
 any other. If no labels, or one class only, are there to learn from, every score is the smoothed
 share of label 1. Rows without an id or a label are not learnt from, but scored. Other columns are
 carried along, and an empty table gives an empty result.
@@ -146,7 +147,7 @@ def learnt(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     # About ``sample`` rows of two numbers.
     examples = texts.join(F.broadcast(chosen), "id").select("id", "label", counted(F.col("text")).alias("counts"))
-    return fitted(materialize(examples, "counts").dropDuplicates(["id"]))
+    return fitted(materialize(examples.groupBy("id").agg(F.min("label").alias("label"), F.min("counts").alias("counts")), "counts"))
 
 
 def scored(docs: DataFrame, ensemble: RuleEnsemble, text_col: str = "text") -> DataFrame:

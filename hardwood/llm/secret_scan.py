@@ -12,7 +12,7 @@ Hochberg), weighted by length, because a longer text has more power to be told f
 a share of ``RATE`` of the dismissed ones is expected to be random. The others become spans of kind
 ``random``, unless they overlap a span of a fixed kind.
 
-Null and empty texts have no spans. Places refer to the whole text, of whatever length. Repeated rows
+Tokens of equal weighted probability share a bin and its fate. Null and empty texts have no spans. Places refer to the whole text, of whatever length. Repeated rows
 are scanned each; an empty table gives an empty result. Other columns are carried along.
 """
 

@@ -95,6 +95,21 @@ def test_long_lists_lose_no_link(make, crowd, monkeypatch, limit, block, words,
     check(op.near_duplicates(make(crowd), op.Near(words, percent)), crowd, words, percent)
 
 
+def test_a_thousand_pairs_of_common_text_at_the_limit(make):
+    """Each word is in more sets than a list may hold, so only bands can find the pairs, which are at 0.80 exactly."""
+    rng = random.Random(23)
+    pool = [f"word{i}" for i in range(300)]
+    rows = []
+    for i in range(1_000):
+        words = rng.sample(pool, 100)
+        for j, own in enumerate((words[80:90], words[90:])):
+            text = words[:80] + own
+            rng.shuffle(text)
+            rows.append((2 * i + j, " ".join(text)))
+    found = {r["id"]: r["component_id"] for r in op.near_duplicates(make(rows), op.Near(1, 80)).select("id", "component_id").collect()}
+    assert found == {d: d - d % 2 for d, _ in rows}
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_enough(percent):
     """The chance that all of so many values are in one set only is below the limit, and that of one less is not."""

@@ -88,3 +88,10 @@ def test_accepted_keeps_columns(docs, labels):
     judged = kept.select("doc_id").join(labels, "doc_id").groupBy("quality").count().collect()
     by = {r["quality"]: r["count"] for r in judged}
     assert by.get(0, 0) < 0.1 * by[1]
+
+
+def test_rows_that_share_an_id_always_give_the_same_model(docs, labels):
+    """Two texts under each of some ids, in any order of rows."""
+    twice = docs.select("doc_id", "text").unionByName(docs.where("doc_id % 3 = 0").select("doc_id", F.concat("text", F.lit(" and more")).alias("text")))
+    first = op.learnt(twice.repartition(3, "text"), labels)
+    assert first == op.learnt(twice.orderBy(F.col("text").desc()), labels)

@@ -44,3 +44,13 @@ def nothing(make):
 def documents(spark):
     """The smallest test table, as Python rows by id."""
     return {r["doc_id"]: r for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+
+
+@pytest.fixture
+def low_limits(spark):
+    """Nothing is broadcast, and joins with more than a few rows of a key are salted."""
+    for name in ("broadcastRows", "blockRows"):
+        spark.conf.set(f"spark.hardwood.{name}", "5")
+    yield
+    for name in ("broadcastRows", "blockRows"):
+        spark.conf.unset(f"spark.hardwood.{name}")

@@ -77,6 +77,11 @@ def test_hot_nodes_go_by_slots(make):
     assert found(make([(*r, "s") for r in rows]), least=2) == expected(rows, least=2)
 
 
+def test_beyond_broadcast(make, low_limits):
+    rows = [(i, f"Red fox, red fox w{i % 3} blue sky a b c", "en" if i % 4 else "fr") for i in range(60)]
+    assert found(make([(*r, "s") for r in rows]), least=4) == expected(rows, least=4)
+
+
 def test_tasks_hand_on_early(make, monkeypatch):
     rows = [(i, f"one two three four. two three w{i % 9} one two", "en") for i in range(40)]
     monkeypatch.setattr(op, "HELD_TOKENS", 5)

@@ -72,6 +72,11 @@ def test_levels_blocks_and_clusters(spark, monkeypatch, copies):
     assert found(spark, rows, every=4) == brute(rows, every=4)
 
 
+def test_beyond_broadcast(spark, low_limits):
+    rows = cloud(120, seed=7)
+    assert found(spark, rows, every=10) == brute(rows, every=10)
+
+
 def test_other_numbers(spark):
     rows = cloud(150, seed=5)
     options = {"positives": 2, "negatives": 3, "lower": 10, "upper": 100}

@@ -75,6 +75,10 @@ def test_ranges_runs_and_copies_in_many_tasks(make, monkeypatch):
     check(make, corpus(7, n=120), least=20)
 
 
+def test_beyond_broadcast(make, low_limits):
+    check(make, corpus(11, n=40), least=20, hot=6)
+
+
 @pytest.mark.parametrize("hot", [0, 4])
 def test_hot_beginnings_go_by_digests(make, hot):
     check(make, corpus(9, n=80, passages=2), least=20, hot=hot)

@@ -9,8 +9,8 @@ counts, followed by one reweighting step. Rows beyond the cut-off distance are r
 Every step covers all rows. Rows are added up per group and distance bin before they are shuffled,
 so a group may hold any share of the rows; a half is taken to the resolution of a bin (1/16 octave).
 ``FLOORS`` are the least standard deviations, to which smaller ones are raised: most documents have no symbols and no
-repeated lines at all, so the plain determinant would be zero. They were set on labelled documents of the test tables so that
-each statistic can reject a text by itself. A text at exactly the cut-off stays.
+repeated lines at all, so the plain determinant would be zero. They and ``TAIL`` were chosen with a look at the
+labelled documents of the test tables. A text at exactly the cut-off stays.
 
 A text of any length is one vector. Rows that fail the base rule (null and empty texts among them) are not part of the estimates and are
 rejected. Null languages and sources are groups as any other; a group of fewer than ``LEAST_ROWS``

@@ -79,9 +79,10 @@ def count_batch(texts: pa.Array) -> pa.StructArray:
     data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
     def per_text(mask: np.ndarray) -> np.ndarray:
-        before = np.zeros(len(mask) + 1, dtype=np.int64)
+        # A batch of Arrow has fewer than 2 ** 31 bytes, or is one text of them.
+        before = np.zeros(len(mask) + 1, dtype=np.int32 if len(mask) < 2**31 else np.int64)
         np.cumsum(mask, out=before[1:])
-        return before[offsets[1:]] - before[offsets[:-1]]
+        return (before[offsets[1:]] - before[offsets[:-1]]).astype(np.int64)
 
     symbol = _member(SYMBOLS)[data]
     run = symbol.copy()
@@ -101,10 +102,12 @@ def count_batch(texts: pa.Array) -> pa.StructArray:
         "n_pipes": per_text(data == ord("|")),
         "n_lines": per_text(data == ord("\n")) + (np.diff(offsets) > 0),
     }
-    whole = texts.to_pylist()
-    by_word = np.array([count_words(t) for t in whole], dtype=np.int64).reshape(n, 4)
+    by_word, lines = np.zeros((n, 4), dtype=np.int64), np.zeros(n, dtype=np.int64)
+    for i, text in enumerate(texts):
+        text = text.as_py()
+        by_word[i], lines[i] = count_words(text), duplicate_lines(text)
     found |= dict(zip(("n_words", "n_repeat_words", "n_distinct", "n_adjacent"), by_word.T))
-    found["n_dup_lines"] = np.array([duplicate_lines(t) for t in whole], dtype=np.int64)
+    found["n_dup_lines"] = lines
     return pa.StructArray.from_arrays([pa.array(found[c], pa.int64()) for c in COUNTS], COUNTS)
 
 

@@ -8,7 +8,7 @@ replays what waited in time order.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -52,64 +52,94 @@ def read_state(spark: SparkSession, target: str) -> DataFrame:
 
 
 _REPLY = "msg_id long, at long, user string, subject string, site string"
+# What one call of the state store moves: columns of many commands, and the sites of one (user, slot).
+_WAITING = "at array<long>, msg_id array<long>, user array<string>, slot array<int>, verb array<string>, site array<string>"
+_OWNER, _SITES = "user string, slot int", "sites array<string>"
+# Keys of the state; a checkpoint holds for one number only.
+BUCKETS = 4_096
 
 
-def _frame(user: str, replies: list[tuple]) -> pd.DataFrame:
-    """Replies ``(msg_id, at, subject, site)`` of a user; texts as plain objects, which Arrow takes in one piece."""
-    msg_ids, ats, subjects, sites = zip(*replies) if replies else ((), (), (), ())
-    texts = {"user": [user] * len(replies), "subject": subjects, "site": sites}
+def _frame(replies: list[tuple]) -> pd.DataFrame:
+    """Replies ``(msg_id, at, user, subject, site)``; texts as plain objects, which Arrow takes in one piece."""
+    msg_ids, ats, *texts = zip(*replies) if replies else ((),) * 5
     numbers = {"msg_id": pd.Series(msg_ids, dtype="int64"), "at": pd.Series(ats, dtype="int64")}
-    return pd.DataFrame(numbers | {c: pd.Series(v, dtype=object) for c, v in texts.items()})
+    return pd.DataFrame(numbers | {c: pd.Series(v, dtype=object) for c, v in zip(("user", "subject", "site"), texts)})
 
 
 class _Replay(StatefulProcessor):
-    """State of one (user, slot): the sites listed, and the commands that the watermark has not passed.
+    """State of a bucket of (user, slot): the sites each has listed, and the commands that the watermark has not passed.
 
     After a command is replayed only its effect on the list remains, so what is kept is bounded by the
-    sites and by the commands of one watermark delay.
+    sites and by the commands of one watermark delay. Commands come and go by the bucket; of the lists only those
+    of the users who sent a command are read and written.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "at long, msg_id long", "verb string, site string")
-        self.listed = handle.getMapState("listed", "site string", "since long")
+        self.waiting = handle.getListState("waiting", _WAITING)
+        self.listed = handle.getMapState("listed", _OWNER, _SITES)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         first = None
         for batch in rows:
             known = batch[batch["slot"] >= 0]
-            for at, msg_id, verb, site in zip(known["at"], known["msg_id"], known["verb"], known["site"]):
-                self.waiting.updateValue((int(at), int(msg_id)), (verb, site))
-                first = int(at) if first is None else min(first, int(at))
+            if len(known):
+                at = known["at"].astype("int64")
+                self._wait(zip(at, known["msg_id"].astype("int64"), known["user"], known["slot"], known["verb"], known["site"]))
+                first = int(at.min()) if first is None else min(first, int(at.min()))
         if first is not None:
             self._wake(first)
-        yield _frame(key[0], [])
+        yield _frame([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
-        replies, later = [], None
-        for (at, msg_id), (verb, site) in sorted(self.waiting.iterator(), key=lambda item: tuple(item[0])):
-            if at // 1000 > passed:
-                later = at
-                break
-            self.waiting.removeKey((at, msg_id))
-            replies += self._replayed(int(key[1]), at, msg_id, verb, site)
-        if later is not None:
-            self._wake(later)
-        yield _frame(key[0], replies)
-
-    def _replayed(self, slot: int, at: int, msg_id: int, verb: str, site: str | None) -> list[tuple]:
-        if verb == "show":
-            opened = [(msg_id, at, LIST, None)] if slot == 0 else []
-            return opened + [(msg_id, at, LIST, name) for (name,) in self.listed.keys()]
-        known = self.listed.containsKey((site,))
-        if known == (verb == "add"):
-            return [(msg_id, at, ADD_ERROR if known else DELETE_ERROR, site)]
-        if known:
-            self.listed.removeKey((site,))
-        else:
-            self.listed.updateValue((site,), (at,))
-        return []
+        ready: dict[tuple, dict[tuple, tuple]] = {}
+        later = []
+        for columns in list(self.waiting.get()):
+            for at, msg_id, user, slot, verb, site in zip(*columns):
+                if at // 1000 > passed:
+                    later.append((at, msg_id, user, slot, verb, site))
+                else:
+                    ready.setdefault((user, slot), {})[(at, msg_id)] = verb, site
+        replies: list[tuple] = []
+        for owner, commands in ready.items():
+            self._replayed(owner, commands, replies)
+        if ready:
+            self.waiting.clear()
+            if later:
+                self._wait(later)
+        if later:
+            self._wake(min(row[0] for row in later))
+        yield _frame(replies)
+
+    def _wait(self, commands: Iterable[tuple]) -> None:
+        at, msg_id, user, slot, verb, site = zip(*commands)
+        numbers = [[int(v) for v in c] for c in (at, msg_id, slot)]
+        self.waiting.appendValue((numbers[0], numbers[1], list(user), numbers[2], list(verb), list(site)))
+
+    def _replayed(self, owner: tuple, commands: dict[tuple, tuple], replies: list[tuple]) -> None:
+        """Replies to the commands ``(at, msg_id): (verb, site)`` of one (user, slot)."""
+        user, slot = owner
+        before = self.listed.getValue(owner)
+        listed = dict.fromkeys(before[0]) if before else {}
+        changed = False
+        for (at, msg_id), (verb, site) in sorted(commands.items(), key=lambda item: item[0]):
+            if verb == "show":
+                if slot == 0:
+                    replies.append((msg_id, at, user, LIST, None))
+                replies += [(msg_id, at, user, LIST, name) for name in listed]
+            elif (site in listed) == (verb == "add"):
+                replies.append((msg_id, at, user, ADD_ERROR if verb == "add" else DELETE_ERROR, site))
+            else:
+                changed = True
+                if verb == "add":
+                    listed[site] = None
+                else:
+                    del listed[site]
+        if changed and listed:
+            self.listed.updateValue(owner, (list(listed),))
+        elif changed and before:
+            self.listed.removeKey(owner)
 
     def _wake(self, at: int) -> None:
         # Timers are in milliseconds, and one before the command's own also wakes a command at the watermark.
@@ -124,7 +154,8 @@ def update_replies(commands: DataFrame, target: str, checkpoint: str, delay: str
 
     Commands may arrive in any order within ``delay`` of event time; each waits until the newest command is
     ``delay`` ahead of it. Returns how many came too late to be replayed. A user's sites are dealt to ``slots``
-    tasks, so a user with most commands is no hot task; a show asks all of them. Each micro-batch writes its own
+    tasks, so a user with most commands is no hot task; a show asks all of them. Many (user, slot) share a key of the
+    state, so its cost is that of the commands and not of calls for each. Each micro-batch writes its own
     folder, replaced as a whole if the batch is repeated.
     """
     spark = commands.sparkSession
@@ -137,7 +168,8 @@ def update_replies(commands: DataFrame, target: str, checkpoint: str, delay: str
     exact = commands.withColumn("at", F.unix_micros(F.col("ts").cast("timestamp")))
     timed = exact.withColumn("ts", F.date_trunc("millisecond", F.timestamp_micros("at"))).withWatermark("ts", delay)
     dealt = timed.select("ts", "at", "msg_id", "verb", "site", "user", F.explode(slot).alias("slot"))
-    replies = dealt.groupBy("user", "slot").transformWithStateInPandas(
+    bucket = F.pmod(F.xxhash64("user", "slot"), F.lit(BUCKETS)).cast("int")
+    replies = dealt.withColumn("bucket", bucket).groupBy("bucket").transformWithStateInPandas(
         _Replay(), outputStructType=_REPLY, outputMode="append", timeMode="EventTime"
     )
 

@@ -5,13 +5,16 @@ import os
 import random
 import shutil
 import time
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from helpers import rows
 from hardwood.operators import subscriptions as S
+from hardwood.streaming import subscriptions as streamed
 from hardwood.streaming.ingest import ingest_pages
 from hardwood.streaming.subscriptions import read_replies, read_state, update_replies, update_state
 
@@ -145,6 +148,48 @@ def test_commands_beyond_the_delay_are_counted(spark, tmp_path):
     assert listed_replies(read_replies(spark, target)) == [(700, "a", "WEBSITE LIST", ""), (700, "a", "WEBSITE LIST", "s")]
 
 
+class Store:
+    """States and timers in memory, which count their calls."""
+
+    def __init__(self):
+        self.calls, self.rows, self.pairs = 0, [], {}
+
+    def getListState(self, *_):
+        return self
+
+    getMapState = getListState
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls += 1
+            if name in ("appendValue", "appendList"):
+                self.rows += [args[0]] if name == "appendValue" else args[0]
+            elif name == "updateValue":
+                self.pairs[args[0]] = args[1]
+            elif name == "clear":
+                self.rows = []
+            if name == "getValue":
+                return self.pairs.get(args[0])
+            return iter(list(self.rows)) if name == "get" else None
+
+        return call
+
+
+def test_the_state_is_called_by_bucket_not_by_command():
+    """Two thousand commands of two users: calls for each batch, and two for each (user, slot)."""
+    store, replay = Store(), streamed._Replay()
+    replay.init(store)
+    sent = [(i * 1_000_000, i, f"u{i % 2}", 0, "add" if i % 4 < 2 else "show", f"s{i % 10}" if i % 4 < 2 else None) for i in range(2_000)]
+    batch = pd.DataFrame(sent, columns=["at", "msg_id", "user", "slot", "verb", "site"])
+    list(replay.handleInputRows((7,), iter([batch]), None))
+    found = pd.concat(replay.handleExpiredTimer((7,), SimpleNamespace(getCurrentWatermarkInMs=lambda: 1_000_000), None))
+    # Before the watermark are 1,001 commands: of every four two shows; each user has five sites after ten commands.
+    assert (found["subject"] == "WEBSITE LIST").sum() == sum(1 for i in range(1_001) if i % 4 > 1) + sum(
+        len({j % 10 for j in range(i % 2, i, 2) if j % 4 < 2}) for i in range(1_001) if i % 4 > 1
+    )
+    assert store.calls < 20
+
+
 @pytest.mark.parametrize("block", [1_000_000, 5_000])
 def test_lists_of_a_user_with_many_commands(spark, block):
     """Rows are made in proportion to the lists, not to commands times shows."""

@@ -1,6 +1,8 @@
 """Boosted regression trees that go on from round to round.
 
-Features are cut into bins once, and the binned rows with their prediction so far are a stored table. A round grows one tree on
+Features are cut into bins once. Rows with the same bins have the same prediction in every round, so they are added up to one:
+how many they are, the mean of their labels, and the squares around it. These with their prediction so far are a stored table,
+which is never larger than the rows. A round grows one tree on
 what is left to explain: for each level the tasks add up rows and residuals per (node, feature, bin), so at most
 ``2 ** depth * features * bins`` sums reach the driver whatever the number of rows. Then the next state is written with the tree's
 values added, and the losses of both parts are summed up in the same pass. Nothing is fitted twice: training
@@ -137,18 +139,19 @@ def _grown(state: DataFrame, n_features: int, bins: int, depth: int, rate: float
             for batch in batches:
                 if not len(batch):
                     continue
-                binned, rest = _opened(batch, n_features), (batch["y"] - batch["pred"]).to_numpy()
-                squares += float((rest * rest).sum())
+                binned, each = _opened(batch, n_features), batch["n"].to_numpy()
+                rest = (batch["y"] - batch["pred"]).to_numpy()
+                squares += float((batch["around"].to_numpy() + each * rest * rest).sum())
                 node = place[tree.nodes_of(binned)]
                 inside = node >= 0
                 for feature in range(n_features):
                     at = (node[inside] * n_features + feature) * bins + binned[inside, feature]
-                    n += np.bincount(at, minlength=len(n))
-                    s += np.bincount(at, weights=rest[inside], minlength=len(s))
+                    n += np.bincount(at, weights=each[inside], minlength=len(n))
+                    s += np.bincount(at, weights=(each * rest)[inside], minlength=len(s))
             there = np.flatnonzero(n)
             yield pd.DataFrame({"at": [-1, *there], "n": [0.0, *n[there]], "s": [squares, *s[there]]})
 
-        training = state.where("training").select("y", "pred", "bins")
+        training = state.where("training").select("n", "y", "around", "pred", "bins")
         found = training.mapInPandas(sums, "at long, n double, s double").groupBy("at").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).toPandas()
         n, s = (np.zeros(len(open_) * n_features * bins) for _ in range(2))
         counted = found[found["at"] >= 0]
@@ -214,19 +217,24 @@ def fit_boosted(
         for batch in batches:
             if len(batch):
                 binned = _binned(np.array(batch["x"].tolist(), dtype=np.float64), edges)
-                yield pd.DataFrame({"training": batch["training"], "y": batch["y"], "pred": base, "bins": [r.tobytes() for r in binned]})
+                yield pd.DataFrame({"training": batch["training"], "y": batch["y"], "bins": [r.tobytes() for r in binned]})
 
-    kind = "training boolean, y double, pred double, bins binary"
+    kind = "training boolean, bins binary, n double, y double, around double, pred double"
 
     def stored(rows: DataFrame) -> tuple[DataFrame, str, float, float | None]:
         """The next state, where it is, and its losses."""
         seen, path = Observation(), work_path(spark, "boosted")
-        error = (F.col("y") - F.col("pred")) * (F.col("y") - F.col("pred"))
-        means = [F.avg(F.when(F.col("training") == t, error)).alias(c) for t, c in ((True, "loss"), (False, "val_loss"))]
+        error = F.col("around") + F.col("n") * (F.col("y") - F.col("pred")) * (F.col("y") - F.col("pred"))
+        part = {"loss": F.col("training"), "val_loss": ~F.col("training")}
+        means = [(F.sum(F.when(p, error)) / F.sum(F.when(p, F.col("n")))).alias(c) for c, p in part.items()]
         rows.observe(seen, *means).write.parquet(path)
         return spark.read.schema(kind).parquet(path), path, seen.get["loss"], seen.get["val_loss"]
 
-    state, path, _, _ = stored(parts[0].unionByName(parts[1]).mapInPandas(cut, kind))
+    binned = parts[0].unionByName(parts[1]).mapInPandas(cut, "training boolean, y double, bins binary")
+    # The squares come from the deviations of the labels, so nothing cancels out.
+    count = F.count(F.lit(1)).cast("double")
+    alike = binned.groupBy("training", "bins").agg(count.alias("n"), F.avg("y").alias("y"), (F.var_pop("y") * count).alias("around"))
+    state, path, _, _ = stored(alike.withColumn("pred", F.lit(float(base))).select(*[c.split()[0] for c in kind.split(", ")]))
     trees: list[Tree] = []
     curve: list[tuple[int, float, float]] = []
     while len(trees) < rounds:

@@ -328,3 +328,15 @@ def test_best_order_with_lags_that_say_the_same(spark):
     found = linear.fit_best_order(df, ["p"], ["y_1", "y_2", "y_3"], "y", "v").first()
     assert found["order"] == 1 and found["mse"] == pytest.approx(0.0, abs=1e-12)
     assert found["weights"] == pytest.approx([0.0, 2.0], abs=1e-9)
+
+
+def test_boosting_keeps_one_row_for_equal_bins(spark, monkeypatch):
+    """The state that every round reads and writes is as large as the bins differ, not as the rows."""
+    rows = spark.range(4_000).selectExpr("cast(id % 2 AS double) AS a", "cast(id % 3 AS double) AS b", "cast(id % 7 AS double) AS y")
+    sizes, grown = [], boosting._grown
+    monkeypatch.setattr(boosting, "_grown", lambda state, *rest: sizes.append(state.count()) or grown(state, *rest))
+    model, curve = boosting.fit_boosted(rows, rows.where("y < 3"), ["a", "b"], "y", rounds=2, depth=1, rate=1.0)
+    assert sizes == [12, 12]
+    for part, column in ((rows, "loss"), (rows.where("y < 3"), "val_loss")):
+        error = model.predict(part).selectExpr("avg((y - y_pred) * (y - y_pred))").first()[0]
+        assert curve.where(f"round = {len(model.trees)}").first()[column] == pytest.approx(error, rel=1e-12)

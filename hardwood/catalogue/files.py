@@ -14,12 +14,14 @@ from hardwood.catalogue.registry import query
 from hardwood.fixed_values import FEED_HEADER
 from hardwood.models.trees import score_saved
 from hardwood.plans.feed import clean_feed_folder, prepare_shifted, read_shifted
-from hardwood.session import work_path
+from hardwood.session import open_writers, work_path
 from hardwood.sources import delimited as D
 from hardwood.sources import sinks as K
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderdate", "cents", "status"]
 ORDERS_RAW = T.StructType([T.StructField(c, T.StringType()) for c in ORDER_COLUMNS])
+# Files that a task keeps open; with more, it sorts its rows by season.
+SEASON_WRITERS = 64
 SQL_SEASON = "year(o_orderdate)::VARCHAR || '-' || lpad(((year(o_orderdate) + 1) % 100)::VARCHAR, 2, '0')"
 
 
@@ -34,9 +36,17 @@ def _orders(tables):
 
 
 def _season_files(spark, df, folder: str, sep: str = ",", ending: str = "") -> None:
-    """One CSV file per season, named by it: each season is written by one task, then renamed."""
+    """One CSV file per season, named by it: each season is written by one task, then renamed.
+
+    Lines are put together before they meet in that task, which only writes them, unsorted. The header is the name of their
+    column.
+    """
     written = work_path(spark, "seasons")
-    df.repartition("season").write.partitionBy("season").option("header", True).option("sep", sep).option("quote", "\u0000").csv(written)
+    columns = [c for c in df.columns if c != "season"]
+    line = F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns])
+    lines = df.select(line.alias(sep.join(columns)), "season").repartition("season")
+    with open_writers(spark, SEASON_WRITERS):
+        lines.write.partitionBy("season").option("header", True).option("sep", "\u0001").option("quote", "\u0000").csv(written)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     files = path(written).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.mkdirs(path(folder))

@@ -76,7 +76,7 @@ def count_or_null(text: Column) -> Column:
 
 def unknown_text(text: Column, parsed: Column) -> Column:
     """True where a text is neither empty, nor a sentinel, nor readable as a number."""
-    return text.isNotNull() & (F.trim(text) != "") & ~text.isin(DID_NOT_PLAY) & parsed.isNull()
+    return parsed.isNull() & text.isNotNull() & (F.trim(text) != "") & ~text.isin(DID_NOT_PLAY)
 
 
 def blank_to_zero(text: Column) -> Column:

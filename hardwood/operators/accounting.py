@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -27,10 +28,26 @@ class Cell:
     def value(self) -> Column:
         return self.read(F.col(f"`{self.source}`")).alias(self.name)
 
+    def unread(self) -> Column:
+        """True where the cell is neither empty, nor a sentinel, nor readable."""
+        return unknown_text(self.text, self.read(F.col(f"`{self.source}`")))
+
     def error(self) -> Column:
         """What the cell holds, if that is neither empty, nor a sentinel, nor readable; else null."""
-        unread = unknown_text(self.text, self.read(F.col(f"`{self.source}`")))
-        return F.when(unread, F.concat(F.lit(f"{self.name}: "), self.text))
+        return F.when(self.unread(), F.concat(F.lit(f"{self.name}: "), self.text))
+
+
+def cell_errors(cells: Sequence[Cell], whole: Column | None = None) -> Column:
+    """Array of the errors of all cells; where ``whole`` is not null, it is the row's only error.
+
+    Whether there are any is compiled code that shares what it reads with the values; an array is filtered by
+    interpreted code, which therefore only sees rows that have errors.
+    """
+    whole = F.lit(None).cast("string") if whole is None else whole
+    found = F.array_compact(F.array(*[c.error() for c in cells]))
+    # Compiled code shares what is read in the first condition, but not what stands in later ones.
+    unread = reduce(lambda a, b: a | b, [c.unread() for c in cells])
+    return F.when(unread & whole.isNull(), found).otherwise(F.array_compact(F.array(whole)))
 
 
 @dataclass(frozen=True)
@@ -55,7 +72,7 @@ def read_cells(raw: DataFrame, cells: Sequence[Cell], url: Column, kept: Sequenc
     among the clean ones, and each such cell is one error.
     """
     plain = [F.col(f"`{c}`") for c in kept]
-    return account_of(raw, [*plain, *[c.value() for c in cells]], F.array_compact(F.array(*[c.error() for c in cells])), url)
+    return account_of(raw, [*plain, *[c.value() for c in cells]], cell_errors(cells), url)
 
 
 def account_of(raw: DataFrame, values: Sequence[Column], errors: Column, url: Column) -> Account:

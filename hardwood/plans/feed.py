@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hardwood.operators.impute import fill_series_mean
 from hardwood.operators.series import GameSeries, lag_depth, lag_set
 from hardwood.operators.splits import nested_split
-from hardwood.sources.delimited import checked_feed, read_checked_feed
+from hardwood.sources.delimited import checked_feed, parsed_feed
 from hardwood.sources.sinks import rebuild, write_combined, write_errors
 
 
@@ -16,9 +16,10 @@ def clean_feed_folder(spark: SparkSession, folder: str, target: str) -> DataFram
     """Clean all complete files; write combined, per season, and what was rejected.
 
     Files that lack a column, lines that do not parse and cells that cannot be read are rows of the errors table; such
-    files and lines are absent from the clean output. Files are parsed once; a rerun gives the same tables.
+    files and lines are absent from the clean output. Files are parsed once, in the pass that reads their cells; a rerun gives
+    the same tables.
     """
-    raw, rejected = read_checked_feed(spark, folder)
+    raw, rejected = parsed_feed(spark, folder)
     account = checked_feed(raw, F.col("_path"))
     cleaned = account.clean
     write_combined(cleaned, f"{target}/combined")

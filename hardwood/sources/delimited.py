@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from hardwood.fixed_values import BOX_COLUMNS, FEED_COLUMNS, FEED_HEADER, IGNORED_ENTRIES
 from hardwood.functions.clean import compact_date, flip_name
-from hardwood.operators.accounting import Account, Cell, read_cells
+from hardwood.operators.accounting import Account, Cell, account_of, cell_errors
 from hardwood.session import materialize
 
 CORRUPT = "_corrupt"
@@ -100,14 +100,13 @@ def checked_files(spark: SparkSession, folder: str, required: Sequence[str] = tu
     return file_headers(spark, folder).withColumn("missing", F.array_except(names, F.split("header", sep)))
 
 
-def read_checked_feed(
+def parsed_feed(
     spark: SparkSession, folder: str, required: Sequence[str] = tuple(FEED_COLUMNS), sep: str = ":"
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows of the complete files with their ``_path``, quarantine of the others).
+    """(lines of the complete files with their ``_path``, quarantine of the other files).
 
-    Files are read once per distinct header and put together by column name, so their
-    column order may differ. Lines that do not parse are part of the quarantine. Only the distinct
-    headers and their file names reach the driver; the parsed rows are stored once.
+    A line that does not parse has its text in ``_corrupt``. Files are read once per distinct header and put together by
+    column name, so their column order may differ. Only the distinct headers and their file names reach the driver.
     """
     checked = materialize(checked_files(spark, folder, required, sep), "headers")
     quarantine = checked.where(F.size("missing") > 0).select(
@@ -125,8 +124,19 @@ def read_checked_feed(
         )
         rows = part if rows is None else rows.unionByName(part)
     if rows is None:
-        empty = T.StructType([T.StructField(c, T.StringType()) for c in [*required, "season", "_path"]])
+        empty = T.StructType([T.StructField(c, T.StringType()) for c in [*required, CORRUPT, "season", "_path"]])
         return spark.createDataFrame([], empty), quarantine
+    return rows, quarantine
+
+
+def read_checked_feed(
+    spark: SparkSession, folder: str, required: Sequence[str] = tuple(FEED_COLUMNS), sep: str = ":"
+) -> tuple[DataFrame, DataFrame]:
+    """(rows of the complete files with their ``_path``, quarantine of the other files and of lines that do not parse).
+
+    The parsed rows are stored once.
+    """
+    rows, quarantine = parsed_feed(spark, folder, required, sep)
     stored = materialize(rows, "feed")
     broken = stored.where(F.col(CORRUPT).isNotNull())
     lines = broken.select(F.col("_path").alias("URL"), F.concat(F.lit("corrupt line: "), CORRUPT).alias("Error"))
@@ -155,8 +165,10 @@ def clean_feed(raw: DataFrame) -> DataFrame:
 
 
 def checked_feed(raw: DataFrame, url: Column) -> Account:
-    """Like :func:`clean_feed`, with lines that have an unreadable cell in quarantine."""
-    account = read_cells(raw, FEED_CELLS, url, [c for c in ("season",) if c in raw.columns])
+    """Like :func:`clean_feed`, with lines that have an unreadable cell in quarantine, and those of ``_corrupt`` text as a whole."""
+    kept = [c for c in ("season",) if c in raw.columns]
+    errors = cell_errors(FEED_CELLS, F.concat(F.lit("corrupt line: "), CORRUPT) if CORRUPT in raw.columns else None)
+    account = account_of(raw, [*[F.col(c) for c in kept], *[cell.value() for cell in FEED_CELLS]], errors, url)
     names = [cell.name for cell in FEED_CELLS]
     return replace(account, clean=account.clean.select(*names, *[c for c in account.clean.columns if c not in names]))
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from helpers import rows
 from hardwood.fixed_values import BOX_COLUMNS, FEED_COLUMNS, FEED_HEADER
 from hardwood.plans.feed import clean_feed_folder, prepare_shifted, read_shifted, shifted_sets
+from hardwood.operators import accounting
+from hardwood.sources import delimited
 from hardwood.sources import delimited as D
 from hardwood.session import materialize, remove_work, shared_folder
 from hardwood.sources import sinks as K
@@ -195,3 +197,18 @@ def test_work_folder_is_removed(spark):
     remove_work(spark)
     assert not os.path.exists(folder)
     assert materialize(spark.range(2).toDF("x"), "probe").count() == 2
+
+
+def test_clean_feed_stores_no_parsed_text(spark, tmp_path, monkeypatch):
+    """Lines are parsed in the pass that reads their cells; a broken line is one error and its cells are none."""
+    labels, stored = [], accounting.materialize
+    for module in (delimited, accounting):
+        monkeypatch.setattr(module, "materialize", lambda df, label: labels.append(label) or stored(df, label))
+    line = {c: "0" for c in FEED_HEADER} | {"Last, First": "No, Part", "Date": "20200102"}
+    lines = [":".join(FEED_HEADER), ":".join(line.values()), ":".join((line | {"Stats": "1:2", "Minutes": "half"}).values()), ":".join((line | {"Minutes": "half"}).values())]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "2019-20.csv").write_text("\n".join(lines) + "\n")
+    cleaned = clean_feed_folder(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert labels == ["headers", "cells"]
+    assert [r["Player"] for r in cleaned.collect()] == ["Part No"]
+    assert sorted(r["Error"].split(":")[0] for r in spark.read.parquet(str(tmp_path / "out" / "errors")).collect()) == ["Minutes", "corrupt line"]

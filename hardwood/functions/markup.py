@@ -5,6 +5,7 @@ Functions that take a ``source`` expect :func:`visible_source` of the page.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -36,17 +37,26 @@ def unescaped(text: Column) -> Column:
     """Character references resolved once: decimal, hexadecimal and named ones; unknown ones stay."""
     names = F.create_map(*[F.lit(x) for name, code in sorted(_NAMES.items()) for x in (name, code)])
 
-    def resolved(piece: Column) -> Column:
-        name = F.regexp_extract(piece, "^(#\\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
-        number = (
+    def once(value: Column, use: Callable[[Column], Column]) -> Column:
+        # A lambda's code is interpreted: an expression is evaluated wherever it stands, a lambda's variable is not.
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def code(name: Column) -> Column:
+        return (
             F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10).try_cast("int"))
             .when(name.startswith("#"), F.substr(name, F.lit(2)).try_cast("int"))
             .otherwise(F.try_element_at(names, name))
         )
+
+    def character(number: Column) -> Column:
         valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
         char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number)), 8, "0")), "UTF-32")
-        space = F.when(number == 160, F.lit(" ")).otherwise(char)  # names are keys, so spaces must be alike
-        return F.coalesce(F.concat(space, F.substr(piece, F.length(name) + 2)), F.concat(F.lit("&"), piece))
+        return F.when(number == 160, F.lit(" ")).otherwise(char)  # names are keys, so spaces must be alike
+
+    def resolved(piece: Column) -> Column:
+        name = F.regexp_extract(piece, "^(#\\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        text = once(name, lambda n: F.concat(once(code(n), character), F.substr(piece, F.length(n) + 2)))
+        return F.coalesce(text, F.concat(F.lit("&"), piece))
 
     pieces = F.split(text, "&")
     plain = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, _REST), resolved), ""))
@@ -63,10 +73,16 @@ def inner_texts(sources: Column) -> Column:
     return F.transform(bare, lambda t: F.btrim(unescaped(t), F.lit(" \t\r\n")))
 
 
+def _before(text: Column, pattern: str) -> Column:
+    """What stands before the first match, or the whole text; the pattern is compiled once, and not for each text as by split."""
+    at = F.regexp_instr(text, F.lit(pattern))
+    return F.when(at > 0, F.substr(text, F.lit(1), at - 1)).otherwise(text)
+
+
 def table_bodies(source: Column) -> Column:
     """Each table body. Opening tags delimit, so a missing end tag does no harm."""
     parts = F.slice(F.split(source, "(?i)<tbody\\b[^>]*>"), 2, _REST)
-    return F.transform(parts, lambda b: F.get(F.split(b, "(?i)</(?:tbody|table)\\b", 2), F.lit(0)))
+    return F.transform(parts, lambda b: _before(b, "(?i)</(?:tbody|table)\\b"))
 
 
 def body_rows(body: Column) -> Column:
@@ -76,7 +92,7 @@ def body_rows(body: Column) -> Column:
 
 def _cell_sources(row: Column, tag: str) -> Column:
     pieces = F.slice(F.split(row, f"(?i)<{tag}\\b[^>]*>"), 2, _REST)
-    return F.transform(pieces, lambda c: F.get(F.split(c, "(?i)<t[dh]\\b|</t[dhr]\\b", 2), F.lit(0)))
+    return F.transform(pieces, lambda c: _before(c, "(?i)<t[dh]\\b|</t[dhr]\\b"))
 
 
 def row_parts(row: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hardwood.fixed_values import BOX_STATS, TEAM_ALIASES
@@ -10,11 +10,17 @@ from hardwood.functions.clean import any_date, count_or_null, minutes_dotted
 from hardwood.operators.accounting import Account, Cell, read_cells
 from hardwood.operators.pages import box_scores, page_errors, repaired_teams
 
+
+def _number(text: Column) -> Column:
+    # A failed cast costs an exception, and many cells are blank.
+    return F.when(F.trim(text) != "", text.try_cast("double"))
+
+
 _READERS = {"MP": minutes_dotted, "FG": count_or_null}
 BOX_CELLS = [
     Cell("Date", "Date", any_date),
     Cell("Home", "Home", lambda text: text.try_cast("int")),
-    *[Cell(c, c, _READERS.get(c, lambda text: text.try_cast("double"))) for c in BOX_STATS],
+    *[Cell(c, c, _READERS.get(c, _number)) for c in BOX_STATS],
 ]
 
 

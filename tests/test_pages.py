@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from helpers import rows
 from hardwood.operators import pages as P
 from hardwood.fixed_values import BOX_STATS
+from hardwood.functions.markup import unescaped
+from hardwood.operators.accounting import Cell, cell_errors
 from hardwood.operators.pages import link_rows
 from hardwood.plans.scrape import checked_box, pages_to_box
 
@@ -167,3 +169,20 @@ def test_every_cell_is_a_value_or_an_error(spark):
     assert [r["GameLink"] for r in rows(account.clean, "GameLink")] == ["/g0", "/g1", "/g3"]
     errors = [(r["URL"], r["Error"]) for r in rows(account.errors, "URL", "Error")]
     assert errors == sorted([("/g2", f"{c}: xx") for c in BOX_STATS] + [("/g4", "Date: 13th of May"), ("/g5", "Home: x"), ("/g6", "FG: 1.5")])
+
+
+def test_references_are_read_once(spark):
+    """Interpreted code evaluates an expression wherever it stands: the one for a reference's name stood in ten places."""
+    shown = unescaped(F.col("t"))._jc.toString()
+    assert shown.count("regexp_extract") == 1
+    texts = spark.createDataFrame([("a &amp; b &#38; c &#x26; d &nope; e&nbsp;f &#0; &",), ("plain",), (None,)], "t string")
+    assert [r[0] for r in texts.select(unescaped(F.col("t"))).collect()] == ["a & b & c & d &nope; e f &#0; &", "plain", None]
+
+
+def test_errors_of_cells_and_of_whole_rows(spark):
+    """Arrays are filtered in rows with errors only; an error of the whole row replaces those of its cells."""
+    cells = [Cell("a", "A", lambda t: t.try_cast("double")), Cell("b", "B", lambda t: t.try_cast("int"))]
+    df = spark.createDataFrame([("1", "x", None), ("", None, None), ("y", "z", None), ("y", "2", "broken"), ("1", "2", "broken")], "a string, b string, w string")
+    found = df.select(cell_errors(cells, F.col("w")).alias("e"))
+    assert [r["e"] for r in found.collect()] == [["B: x"], [], ["A: y", "B: z"], ["broken"], ["broken"]]
+    assert [r[0] for r in df.select(cell_errors(cells)).collect()] == [["B: x"], [], ["A: y", "B: z"], ["A: y"], []]

@@ -203,6 +203,30 @@ def test_references_go_only_where_they_are_asked_for(spark, monkeypatch):
     assert triples < blocks * chunks / 2
 
 
+@pytest.mark.parametrize("block", [None, 200])
+def test_queries_travel_by_blocks_not_by_pivots(spark, monkeypatch, block):
+    """Vectors in all directions: every pivot may hold a neighbour, but a query goes to a block once. Some ids come twice."""
+    rng = np.random.default_rng(12)
+    spots = rng.normal(size=(600, 24))
+    ids = np.where(np.arange(600) < 590, np.arange(600), np.arange(600) - 590)
+    spots[590:] = spots[:10]
+    y = rng.integers(0, 9, 600).astype(float)
+    refs = spark.createDataFrame([(int(i), v.tolist(), float(t)) for i, v, t in zip(ids, spots, y)], "rid long, vec array<double>, y double")
+    seen = []
+    kept = neighbours.asked_blocks
+    monkeypatch.setattr(neighbours, "asked_blocks", lambda routed: seen.append(routed) or kept(routed))
+    found = neighbours.nearest(refs.select(F.col("rid").alias("qid"), "vec"), refs, 5, not_self=True, pivots=30, block=block)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["qid"], []).append((round(r["dist"], 9), r["rid"]))
+    away = np.sqrt(((spots[:, None, :] - spots[None, :, :]) ** 2).sum(2))
+    for i in range(590):
+        times = 2 if i < 10 else 1
+        want = sorted((round(float(away[i, j]), 9), int(ids[j])) for j in range(600) if ids[j] != i for _ in range(times))[:5]
+        assert sorted(got[i]) == want, i
+    assert seen[0].count() <= len(spots) * (1 if block is None else 5)
+
+
 def grown(x, y, min_rows=2, max_depth=None, depth=0):
     """Plain recursion: (prediction function, depth), the best split by squared error."""
     mean = sum(y) / len(y)

@@ -265,6 +265,30 @@ def test_exact_tree_is_the_plain_recursion(spark, local, options):
     assert got == pytest.approx({i: want(r) for i, r in enumerate(asked)}, abs=1e-9)
 
 
+@pytest.mark.parametrize("bins", [12, 65_536])
+@pytest.mark.parametrize("signal", [0.0, 20.0])
+def test_bins_without_the_best_split_are_left_out(spark, monkeypatch, signal, bins):
+    """The best of all thresholds, with and without a signal, from the values of few bins if there is one."""
+    rng = np.random.default_rng(9)
+    x = np.stack([rng.normal(size=2_000), rng.uniform(size=2_000) if signal else rng.lognormal(sigma=3, size=2_000).round(2)], axis=1)
+    y = signal * (x[:, 0] > 0.3) + rng.normal(size=2_000)
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], "a double, b double, y double").repartition(3)
+    stored = {}
+    kept = exact_trees.materialize
+
+    def noted(df, label):
+        stored.setdefault(label, made := kept(df, label))
+        return made
+
+    monkeypatch.setattr(exact_trees, "BINS", bins, raising=False)
+    monkeypatch.setattr(exact_trees, "materialize", noted)
+    tree = exact_trees.fit_exact_tree(df, ["a", "b"], "y", max_depth=1, local_rows=1_999)
+    root = tree.top.where("depth = 0").first()
+    assert (root["feature"], pytest.approx(root["threshold"], abs=1e-12)) == exact_trees._best_here(x, y)
+    if signal:
+        assert stored["values"].count() < 2_000
+
+
 @pytest.mark.parametrize("local", [1_000, 36])
 def test_exact_tree_has_no_limit_of_depth(spark, local):
     df = spark.createDataFrame([(i, float(i), 3.0**i) for i in range(45)], "id long, x double, y double")

@@ -14,7 +14,7 @@ from hardwood.catalogue.registry import query
 from hardwood.fixed_values import FEED_HEADER
 from hardwood.models.trees import score_saved
 from hardwood.plans.feed import clean_feed_folder, prepare_shifted, read_shifted
-from hardwood.session import open_writers, work_path
+from hardwood.session import open_writers, small_disk, work_path
 from hardwood.sources import delimited as D
 from hardwood.sources import sinks as K
 
@@ -45,7 +45,7 @@ def _season_files(spark, df, folder: str, sep: str = ",", ending: str = "") -> N
     columns = [c for c in df.columns if c != "season"]
     line = F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns])
     lines = df.select(line.alias(sep.join(columns)), "season").repartition("season")
-    with open_writers(spark, SEASON_WRITERS):
+    with open_writers(spark, SEASON_WRITERS), small_disk(spark):
         lines.write.partitionBy("season").option("header", True).option("sep", "\u0001").option("quote", "\u0000").csv(written)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     files = path(written).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hardwood.operators.impute import fill_series_mean
 from hardwood.operators.series import GameSeries, lag_depth, lag_set
 from hardwood.operators.splits import nested_split
+from hardwood.session import small_disk, work_scope
 from hardwood.sources.delimited import checked_feed, parsed_feed
 from hardwood.sources.sinks import rebuild, write_combined, write_errors
 
@@ -17,15 +18,18 @@ def clean_feed_folder(spark: SparkSession, folder: str, target: str) -> DataFram
 
     Files that lack a column, lines that do not parse and cells that cannot be read are rows of the errors table; such
     files and lines are absent from the clean output. Files are parsed once, in the pass that reads their cells; a rerun gives
-    the same tables.
+    the same tables. What that pass stores goes before the seasons are written; as each file is of one season, these need no
+    shuffle.
     """
-    raw, rejected = parsed_feed(spark, folder)
-    account = checked_feed(raw, F.col("_path"))
-    cleaned = account.clean
-    write_combined(cleaned, f"{target}/combined")
-    write_errors(rejected.unionByName(account.errors), f"{target}/errors")
-    combined = spark.read.schema(cleaned.schema).parquet(f"{target}/combined")
-    rebuild(combined, f"{target}/seasons", ["season"])
+    with small_disk(spark):
+        with work_scope(spark):
+            raw, rejected = parsed_feed(spark, folder)
+            account = checked_feed(raw, F.col("_path"))
+            cleaned = account.clean
+            write_combined(cleaned, f"{target}/combined")
+            write_errors(rejected.unionByName(account.errors), f"{target}/errors")
+        combined = spark.read.schema(cleaned.schema).parquet(f"{target}/combined")
+        rebuild(combined, f"{target}/seasons", ["season"], together=True)
     return combined
 
 

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hardwood.session import open_writers
+
+OPEN_FILES = 16
 PLAYER_BUCKETS = 256
 PAGE_ROWS = 2_000
 
@@ -60,10 +64,15 @@ def read_prepared(spark: SparkSession, path: str, timestep: int, split: str | No
     return rows if split is None else rows.where(F.col("split") == split)
 
 
-def rebuild(df: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
-    """Replace the whole output, including partitions that ``df`` no longer has."""
-    writer = (_balanced(df, *keys) if keys else df).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*keys) if keys else writer).parquet(path)
+def rebuild(df: DataFrame, path: str, keys: Sequence[str] = (), together: bool = False) -> None:
+    """Replace the whole output, including partitions that ``df`` no longer has.
+
+    Where rows of a key already lie ``together``, as in tables read file by file, each task writes its few keys and nothing is
+    shuffled; a task with more than ``OPEN_FILES`` keys sorts the rest.
+    """
+    writer = (_balanced(df, *keys) if keys and not together else df).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    with open_writers(df.sparkSession, OPEN_FILES) if together else nullcontext():
+        (writer.partitionBy(*keys) if keys else writer).parquet(path)
 
 
 def write_errors(errors: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -212,3 +212,32 @@ def test_clean_feed_stores_no_parsed_text(spark, tmp_path, monkeypatch):
     assert labels == ["headers", "cells"]
     assert [r["Player"] for r in cleaned.collect()] == ["Part No"]
     assert sorted(r["Error"].split(":")[0] for r in spark.read.parquet(str(tmp_path / "out" / "errors")).collect()) == ["Minutes", "corrupt line"]
+
+
+def test_clean_feed_leaves_no_stored_cells_and_no_shuffle_files(spark, tmp_path):
+    """What the pass over the lines stores is gone once it is written out; seasons of many files need no shuffle."""
+    seasons = [f"{y}-{(y + 1) % 100:02d}" for y in range(1970, 1970 + K.OPEN_FILES + 4)]
+    for i, season in enumerate(seasons):
+        write(f"{tmp_path}/in/{season}.csv", ":".join(FEED_HEADER), *[feed_line(FEED_HEADER, **game(gid=str(g))) for g in range(i % 3 + 1)])
+    folder = f"{shared_folder(spark)}/hardwood/{spark.sparkContext.applicationId}".removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.exists(folder) else set()
+    codec = spark.conf.get("spark.sql.parquet.compression.codec")
+    for _ in range(2):
+        cleaned = clean_feed_folder(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    assert set(os.listdir(folder)) <= before
+    assert spark.conf.get("spark.sql.parquet.compression.codec") == codec
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
+    found = {r["season"]: r["count"] for r in spark.read.parquet(f"{tmp_path}/out/seasons").groupBy("season").count().collect()}
+    assert found == {season: i % 3 + 1 for i, season in enumerate(seasons)}
+    assert cleaned.count() == sum(found.values())
+    assert sorted(n for n in os.listdir(f"{tmp_path}/out/seasons") if "=" in n) == [f"season={s}" for s in seasons]
+
+
+def test_rebuild_of_rows_that_lie_together_is_not_dealt(spark, tmp_path):
+    """Each task writes its own keys: two tasks with a key in common give it two files."""
+    df = spark.range(40, numPartitions=2).select("id", F.when(F.col("id") < 10, "a").when(F.col("id") < 30, "b").otherwise("c").alias("season"))
+    for _ in range(2):
+        K.rebuild(df, str(tmp_path / "t"), ["season"], together=True)
+    files = {s: len([n for n in os.listdir(tmp_path / "t" / f"season={s}") if n.endswith(".parquet")]) for s in "abc"}
+    assert files == {"a": 1, "b": 2, "c": 1}
+    assert spark.read.parquet(str(tmp_path / "t")).groupBy("season").count().orderBy("season").collect() == [("a", 10), ("b", 20), ("c", 10)]

@@ -43,9 +43,7 @@ def flip_name(name: Column) -> Column:
 
     A name without a comma is both pieces, so it doubles (``Nene`` -> ``Nene Nene``).
     """
-    pieces = F.split(name, ", ")
-    flipped = F.concat_ws(" ", F.element_at(pieces, -1), F.element_at(pieces, 1))
-    return F.when(name.isNotNull(), flipped)
+    return F.concat(F.substring_index(name, ", ", -1), F.lit(" "), F.substring_index(name, ", ", 1))
 
 
 def flip_name_once(name: Column) -> Column:

@@ -44,10 +44,11 @@ def cell_errors(cells: Sequence[Cell], whole: Column | None = None) -> Column:
     interpreted code, which therefore only sees rows that have errors.
     """
     whole = F.lit(None).cast("string") if whole is None else whole
+    none = F.array().cast("array<string>")
     found = F.array_compact(F.array(*[c.error() for c in cells]))
     # Compiled code shares what is read in the first condition, but not what stands in later ones.
     unread = reduce(lambda a, b: a | b, [c.unread() for c in cells])
-    return F.when(unread & whole.isNull(), found).otherwise(F.array_compact(F.array(whole)))
+    return F.when(unread & whole.isNull(), found).when(whole.isNotNull(), F.array(whole)).otherwise(none)
 
 
 @dataclass(frozen=True)
@@ -77,7 +78,8 @@ def read_cells(raw: DataFrame, cells: Sequence[Cell], url: Column, kept: Sequenc
 
 def account_of(raw: DataFrame, values: Sequence[Column], errors: Column, url: Column) -> Account:
     """Rows of ``values`` told apart by whether the array ``errors`` is empty."""
-    read = raw.select(*values, errors.alias("_errors"), url.cast("string").alias("_url"))
+    # The address of a row without errors is not asked for.
+    read = raw.select(*values, errors.alias("_errors"), F.when(F.size(errors) > 0, url.cast("string")).alias("_url"))
     counts = Observation()
     n_errors = F.size("_errors")
     counted = read.observe(

@@ -241,3 +241,20 @@ def test_rebuild_of_rows_that_lie_together_is_not_dealt(spark, tmp_path):
     files = {s: len([n for n in os.listdir(tmp_path / "t" / f"season={s}") if n.endswith(".parquet")]) for s in "abc"}
     assert files == {"a": 1, "b": 2, "c": 1}
     assert spark.read.parquet(str(tmp_path / "t")).groupBy("season").count().orderBy("season").collect() == [("a", 10), ("b", 20), ("c", 10)]
+
+
+def test_cells_keep_no_address_of_clean_rows_and_names_flip_without_patterns(spark, tmp_path, monkeypatch):
+    kept, stored = [], accounting.materialize
+    monkeypatch.setattr(accounting, "materialize", lambda df, label: kept.append(df) or stored(df, label))
+    raw = spark.createDataFrame(
+        [("1", "b", None), ("x", "c", None), ("x", "d", "whole")], "a string, url string, w string"
+    )
+    cells = [accounting.Cell("a", "A", lambda text: text.try_cast("int"))]
+    account = accounting.account_of(raw, [c.value() for c in cells], accounting.cell_errors(cells, F.col("w")), F.col("url"))
+    assert sorted(map(tuple, account.errors.collect())) == [("c", "A: x"), ("d", "whole")]
+    assert [r["A"] for r in account.clean.collect()] == [1] and (account.n_rows, account.n_clean, account.n_errors) == (3, 1, 2)
+    assert sorted((r["_url"] or "", len(r["_errors"])) for r in kept[0].collect()) == [("", 0), ("c", 1), ("d", 1)]
+    names = spark.createDataFrame([(n,) for n in ("James, LeBron", "Smith, Jr., Dennis", "Nene", "", ", A", "A, ", "A,B", None)], "n string")
+    flipped = names.select(D.flip_name(F.col("n")).alias("n"))
+    assert [r["n"] for r in flipped.collect()] == ["LeBron James", "Dennis Smith", "Nene Nene", " ", "A ", " A", "A,B A,B", None]
+    assert "split(" not in flipped._jdf.queryExecution().analyzed().toString()
